@@ -52,7 +52,7 @@ def late_events(
 def missing_events(landed: DataFrame, stored: DataFrame, identity: list[str]) -> DataFrame:
     """Distinct landed events that no sink holds: what a bounded stream left out."""
     keys = landed.select(*identity).distinct()
-    known = stored.select(*[F.col(n).alias(f"_{n}") for n in identity])
+    known = stored.select(*[F.col(n).alias(f"_{n}") for n in identity]).distinct()
     same: Column | None = None
     for name in identity:
         condition = F.col(name).eqNullSafe(F.col(f"_{name}"))

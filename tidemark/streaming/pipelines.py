@@ -69,18 +69,19 @@ def _start(
     df: DataFrame,
     path: str,
     checkpoint: str,
-    name: str,
+    name: str | None,
     partition_by: tuple[str, ...] = (),
     trigger: dict | None = None,
 ) -> StreamingQuery:
     writer = (
         df.writeStream.format("parquet")
         .outputMode("append")
-        .queryName(name)
         .option("path", path)
         .option("checkpointLocation", checkpoint)
         .trigger(**(trigger or {"processingTime": "5 seconds"}))
     )
+    if name:
+        writer = writer.queryName(name)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     return writer.start()
@@ -223,7 +224,7 @@ def land_messages(
         F.col("raw_payload").alias("value"),
         F.current_timestamp().alias("landed_at"),
     )
-    return _start(text, bronze_path, checkpoint, f"bronze_{abs(hash(bronze_path))}", (), trigger)
+    return _start(text, bronze_path, checkpoint, None, (), trigger)
 
 
 def publish_errors(
@@ -243,15 +244,12 @@ def publish_errors(
 def await_all(spark: SparkSession, queries: list[StreamingQuery]) -> None:
     """Wait until every query has ended. If one fails, the others are stopped and its
     error is raised, so a dead query never goes unseen behind a living one."""
-    pending = list(queries)
     try:
-        while pending:
-            spark.streams.awaitAnyTermination()
+        while any(query.isActive for query in queries):
             for query in queries:
-                if query.exception() is not None:
-                    raise query.exception()
-            pending = [query for query in pending if query.isActive]
-            spark.streams.resetTerminated()
+                query.awaitTermination(1)  # raises the query's error
+        for query in queries:
+            query.awaitTermination(1)
     finally:
         for query in queries:
             if query.isActive:

@@ -36,7 +36,13 @@ def write_mart(df: DataFrame, gold_base: str, name: str) -> int:
 def export_table(df: DataFrame, output_dir: str, table: str) -> dict[str, str]:
     """Export a table twice, as CSV with header and as Parquet."""
     base = f"{output_dir.rstrip('/')}/{table}"
-    df.write.mode("overwrite").option("header", "true").csv(f"{base}.csv")
+    # Quotes are doubled and blanks kept, so that any CSV reader gets the same text.
+    df.write.mode("overwrite").options(
+        header="true",
+        escape='"',
+        ignoreLeadingWhiteSpace="false",
+        ignoreTrailingWhiteSpace="false",
+    ).csv(f"{base}.csv")
     df.write.mode("overwrite").parquet(f"{base}.parquet")
     return {"csv": f"{base}.csv", "parquet": f"{base}.parquet"}
 

@@ -40,7 +40,7 @@ def read_csv(spark: SparkSession, path: str, schema: StructType | None = None) -
     does not fit becomes null, and other columns stay text; nothing depends on the order
     of columns, and the data is not scanned an extra time to guess types.
     """
-    df = _or_none(lambda: spark.read.option("header", "true").csv(path))
+    df = _or_none(lambda: spark.read.options(header="true", escape='"').csv(path))
     if df is None or schema is None:
         return df
     types = {field.name: field.dataType for field in schema}

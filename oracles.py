@@ -721,11 +721,11 @@ ORACLES["skew_salted_join"] = (
     "count(*) OVER (PARTITION BY order_status) AS order_count FROM orders_"
 )
 ORACLES["stream_event_dedup"] = (
-    "SELECT event_id, event_type AS operation, epoch_ms(ts) AS event_ts_ms FROM events"
+    "SELECT event_id, event_type AS operation, epoch_us(ts) // 1000 AS event_ts_ms FROM events"
 )
 
 _EVENT_TIMES = (
-    "e AS (SELECT event_id, event_type, epoch_ms(ts) AS event_ms, epoch_ms(ts) + CAST(floor("
+    "e AS (SELECT event_id, event_type, epoch_us(ts) // 1000 AS event_ms, (epoch_us(ts) // 1000) + CAST(floor("
     "(CASE WHEN event_type = 'error' THEN value * 60 ELSE value END) * 1000) AS BIGINT) "
     "AS arrival_ms FROM events)"
 )

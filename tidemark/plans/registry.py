@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.functions.temporal import to_day
+from tidemark.functions.temporal import month_key, to_day
 from tidemark.operators import envelope, integrity, lateness, merge, quality, rules, skew, state
 from tidemark.operators.deadletter import dead_letters
 from tidemark.operators.dedup import distinct_events, distinct_events_stream, merge_batches, snapshot
@@ -148,11 +148,17 @@ PRUNED_DAY = "1998-08-02"
 
 @query
 def partition_pruned_sum(spark, sf_dir):
-    """One day's total from a table partitioned by day."""
-    path = scratch_dir(spark, "orders_by_day")
-    dated = wh.orders(spark, sf_dir).withColumn("order_date_dt", to_day("order_date"))
-    sinks.write_table(dated, path, ["order_date_dt"])
-    return reports.day_total(spark.read.parquet(path), PRUNED_DAY)
+    """One day's total from a table partitioned by month: one folder is read, and the day
+    is pushed down into its files."""
+    path = scratch_dir(spark, "orders_by_month")
+    day = to_day("order_date")
+    dated = wh.orders(spark, sf_dir).withColumns(
+        {"order_date_dt": day, "order_month": month_key(day)}
+    )
+    sinks.write_table(dated, path, ["order_month"])
+    return reports.day_total(
+        inputs.read_partition(spark, path, order_month=PRUNED_DAY[:7]), PRUNED_DAY
+    )
 
 
 @query
@@ -680,7 +686,7 @@ def _streamed(spark, sf_dir, table, date_column, columns):
         ),
     )
     accepted = spark.read.parquet(f"{base}/silver_changelog/{table}")
-    rejected = spark.read.parquet(f"{base}/errors/{table}")
+    rejected = inputs.read_errors(spark, base)
     return _union(
         [
             accepted.select(

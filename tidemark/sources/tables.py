@@ -13,14 +13,21 @@ from tidemark.schemas import ENTITIES, ERRORS
 
 log = logging.getLogger(__name__)
 
-_NOTHING_THERE = {"PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"}
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether anything is at ``path``, on whatever file system the path names."""
+    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    files = hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration())
+    return files.exists(hadoop_path)
 
-def _or_none(read) -> DataFrame | None:
+
+def _or_none(spark: SparkSession, path: str, read) -> DataFrame | None:
+    if not path_exists(spark, path):
+        return None
     try:
         return read()
     except AnalysisException as error:
-        if error.getCondition() in _NOTHING_THERE:
+        if error.getCondition() == "UNABLE_TO_INFER_SCHEMA":  # a folder without files
             return None
         raise
 
@@ -29,7 +36,7 @@ def read_parquet(spark: SparkSession, path: str, merge_schema: bool = False) ->
     """A Parquet table, or None if nothing is there. ``merge_schema`` unites the columns
     of files written before and after a column was added."""
     return _or_none(
-        lambda: spark.read.option("mergeSchema", str(merge_schema).lower()).parquet(path)
+        spark, path, lambda: spark.read.option("mergeSchema", merge_schema).parquet(path)
     )
 
 
@@ -40,7 +47,7 @@ def read_csv(spark: SparkSession, path: str, schema: StructType | None = None) -
     does not fit becomes null, and other columns stay text; nothing depends on the order
     of columns, and the data is not scanned an extra time to guess types.
     """
-    df = _or_none(lambda: spark.read.options(header="true", escape='"').csv(path))
+    df = _or_none(spark, path, lambda: spark.read.options(header="true", escape='"').csv(path))
     if df is None or schema is None:
         return df
     types = {field.name: field.dataType for field in schema}

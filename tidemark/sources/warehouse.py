@@ -238,12 +238,16 @@ def order_messages(raw_orders: DataFrame, poison: bool = True) -> DataFrame:
     )
 
 
+# Event time of entities without a date: the start of 2024.
+SNAPSHOT_MS = 1_704_067_200_000
+
+
 def entity_messages(rows: DataFrame, table: str, key: str, date_column: str | None) -> DataFrame:
     """Any entity frame as creation messages, for the pipelines of the other tables."""
     columns = [
         _iso(name).alias(name) if name == date_column else F.col(name) for name in rows.columns
     ]
-    stamp = _epoch_ms(date_column) if date_column else F.lit(0).cast("long")
+    stamp = _epoch_ms(date_column) if date_column else F.lit(SNAPSHOT_MS)
     envelope = F.struct(
         F.lit("c").alias("op"),
         stamp.alias("ts_ms"),

@@ -29,9 +29,10 @@ def parse_envelopes(raw: DataFrame, entity: Entity) -> DataFrame:
     ``processing_time``.
     """
     schema = envelope_schema(entity.payload)
-    parsed = message_text(raw).withColumn(
-        "cdc", F.from_json("raw_payload", schema, {"columnNameOfCorruptRecord": CORRUPT})
-    )
+    envelope = F.from_json("raw_payload", schema, {"columnNameOfCorruptRecord": CORRUPT})
+    # Parsing dominates the job. As the output of a generator it runs once per message;
+    # as a plain column the optimizer would repeat it inside every later filter.
+    parsed = message_text(raw).select("raw_payload", F.explode(F.array(envelope)).alias("cdc"))
     operation = F.coalesce(F.nullif(F.col("cdc.op"), F.lit("")), F.col("cdc.operation"))
     return parsed.select(
         operation.alias("operation"),

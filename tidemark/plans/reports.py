@@ -35,13 +35,13 @@ def _sales_by_day(orders: DataFrame) -> DataFrame:
         .orderBy("order_dt")
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
-    return days.select(
+    return days.withColumn("_running", F.sum("_revenue").over(month_so_far)).select(
         "order_month",
         "order_dt",
         "total_orders",
         round2("_revenue").alias("daily_revenue"),
         "avg_order_value",
-        round2(F.sum("_revenue").over(month_so_far)).alias("cumulative_monthly_revenue"),
+        round2("_running").alias("cumulative_monthly_revenue"),
     )
 
 

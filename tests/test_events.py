@@ -181,10 +181,21 @@ def test_rejected_delete_still_deletes(spark):
         message(ts=1, after=image(2)),
     )
     accepted, rejected = split_events(raw, ORDERS)
-    latest = state.latest_changes(accepted, ORDERS)
-    tombstones = state.latest_changes(state.rejected_deletes(rejected, ORDERS), ORDERS)
-    merged = state.latest_changes(latest.unionByName(tombstones), ORDERS)
-    assert [r.order_id for r in state.live_rows(merged, ORDERS).collect()] == [2]
+    changes = state.change_columns(accepted, ORDERS)
+    changes = changes.unionByName(state.rejected_deletes(rejected, ORDERS))
+    assert [r.order_id for r in state.current_state(changes, ORDERS).collect()] == [2]
+
+
+def test_rejected_delete_of_the_same_millisecond(spark):
+    raw = messages(
+        spark,
+        message(ts=5, after=image(1), source={"lsn": 8}),
+        message(op="d", ts=5, before={"order_id": 1}, source={"lsn": 9}),
+    )
+    accepted, rejected = split_events(raw, ORDERS)
+    changes = state.change_columns(accepted, ORDERS)
+    changes = changes.unionByName(state.rejected_deletes(rejected, ORDERS))
+    assert state.current_state(changes, ORDERS).count() == 0
 
 
 def test_change_audit(spark):

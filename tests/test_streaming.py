@@ -7,6 +7,8 @@ from tests.test_events import image, message
 from tidemark.operators.lateness import missing_events
 from tidemark.plans import ingest
 from tidemark.schemas import ENTITIES
+from tidemark.sinks import tables as sinks
+from tidemark.sinks import upkeep
 from tidemark.sources.streams import kafka_messages, landed_messages, text_messages
 from tidemark.sources.tables import read_errors
 from tidemark.streaming import pipelines as p
@@ -170,6 +172,18 @@ def test_landing_and_replay(spark, tmp_path):
     }
 
 
+def test_batch_writers_keep_out_of_stream_folders(spark, tmp_path):
+    lake = Lake(spark, tmp_path)
+    lake.send(message(ts=T, after=image(1)))
+    path = f"{lake.base}/silver_changelog/orders"
+    rows = spark.read.parquet(path)
+    with pytest.raises(ValueError, match="streaming query"):
+        sinks.write_table(rows, path, mode="append")
+    with pytest.raises(ValueError, match="streaming query"):
+        upkeep.compact_partition(spark, path, ["order_status"], order_status="PLACED")
+    assert lake.silver() == [(1, "c", T)]
+
+
 def test_failed_query_is_reported(spark, tmp_path):
     (tmp_path / "in").mkdir()
     (tmp_path / "in" / "a.txt").write_text("x\n")

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.temporal import iso_utc, now_ms, to_day
 from tidemark.functions.text import show_text
+from tidemark.operators.project import compute_once
 from tidemark.operators.rules import Rule, rule, rules_for, with_verdict
 from tidemark.schemas import CHANGE_OPERATIONS, CORRUPT, Entity, envelope_schema
 
@@ -30,9 +31,7 @@ def parse_envelopes(raw: DataFrame, entity: Entity) -> DataFrame:
     """
     schema = envelope_schema(entity.payload)
     envelope = F.from_json("raw_payload", schema, {"columnNameOfCorruptRecord": CORRUPT})
-    # Parsing dominates the job. As the output of a generator it runs once per message;
-    # as a plain column the optimizer would repeat it inside every later filter.
-    parsed = message_text(raw).select("raw_payload", F.explode(F.array(envelope)).alias("cdc"))
+    parsed = compute_once(message_text(raw).select("raw_payload", envelope.alias("cdc")))
     operation = F.coalesce(F.nullif(F.col("cdc.op"), F.lit("")), F.col("cdc.operation"))
     return parsed.select(
         operation.alias("operation"),
@@ -54,15 +53,17 @@ def active_image(operation: Column, before: Column, after: Column) -> Column:
 
 def flatten(parsed: DataFrame, entity: Entity) -> DataFrame:
     """The active image as top-level columns next to the event's metadata."""
-    return parsed.select(
-        "operation",
-        "event_ts_ms",
-        "log_position",
-        *[F.col(f"data.{name}").alias(name) for name in entity.columns],
-        F.col("data").isNull().alias("is_empty"),
-        "is_corrupt",
-        "raw_payload",
-        "processing_time",
+    return compute_once(
+        parsed.select(
+            "operation",
+            "event_ts_ms",
+            "log_position",
+            *[F.col(f"data.{name}").alias(name) for name in entity.columns],
+            F.col("data").isNull().alias("is_empty"),
+            "is_corrupt",
+            "raw_payload",
+            "processing_time",
+        )
     )
 
 

@@ -54,11 +54,26 @@ def first_failure(rules: Iterable[Rule]) -> Column:
     return F.coalesce(*branches) if branches else F.lit(None).cast("string")
 
 
+def any_failure(rules: Iterable[Rule]) -> Column:
+    """Whether some rule fails; never null."""
+    result = F.lit(False)
+    for r in rules:
+        result = result | F.coalesce(r.fails, F.lit(False))
+    return result
+
+
 def with_verdict(df: DataFrame, rules: Iterable[Rule]) -> DataFrame:
-    """Add ``validation_status`` and ``validation_reason``."""
-    return df.withColumn("validation_reason", first_failure(rules)).withColumn(
-        "validation_status",
-        F.when(F.col("validation_reason").isNull(), VALID).otherwise(INVALID),
+    """Add ``validation_status`` and ``validation_reason``.
+
+    The status is built from the conditions, not from the reason, so that a filter on the
+    status compares values only and never composes reason texts.
+    """
+    rules = list(rules)
+    return df.withColumns(
+        {
+            "validation_reason": first_failure(rules),
+            "validation_status": F.when(any_failure(rules), INVALID).otherwise(VALID),
+        }
     )
 
 

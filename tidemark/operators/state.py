@@ -24,10 +24,12 @@ def _operation_rank() -> Column:
     )
 
 
-def _with_position(changes: DataFrame) -> DataFrame:
-    if "log_position" in changes.columns:
-        return changes
-    return changes.withColumn("log_position", F.lit(None).cast("long"))
+def change_columns(changes: DataFrame, entity: Entity) -> DataFrame:
+    """Key, position and payload of changes, the columns a state is made of."""
+    if "log_position" not in changes.columns:
+        changes = changes.withColumn("log_position", F.lit(None).cast("long"))
+    payload = [name for name in entity.columns if name != entity.key]
+    return changes.select(entity.key, "operation", "event_ts_ms", "log_position", *payload)
 
 
 def latest_changes(changes: DataFrame, entity: Entity) -> DataFrame:
@@ -36,11 +38,8 @@ def latest_changes(changes: DataFrame, entity: Entity) -> DataFrame:
     Order: event time, then log position, then operation. One aggregate with map-side
     combine, so a key with very many changes is reduced before the shuffle.
     """
-    columns = [entity.key, "operation", "event_ts_ms", "log_position"]
-    payload = [name for name in entity.columns if name != entity.key]
-    frame = _with_position(changes).filter(F.col(entity.key).isNotNull())
     return keep_greatest(
-        frame.select(*columns, *payload),
+        change_columns(changes, entity).filter(F.col(entity.key).isNotNull()),
         [entity.key],
         [F.col("event_ts_ms"), F.col("log_position"), _operation_rank()],
     )
@@ -58,8 +57,7 @@ def current_state(changes: DataFrame, entity: Entity) -> DataFrame:
 def advance_state(latest: DataFrame, changes: DataFrame, entity: Entity) -> DataFrame:
     """Fold new changes into known last changes. Older events that arrive late lose
     against the tombstone or the newer change already known."""
-    names = latest.columns
-    return latest_changes(latest.unionByName(_with_position(changes).select(*names)), entity)
+    return latest_changes(latest.unionByName(change_columns(changes, entity)), entity)
 
 
 def rejected_deletes(errors: DataFrame, entity: Entity) -> DataFrame:
@@ -82,7 +80,7 @@ def rejected_deletes(errors: DataFrame, entity: Entity) -> DataFrame:
         F.col("record_id").try_cast(key_type).alias(entity.key),
         "operation",
         F.col("event_timestamp").alias("event_ts_ms"),
-        F.lit(None).cast("long").alias("log_position"),
+        F.get_json_object("raw_payload", "$.source.lsn").try_cast("long").alias("log_position"),
         *payload,
     )
 

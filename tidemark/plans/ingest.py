@@ -13,7 +13,7 @@ from tidemark.operators.dedup import snapshot
 from tidemark.operators.envelope import read_events
 from tidemark.operators.quality import quality_gate, quality_score, tier_audit
 from tidemark.operators.rules import valid_rows, validate
-from tidemark.operators.state import current_state, latest_changes, live_rows, rejected_deletes
+from tidemark.operators.state import change_columns, current_state, rejected_deletes
 from tidemark.plans.marts import run_transformations
 from tidemark.schemas import ENTITIES, Entity
 from tidemark.sinks.tables import append_incidents, write_table
@@ -83,13 +83,11 @@ def refresh_snapshot(spark: SparkSession, output_base: str, entity: Entity | str
     quality of their old row still delete."""
     entity = ENTITIES[entity] if isinstance(entity, str) else entity
     base = output_base.rstrip("/")
-    changes = spark.read.parquet(f"{base}/silver_changelog/{entity.name}")
+    changes = change_columns(spark.read.parquet(f"{base}/silver_changelog/{entity.name}"), entity)
     errors = read_parquet(spark, f"{base}/errors/{entity.name}")
-    latest = latest_changes(changes, entity)
     if errors is not None:
-        tombstones = latest_changes(rejected_deletes(errors, entity), entity)
-        latest = latest_changes(latest.unionByName(tombstones), entity)
-    rows = normalize_times(live_rows(latest, entity))
+        changes = changes.unionByName(rejected_deletes(errors, entity))
+    rows = normalize_times(current_state(changes, entity))
     stamped = rows.withColumn("ingestion_timestamp", F.current_timestamp())
     return write_table(stamped, f"{base}/silver/{entity.name}", entity.partition_by)
 

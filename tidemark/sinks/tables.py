@@ -7,6 +7,15 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.sources.tables import path_exists
+
+
+def refuse_stream_output(spark: SparkSession, path: str) -> None:
+    """Stop a batch write into the folder of a streaming sink: readers follow the sink's
+    own file list and would miss the new files or look for deleted ones."""
+    if path_exists(spark, f"{path.rstrip('/')}/_spark_metadata"):
+        raise ValueError(f"{path} belongs to a streaming query; write to another folder")
+
 
 def write_table(
     df: DataFrame, path: str, partition_by: Sequence[str] = (), mode: str = "overwrite"
@@ -17,6 +26,7 @@ def write_table(
     on those columns, so a partition is written by a few tasks (more for a large one)
     instead of every task leaving a small file in every partition.
     """
+    refuse_stream_output(df.sparkSession, path)
     counted = Observation()
     rows = df.observe(counted, F.count(F.lit(1)).alias("rows"))
     columns = list(partition_by)

@@ -8,11 +8,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.session import scratch_dir
-from tidemark.sinks.tables import write_table
+from tidemark.sinks.tables import refuse_stream_output, write_table
 
 
 def replace_partitions(df: DataFrame, path: str, partition_by: Sequence[str]) -> None:
     """Overwrite exactly the partitions that occur in ``df``; all others stay."""
+    refuse_stream_output(df.sparkSession, path)
     (
         df.hint("rebalance", *partition_by)
         .write.mode("overwrite")

@@ -12,6 +12,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.operators.project import compute_once
+
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{table}.parquet")
@@ -21,6 +23,11 @@ def _every(key: Column, modulus: int, rest: int) -> Column:
     return key % modulus == rest
 
 
+def _entity(df: DataFrame, poison: bool) -> DataFrame:
+    # Planted defects are long expressions; rules filtering on them should not repeat them.
+    return compute_once(df) if poison else df
+
+
 def _poisoned(poison: bool, value: Column, *defects: tuple[Column, Column]) -> Column:
     if not poison:
         return value
@@ -39,7 +46,7 @@ def customers(spark: SparkSession, sf_dir: str, poison: bool = False) -> DataFra
     nation, region = _read(spark, sf_dir, "nation"), _read(spark, sf_dir, "region")
     places = nation.join(region, nation.n_regionkey == region.r_regionkey)
     people = _read(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_nationkey")
-    return people.join(places, people.c_nationkey == places.n_nationkey).select(
+    listed = people.join(places, people.c_nationkey == places.n_nationkey).select(
         _poisoned(poison, k + 1, (_every(k, 40, 7), F.lit(None))).alias("customer_id"),
         _poisoned(poison, name[0], (_every(k, 45, 11), F.lit("   "))).alias("first_name"),
         name[1].alias("last_name"),
@@ -52,11 +59,12 @@ def customers(spark: SparkSession, sf_dir: str, poison: bool = False) -> DataFra
         F.col("n_name").alias("city"),
         F.col("r_name").alias("state"),
     )
+    return _entity(listed, poison)
 
 
 def products(spark: SparkSession, sf_dir: str, poison: bool = False) -> DataFrame:
     k = F.col("p_partkey")
-    return _read(spark, sf_dir, "part").select(
+    listed = _read(spark, sf_dir, "part").select(
         (k + 1).alias("product_id"),
         _poisoned(poison, F.col("p_name"), (_every(k, 59, 8), F.lit(" "))).alias("product_name"),
         F.col("p_type").alias("category"),
@@ -73,6 +81,7 @@ def products(spark: SparkSession, sf_dir: str, poison: bool = False) -> DataFram
             (_every(k, 79, 1), F.lit(None)),
         ).alias("stock_quantity"),
     )
+    return _entity(listed, poison)
 
 
 # The status an order has, by key.
@@ -111,7 +120,7 @@ def _order_columns(poison: bool) -> list[Column]:
 
 
 def orders(spark: SparkSession, sf_dir: str, poison: bool = False) -> DataFrame:
-    return _read(spark, sf_dir, "orders").select(*_order_columns(poison))
+    return _entity(_read(spark, sf_dir, "orders").select(*_order_columns(poison)), poison)
 
 
 def order_items(spark: SparkSession, sf_dir: str, poison: bool = False) -> DataFrame:
@@ -168,7 +177,7 @@ def _payment_columns(poison: bool) -> list[Column]:
 
 
 def payments(spark: SparkSession, sf_dir: str, poison: bool = False) -> DataFrame:
-    return _read(spark, sf_dir, "orders").select(*_payment_columns(poison))
+    return _entity(_read(spark, sf_dir, "orders").select(*_payment_columns(poison)), poison)
 
 
 def _iso(column: str) -> Column:
@@ -211,7 +220,7 @@ def order_messages(raw_orders: DataFrame, poison: bool = True) -> DataFrame:
             before.alias("before"),
             after.alias("after"),
             F.struct(
-                F.lit("ecommerce").alias("db"),
+                F.lit("shop").alias("db"),
                 F.lit("orders").alias("table"),
                 (k * 4 + step).alias("lsn"),
             ).alias("source"),
@@ -252,7 +261,7 @@ def entity_messages(rows: DataFrame, table: str, key: str, date_column: str | No
         F.lit("c").alias("op"),
         stamp.alias("ts_ms"),
         F.struct(*columns).alias("after"),
-        F.struct(F.lit("ecommerce").alias("db"), F.lit(table).alias("table")).alias("source"),
+        F.struct(F.lit("shop").alias("db"), F.lit(table).alias("table")).alias("source"),
     )
     return rows.select(F.col(key).cast("string").alias("key"), F.to_json(envelope).alias("value"))
 

@@ -120,6 +120,42 @@ def test_stream_equals_batch_and_refreshes_the_snapshot(spark, tmp_path):
     assert {r.order_id: r.order_status for r in snapshot} == {1: "SHIPPED", 4: "PLACED"}
 
 
+def test_incremental_snapshot_equals_full_one(spark, tmp_path):
+    lake = Lake(spark, tmp_path, profile="record", delay=None)
+    silver, states = f"{lake.base}/silver/orders", f"{lake.base}/state"
+
+    def rows():
+        return {r.order_id: r.order_status for r in spark.read.parquet(silver).collect()}
+
+    lake.send(*[message(ts=T, after=image(i)) for i in (1, 2, 3)], message("d", T + 9, before=image(3)))
+    assert ingest.advance_snapshot(spark, lake.base, "orders", None, f"{states}/1") == 2
+    between = spark.sql("SELECT cast(current_timestamp() AS string)").first()[0]
+    lake.send(
+        message("u", T + 5, before=image(1), after=image(1, status="SHIPPED")),
+        message("u", T + 4, before=image(3), after=image(3, status="SHIPPED")),  # after its delete
+        message("d", T + 6, before={"order_id": 2}),
+        message(ts=T, after=image(4)),
+    )
+    assert ingest.advance_snapshot(spark, lake.base, "orders", f"{states}/1", f"{states}/2", between) == 2
+    advanced = rows()
+    assert advanced == {1: "SHIPPED", 4: "PLACED"}
+    assert ingest.refresh_snapshot(spark, lake.base, "orders") == 2
+    assert rows() == advanced
+
+
+def test_state_partitions_belong_to_the_query(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "a.txt").write_text(message(ts=T, after=image(1)) + "\n")
+    usual = spark.conf.get("spark.sql.shuffle.partitions")
+    query = p.process_stream_once(
+        spark, text_messages(spark, f"{tmp_path}/in"), "orders", str(tmp_path), f"{tmp_path}/ckpt",
+        trigger=NOW, state_partitions=3,
+    )
+    p.await_all(spark, [query])
+    assert spark.conf.get("spark.sql.shuffle.partitions") == usual
+    assert len(list((tmp_path / "ckpt" / "orders_judged" / "state" / "0").glob("[0-9]*"))) == 3
+
+
 def test_one_query_fork_equals_two(spark, tmp_path):
     lines = [message(ts=T, after=image(1)), message(ts=T, after=image(1)), "garbage", message(ts=T, after=image(2, None))]
     two = Lake(spark, tmp_path / "two" if (tmp_path / "two").mkdir() is None else tmp_path)

@@ -633,6 +633,10 @@ def skew_salted_join(spark, sf_dir):
 _NOW = {"availableNow": True}
 
 
+def _cores(spark):
+    return spark.sparkContext.defaultParallelism
+
+
 def _finish(spark, queries):
     pipelines.await_all(spark, queries)
 
@@ -644,7 +648,13 @@ def stream_orders_silver(spark, sf_dir):
     _finish(
         spark,
         pipelines.process_orders_stream(
-            spark, messages, base, f"{base}/checkpoints", profile="stream", trigger=_NOW
+            spark,
+            messages,
+            base,
+            f"{base}/checkpoints",
+            profile="stream",
+            trigger=_NOW,
+            state_partitions=_cores(spark),
         ),
     )
     return spark.read.parquet(f"{base}/silver_changelog/orders").select(
@@ -657,7 +667,14 @@ def stream_orders_errors(spark, sf_dir):
     base = scratch_dir(spark, "stream")
     messages = wh.order_messages(_raw_stream(spark, sf_dir, "orders"))
     once = pipelines.process_stream_once(
-        spark, messages, "orders", base, f"{base}/checkpoints", profile="stream", trigger=_NOW
+        spark,
+        messages,
+        "orders",
+        base,
+        f"{base}/checkpoints",
+        profile="stream",
+        trigger=_NOW,
+        state_partitions=_cores(spark),
     )
     _finish(spark, [once])
     return pipelines.judged_errors(spark, base, "orders").select(
@@ -683,6 +700,7 @@ def _streamed(spark, sf_dir, table, date_column, columns):
             f"{base}/checkpoints",
             profile="stream",
             trigger=_NOW,
+            state_partitions=_cores(spark),
         ),
     )
     accepted = spark.read.parquet(f"{base}/silver_changelog/{table}")
@@ -737,7 +755,13 @@ def stream_event_dedup(spark, sf_dir):
         )
     )
     stored = pipelines._start(
-        distinct_events_stream(twice, "event_id"), f"{base}/events", f"{base}/state", None, (), _NOW
+        distinct_events_stream(twice, "event_id"),
+        f"{base}/events",
+        f"{base}/state",
+        None,
+        (),
+        _NOW,
+        _cores(spark),
     )
     _finish(spark, [stored])
     return spark.read.parquet(f"{base}/events")

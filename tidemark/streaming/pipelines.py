@@ -10,6 +10,8 @@ folder would hide or destroy them.
 
 from __future__ import annotations
 
+from contextlib import contextmanager
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -72,6 +74,7 @@ def _start(
     name: str | None,
     partition_by: tuple[str, ...] = (),
     trigger: dict | None = None,
+    state_partitions: int | None = None,
 ) -> StreamingQuery:
     writer = (
         df.writeStream.format("parquet")
@@ -84,7 +87,23 @@ def _start(
         writer = writer.queryName(name)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
-    return writer.start()
+    with _shuffle_partitions(df.sparkSession, state_partitions):
+        return writer.start()
+
+
+@contextmanager
+def _shuffle_partitions(spark: SparkSession, count: int | None):
+    """A query copies the session's settings when it starts, and keeps its number of state
+    partitions for life; so it may differ from what batch jobs of the session use."""
+    if count is None:
+        yield
+        return
+    usual = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", str(count))
+    try:
+        yield
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", usual)
 
 
 def process_stream(
@@ -97,11 +116,14 @@ def process_stream(
     delay: str | None = DEFAULT_DELAY,
     trigger: dict | None = None,
     run_id: str | None = None,
+    state_partitions: int | None = None,
 ) -> list[StreamingQuery]:
     """Start the silver and the dead-letter query of one entity.
 
     The two queries have their own checkpoints and progress independently; each reads the
     source and keeps its own duplicate state. :func:`process_stream_once` shares both.
+    ``state_partitions`` fixes over how many tasks the duplicate state is spread, by
+    default the session's shuffle partitions.
     """
     entity = ENTITIES[entity] if isinstance(entity, str) else entity
     run = run_id or f"{entity.name}-stream"
@@ -115,6 +137,7 @@ def process_stream(
             f"{entity.name}_silver_{run}",
             entity.partition_by,
             trigger,
+            state_partitions,
         ),
         _start(
             rejected,
@@ -123,6 +146,7 @@ def process_stream(
             f"{entity.name}_errors_{run}",
             (),
             trigger,
+            state_partitions,
         ),
     ]
 
@@ -137,6 +161,7 @@ def process_stream_once(
     delay: str | None = DEFAULT_DELAY,
     trigger: dict | None = None,
     run_id: str | None = None,
+    state_partitions: int | None = None,
 ) -> StreamingQuery:
     """The same split with one query: source, parsing and duplicate state exist once.
 
@@ -161,6 +186,7 @@ def process_stream_once(
         f"{entity.name}_judged_{run}",
         ("validation_status", *entity.partition_by),
         trigger,
+        state_partitions,
     )
 
 

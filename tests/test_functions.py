@@ -46,7 +46,7 @@ def test_round2_halves_go_away_from_zero(spark):
 
 
 def test_percent_of_nothing_is_null(spark):
-    row = spark.range(1).select(money.percent(F.lit(1), F.lit(0)), money.percent(F.lit(1), F.lit(8)))
+    row = spark.range(1).select(money.percent("1", "0"), money.percent2("1", "8"))
     assert tuple(row.first()) == (None, 12.5)
 
 

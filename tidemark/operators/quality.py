@@ -7,7 +7,7 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.functions.money import percent, round2
+from tidemark.functions.money import percent, percent2
 from tidemark.operators.rules import INVALID, VALID, validate
 
 # Service levels of the quality audit, in percent.
@@ -35,15 +35,15 @@ def quality_score(judged: Mapping[str, DataFrame]) -> DataFrame:
     """Per table: share of valid rows in percent, and whether it keeps the service
     levels."""
     counts = _union([verdict_counts(df, table) for table, df in judged.items()])
-    total = F.col("valid_count") + F.col("invalid_count")
+    total = "(valid_count + invalid_count)"
     return counts.select(
         "source_table",
-        total.alias("total_count"),
+        F.expr(total).alias("total_count"),
         "valid_count",
         "invalid_count",
-        round2(percent(F.col("valid_count"), total)).alias("dq_score"),
-        (percent(F.col("valid_count"), total) < MIN_SCORE).alias("below_sla"),
-        (percent(F.col("invalid_count"), total) > MAX_ERROR_SHARE).alias("error_alert"),
+        percent2("valid_count", total).alias("dq_score"),
+        (percent("valid_count", total) < MIN_SCORE).alias("below_sla"),
+        (percent("invalid_count", total) > MAX_ERROR_SHARE).alias("error_alert"),
     )
 
 

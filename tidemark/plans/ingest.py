@@ -61,7 +61,8 @@ def ingest_table(
     entity = ENTITIES.get(table)
     rows = normalize_times(source)
     if entity is not None and entity.key in rows.columns:
-        rows = snapshot(rows, entity.key)
+        versions = [F.col(n) for n in (entity.version_column,) if n in rows.columns]
+        rows = snapshot(rows, entity.key, versions)
     if profile is not None and entity is not None:
         judged = validate(rows, table, profile)
         append_incidents(dead_letters(judged, entity, run_id), output_base)

@@ -3,10 +3,10 @@ and stores it."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.functions.money import avg_money, percent, round2, sum_money
+from tidemark.functions.money import avg_money, percent2, total_money
 from tidemark.functions.temporal import to_day
 from tidemark.operators.ranking import dense_rank_all
 from tidemark.schemas import CANCELLED
@@ -28,7 +28,7 @@ def spending_by_customer(orders: DataFrame) -> DataFrame:
         .groupBy("customer_id")
         .agg(
             F.count("order_id").alias("lifetime_orders"),
-            round2(sum_money("total_amount")).alias("lifetime_value"),
+            total_money("total_amount").alias("lifetime_value"),
             avg_money("total_amount").alias("average_basket_size"),
             F.min("order_date").alias("first_order_date"),
             F.max("order_date").alias("latest_order_date"),
@@ -36,15 +36,14 @@ def spending_by_customer(orders: DataFrame) -> DataFrame:
     )
 
 
-def item_value() -> Column:
-    return F.col("quantity") * F.col("unit_price")
+ITEM_VALUE = "quantity * unit_price"
 
 
 def sales_by_product(order_items: DataFrame) -> DataFrame:
     """One row per sold product: units and revenue."""
     return order_items.groupBy("product_id").agg(
         F.sum("quantity").alias("total_units_sold"),
-        round2(sum_money(item_value())).alias("gross_revenue"),
+        total_money(ITEM_VALUE).alias("gross_revenue"),
     )
 
 
@@ -55,7 +54,7 @@ def daily_sales_mart(orders: DataFrame) -> DataFrame:
         .groupBy(to_day("order_date").alias("order_date_dt"), "order_status")
         .agg(
             F.count("order_id").alias("total_orders"),
-            round2(sum_money("total_amount")).alias("total_revenue"),
+            total_money("total_amount").alias("total_revenue"),
             avg_money("total_amount").alias("avg_order_value"),
         )
     )
@@ -100,7 +99,7 @@ def payment_summary_mart(payments: DataFrame) -> DataFrame:
     """Transactions and amounts per method and status."""
     return payments.groupBy("payment_method", "payment_status").agg(
         F.count("payment_id").alias("transaction_count"),
-        round2(sum_money("payment_amount")).alias("total_amount"),
+        total_money("payment_amount").alias("total_amount"),
         avg_money("payment_amount").alias("avg_payment_amount"),
     )
 
@@ -108,11 +107,9 @@ def payment_summary_mart(payments: DataFrame) -> DataFrame:
 def with_success_rate(payment_mart: DataFrame) -> DataFrame:
     """The payment mart with the success rate of its method."""
     rates = payment_mart.groupBy("payment_method").agg(
-        round2(
-            percent(
-                F.sum(F.when(F.col("payment_status") == "SUCCESS", F.col("transaction_count")).otherwise(0)),
-                F.sum("transaction_count"),
-            )
+        percent2(
+            "sum(CASE WHEN payment_status = 'SUCCESS' THEN transaction_count ELSE 0 END)",
+            "sum(transaction_count)",
         ).alias("success_rate_pct")
     )
     same = payment_mart["payment_method"].eqNullSafe(rates["payment_method"])

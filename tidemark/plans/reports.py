@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tidemark.functions.money import avg_money, percent, round2, sum_money
+from tidemark.functions.money import avg_money, percent2, round2, sum_money, total_money
 from tidemark.functions.temporal import month_key, to_day
 from tidemark.operators.ranking import top_with_dense_rank
 from tidemark.plans.marts import (
@@ -98,7 +98,7 @@ def product_performance(products: DataFrame, order_items: DataFrame) -> DataFram
     two plans stay equal and the line items are scanned and shuffled once.
     """
     sales = sales_by_product(order_items)
-    sold = F.when(F.col("total_units_sold").isNotNull(), F.col("gross_revenue"))
+    sold = "CASE WHEN total_units_sold IS NOT NULL THEN gross_revenue END"
     totals = (
         products.select("product_id", "category")
         .join(sales, "product_id")
@@ -108,8 +108,7 @@ def product_performance(products: DataFrame, order_items: DataFrame) -> DataFram
     # Products without a category form a group of their own, as in a window partition.
     listed = products.join(sales, "product_id", "left").alias("p")
     same = F.col("p.category").eqNullSafe(F.col("t.category"))
-    revenue = F.coalesce("p.gross_revenue", F.lit(0.0))
-    whole = F.nullif(F.col("t._category_revenue"), F.lit(0.0))
+    revenue = "coalesce(p.gross_revenue, 0.0D)"
     return (
         listed.join(totals.alias("t"), same, "left")
         .select(
@@ -119,8 +118,8 @@ def product_performance(products: DataFrame, order_items: DataFrame) -> DataFram
             "p.price",
             "p.stock_quantity",
             F.coalesce("p.total_units_sold", F.lit(0)).alias("total_units_sold"),
-            revenue.alias("gross_revenue"),
-            round2(percent(revenue, whole)).alias("category_revenue_percentage"),
+            F.expr(revenue).alias("gross_revenue"),
+            percent2(revenue, "t._category_revenue").alias("category_revenue_percentage"),
         )
         .orderBy(F.desc("gross_revenue"), "product_id")
     )
@@ -128,17 +127,15 @@ def product_performance(products: DataFrame, order_items: DataFrame) -> DataFram
 
 def payment_summary(payments: DataFrame) -> DataFrame:
     """Transactions, success rate and volume per payment method."""
-    status = F.col("payment_status")
-    total = F.count("payment_id")
-    success = F.count_if(status == "SUCCESS")
+    success, total = "count_if(payment_status = 'SUCCESS')", "count(payment_id)"
     return (
         payments.groupBy("payment_method")
         .agg(
-            total.alias("total_transactions"),
-            success.alias("successful_transactions"),
-            F.count_if(status == "FAILED").alias("failed_transactions"),
-            round2(percent(success, total)).alias("success_rate_pct"),
-            round2(sum_money("payment_amount")).alias("total_processed_volume"),
+            F.expr(total).alias("total_transactions"),
+            F.expr(success).alias("successful_transactions"),
+            F.count_if(F.col("payment_status") == "FAILED").alias("failed_transactions"),
+            percent2(success, total).alias("success_rate_pct"),
+            total_money("payment_amount").alias("total_processed_volume"),
             avg_money("payment_amount").alias("avg_transaction_value"),
         )
         .orderBy(F.desc("total_processed_volume"), "payment_method")
@@ -170,9 +167,11 @@ def category_rollup(products: DataFrame, order_items: DataFrame) -> DataFrame:
         )
     )
     everything = F.sum("gross_revenue").over(Window.partitionBy(F.lit(1)))
-    share = percent(F.col("gross_revenue"), F.nullif(everything, F.lit(0.0)))
-    return categories.withColumn("revenue_share_pct", round2(share)).orderBy(
-        F.desc("gross_revenue"), "category"
+    return (
+        categories.withColumn("_everything", everything)
+        .withColumn("revenue_share_pct", percent2("gross_revenue", "_everything"))
+        .drop("_everything")
+        .orderBy(F.desc("gross_revenue"), "category")
     )
 
 
@@ -231,9 +230,11 @@ def scorecard(
             )
         ).alias("m")
     ).select("m.metric", "m.value", F.lit(None).cast("string").alias("detail"))
-    success = F.count_if(F.col("payment_status") == "SUCCESS")
-    payment_rows = payments.agg(round2(percent(success, F.count("payment_id"))).alias("value")).select(
-        F.lit("payment_success_pct").alias("metric"), "value", F.lit(None).cast("string").alias("detail")
+    rate = percent2("count_if(payment_status = 'SUCCESS')", "count(payment_id)")
+    payment_rows = payments.agg(rate.alias("value")).select(
+        F.lit("payment_success_pct").alias("metric"),
+        "value",
+        F.lit(None).cast("string").alias("detail"),
     )
     top = category_rollup(products, order_items).limit(1)
     top_rows = top.select(
@@ -247,7 +248,7 @@ def scorecard(
 def status_aggregate(orders: DataFrame) -> DataFrame:
     """Orders and amount per status."""
     return orders.groupBy("order_status").agg(
-        F.count("*").alias("order_count"), round2(sum_money("total_amount")).alias("total_amount")
+        F.count("*").alias("order_count"), total_money("total_amount").alias("total_amount")
     )
 
 
@@ -256,7 +257,7 @@ def day_total(orders: DataFrame, day: str) -> DataFrame:
     folder is read."""
     return (
         orders.filter(F.col("order_date_dt") == F.lit(day).cast("date"))
-        .agg(round2(sum_money("total_amount")).alias("total_amount"))
+        .agg(total_money("total_amount").alias("total_amount"))
         .select(F.lit(day).cast("date").alias("order_date_dt"), "total_amount")
     )
 
@@ -275,7 +276,7 @@ def city_revenue(orders: DataFrame, customers: DataFrame, amount: str = "total_a
     return (
         spent.join(customers.select("customer_id", "city"), "customer_id")
         .groupBy("city")
-        .agg(round2(sum_money("_spent")).alias("revenue"))
+        .agg(total_money("_spent").alias("revenue"))
     )
 
 

@@ -17,6 +17,9 @@ SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
     "spark.sql.parquet.compression.codec": "snappy",
+    # Recording the call site of every column operation makes building plans much slower.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
+    "spark.sql.dataFrameQueryContext.enabled": "false",
 }
 
 # State of streaming deduplication lives in RocksDB, not on the executor heap.

@@ -5,7 +5,9 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
-from tidemark.plans import ingest, registry, reports
+from tidemark.operators.dedup import distinct_events, snapshot
+from tidemark.operators.integrity import orphan_keys
+from tidemark.plans import ingest, marts, registry, reports
 from tidemark.schemas import ENTITIES
 from tidemark.sources import warehouse as wh
 
@@ -94,3 +96,44 @@ def test_settings_fix_zone_and_mode(spark):
         assert rows.filter("operation = 'c'").first().event_ts_ms % 86_400_000 == 0
     finally:
         spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
+def shuffled_rows(node):
+    """Rows written by every shuffle below an executed plan node."""
+    children = node.children()
+    below = [n for i in range(children.size()) for n in shuffled_rows(children.apply(i))]
+    if "ShuffleExchange" in node.nodeName() or node.nodeName() == "Exchange":
+        below.append(node.metrics().apply("shuffleRecordsWritten").value())
+    return below
+
+
+@pytest.mark.parametrize("job", ["events", "snapshot", "customers", "orphans"])
+def test_hot_key_is_reduced_before_the_shuffle(spark, job):
+    # A third of 120,000 rows share one key; 8 tasks may send it 8 times, not 40,000 times.
+    hot = F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id") % 50).cast("long")
+    rows = spark.range(0, 120_000, 1, 8).select(
+        hot.alias("order_id"),
+        hot.alias("customer_id"),
+        F.lit("c").alias("operation"),
+        F.lit(1).cast("long").alias("event_ts_ms"),
+        F.lit("PLACED").alias("order_status"),
+        F.lit(1.0).alias("total_amount"),
+        F.col("id").cast("string").alias("order_date"),
+    )
+    jobs = {
+        "events": lambda: distinct_events(rows, "order_id"),
+        "snapshot": lambda: snapshot(rows, "order_id"),
+        "customers": lambda: marts.spending_by_customer(rows),
+        "orphans": lambda: orphan_keys(
+            rows, "customer_id", spark.range(10).withColumnRenamed("id", "k"), "k"
+        ),
+    }
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        df = jobs[job]()
+        executed = df._jdf.queryExecution()
+        executed.toRdd().count()
+        written = shuffled_rows(executed.executedPlan())
+        assert written and max(written) <= 50 * 8
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")

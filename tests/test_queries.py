@@ -5,7 +5,9 @@ import os
 import pytest
 
 import __spark_entry__ as entry
+from oracles import ORACLES
 from tests.oracle_check import connect, differences
+from tidemark.plans.registry import QUERIES
 
 SF = os.environ.get("ORACLE_SF_DIR", "/root/testdata/sf0.001")
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="no test tables")
@@ -17,12 +19,17 @@ def duck():
 
 
 def test_every_query_has_sql():
-    assert entry.queries().keys() == entry.oracle_sql().keys()
+    assert QUERIES.keys() == ORACLES.keys()
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+def test_registered():
+    assert QUERIES.keys() <= entry.queries().keys()
+    assert ORACLES.items() <= entry.oracle_sql().items()
+
+
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query(spark, duck, name):
-    assert differences(entry.queries()[name](spark, SF), duck, entry.oracle_sql()[name]) == ""
+    assert differences(QUERIES[name](spark, SF), duck, ORACLES[name]) == ""
 
 
 def test_entry(spark):

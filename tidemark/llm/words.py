@@ -27,7 +27,7 @@ from tidemark.llm import arrays
 # A tokeniser turns a batch into the number of tokens per row, and the tokens.
 Tokeniser = Callable[[pa.RecordBatch], tuple[np.ndarray, pa.Array]]
 
-BLOCK_TOKENS = 1 << 22
+BLOCK_TOKENS = 1 << 21
 
 WORDS = "shard int, block binary, places binary, lengths binary, words binary, weights binary"
 DOCS = "block binary, doc_ids array<long>, sizes binary, codes binary, n_words int"
@@ -60,7 +60,7 @@ def cut(batch: pa.RecordBatch, tokenise: Tokeniser, limit: int = BLOCK_TOKENS) -
         codes = part.indices.to_numpy(zero_copy_only=False)
         counts = np.bincount(codes, minlength=len(part.dictionary))
         order = np.argsort(-counts, kind="stable")
-        rank = np.empty(len(order), dtype=np.int64)
+        rank = np.empty(len(order), dtype=np.int32)
         rank[order] = np.arange(len(order))
         words = part.dictionary.take(pa.array(order)).cast(pa.binary())
         ids = batch.column("doc_id").slice(row, stop - row)

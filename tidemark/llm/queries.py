@@ -9,15 +9,16 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import bpe
+from tidemark.llm import bagminhash, bpe, exact_dedup, lines, shards, simple8b, tiling, urls
 from tidemark.llm.tables import table
-from tidemark.session import apply_settings
+from tidemark.session import apply_settings, scratch_dir
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 ORACLES: dict[str, str] = {}
 
 MULTI_BPE = "byte_bpe_multi_50k.tiktoken"
+WORD_BPE = "word_bpe_49k.json"
 
 
 def query(build: Query) -> Query:
@@ -38,3 +39,113 @@ def op1_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2("ids", 256).alias("ids_sha256"),
         F.sha2("decoded", 256).alias("decoded_sha256"),
     )
+
+
+@query
+def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact_dedup.dedup(table(spark, sf_dir, "documents")).select(
+        "doc_id", "keep_id", "group_size", "kept", F.col("digest").alias("text_sha256")
+    )
+
+
+ORACLES["op2_exact_dedup"] = """
+WITH d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
+g AS (SELECT t, max(doc_id) AS keep_id, count(*) AS group_size FROM d GROUP BY t)
+SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, sha256(t) AS text_sha256
+FROM d JOIN g USING (t)
+"""
+
+
+@query
+def op3_simple8b(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = scratch_dir(spark, "simple8b")
+    documents = table(spark, sf_dir, "documents")
+    simple8b.write(documents, public_tokenizers.path(WORD_BPE), folder, end_id=2)
+    return simple8b.read(spark, folder).select(
+        "doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32")
+    )
+
+
+# The rules, and the sites whose URLs are listed.
+URL_RULES = [
+    ("allow", "com/"),
+    ("block", "example.com/en/"),
+    ("allow", "www.example.com/en/"),
+    ("block", "net/es/"),
+    ("block", "net/fr/"),
+]
+LISTED_SITES = ["adult-x", "ads-track", "casino-win", "cheap-pills", "free-bets", "spam-farm"]
+
+
+@query
+def op5_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages")
+    listed = urls.of_sites(pages, LISTED_SITES)
+    return urls.judge(pages, listed, urls.rule_table(spark, URL_RULES))
+
+
+ORACLES["op5_url_filter"] = """
+WITH u AS (
+    SELECT page_id, row_number() OVER () AS rid,
+        CASE WHEN contains(url, '://') THEN substr(url, instr(url, '://') + 3) ELSE '' END AS rest
+    FROM pages),
+p AS (
+    SELECT page_id, rid, regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path,
+        translate(regexp_extract(rest, '^[^/?#]*'),
+            'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host
+    FROM u),
+c AS (
+    SELECT *, regexp_replace(host, '^(www|m)[.]', '') || regexp_replace(path, '/+$', '') AS canonical
+    FROM p),
+listed AS (
+    SELECT DISTINCT canonical FROM c WHERE list_has_any(string_split(host, '.'),
+        ['adult-x', 'ads-track', 'casino-win', 'cheap-pills', 'free-bets', 'spam-farm'])),
+r(action, rule, rule_host, rule_path) AS (VALUES
+    ('allow', 'com/', 'com', '/'),
+    ('block', 'example.com/en/', 'example.com', '/en/'),
+    ('allow', 'www.example.com/en/', 'www.example.com', '/en/'),
+    ('block', 'net/es/', 'net', '/es/'),
+    ('block', 'net/fr/', 'net', '/fr/')),
+best AS (
+    SELECT rid, rule, action FROM c, r
+    WHERE (host = rule_host OR ends_with(host, '.' || rule_host)) AND starts_with(path, rule_path)
+    QUALIFY row_number() OVER (PARTITION BY rid ORDER BY length(rule) DESC) = 1)
+SELECT page_id, host, path, rule, canonical IN (SELECT canonical FROM listed) AS listed,
+    coalesce(action, CASE WHEN canonical IN (SELECT canonical FROM listed)
+        THEN 'block' ELSE 'allow' END) AS verdict
+FROM c LEFT JOIN best USING (rid)
+"""
+
+
+@query
+def op6_interleave(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return shards.interleave(table(spark, sf_dir, "documents"), shards=16).select(
+        "doc_id",
+        "size",
+        "text_crc32",
+        F.lit("rows").alias("law"),
+        "shard",
+        "slot",
+        F.lit(None).cast("int").alias("grown_shard"),
+        "source",
+    )
+
+
+@query
+def op7_bagminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bagminhash.classes(table(spark, sf_dir, "documents"))
+
+
+@query
+def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents")
+    index = lines.LineIndex(spark).insert(documents)
+    return index.clean(documents).select(
+        "doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256")
+    )
+
+
+@query
+def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = tiling.find(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", "contaminated", "coverage", "items")

@@ -537,6 +537,7 @@ ORACLES["tier_audit"] = (
     "SELECT 'bronze' AS tier, true AS is_active, CAST(sum(1 + "
     "CASE WHEN o_orderpriority = '1-URGENT' THEN 1 ELSE 0 END + "
     "CASE WHEN o_orderstatus = 'F' THEN 1 ELSE 0 END + "
+    "CASE WHEN o_orderstatus = 'F' AND o_orderpriority = '2-HIGH' THEN 1 ELSE 0 END + "
     "CASE WHEN o_orderpriority = '5-LOW' AND o_orderstatus = 'P' THEN 1 ELSE 0 END) AS BIGINT) "
     "AS row_count FROM orders_ "
     "UNION ALL SELECT 'silver', true, count(*) FROM ok "
@@ -560,34 +561,44 @@ img AS (SELECT {_IMAGE}, o_orderkey AS k, o_orderstatus, o_orderpriority,
           epoch_ms(order_date) AS t FROM orders_),
 sent AS (
   SELECT CASE WHEN k % 137 = 3 THEN 'x' ELSE 'c' END AS operation, t AS event_ts_ms,
-    k * 4 AS log_position, order_id, customer_id, order_status, total_amount, order_date,
+    k * 4 AS log_position, order_id, customer_id, order_status,
+    CASE WHEN k % 151 = 21 THEN NULL ELSE total_amount END AS total_amount, order_date,
     updated_at, k % 127 = 5 AS is_empty, k % 113 = 8 AND k % 137 <> 3 AS is_corrupt, k,
-    o_orderpriority, NULL AS status_before
+    o_orderpriority, NULL AS status_before, k % 149 = 11 AS is_void,
+    k % 151 = 21 AND total_amount IS NOT NULL AS is_text
   FROM img),
 change_log AS (
   SELECT * FROM sent
   UNION ALL SELECT * FROM sent WHERE o_orderpriority = '1-URGENT'
   UNION ALL SELECT 'u', t + 1, k * 4 + 1, order_id, customer_id, 'DELIVERED', total_amount,
-    order_date, updated_at, false, false, k, o_orderpriority, order_status
+    order_date, updated_at, false, false, k, o_orderpriority, order_status, false, false
     FROM img WHERE o_orderstatus = 'F'
+  UNION ALL SELECT 'u', t + 1, k * 4 + 3, order_id, customer_id, 'SHIPPED', total_amount,
+    order_date, updated_at, false, false, k, o_orderpriority, 'DELIVERED', false, false
+    FROM img WHERE o_orderstatus = 'F' AND o_orderpriority = '2-HIGH'
   UNION ALL SELECT 'd', t + 2, k * 4 + 2, order_id, customer_id, order_status, total_amount,
-    order_date, updated_at, false, false, k, o_orderpriority, order_status
+    order_date, updated_at, false, false, k, o_orderpriority, order_status, false, false
     FROM img WHERE o_orderpriority = '5-LOW' AND o_orderstatus = 'P'),
 blanked AS (
-  SELECT CASE WHEN is_corrupt THEN NULL ELSE operation END AS operation,
-    CASE WHEN is_corrupt THEN NULL ELSE event_ts_ms END AS event_ts_ms,
-    CASE WHEN is_corrupt THEN NULL ELSE log_position END AS log_position,
+  SELECT CASE WHEN is_corrupt OR is_void THEN NULL ELSE operation END AS operation,
+    CASE WHEN is_corrupt OR is_void THEN NULL ELSE event_ts_ms END AS event_ts_ms,
+    CASE WHEN is_corrupt OR is_void THEN NULL ELSE log_position END AS log_position,
     order_id, customer_id, order_status, total_amount, order_date, updated_at,
-    is_empty OR is_corrupt AS is_empty, is_corrupt, k, status_before FROM change_log),
+    is_empty OR is_corrupt OR is_void AS is_empty, is_corrupt, k, status_before,
+    is_void AND NOT is_corrupt AS is_void, is_text FROM change_log),
 ev AS (SELECT operation, event_ts_ms, log_position, {_GONE}, is_empty, is_corrupt, k,
-  status_before FROM blanked)"""
+  status_before, is_void, is_text AND NOT is_empty AS is_text FROM blanked)"""
 
 _EVENT_RULES = (
     "WHEN is_corrupt THEN 'unparseable envelope' "
     "WHEN operation IS NULL OR operation NOT IN ('c', 'u', 'd', 'r') "
     "THEN 'invalid or missing CDC operation: ''' || coalesce(operation, 'None') || '''' "
     "WHEN is_empty THEN 'payload for operation ''' || operation || ''' is NULL' "
-) + RECORD["orders"]
+) + RECORD["orders"].replace(
+    "WHEN total_amount",
+    "WHEN is_text THEN 'total_amount must be >= 0, found: abc' WHEN total_amount",
+    1,
+)
 _STREAM_EVENT_RULES = (
     "WHEN order_id IS NULL AND (is_corrupt OR operation IS NULL) THEN 'unparseable envelope' "
     "WHEN order_id IS NULL THEN 'order_id is null' "
@@ -645,32 +656,61 @@ ORACLES["errors_raw_poison"] = (
     "true AS has_payload FROM rejected"
 )
 ORACLES["replayed_bronze"] = (
-    f"{_EV} SELECT {STATUS}, count(*) AS event_count, CASE WHEN validation_reason IS NULL "
-    "THEN 'silver_changelog' ELSE 'errors' END AS side FROM once GROUP BY 1, 3"
+    f"{_EV} SELECT CAST(order_id AS VARCHAR) AS record_id, operation, {STATUS}, "
+    "validation_reason, 'orders' AS source_table, "
+    "CASE WHEN validation_reason IS NULL THEN total_amount END AS total_amount FROM once"
 )
-ORACLES["stream_orders_silver"] = (
-    f"{_STREAM_EV} SELECT {_PAYLOAD}, CAST(left(order_date, 10) AS DATE) AS order_date_dt, "
-    "operation, event_ts_ms, log_position FROM accepted"
+
+
+def _orders_silver(events: str) -> str:
+    return (
+        f"{events} SELECT {_PAYLOAD}, CAST(left(order_date, 10) AS DATE) AS order_date_dt, "
+        "operation, event_ts_ms, log_position, 'orders' AS source_table, "
+        "event_ts_ms AS event_timestamp, true AS is_stamped FROM accepted"
+    )
+
+
+ORACLES["stream_orders_silver"] = _orders_silver(_STREAM_EV)
+ORACLES["stream_orders_batches"] = ORACLES["stream_orders_silver"]
+ORACLES["stream_operations_audit"] = (
+    f"{_EV} SELECT 'orders' AS source_table, 'INVALID' AS validation_status, validation_reason, "
+    "count(*) AS incident_count FROM rejected GROUP BY validation_reason"
 )
+ORACLES["stream_snapshot"] = ORACLES["cdc_latest_state"]
 ORACLES["stream_orders_errors"] = (
     f"{_STREAM_EV} SELECT 'orders' AS source_table, CAST(order_id AS VARCHAR) AS record_id, "
     "operation, 'INVALID' AS validation_status, validation_reason FROM rejected"
 )
+_ISO_DATE = "strftime({}, '%Y-%m-%dT%H:%M:%S')"
+STREAMED = {
+    "customers": {n: n for n in ("first_name", "last_name", "email", "city", "state")},
+    "payments": {
+        **{n: n for n in ("order_id", "payment_method", "payment_status", "payment_amount")},
+        "payment_date": _ISO_DATE.format("payment_date"),
+    },
+    "products": {n: n for n in ("product_name", "category", "price", "stock_quantity")},
+}
 for _table, _rules in (
     ("customers", STREAM["customers"]),
     ("payments", STREAM["payments"]),
     ("products", RECORD["products"]),
 ):
     _id = _KEYS[_table]
+    _shown = ", ".join(
+        f"CASE WHEN validation_reason IS NULL THEN {value} END AS {name}"
+        for name, value in STREAMED[_table].items()
+    )
     ORACLES[f"stream_{_table}"] = (
-        f"WITH {POISON} SELECT CAST({_id} AS VARCHAR) AS record_id, {STATUS}, validation_reason "
-        f"FROM (SELECT *, CASE WHEN {_id} IS NULL THEN '{_id} is null' {_rules} ELSE NULL END "
+        f"WITH {POISON} SELECT CAST({_id} AS VARCHAR) AS record_id, {STATUS}, validation_reason, "
+        f"{_shown} FROM (SELECT *, CASE WHEN {_id} IS NULL THEN '{_id} is null' {_rules} ELSE NULL END "
         f"AS validation_reason FROM {FROM[_table]})"
     )
 ORACLES["stream_order_items"] = (
     f"WITH {POISON} SELECT DISTINCT CAST(order_item_id AS VARCHAR) AS record_id, "
     "'VALID' AS validation_status, CAST(NULL AS VARCHAR) AS validation_reason FROM items"
 )
+ORACLES["stream_payments_batches"] = ORACLES["stream_payments"]
+ORACLES["batch_quality"] = ORACLES["dq_score"]
 ORACLES["cdc_snapshot_dedup"] = (
     f"WITH {CLEAN} SELECT order_item_id, order_id, product_id, quantity, unit_price FROM ("
     "SELECT *, row_number() OVER (PARTITION BY order_item_id ORDER BY shipped_at DESC, "
@@ -723,6 +763,7 @@ ORACLES["skew_salted_join"] = (
 ORACLES["stream_event_dedup"] = (
     "SELECT event_id, event_type AS operation, epoch_us(ts) // 1000 AS event_ts_ms FROM events"
 )
+ORACLES["stream_event_dedup_batches"] = ORACLES["stream_event_dedup"]
 
 _EVENT_TIMES = (
     "e AS (SELECT event_id, event_type, epoch_us(ts) // 1000 AS event_ms, (epoch_us(ts) // 1000) + CAST(floor("
@@ -735,7 +776,7 @@ ORACLES["late_event_audit"] = (
     "w AS (SELECT batch, max(top) OVER (ORDER BY batch ROWS BETWEEN UNBOUNDED PRECEDING "
     "AND 1 PRECEDING) - 600000 AS watermark_ms FROM m) "
     "SELECT event_id, event_ms, arrival_ms, watermark_ms FROM b JOIN w USING (batch) "
-    "WHERE event_ms < watermark_ms"
+    "WHERE event_ms <= watermark_ms"
 )
 ORACLES["freshness"] = (
     f"WITH {_EVENT_TIMES} SELECT event_type, count(*) AS event_count, "

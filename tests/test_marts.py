@@ -136,8 +136,11 @@ def test_empty_tables(spark, customers, orders, catalog):
     assert reports.product_performance(products, items.limit(0)).count() == 5
 
 
-def test_city_revenue_on_range_tables(spark):
-    fact, dim = inputs.benchmark_join_tables(spark, 10_000)
+def test_city_revenue_of_many_orders(spark):
+    dim = spark.range(1, 500).selectExpr("id AS customer_id", "concat('City_', id % 20) AS city")
+    fact = spark.range(1, 10_001).selectExpr(
+        "id AS order_id", "id % 499 + 1 AS customer_id", "cast((id * 1.5) % 5000 AS double) AS amount"
+    )
     found = {r.city: r.revenue for r in reports.city_revenue(fact, dim, "amount").collect()}
     expected = {}
     for i in range(1, 10_001):

@@ -137,3 +137,30 @@ def test_hot_key_is_reduced_before_the_shuffle(spark, job):
         assert written and max(written) <= 50 * 8
     finally:
         spark.conf.set("spark.sql.adaptive.enabled", "true")
+
+
+def read_columns(text):
+    """The columns of every scan of a plan."""
+    return [set(re.findall(r"(\w+):", found)) for found in re.findall(r"ReadSchema: struct<([^>]*)>", text)]
+
+
+def test_foreign_key_check_reads_keys_only(spark):
+    scans = read_columns(plan(registry.QUERIES["dq_orphans"](spark, SF)))
+    assert set().union(*scans) <= {
+        "o_orderkey", "o_custkey", "c_custkey", "c_nationkey", "n_nationkey", "n_regionkey", "r_regionkey",
+        "p_partkey", "l_orderkey", "l_partkey", "l_suppkey",
+    }
+
+
+@pytest.mark.parametrize("name, table, most", [("late_event_audit", "events", 1), ("mart_payment_success", "orders", 1)])
+def test_number_of_scans(spark, name, table, most):
+    """Of the final job; the arrival batches of the audit are a table by then."""
+    text = plan(registry.QUERIES[name](spark, SF))
+    assert len(re.findall(rf"FileScan parquet .*{table}\.parquet", text)) <= most
+
+
+def test_ranking_computes_the_mart_once(spark):
+    text = plan(registry.QUERIES["mart_customer_ranking"](spark, SF))
+    assert "customer.parquet" not in text and "orders.parquet" not in text
+    joins = re.findall(r"Join \[[^]]*lifetime_value#[^]]*\], \[[^]]*lifetime_value#[^]]*\], (\w+)", text)
+    assert joins == ["Inner"], text  # rows without a value are no part of it

@@ -4,13 +4,14 @@ import pytest
 from pyspark.sql import functions as F
 
 from tests.test_events import image, message
-from tidemark.operators.lateness import missing_events
+from tidemark.operators.lateness import late_events, missing_events
 from tidemark.plans import ingest
 from tidemark.schemas import ENTITIES
 from tidemark.sinks import tables as sinks
 from tidemark.sinks import upkeep
 from tidemark.sources.streams import kafka_messages, landed_messages, text_messages
-from tidemark.sources.tables import read_errors
+from tidemark import __main__ as cli
+from tidemark.sources.tables import judged_errors, read_changes, read_errors, read_judged, register_views
 from tidemark.streaming import pipelines as p
 
 NOW = {"availableNow": True}
@@ -78,17 +79,142 @@ def test_restart_adds_only_new_rows(spark, tmp_path):
     assert read_errors(spark, lake.base).count() == 1
 
 
-def test_bounded_dedup_drops_late_events_and_the_audit_finds_them(spark, tmp_path):
+def test_bounded_dedup_keeps_late_events_and_the_log_names_them(spark, tmp_path):
     lake = Lake(spark, tmp_path)
-    hour = 3_600_000
+    hour, delay = 3_600_000, 600_000
     lake.send(message(ts=T, after=image(1)))
     lake.send(message(ts=T + hour, after=image(2)))
-    lake.send(message(ts=T + 1, after=image(3)), message(ts=T + hour - 1, after=image(4)))
-    assert [r[0] for r in lake.silver()] == [1, 2, 4]  # 3 is older than the delay
+    lake.send(
+        message(ts=T + 1, after=image(3)),
+        message(ts=T + hour - 1, after=image(4)),
+        message(ts=T + hour - delay, after=image(5)),  # exactly at the watermark
+        message(ts=T + hour - delay + 1, after=image(6)),
+        message(ts=T + 2, after=image(7, status="BAD")),
+        message(ts=T, after=image(1)),  # a copy from two micro-batches ago
+    )
+    assert [r[0] for r in lake.silver()] == [1, 2, 3, 4, 5, 6]
     landed = p.split_events(spark.read.text(f"{lake.base}/in"), ORDERS, "stream")[0]
     stored = spark.read.parquet(f"{lake.base}/silver_changelog/orders")
-    lost = missing_events(landed, stored, ["order_id", "operation", "event_ts_ms"])
-    assert [r.order_id for r in lost.collect()] == [3]
+    assert missing_events(landed, stored, ["order_id", "operation", "event_ts_ms"]).count() == 0
+    assert ingest.log_late_events(spark, lake.base, "orders", delay) == 3
+    late = spark.read.parquet(f"{lake.base}/late_events/orders").collect()
+    assert {(r.record_id, r.watermark_ms) for r in late} == {
+        (i, T + hour - delay) for i in ("3", "5", "7")
+    }
+
+
+def test_late_means_what_a_stream_leaves_out(spark, tmp_path):
+    """An event exactly at the watermark of Spark's own late filter is late here too."""
+    hour, delay = 3_600_000, 600_000
+    batches = [[(1, T)], [(2, T + hour)], [(3, T + 1), (4, T + hour - 1), (5, T + hour - delay), (6, T + hour - delay + 1)]]
+    (tmp_path / "in").mkdir()
+    for k, rows in enumerate(batches):
+        spark.createDataFrame([(i, t, k) for i, t in rows], "id long, t long, k int").coalesce(1).write.parquet(f"{tmp_path}/in/{k}")
+        timed = spark.readStream.schema("id long, t long, k int").parquet(f"{tmp_path}/in/*")
+        timed = timed.withColumn("time", F.timestamp_millis("t")).withWatermark("time", "10 minutes")
+        query = p.start_table(timed.dropDuplicatesWithinWatermark(["id"]), f"{tmp_path}/kept", f"{tmp_path}/ckpt", None, (), NOW)
+        p.await_all(spark, [query])
+    kept = {r.id for r in spark.read.parquet(f"{tmp_path}/kept").collect()}
+    sent = spark.createDataFrame([(i, t, k) for k, rows in enumerate(batches) for i, t in rows], "id long, t long, k long")
+    late = {r.id for r in late_events(sent, "t", "k", delay, 1).collect()}
+    assert late == {3, 5} and kept == {1, 2, 4, 6}
+
+
+@pytest.mark.parametrize("batches", [1, 2, 7])
+@pytest.mark.parametrize("form", ["two", "one"])
+def test_no_event_vanishes(spark, tmp_path, batches, form):
+    """Accepted and rejected events are all distinct events, whatever the micro-batches."""
+    day = 86_400_000
+    lines = [message(ts=T + (i * 37 % 50) * day, after=image(i, status="BAD" if i % 9 == 0 else "PLACED")) for i in range(50)]
+    lines += lines[:20] + [f"garbage {i}" for i in range(5)]
+    one = lambda s, m, out, ck, **kw: [p.process_stream_once(s, m, "orders", out, ck, **kw)]
+    lake = Lake(spark, tmp_path, **({} if form == "two" else {"start": one}))
+    for k in range(batches):
+        lake.send(*lines[k::batches])
+    changes = read_changes(spark, lake.base, ORDERS)
+    assert sorted(r.order_id for r in changes.collect()) == [i for i in range(50) if i % 9]
+    assert read_errors(spark, lake.base).count() == 6 + 5
+
+
+def test_two_changes_in_a_millisecond_and_empty_messages(spark, tmp_path):
+    at = lambda lsn: {"source": {"lsn": lsn}}
+    rows = [
+        ("1", message("u", T, after=image(1, status="SHIPPED"), **at(1))),
+        ("1", message("u", T, after=image(1, status="DELIVERED"), **at(2))),
+        ("1", message("u", T, after=image(1, status="DELIVERED"), **at(2))),
+        ("a", None), ("b", None), ("b", None), (None, "text"), ("c", "text"),
+    ]
+    raw = spark.createDataFrame(rows, "key string, value string")
+    accepted, rejected = p.split_events(raw, ORDERS)
+    assert sorted(r.order_status for r in accepted.collect()) == ["DELIVERED", "SHIPPED"]
+    assert rejected.count() == 3  # two empty messages, one text
+    raw.withColumn("landed_at", F.current_timestamp()).write.parquet(f"{tmp_path}/bronze")
+    messages = landed_messages(spark, f"{tmp_path}/bronze", 1)
+    p.await_all(spark, p.process_orders_stream(spark, messages, str(tmp_path), f"{tmp_path}/ckpt", trigger=NOW))
+    assert spark.read.parquet(f"{tmp_path}/silver_changelog/orders").count() == 2
+    assert read_errors(spark, str(tmp_path)).count() == 3
+
+
+def test_field_of_wrong_type_is_named(spark):
+    bad = message(ts=T, after={**image(1), "total_amount": "abc"})
+    gone = message("d", T, before={**image(2), "total_amount": {"x": 1}})
+    raw = spark.createDataFrame([(None, bad), (None, gone), (None, "{"), (None, "[1]")], "key string, value string")
+    _, rejected = p.split_events(raw, ORDERS)
+    assert sorted((r.record_id or "", r.validation_reason) for r in rejected.collect()) == [
+        ("", "unparseable envelope"), ("", "unparseable envelope"),
+        ("1", "total_amount must be >= 0, found: abc"),
+        ("2", 'total_amount must be >= 0, found: {"x":1}'),
+    ]
+
+
+def test_stream_command(spark, tmp_path):
+    """Options of the command reach the queries; every start has its own run id."""
+    (tmp_path / "in").mkdir()
+    (tmp_path / "rules.yaml").write_text(
+        "rules:\n  orders:\n    required_fields: [order_id]\n    allowed_operations: [c]\n"
+    )
+    common = ["stream", "--bootstrap-servers", "x:1", "--output-base", str(tmp_path), "--checkpoint-base",
+              f"{tmp_path}/ckpt", "--table", "orders", "--trigger", "availableNow", "--state-partitions", "2",
+              "--profile", "declared", "--rules", f"{tmp_path}/rules.yaml", "--delay", "none"]
+    for k, extra in enumerate((["--land-bronze"], ["--land-bronze"])):
+        lines = [message("cu"[i % 2], T + i, after=image(10 * k + i)) for i in range(4)]
+        (tmp_path / "in" / f"{k}.txt").write_text("\n".join(lines) + "\n")
+        args = cli.arguments().parse_args([*common, *extra])
+        p.await_all(spark, cli.start_streams(spark, args, lambda entity: text_messages(spark, f"{tmp_path}/in")))
+    silver = spark.read.parquet(f"{tmp_path}/silver_changelog/orders").collect()
+    assert sorted(r.order_id for r in silver) == [0, 2, 10, 12]
+    assert {r.validation_reason for r in read_errors(spark, str(tmp_path)).collect()} == {"invalid operation"}
+    runs = {r.pipeline_run_id for r in spark.read.parquet(f"{tmp_path}/ckpt/runs").collect()}
+    assert {r.pipeline_run_id for r in silver} == runs and len(runs) == 2
+    assert spark.read.parquet(f"{tmp_path}/bronze/orders").count() == 8
+    assert len(list((tmp_path / "ckpt" / "orders_silver" / "state" / "0").glob("[0-9]*"))) == 2
+
+
+def test_single_query_form_feeds_snapshots_views_and_audits(spark, tmp_path):
+    lines = [
+        message(ts=T, after=image(1)), message("u", T + 5, before=image(1), after=image(1, status="SHIPPED")),
+        message(ts=T, after=image(2)), message("d", T + 6, before={"order_id": 2}), "garbage",
+    ]
+    one = lambda s, m, out, ck, **kw: [p.process_stream_once(s, m, "orders", out, ck, **kw)]
+    lake = Lake(spark, tmp_path, profile="record", start=one)
+    lake.send(*lines)
+    assert ingest.refresh_snapshot(spark, lake.base, "orders") == 1
+    assert ingest.advance_snapshot(spark, lake.base, "orders", None, f"{lake.base}/state") == 1
+    register_views(spark, lake.base)
+    assert spark.sql("SELECT order_status FROM orders_source").first()[0] == "SHIPPED"
+    assert spark.sql("SELECT count(*) FROM errors_source").first()[0] == 2
+    tiers = {r.tier: r.row_count for r in ingest.audit_lake(spark, lake.base).collect()}
+    assert tiers["errors"] == 2 and tiers["silver"] == 1
+
+
+def test_changelog_is_compacted_into_another_folder(spark, tmp_path):
+    lake = Lake(spark, tmp_path)
+    for i in range(3):
+        lake.send(message(ts=T + i, after=image(i)))
+    path, target = f"{lake.base}/silver_changelog/orders", f"{lake.base}/compacted/orders"
+    assert upkeep.compact_changelog(spark, path, target, ["order_status"]) == 3
+    assert len(list((tmp_path / "compacted" / "orders").rglob("*.parquet"))) == 1
+    assert spark.read.parquet(target).count() == 3 and len(lake.silver()) == 3
 
 
 def test_unbounded_dedup_keeps_late_events(spark, tmp_path):
@@ -163,9 +289,9 @@ def test_one_query_fork_equals_two(spark, tmp_path):
     (tmp_path / "one").mkdir()
     one = Lake(spark, tmp_path / "one", start=lambda s, m, out, ck, **kw: [p.process_stream_once(s, m, "orders", out, ck, **kw)])
     one.send(*lines)
-    valid = p.read_judged(spark, one.base, "orders", "VALID")
+    valid = read_judged(spark, one.base, "orders", "VALID")
     assert sorted((r.order_id, r.operation, r.event_ts_ms) for r in valid.collect()) == two.silver()
-    assert {(r.record_id, r.validation_reason) for r in p.judged_errors(spark, one.base, "orders").collect()} == two.errors()
+    assert {(r.record_id, r.validation_reason) for r in judged_errors(spark, one.base, "orders").collect()} == two.errors()
     assert "PartitionFilters: [isnotnull(validation_status" in valid._jdf.queryExecution().executedPlan().toString()
 
 
@@ -224,7 +350,7 @@ def test_failed_query_is_reported(spark, tmp_path):
     (tmp_path / "in").mkdir()
     (tmp_path / "in" / "a.txt").write_text("x\n")
     broken = text_messages(spark, f"{tmp_path}/in").select(F.raise_error(F.lit("boom")).cast("string").alias("v"))
-    query = p._start(broken, f"{tmp_path}/out", f"{tmp_path}/ckpt", None, (), NOW)
+    query = p.start_table(broken, f"{tmp_path}/out", f"{tmp_path}/ckpt", None, (), NOW)
     with pytest.raises(Exception, match="boom"):
         p.await_all(spark, [query])
 

@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidemark.operators import lateness, merge, skew
+from tidemark.operators.quality import QualityGateError
 from tidemark.plans import ingest
 from tidemark.sinks import tables as sinks
 from tidemark.sinks import upkeep
@@ -57,7 +58,7 @@ def test_late_events_against_brute_force(spark):
         pending.setdefault(arrival // 300_000, []).append((i, event))
     for batch in sorted(pending):
         for i, event in pending[batch]:
-            if seen is not None and event < seen - 600_000:
+            if seen is not None and event <= seen - 600_000:
                 expected[i] = seen - 600_000
         seen = max([seen or 0, *(e for _, e in pending[batch])])
     assert found == expected and expected
@@ -177,9 +178,40 @@ def test_batch_sequence(spark, tmp_path):
         [(1, 1, "UPI", "SUCCESS", 5.0, "2026-01-01")],
         "payment_id long, order_id long, payment_method string, payment_status string, payment_amount double, payment_date string",
     ).write.parquet(f"{batch}/payments.parquet")
-    result = ingest.run_batch(spark, batch, base)
+    with pytest.raises(QualityGateError, match="products: 1 of 2 rows invalid, most often price must be >= 0"):
+        ingest.run_batch(spark, batch, base)
+    result = ingest.run_batch(spark, batch, base, gate=False)
     assert result["rows"] == {"customers": 1, "products": 1, "orders": 1, "order_items": 1, "payments": 1}
     assert {r.tier: (r.is_active, r.row_count) for r in result["tiers"]} == {
         "bronze": (False, 0), "silver": (True, 5), "gold": (True, 4), "errors": (True, 1),
     }
-    assert all(r.dq_score == 100.0 for r in result["quality"])
+    assert {r.source_table: r.dq_score for r in result["quality"]} == {
+        "customers": 100.0, "products": 50.0, "orders": 100.0, "order_items": 100.0, "payments": 100.0,
+    }
+    again = ingest.run_batch(spark, batch, base, gate=False)
+    assert [(t.tier, t.row_count) for t in again["tiers"]] == [(t.tier, t.row_count) for t in result["tiers"]]
+    assert again["quality"] == result["quality"]
+
+
+def test_rows_without_a_key_are_judged(spark, tmp_path):
+    batch, base = f"{tmp_path}/batch", str(tmp_path)
+    spark.createDataFrame(
+        [(None, 1, "PLACED", 5.0), (None, 2, "PLACED", 5.0), (3, 1, "PLACED", 5.0), (3, 1, "PLACED", 4.0)],
+        "order_id long, customer_id long, order_status string, total_amount double",
+    ).write.parquet(f"{batch}/orders.parquet")
+    loaded = ingest.load_table(spark, batch, base, "orders", profile="record")
+    assert (loaded.rows, loaded.verdicts) == (1, (1, 2))
+    errors = inputs.read_errors(spark, base).collect()
+    assert [(r.record_id, r.validation_reason) for r in errors] == [(None, "order_id is NULL or missing")] * 2
+    plain = ingest.load_table(spark, batch, f"{base}/plain", "orders")
+    assert (plain.rows, plain.verdicts) == (1, None)
+
+
+def test_errors_are_found_anywhere_below(spark, tmp_path):
+    row = {"source_table": "orders", "record_id": "1", "validation_status": "INVALID", "validation_reason": "r"}
+    frame = spark.createDataFrame([row])
+    for place in ("errors/odd_name", "errors/batch_orders"):
+        frame.write.parquet(f"{tmp_path}/{place}")
+    frame.toPandas().to_parquet(f"{tmp_path}/errors/loose.parquet")
+    assert inputs.read_errors(spark, str(tmp_path)).count() == 3
+    assert inputs.read_errors(spark, f"{tmp_path}/nowhere").count() == 0

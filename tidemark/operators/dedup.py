@@ -7,8 +7,6 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.functions.temporal import event_time
-
 
 def keep_greatest(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:
     """One row per key: the greatest by ``order``, then by every remaining column.
@@ -36,46 +34,57 @@ def snapshot(df: DataFrame, key: str, order: Sequence[Column] | None = None) ->
     return keep_greatest(df.filter(F.col(key).isNotNull()), [key], order)
 
 
-def event_identity(key: str) -> list[str]:
-    return [key, "operation", "event_ts_ms"]
+def _identified(df: DataFrame, key: str, extra: Sequence[str]) -> tuple[DataFrame, list[str]]:
+    """``df`` and the columns that tell its events apart.
 
+    An event is its key, operation and time, and its position in the source's log where it
+    has one: two changes of a key in one millisecond are two events. Rows without a key
+    are told apart by their raw text, and by the message key where they have no text.
+    """
+    identity = [key, "operation", "event_ts_ms", *extra]
+    if "log_position" in df.columns and "log_position" not in identity:
+        identity.append("log_position")
+    if "raw_payload" in df.columns:
+        keyless = F.col(key).isNull()
+        df = df.withColumn("_poison", F.when(keyless, F.col("raw_payload")))
+        identity.append("_poison")
+        if "message_key" in df.columns:
+            empty = keyless & F.col("raw_payload").isNull()
+            df = df.withColumn("_poison_key", F.when(empty, F.col("message_key")))
+            identity.append("_poison_key")
+    return df, identity
 
-def distinct_events(df: DataFrame, key: str, extra: Sequence[str] = ()) -> DataFrame:
-    """Batch: one row per ``(key, operation, event_ts_ms)``, nulls counting as equal.
 
-    Rows without a key have no identity; they count as duplicates only if their raw text
-    is the same, so distinct poison messages all survive. ``extra`` adds columns, such as
-    the log position, to the identity.
-    """
-    identity = [*event_identity(key), *extra]
-    if "raw_payload" not in df.columns:
-        return keep_greatest(df, identity, [])
-    marked = df.withColumn("_poison", F.when(F.col(key).isNull(), F.col("raw_payload")))
-    return keep_greatest(marked, [*identity, "_poison"], []).drop("_poison")
+def distinct_events(df: DataFrame, key: str, extra: Sequence[str] = ()) -> DataFrame:
+    """Batch: one row per event, nulls counting as equal. ``extra`` adds columns to what
+    tells events apart."""
+    marked, identity = _identified(df, key, extra)
+    return keep_greatest(marked, identity, []).drop("_poison", "_poison_key")
 
 
 def distinct_events_stream(
-    df: DataFrame, key: str, delay: str | None = "10 minutes", extra: Sequence[str] = ()
+    df: DataFrame,
+    key: str,
+    delay: str | None = "10 minutes",
+    extra: Sequence[str] = (),
+    arrival: str = "processing_time",
 ) -> DataFrame:
-    """Streaming form of :func:`distinct_events`.
+    """Streaming form of :func:`distinct_events`; every event comes out, however late.
 
-    With a ``delay`` the state holds only events inside the watermark: duplicates further
-    apart than the delay are not recognised. ``delay=None`` remembers every event for ever,
-    exact but with state that grows with the stream.
+    The watermark is on the time of arrival (column ``arrival``, added if missing), which
+    is never behind it, so no event is dropped whatever its own time. With a ``delay`` the
+    state forgets an event that long after its first arrival: copies that arrive further
+    apart are both kept, which the latest-state jobs do not mind. ``delay=None`` remembers
+    every event for ever, exact but with state that grows with the stream.
     """
-    identity = [*event_identity(key), *extra]
-    marked = df
-    if "raw_payload" in df.columns:
-        marked = df.withColumn("_poison", F.when(F.col(key).isNull(), F.col("raw_payload")))
-        identity = [*identity, "_poison"]
+    marked, identity = _identified(df, key, extra)
     if delay is None:
-        return marked.dropDuplicates(identity).drop("_poison")
-    return (
-        marked.withColumn("_event_time", event_time("event_ts_ms"))
-        .withWatermark("_event_time", delay)
-        .dropDuplicatesWithinWatermark(identity)
-        .drop("_event_time", "_poison")
-    )
+        return marked.dropDuplicates(identity).drop("_poison", "_poison_key")
+    added = arrival not in df.columns
+    if added:
+        marked = marked.withColumn(arrival, F.current_timestamp())
+    once = marked.withWatermark(arrival, delay).dropDuplicatesWithinWatermark(identity)
+    return once.drop("_poison", "_poison_key", *([arrival] if added else []))
 
 
 def merge_batches(loaded: DataFrame, retry: DataFrame, key: str) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -26,13 +26,22 @@ def parse_envelopes(raw: DataFrame, entity: Entity) -> DataFrame:
     nulls and ``is_corrupt``.
 
     Columns: ``operation``, ``event_ts_ms``, ``log_position``, ``before``, ``after``,
-    ``data`` (the image an operation acts on), ``is_corrupt``, ``raw_payload``,
-    ``processing_time``.
+    ``data`` (the image an operation acts on), ``is_corrupt``, ``message_key``,
+    ``raw_payload``, ``processing_time``. Text counts as corrupt if nothing of an envelope
+    could be read from it; an envelope with a field of the wrong type is no corrupt text,
+    its field is null and left to the rules.
     """
     schema = envelope_schema(entity.payload)
     envelope = F.from_json("raw_payload", schema, {"columnNameOfCorruptRecord": CORRUPT})
-    parsed = compute_once(message_text(raw).select("raw_payload", envelope.alias("cdc")))
+    parsed = compute_once(message_text(raw).select("*", envelope.alias("cdc")))
     operation = F.coalesce(F.nullif(F.col("cdc.op"), F.lit("")), F.col("cdc.operation"))
+    unread = (
+        F.col(f"cdc.{CORRUPT}").isNotNull()
+        & F.coalesce("cdc.op", "cdc.operation").isNull()
+        & F.col("cdc.ts_ms").isNull()
+        & F.col("cdc.before").isNull()
+        & F.col("cdc.after").isNull()
+    )
     return parsed.select(
         operation.alias("operation"),
         F.col("cdc.ts_ms").alias("event_ts_ms"),
@@ -40,7 +49,8 @@ def parse_envelopes(raw: DataFrame, entity: Entity) -> DataFrame:
         F.col("cdc.before").alias("before"),
         F.col("cdc.after").alias("after"),
         active_image(operation, F.col("cdc.before"), F.col("cdc.after")).alias("data"),
-        F.col(f"cdc.{CORRUPT}").isNotNull().alias("is_corrupt"),
+        F.coalesce(unread, F.lit(False)).alias("is_corrupt"),
+        "message_key",
         "raw_payload",
         F.current_timestamp().alias("processing_time"),
     )
@@ -61,12 +71,24 @@ def flatten(parsed: DataFrame, entity: Entity) -> DataFrame:
             *[F.col(f"data.{name}").alias(name) for name in entity.columns],
             F.col("data").isNull().alias("is_empty"),
             "is_corrupt",
+            "message_key",
             "raw_payload",
             "processing_time",
         )
     )
 
 
+def field_texts(entity: Entity) -> dict[str, Column]:
+    """What the message says of a field whose value could not be read as its type."""
+    deleted = F.lower("operation") == "d"
+    return {
+        name: F.when(deleted, F.get_json_object("raw_payload", f"$.before.{name}")).otherwise(
+            F.get_json_object("raw_payload", f"$.after.{name}")
+        )
+        for name in entity.columns
+    }
+
+
 def envelope_rules() -> list[Rule]:
     """Checks of the envelope itself, before the rules of its table."""
     operation = F.col("operation")
@@ -85,8 +107,11 @@ def envelope_rules() -> list[Rule]:
     ]
 
 
-def event_rules(entity: Entity, profile: str) -> list[Rule]:
-    """All rules an event passes.
+def event_rules(
+    entity: Entity, profile: str, declaration: Mapping[str, Mapping] | None = None
+) -> list[Rule]:
+    """All rules an event passes. ``declaration`` replaces the built-in rule dictionary of
+    the declared profile.
 
     ``record`` and ``declared`` judge the envelope first. ``stream`` judges only the row,
     plus the missing key that keeps an event from being stored at all.
@@ -101,21 +126,33 @@ def event_rules(entity: Entity, profile: str) -> list[Rule]:
             *rules_for(entity.name, profile),
         ]
     unreadable = rule(F.col("is_corrupt"), "unparseable envelope")
-    return [unreadable, *envelope_rules(), *rules_for(entity.name, profile)]
+    fields = rules_for(entity.name, profile, declaration, field_texts(entity))
+    return [unreadable, *envelope_rules(), *fields]
 
 
-def judge_events(flat: DataFrame, entity: Entity, profile: str = "record") -> DataFrame:
-    """Verdict per event. Raw text stays only with rejected events, so that good rows
-    travel through the following shuffle without their JSON."""
-    judged = with_verdict(flat, event_rules(entity, profile))
-    return judged.withColumn(
-        "raw_payload", F.when(F.col("validation_reason").isNotNull(), F.col("raw_payload"))
-    ).drop("is_empty", "is_corrupt")
-
-
-def read_events(raw: DataFrame, entity: Entity, profile: str = "record") -> DataFrame:
+def judge_events(
+    flat: DataFrame,
+    entity: Entity,
+    profile: str = "record",
+    declaration: Mapping[str, Mapping] | None = None,
+) -> DataFrame:
+    """Verdict per event. Message key and raw text stay only with rejected events, so that
+    good rows travel through the following shuffle without their JSON."""
+    judged = with_verdict(flat, event_rules(entity, profile, declaration))
+    rejected = F.col("validation_reason").isNotNull()
+    kept = {n: F.when(rejected, F.col(n)) for n in ("message_key", "raw_payload")}
+    return judged.withColumns(kept).drop("is_empty", "is_corrupt")
+
+
+def read_events(
+    raw: DataFrame,
+    entity: Entity,
+    profile: str = "record",
+    declaration: Mapping[str, Mapping] | None = None,
+) -> DataFrame:
     """``(key, value)`` messages to judged, flat events; duplicates still included."""
-    return judge_events(flatten(parse_envelopes(raw, entity), entity), entity, profile)
+    flat = flatten(parse_envelopes(raw, entity), entity)
+    return judge_events(flat, entity, profile, declaration)
 
 
 def with_business_day(df: DataFrame, entity: Entity) -> DataFrame:

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidemark.session import staged
+
 _DAY_MS = 86_400_000
 
 
@@ -18,8 +20,10 @@ def late_events(
     """Events a watermark of ``delay_ms`` would drop, with the watermark they missed.
 
     Arrivals are grouped to batches of ``batch_ms``. As in a stream, the watermark of a
-    batch is the greatest event time of all earlier batches minus the delay. The running
-    maximum is taken inside each day and over the days, so no window spans all batches.
+    batch is the greatest event time of all earlier batches minus the delay, and an event
+    exactly at the watermark is late. The greatest times per batch are written out, so the
+    events are read twice in all: for them, and to be compared. The running maximum is
+    taken inside each day and over the days, so no window spans all batches.
     """
     batch = F.floor(F.col(arrival_ms) / F.lit(batch_ms)).cast("long")
     placed = df.withColumn("_batch", batch)
@@ -28,6 +32,7 @@ def late_events(
         .agg(F.max(event_ms).alias("_max"))
         .withColumn("_day", F.floor(F.col("_batch") * F.lit(batch_ms) / F.lit(_DAY_MS)))
     )
+    batches = staged(batches, "arrival-batches")
     earlier = (Window.unboundedPreceding, -1)
     days = batches.groupBy("_day").agg(F.max("_max").alias("_day_max"))
     before_day = days.select(
@@ -44,7 +49,7 @@ def late_events(
     )
     return (
         placed.join(marks, "_batch")
-        .filter(F.col(event_ms) < F.col("watermark_ms"))
+        .filter(F.col(event_ms) <= F.col("watermark_ms"))
         .drop("_batch")
     )
 

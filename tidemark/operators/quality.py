@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions.money import percent, percent2
@@ -34,7 +34,18 @@ def verdict_counts(judged: DataFrame, table: str) -> DataFrame:
 def quality_score(judged: Mapping[str, DataFrame]) -> DataFrame:
     """Per table: share of valid rows in percent, and whether it keeps the service
     levels."""
-    counts = _union([verdict_counts(df, table) for table, df in judged.items()])
+    return _scored(_union([verdict_counts(df, table) for table, df in judged.items()]))
+
+
+def score_counts(spark: SparkSession, counts: Mapping[str, tuple[int, int]]) -> DataFrame:
+    """:func:`quality_score` from verdicts counted while the tables were written: valid
+    and invalid rows per table."""
+    rows = [(table, valid, invalid) for table, (valid, invalid) in counts.items()]
+    schema = "source_table string, valid_count long, invalid_count long"
+    return _scored(spark.createDataFrame(rows, schema))
+
+
+def _scored(counts: DataFrame) -> DataFrame:
     total = "(valid_count + invalid_count)"
     return counts.select(
         "source_table",
@@ -85,18 +96,32 @@ class QualityGateError(ValueError):
 
 def quality_gate(df: DataFrame, table: str, profile: str = "record") -> int:
     """Fail unless every row passes the rules; returns the number of rows checked."""
-    row = verdict_counts(validate(df, table, profile), table).first()
+    judged = validate(df, table, profile)
+    row = verdict_counts(judged, table).first()
     if row.invalid_count:
-        reasons = (
-            validate(df, table, profile)
-            .filter(F.col("validation_status") == INVALID)
-            .groupBy("validation_reason")
-            .count()
-            .orderBy(F.desc("count"), "validation_reason")
-            .take(3)
-        )
+        rejected = judged.filter(F.col("validation_status") == INVALID)
+        raise QualityGateError(f"{table}: {row.invalid_count} invalid rows, {_reasons(rejected)}")
+    return row.valid_count
+
+
+def _reasons(rejected: DataFrame, shown: int = 3) -> str:
+    """The most frequent reasons, and how many more there are."""
+    counts = rejected.groupBy("validation_reason").count()
+    top = counts.orderBy(F.desc("count"), "validation_reason").take(shown)
+    text = "most often " + "; ".join(f"{r['validation_reason']} ({r['count']})" for r in top)
+    more = counts.count() - len(top)
+    return text + (f"; and {more} more reasons" if more else "")
+
+
+def share_gate(scores: DataFrame, errors: DataFrame) -> None:
+    """Fail if a table keeps less than its service level of valid rows. ``scores`` is made
+    from everything that came in, ``errors`` holds what was rejected."""
+    bad = scores.filter("below_sla OR error_alert").orderBy("source_table").collect()
+    if bad:
         raise QualityGateError(
-            f"{table}: {row.invalid_count} invalid rows, most often "
-            + "; ".join(f"{r['validation_reason']} ({r['count']})" for r in reasons)
+            "; ".join(
+                f"{row.source_table}: {row.invalid_count} of {row.total_count} rows invalid, "
+                + _reasons(errors.filter(F.col("source_table") == row.source_table))
+                for row in bad
+            )
         )
-    return row.valid_count

@@ -26,9 +26,11 @@ def dense_rank_all(df: DataFrame, value: str, rank_name: str, buckets: int = 256
     ``Window.orderBy`` without partitions would sort all rows in one task. Here the
     distinct values are cut into ranges of about equal size, ranked inside each range,
     and shifted by the number of values in higher ranges. The cut points come from one
-    approximate-quantile pass and only balance the work; the ranks are exact.
+    approximate-quantile pass and only balance the work; the ranks are exact. Rows without
+    a value stay out of the join, where they would all be one key.
     """
-    values = df.select(value).filter(F.col(value).isNotNull()).distinct()
+    held = df.filter(F.col(value).isNotNull())
+    values = held.select(value).distinct()
     steps = [i / buckets for i in range(1, buckets)]
     cuts = sorted(set(values.approxQuantile(value, steps, 1.0 / (4 * buckets))))
 
@@ -49,4 +51,6 @@ def dense_rank_all(df: DataFrame, value: str, rank_name: str, buckets: int = 256
         .join(F.broadcast(offsets), "_bucket")  # at most `buckets` rows
         .select(value, (F.col("_offset") + F.col("_place")).alias(rank_name))
     )
-    return df.join(ranks, value, "left")
+    unranked = df.filter(F.col(value).isNull()).withColumn(rank_name, F.lit(None).cast("long"))
+    ranked = held.join(ranks, value).select(*df.columns, F.col(rank_name).cast("long"))
+    return ranked.unionByName(unranked)

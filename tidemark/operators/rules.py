@@ -36,6 +36,10 @@ VALID = "VALID"
 INVALID = "INVALID"
 
 
+# What a record says of a field that could not be read as its type, by field.
+Texts = Mapping[str, Column]
+
+
 @dataclass(frozen=True)
 class Rule:
     """``fails`` is true for a bad row; null and false both pass."""
@@ -89,10 +93,15 @@ def _no_key(column: str) -> Rule:
     )
 
 
-def _negative(column: str, show: Callable[[Column], Column] = show_float) -> Rule:
+def _negative(
+    column: str, texts: Texts, show: Callable[[Column], Column] = show_float
+) -> Rule:
+    shown = show(F.col(column))
+    if column in texts:
+        shown = F.coalesce(F.when(F.col(column).isNull(), texts[column]), shown)
     return rule(
         ~is_non_negative(F.col(column)),
-        F.concat(F.lit(f"{column} must be >= 0, found: "), show(F.col(column))),
+        F.concat(F.lit(f"{column} must be >= 0, found: "), shown),
     )
 
 
@@ -110,7 +119,7 @@ def _unknown_value(column: str, allowed: Iterable[str], optional: bool = False)
     )
 
 
-def _record_customers() -> list[Rule]:
+def _record_customers(texts: Texts) -> list[Rule]:
     email = F.col("email")
     return [
         _no_key("customer_id"),
@@ -120,29 +129,29 @@ def _record_customers() -> list[Rule]:
     ]
 
 
-def _record_products() -> list[Rule]:
+def _record_products(texts: Texts) -> list[Rule]:
     return [
         _no_key("product_id"),
-        _negative("price"),
-        _negative("stock_quantity", show_text),
+        _negative("price", texts),
+        _negative("stock_quantity", texts, show_text),
         rule(is_blank(F.col("product_name")), "product_name cannot be empty"),
     ]
 
 
-def _record_orders() -> list[Rule]:
+def _record_orders(texts: Texts) -> list[Rule]:
     return [
         _no_key("order_id"),
         _no_key("customer_id"),
         _unknown_value("order_status", ORDER_STATUSES),
-        _negative("total_amount"),
+        _negative("total_amount", texts),
     ]
 
 
-def _record_payments() -> list[Rule]:
+def _record_payments(texts: Texts) -> list[Rule]:
     return [
         _no_key("payment_id"),
         _no_key("order_id"),
-        _negative("payment_amount"),
+        _negative("payment_amount", texts),
         _unknown_value("payment_status", PAYMENT_STATUSES),
         _unknown_value("payment_method", PAYMENT_METHODS, optional=True),
     ]
@@ -151,7 +160,7 @@ def _record_payments() -> list[Rule]:
 # --- stream profile -------------------------------------------------------------------
 
 
-def _stream_customers() -> list[Rule]:
+def _stream_customers(texts: Texts) -> list[Rule]:
     email, first_name = F.col("email"), F.col("first_name")
     return [
         rule(email.isNull() | ~email.rlike(EMAIL_PATTERN), "invalid email format"),
@@ -159,7 +168,7 @@ def _stream_customers() -> list[Rule]:
     ]
 
 
-def _stream_orders() -> list[Rule]:
+def _stream_orders(texts: Texts) -> list[Rule]:
     return [
         rule(F.col("customer_id").isNull(), "customer_id is null"),
         rule(F.col("total_amount") < 0.0, "total_amount is negative"),
@@ -167,7 +176,7 @@ def _stream_orders() -> list[Rule]:
     ]
 
 
-def _stream_payments() -> list[Rule]:
+def _stream_payments(texts: Texts) -> list[Rule]:
     return [
         rule(F.col("payment_amount") < 0.0, "negative payment_amount"),
         rule(~F.col("payment_method").isin(*PAYMENT_METHODS), "invalid payment_method"),
@@ -260,7 +269,7 @@ def load_declaration(path: str) -> dict[str, dict]:
         return yaml.safe_load(handle)["rules"]
 
 
-_PROFILES: dict[str, dict[str, Callable[[], list[Rule]]]] = {
+_PROFILES: dict[str, dict[str, Callable[[Texts], list[Rule]]]] = {
     "record": {
         "customers": _record_customers,
         "products": _record_products,
@@ -275,24 +284,41 @@ _PROFILES: dict[str, dict[str, Callable[[], list[Rule]]]] = {
 }
 
 
-def rules_for(table: str, profile: str = "record") -> list[Rule]:
+def rules_for(
+    table: str,
+    profile: str = "record",
+    declaration: Mapping[str, Mapping] | None = None,
+    texts: Texts | None = None,
+) -> list[Rule]:
     """The rules of ``table``; a table without rules is valid throughout.
 
     Products have no rules of their own in the stream profile and use the record ones.
+    ``declaration`` is for the declared profile, ``texts`` for the reasons of the others.
     """
     if profile == "declared":
-        return declared_rules(table)
+        return declared_rules(table, declaration)
     if profile not in _PROFILES:
         raise ValueError(f"unknown rule profile: {profile}")
     build = _PROFILES[profile].get(table) or (
         _PROFILES["record"].get(table) if table == "products" else None
     )
-    return build() if build else []
-
-
-def validate(df: DataFrame, table: str, profile: str = "record") -> DataFrame:
-    """Judge every row of an entity frame."""
-    return with_verdict(df, rules_for(table, profile))
+    return build(texts or {}) if build else []
+
+
+def validate(
+    df: DataFrame,
+    table: str,
+    profile: str = "record",
+    declaration: Mapping[str, Mapping] | None = None,
+) -> DataFrame:
+    """Judge every row of an entity frame. A declared list of operations applies to frames
+    that have the column."""
+    if declaration and "operation" not in df.columns:
+        declaration = {
+            name: {k: v for k, v in spec.items() if k != "allowed_operations"}
+            for name, spec in declaration.items()
+        }
+    return with_verdict(df, rules_for(table, profile, declaration))
 
 
 def valid_rows(df: DataFrame) -> DataFrame:

@@ -4,16 +4,19 @@ from __future__ import annotations
 
 import logging
 import uuid
+from collections.abc import Mapping
+from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions.temporal import iso_utc
 from tidemark.operators.deadletter import dead_letters
 from tidemark.operators.dedup import snapshot
 from tidemark.operators.envelope import read_events
-from tidemark.operators.quality import quality_gate, quality_score, tier_audit
-from tidemark.operators.rules import valid_rows, validate
+from tidemark.operators.lateness import late_events
+from tidemark.operators.quality import score_counts, share_gate, tier_audit
+from tidemark.operators.rules import INVALID, VALID, invalid_rows, valid_rows, validate
 from tidemark.operators.state import (
     change_columns,
     current_state,
@@ -23,8 +26,15 @@ from tidemark.operators.state import (
 )
 from tidemark.plans.marts import run_transformations
 from tidemark.schemas import ENTITIES, Entity
-from tidemark.sinks.tables import append_incidents, write_table
-from tidemark.sources.tables import load_silver, read_errors, read_parquet, read_source
+from tidemark.session import remove_path, scratch_dir
+from tidemark.sinks.tables import replace_rejects, write_table
+from tidemark.sources.tables import (
+    read_changes,
+    read_entity_errors,
+    read_errors,
+    read_parquet,
+    read_source,
+)
 from tidemark.streaming.pipelines import split_events
 
 log = logging.getLogger(__name__)
@@ -41,7 +51,16 @@ def normalize_times(df: DataFrame) -> DataFrame:
     return df.withColumns(changes) if changes else df
 
 
-def ingest_table(
+@dataclass(frozen=True)
+class Loaded:
+    """What one batch file came to. ``verdicts`` are valid and invalid rows of all that
+    came in, None if nothing was judged."""
+
+    rows: int
+    verdicts: tuple[int, int] | None
+
+
+def load_table(
     spark: SparkSession,
     input_dir: str,
     output_base: str,
@@ -49,50 +68,100 @@ def ingest_table(
     partition_by: tuple[str, ...] | None = None,
     profile: str | None = None,
     run_id: str = "batch",
-) -> int | None:
+    declaration: Mapping[str, Mapping] | None = None,
+) -> Loaded | None:
     """Load one batch file into ``silver/<table>``: rows with a key, one per key, stamped.
 
-    Returns the rows written, or None if there is no file. With ``profile`` the rows are
-    also judged; rejected ones go to the dead-letter table instead.
+    None if there is no file. With ``profile`` the rows are also judged, those without a
+    key too: rejected ones replace the table's dead letters of the run before. Reading,
+    one row per key and the rules run once, into a staged table from which both sides are
+    written; the verdicts are counted by the job that writes it.
     """
     source = read_source(spark, input_dir, table)
     if source is None:
         return None
     entity = ENTITIES.get(table)
     rows = normalize_times(source)
+    keyless = None
     if entity is not None and entity.key in rows.columns:
         versions = [F.col(n) for n in (entity.version_column,) if n in rows.columns]
+        keyless = rows.filter(F.col(entity.key).isNull())
         rows = snapshot(rows, entity.key, versions)
-    if profile is not None and entity is not None:
-        judged = validate(rows, table, profile)
-        append_incidents(dead_letters(judged, entity, run_id), output_base)
-        rows = valid_rows(judged).drop("validation_status", "validation_reason")
     if partition_by is None:
         partition_by = entity.partition_by if entity is not None else ()
-    stamped = rows.withColumn("ingestion_timestamp", F.current_timestamp())
-    return write_table(stamped, f"{output_base.rstrip('/')}/silver/{table}", partition_by)
+    silver = f"{output_base.rstrip('/')}/silver/{table}"
+    if profile is None or entity is None:
+        stamped = rows.withColumn("ingestion_timestamp", F.current_timestamp())
+        return Loaded(write_table(stamped, silver, partition_by), None)
+
+    everything = rows if keyless is None else rows.unionByName(keyless)
+    counted = Observation()
+    status = F.col("validation_status")
+    judged = validate(everything, table, profile, declaration).observe(
+        counted,
+        F.count_if(status == VALID).alias("valid"),
+        F.count_if(status == INVALID).alias("invalid"),
+    )
+    staging = scratch_dir(spark, f"judged-{table}")
+    judged.write.parquet(staging)
+    held = spark.read.schema(judged.schema).parquet(staging)
+    replace_rejects(dead_letters(invalid_rows(held), entity, run_id), output_base, table)
+    accepted = valid_rows(held).drop("validation_status", "validation_reason")
+    stamped = accepted.withColumn("ingestion_timestamp", F.current_timestamp())
+    written = write_table(stamped, silver, partition_by)
+    verdicts = (counted.get["valid"], counted.get["invalid"])
+    remove_path(spark, staging)
+    return Loaded(written, verdicts)
+
+
+def ingest_table(spark: SparkSession, input_dir: str, output_base: str, table: str, **options) -> int | None:
+    """:func:`load_table`, giving the rows written, or None if there was no file."""
+    loaded = load_table(spark, input_dir, output_base, table, **options)
+    return None if loaded is None else loaded.rows
+
+
+def _load_all(spark, input_dir, output_base, profile, declaration) -> dict[str, Loaded | None]:
+    run_id = str(uuid.uuid4())
+    loaded = {
+        table: load_table(
+            spark, input_dir, output_base, table,
+            profile=profile, run_id=run_id, declaration=declaration,
+        )
+        for table in ENTITIES
+    }
+    log.info("batch ingestion: %s", loaded)
+    return loaded
+
+
+def _rows(loaded: Mapping[str, Loaded | None]) -> dict[str, int | None]:
+    return {table: None if found is None else found.rows for table, found in loaded.items()}
 
 
 def run_batch_ingestion(
-    spark: SparkSession, input_dir: str, output_base: str, profile: str | None = None
+    spark: SparkSession,
+    input_dir: str,
+    output_base: str,
+    profile: str | None = None,
+    declaration: Mapping[str, Mapping] | None = None,
 ) -> dict[str, int | None]:
     """Load all five tables; rows per table, None where there was no file."""
-    run_id = str(uuid.uuid4())
-    metrics = {
-        table: ingest_table(spark, input_dir, output_base, table, profile=profile, run_id=run_id)
-        for table in ENTITIES
-    }
-    log.info("batch ingestion: %s", metrics)
-    return metrics
+    return _rows(_load_all(spark, input_dir, output_base, profile, declaration))
+
+
+def _changes(spark: SparkSession, base: str, entity: Entity) -> DataFrame:
+    changes = read_changes(spark, base, entity)
+    if changes is None:
+        raise ValueError(f"no change log of {entity.name} below {base}")
+    return changes
 
 
 def refresh_snapshot(spark: SparkSession, output_base: str, entity: Entity | str) -> int:
-    """Rebuild ``silver/<table>`` from its change log. Deletes that were rejected for the
-    quality of their old row still delete."""
+    """Rebuild ``silver/<table>`` from its change log, of either form of the stream. Deletes
+    that were rejected for the quality of their old row still delete."""
     entity = ENTITIES[entity] if isinstance(entity, str) else entity
     base = output_base.rstrip("/")
-    changes = change_columns(spark.read.parquet(f"{base}/silver_changelog/{entity.name}"), entity)
-    errors = read_parquet(spark, f"{base}/errors/{entity.name}")
+    changes = change_columns(_changes(spark, base, entity), entity)
+    errors = read_entity_errors(spark, base, entity)
     if errors is not None:
         changes = changes.unionByName(rejected_deletes(errors, entity))
     rows = normalize_times(current_state(changes, entity))
@@ -117,8 +186,8 @@ def advance_snapshot(
     """
     entity = ENTITIES[entity] if isinstance(entity, str) else entity
     base = output_base.rstrip("/")
-    changes = spark.read.parquet(f"{base}/silver_changelog/{entity.name}")
-    errors = read_parquet(spark, f"{base}/errors/{entity.name}")
+    changes = _changes(spark, base, entity)
+    errors = read_entity_errors(spark, base, entity)
     if since is not None:
         start = F.lit(since).cast("timestamp")
         changes = changes.filter(F.col("processing_time") >= start)
@@ -135,6 +204,37 @@ def advance_snapshot(
     return write_table(stamped, f"{base}/silver/{entity.name}", entity.partition_by)
 
 
+def log_late_events(
+    spark: SparkSession, output_base: str, entity: Entity | str, delay_ms: int = 600_000
+) -> int:
+    """Write ``late_events/<table>``: the stored events, accepted or rejected, that were
+    older than the greatest event time of all earlier micro-batches minus the delay. The
+    rows of a micro-batch share its processing time, so its order is known from the
+    tables."""
+    entity = ENTITIES[entity] if isinstance(entity, str) else entity
+    base = output_base.rstrip("/")
+    stamp = F.to_timestamp("processing_timestamp")
+    events = _changes(spark, base, entity).select(
+        F.col(entity.key).cast("string").alias("record_id"),
+        "operation",
+        "event_ts_ms",
+        F.unix_millis(stamp).alias("processing_ms"),
+    )
+    errors = read_entity_errors(spark, base, entity)
+    if errors is not None:
+        # A dead letter without an event time has its processing time there: never late.
+        events = events.unionByName(
+            errors.select(
+                "record_id",
+                "operation",
+                F.col("event_timestamp").alias("event_ts_ms"),
+                F.unix_millis(stamp).alias("processing_ms"),
+            )
+        )
+    late = late_events(events, "event_ts_ms", "processing_ms", delay_ms, 1)
+    return write_table(late, f"{base}/late_events/{entity.name}")
+
+
 def replay(
     spark: SparkSession,
     bronze_path: str,
@@ -191,20 +291,21 @@ def run_batch(
     spark: SparkSession,
     input_dir: str,
     data_dir: str,
-    profile: str | None = "record",
+    profile: str = "record",
     gate: bool = True,
+    declaration: Mapping[str, Mapping] | None = None,
 ) -> dict:
-    """The batch sequence: load silver, gate it, build the marts, audit the result."""
+    """The batch sequence: load and judge, gate on the share of rejects in what came in,
+    build the marts, audit the result. Loading the same files again changes nothing."""
     base = data_dir.rstrip("/")
-    metrics = run_batch_ingestion(spark, input_dir, base, profile)
-    silver = load_silver(spark, f"{base}/silver")
+    loaded = _load_all(spark, input_dir, base, profile, declaration)
+    verdicts = {t: found.verdicts for t, found in loaded.items() if found and found.verdicts}
+    scores = score_counts(spark, verdicts)
     if gate:
-        for table in ("customers", "products", "orders", "payments"):
-            quality_gate(silver[table], table, profile or "record")
+        share_gate(scores, read_errors(spark, base))
     run_transformations(spark, f"{base}/silver", f"{base}/gold")
-    judged = {t: validate(df, t, profile or "record") for t, df in silver.items()}
     return {
-        "rows": metrics,
-        "quality": quality_score(judged).collect(),  # one row per table
+        "rows": _rows(loaded),
+        "quality": scores.collect(),  # one row per table
         "tiers": audit_lake(spark, base).collect(),  # one row per tier
     }

@@ -3,13 +3,14 @@ and stores it."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.money import avg_money, percent2, total_money
 from tidemark.functions.temporal import to_day
 from tidemark.operators.ranking import dense_rank_all
 from tidemark.schemas import CANCELLED
+from tidemark.session import staged
 from tidemark.sinks.tables import write_mart
 from tidemark.sources.tables import load_silver
 
@@ -78,8 +79,9 @@ def customer_lifetime_value_mart(customers: DataFrame, orders: DataFrame) -> Dat
 
 
 def ranked_customers(lifetime_value: DataFrame) -> DataFrame:
-    """The customer mart with ``clv_rank`` for every customer that has a value."""
-    return dense_rank_all(lifetime_value, "lifetime_value", "clv_rank")
+    """The customer mart with ``clv_rank`` for every customer that has a value. The cut
+    points and the ranks both read the mart, so it is computed once and written."""
+    return dense_rank_all(staged(lifetime_value, "clv"), "lifetime_value", "clv_rank")
 
 
 def product_performance_mart(products: DataFrame, order_items: DataFrame) -> DataFrame:
@@ -106,14 +108,14 @@ def payment_summary_mart(payments: DataFrame) -> DataFrame:
 
 def with_success_rate(payment_mart: DataFrame) -> DataFrame:
     """The payment mart with the success rate of its method."""
-    rates = payment_mart.groupBy("payment_method").agg(
-        percent2(
-            "sum(CASE WHEN payment_status = 'SUCCESS' THEN transaction_count ELSE 0 END)",
-            "sum(transaction_count)",
-        ).alias("success_rate_pct")
+    method = Window.partitionBy("payment_method")  # a few statuses each
+    won = F.when(F.col("payment_status") == "SUCCESS", F.col("transaction_count")).otherwise(0)
+    return (
+        payment_mart.withColumn("_won", F.sum(won).over(method))
+        .withColumn("_all", F.sum("transaction_count").over(method))
+        .withColumn("success_rate_pct", percent2("_won", "_all"))
+        .drop("_won", "_all")
     )
-    same = payment_mart["payment_method"].eqNullSafe(rates["payment_method"])
-    return payment_mart.join(rates, same, "left").drop(rates["payment_method"])
 
 
 def _store(mart: DataFrame, gold_base: str, name: str) -> DataFrame:

@@ -34,7 +34,8 @@ _STAMP = "2024-01-01 00:00:00"
 
 def query(build: Query) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return build(apply_settings(spark), sf_dir)
+        streams = build.__name__.startswith("stream_")
+        return build(apply_settings(spark, streaming=streams), sf_dir)
 
     QUERIES[build.__name__] = run
     return run
@@ -139,8 +140,8 @@ def status_aggregate(spark, sf_dir):
 @query
 def status_aggregate_csv(spark, sf_dir):
     """The status aggregate on a CSV export of the orders."""
-    paths = sinks.export_table(wh.orders(spark, sf_dir), scratch_dir(spark, "csv"), "orders")
-    return reports.status_aggregate(inputs.read_csv(spark, paths["csv"], ORDERS.payload))
+    path = sinks.export_csv(wh.orders(spark, sf_dir), scratch_dir(spark, "csv"), "orders")
+    return reports.status_aggregate(inputs.read_csv(spark, path, ORDERS.payload))
 
 
 PRUNED_DAY = "1998-08-02"
@@ -347,7 +348,14 @@ def dq_constraints(spark, sf_dir):
 
 @query
 def dq_orphans(spark, sf_dir):
-    tables = {**_entities(spark, sf_dir), "order_items": wh.order_items(spark, sf_dir, True)}
+    needed: dict[str, set[str]] = {}
+    for child, column, parent, key in FOREIGN_KEYS:
+        needed.setdefault(child, set()).add(column)
+        needed.setdefault(parent, set()).add(key)
+    tables = {
+        name: getattr(wh, name)(spark, sf_dir, True, sorted(columns))
+        for name, columns in needed.items()
+    }
     return integrity.orphan_report(tables, FOREIGN_KEYS)
 
 
@@ -533,6 +541,21 @@ def ingest_metrics(spark, sf_dir):
     return spark.createDataFrame(list(metrics.items()), "source_table string, row_count long")
 
 
+@query
+def batch_quality(spark, sf_dir):
+    """Scores of the batch job over files with planted defects: of all that came in."""
+    base = scratch_dir(spark, "batch")
+    frames = {**_entities(spark, sf_dir), "order_items": wh.order_items(spark, sf_dir).drop("shipped_at")}
+    for name, df in frames.items():
+        df.write.parquet(f"{base}/batch/{name}.parquet")
+    result = ingest.run_batch(spark, f"{base}/batch", base, gate=False)
+    return spark.createDataFrame(
+        result["quality"],
+        "source_table string, total_count long, valid_count long, invalid_count long, "
+        "dq_score double, below_sla boolean, error_alert boolean",
+    ).filter("source_table <> 'order_items'")
+
+
 @query
 def csv_roundtrip(spark, sf_dir):
     paths = sinks.export_table(
@@ -564,18 +587,19 @@ def lake_views(spark, sf_dir):
 
 @query
 def replayed_bronze(spark, sf_dir):
-    """Events per side after landed messages were replayed."""
+    """The events on both sides after landed messages were replayed."""
     base = scratch_dir(spark, "replay")
     sinks.write_table(_messages(spark, sf_dir), f"{base}/bronze/orders")
     ingest.replay(spark, f"{base}/bronze/orders", "orders", base)
-    sides = [
-        spark.read.parquet(f"{base}/{side}/orders")
-        .groupBy("validation_status")
-        .agg(F.count("*").alias("event_count"))
-        .withColumn("side", F.lit(side))
-        for side in ("silver_changelog", "errors")
-    ]
-    return _union(sides)
+    shown = ["operation", "validation_status", "validation_reason", "source_table"]
+    accepted = spark.read.parquet(f"{base}/silver_changelog/orders")
+    rejected = spark.read.parquet(f"{base}/errors/orders")
+    return _union(
+        [
+            accepted.select(F.col("order_id").cast("string").alias("record_id"), "total_amount", *shown),
+            rejected.select("record_id", F.lit(None).cast("double").alias("total_amount"), *shown),
+        ]
+    )
 
 
 @query
@@ -641,10 +665,15 @@ def _finish(spark, queries):
     pipelines.await_all(spark, queries)
 
 
-@query
-def stream_orders_silver(spark, sf_dir):
-    base = scratch_dir(spark, "stream")
-    messages = wh.order_messages(_raw_stream(spark, sf_dir, "orders"))
+def _in_batches(spark, messages, base, table, files=7):
+    """Messages landed in shuffled order as several files, read one file per micro-batch."""
+    path = f"{base}/bronze/{table}"
+    landed = messages.withColumn("landed_at", F.current_timestamp())
+    landed.repartition(files).write.parquet(path)
+    return landed_messages(spark, path, max_files_per_trigger=1)
+
+
+def _orders_silver(spark, messages, base):
     _finish(
         spark,
         pipelines.process_orders_stream(
@@ -658,10 +687,65 @@ def stream_orders_silver(spark, sf_dir):
         ),
     )
     return spark.read.parquet(f"{base}/silver_changelog/orders").select(
-        *ORDERS.columns, "order_date_dt", "operation", "event_ts_ms", "log_position"
+        *ORDERS.columns,
+        "order_date_dt",
+        "operation",
+        "event_ts_ms",
+        "log_position",
+        "source_table",
+        "event_timestamp",
+        F.col("processing_timestamp").isNotNull().alias("is_stamped"),
     )
 
 
+@query
+def stream_orders_silver(spark, sf_dir):
+    messages = wh.order_messages(_raw_stream(spark, sf_dir, "orders"))
+    return _orders_silver(spark, messages, scratch_dir(spark, "stream"))
+
+
+@query
+def stream_orders_batches(spark, sf_dir):
+    """The same over several micro-batches whose event times are out of order."""
+    base = scratch_dir(spark, "stream")
+    messages = _in_batches(spark, _messages(spark, sf_dir), base, "orders")
+    return _orders_silver(spark, messages, base)
+
+
+def _streamed_once(spark, sf_dir):
+    """The folder of a single-query stream over all order messages, in micro-batches."""
+    base = scratch_dir(spark, "stream")
+    messages = _in_batches(spark, _messages(spark, sf_dir), base, "orders", 3)
+    once = pipelines.process_stream_once(
+        spark,
+        messages,
+        "orders",
+        base,
+        f"{base}/checkpoints",
+        trigger=_NOW,
+        state_partitions=_cores(spark),
+    )
+    _finish(spark, [once])
+    return base
+
+
+@query
+def stream_operations_audit(spark, sf_dir):
+    """Incidents per reason in the dead letters of a single-query stream."""
+    errors = inputs.read_errors(spark, _streamed_once(spark, sf_dir))
+    return reports.operations_audit(errors).drop("first_seen", "last_seen")
+
+
+@query
+def stream_snapshot(spark, sf_dir):
+    """The current rows rebuilt from a single-query stream."""
+    base = _streamed_once(spark, sf_dir)
+    ingest.refresh_snapshot(spark, base, "orders")
+    rows = spark.read.parquet(f"{base}/silver/orders")
+    times = {n: F.date_format(n, "yyyy-MM-dd'T'HH:mm:ss") for n in ("order_date", "updated_at")}
+    return rows.withColumns(times).select(*ORDERS.columns)
+
+
 @query
 def stream_orders_errors(spark, sf_dir):
     base = scratch_dir(spark, "stream")
@@ -677,24 +761,23 @@ def stream_orders_errors(spark, sf_dir):
         state_partitions=_cores(spark),
     )
     _finish(spark, [once])
-    return pipelines.judged_errors(spark, base, "orders").select(
+    return inputs.judged_errors(spark, base, "orders").select(
         "source_table", "record_id", "operation", "validation_status", "validation_reason"
     )
 
 
-def _streamed(spark, sf_dir, table, date_column, columns):
-    """Bronze landing of one table, then its pipeline; accepted and rejected rows."""
+def _streamed(spark, sf_dir, table, date_column, columns, files=1):
+    """Bronze landing of one table, then its pipeline; accepted rows with their payload and
+    rejected rows."""
     entity = ENTITIES[table]
     base = scratch_dir(spark, "stream")
     rows = getattr(wh, table)(spark, sf_dir, poison=True).select(*columns)
     messages = wh.entity_messages(rows, table, entity.key, date_column)
-    landed = messages.withColumn("landed_at", F.current_timestamp())
-    sinks.write_table(landed, f"{base}/bronze/{table}")
     _finish(
         spark,
         pipelines.process_stream(
             spark,
-            landed_messages(spark, f"{base}/bronze/{table}"),
+            _in_batches(spark, messages, base, table, files),
             entity,
             base,
             f"{base}/checkpoints",
@@ -704,6 +787,8 @@ def _streamed(spark, sf_dir, table, date_column, columns):
         ),
     )
     accepted = spark.read.parquet(f"{base}/silver_changelog/{table}")
+    payload = [name for name in columns if name != entity.key]
+    types = dict(accepted.dtypes)
     rejected = inputs.read_errors(spark, base)
     return _union(
         [
@@ -711,8 +796,14 @@ def _streamed(spark, sf_dir, table, date_column, columns):
                 F.col(entity.key).cast("string").alias("record_id"),
                 "validation_status",
                 "validation_reason",
+                *payload,
+            ),
+            rejected.select(
+                "record_id",
+                "validation_status",
+                "validation_reason",
+                *[F.lit(None).cast(types[name]).alias(name) for name in payload],
             ),
-            rejected.select("record_id", "validation_status", "validation_reason"),
         ]
     )
 
@@ -729,6 +820,12 @@ def stream_payments(spark, sf_dir):
     return _streamed(spark, sf_dir, "payments", "payment_date", columns)
 
 
+@query
+def stream_payments_batches(spark, sf_dir):
+    columns = ENTITIES["payments"].columns
+    return _streamed(spark, sf_dir, "payments", "payment_date", columns, files=7)
+
+
 @query
 def stream_products(spark, sf_dir):
     columns = ["product_id", "product_name", "category", "price", "stock_quantity"]
@@ -737,24 +834,40 @@ def stream_products(spark, sf_dir):
 
 @query
 def stream_order_items(spark, sf_dir):
+    # Item keys repeat with other values, of which the stream keeps the first to arrive.
     columns = ENTITIES["order_items"].columns
-    return _streamed(spark, sf_dir, "order_items", None, columns)
+    found = _streamed(spark, sf_dir, "order_items", None, columns)
+    return found.select("record_id", "validation_status", "validation_reason")
+
+
+def _twice(events):
+    copies = events.withColumn("copy", F.explode(F.array(F.lit(1), F.lit(2))))
+    return copies.select(
+        "event_id",
+        F.col("event_type").alias("operation"),
+        F.unix_millis(F.col("ts").cast("timestamp")).alias("event_ts_ms"),
+    )
 
 
 @query
 def stream_event_dedup(spark, sf_dir):
     """Every event sent twice; the stream keeps one of each."""
     base = scratch_dir(spark, "stream")
-    twice = (
-        _raw_stream(spark, sf_dir, "events")
-        .withColumn("copy", F.explode(F.array(F.lit(1), F.lit(2))))
-        .select(
-            "event_id",
-            F.col("event_type").alias("operation"),
-            F.unix_millis(F.col("ts").cast("timestamp")).alias("event_ts_ms"),
-        )
-    )
-    stored = pipelines._start(
+    return _one_of_each(spark, _twice(_raw_stream(spark, sf_dir, "events")), base)
+
+
+@query
+def stream_event_dedup_batches(spark, sf_dir):
+    """The same with the copies in different micro-batches, out of order."""
+    base = scratch_dir(spark, "stream")
+    sent = _twice(_raw(spark, sf_dir, "events"))
+    sent.repartition(5).write.parquet(f"{base}/sent")
+    reader = spark.readStream.schema(sent.schema).option("maxFilesPerTrigger", 1)
+    return _one_of_each(spark, reader.parquet(f"{base}/sent"), base)
+
+
+def _one_of_each(spark, twice, base):
+    stored = pipelines.start_table(
         distinct_events_stream(twice, "event_id"),
         f"{base}/events",
         f"{base}/state",

@@ -166,7 +166,9 @@ def category_rollup(products: DataFrame, order_items: DataFrame) -> DataFrame:
             F.coalesce(sum_money("gross_revenue"), F.lit(0.0)).alias("gross_revenue"),
         )
     )
-    everything = F.sum("gross_revenue").over(Window.partitionBy(F.lit(1)))
+    # Whole cents, so that the total does not depend on the order of the categories.
+    cents = F.col("gross_revenue").cast("decimal(38,2)")
+    everything = F.sum(cents).over(Window.partitionBy(F.lit(1))).cast("double")
     return (
         categories.withColumn("_everything", everything)
         .withColumn("revenue_share_pct", percent2("gross_revenue", "_everything"))

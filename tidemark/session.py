@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings the engine relies on. Shuffle partitions are left to the cluster and to
 # adaptive execution; time zone and ANSI mode decide results and are fixed here.
@@ -45,10 +45,13 @@ def build_session(
     return builder.getOrCreate()
 
 
-def apply_settings(spark: SparkSession) -> SparkSession:
-    """Set the result-deciding settings on a session somebody else built."""
+def apply_settings(spark: SparkSession, streaming: bool = False) -> SparkSession:
+    """Set the result-deciding settings on a session somebody else built; for streams also
+    where they keep their state."""
     for name in ("spark.sql.session.timeZone", "spark.sql.ansi.enabled"):
         spark.conf.set(name, SETTINGS[name])
+    for name, value in STREAMING_SETTINGS.items() if streaming else ():
+        spark.conf.set(name, value)
     return spark
 
 
@@ -63,3 +66,17 @@ def scratch_dir(spark: SparkSession, label: str) -> str:
         root = tempfile.mkdtemp(prefix="tidemark-")
         spark.sparkContext.setCheckpointDir(root)
     return f"{root.rstrip('/')}/tidemark/{label}-{uuid.uuid4().hex}"
+
+
+def staged(df: DataFrame, label: str) -> DataFrame:
+    """``df`` as a table in the shared scratch folder, read back: what several branches
+    need is computed once, and a lost executor repeats none of it."""
+    path = scratch_dir(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def remove_path(spark: SparkSession, path: str) -> None:
+    """Delete a folder a job made for itself, on whatever file system it is."""
+    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(hadoop_path, True)

@@ -45,16 +45,29 @@ def write_mart(df: DataFrame, gold_base: str, name: str) -> int:
 
 def export_table(df: DataFrame, output_dir: str, table: str) -> dict[str, str]:
     """Export a table twice, as CSV with header and as Parquet."""
-    base = f"{output_dir.rstrip('/')}/{table}"
-    # Quotes are doubled and blanks kept, so that any CSV reader gets the same text.
-    df.write.mode("overwrite").options(
-        header="true",
-        escape='"',
-        ignoreLeadingWhiteSpace="false",
-        ignoreTrailingWhiteSpace="false",
-    ).csv(f"{base}.csv")
-    df.write.mode("overwrite").parquet(f"{base}.parquet")
-    return {"csv": f"{base}.csv", "parquet": f"{base}.parquet"}
+    path = f"{output_dir.rstrip('/')}/{table}.parquet"
+    df.write.mode("overwrite").parquet(path)
+    return {"csv": export_csv(df, output_dir, table), "parquet": path}
+
+
+def export_csv(df: DataFrame, output_dir: str, table: str) -> str:
+    """Export a table as CSV with header; the path. Quotes are doubled and blanks kept, so
+    that any CSV reader gets the same text."""
+    path = f"{output_dir.rstrip('/')}/{table}.csv"
+    options = {
+        "header": "true",
+        "escape": '"',
+        "ignoreLeadingWhiteSpace": "false",
+        "ignoreTrailingWhiteSpace": "false",
+    }
+    df.write.mode("overwrite").options(**options).csv(path)
+    return path
+
+
+def replace_rejects(errors: DataFrame, data_dir: str, table: str) -> int:
+    """The dead letters of one table's batch input, in place of those of the run before:
+    loading the same files again changes nothing."""
+    return write_table(errors, f"{data_dir.rstrip('/')}/errors/batch_{table}")
 
 
 def append_incidents(errors: DataFrame, data_dir: str) -> int:

@@ -2,15 +2,19 @@
 
 from __future__ import annotations
 
+import logging
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.session import scratch_dir
+from tidemark.session import remove_path, scratch_dir
 from tidemark.sinks.tables import refuse_stream_output, write_table
 
 
+log = logging.getLogger(__name__)
+
+
 def replace_partitions(df: DataFrame, path: str, partition_by: Sequence[str]) -> None:
     """Overwrite exactly the partitions that occur in ``df``; all others stay."""
     refuse_stream_output(df.sparkSession, path)
@@ -37,13 +41,25 @@ def compact_partition(
 
     The rows go to a staging table first, because a table cannot be overwritten while it
     is read. A job that dies in between leaves the partition as it was, or a staging copy
-    from which the overwrite can be repeated.
+    (its path is in the log) from which the overwrite can be repeated; it goes when the
+    overwrite is done.
     """
     partition = spark.read.parquet(path)
     for name, value in values.items():
         partition = partition.filter(F.col(name) == F.lit(value))
     staging = scratch_dir(spark, "compaction")
+    log.info("compacting %s %s by way of %s", path, values, staging)
     rows = write_table(partition.hint("rebalance"), staging)
     if rows:
         replace_partitions(spark.read.parquet(staging), path, partition_by)
+    remove_path(spark, staging)
     return rows
+
+
+def compact_changelog(
+    spark: SparkSession, path: str, target: str, partition_by: Sequence[str] = ()
+) -> int:
+    """A streaming sink's table as a new folder of few large files; returns its rows. The
+    sink's own folder stays as it is, for its file list belongs to the stream; readers are
+    pointed to ``target`` once it is complete."""
+    return write_table(spark.read.parquet(path), target, partition_by)

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from tidemark.schemas import ENTITIES, ERRORS
+from tidemark.schemas import ENTITIES, ERRORS, Entity
 
 log = logging.getLogger(__name__)
 
@@ -90,18 +90,83 @@ def empty_errors(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame([], ERRORS)
 
 
+def _entries(spark: SparkSession, path: str) -> list[tuple[str, bool]]:
+    """Name and whether it is a folder, of what is in a folder; hidden names left out."""
+    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    files = hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not files.exists(hadoop_path):
+        return []
+    found = [(e.getPath().getName(), e.isDirectory()) for e in files.listStatus(hadoop_path)]
+    return sorted((name, folder) for name, folder in found if name[0] not in "._")
+
+
+def read_judged(
+    spark: SparkSession, output_base: str, entity: Entity | str, status: str | None = None
+) -> DataFrame | None:
+    """Events stored by the single-query stream, one side or both; None if there are
+    none. A status prunes the other side's folders."""
+    name = entity if isinstance(entity, str) else entity.name
+    df = read_parquet(spark, f"{output_base.rstrip('/')}/judged_changelog/{name}")
+    return df if df is None or status is None else df.filter(F.col("validation_status") == status)
+
+
+def judged_errors(spark: SparkSession, output_base: str, entity: Entity | str) -> DataFrame | None:
+    """The rejected side of the single-query stream in the dead-letter shape."""
+    entity = ENTITIES[entity] if isinstance(entity, str) else entity
+    rejected = read_judged(spark, output_base, entity, "INVALID")
+    if rejected is None:
+        return None
+    return rejected.select(
+        "source_table",
+        F.col(entity.key).cast("string").alias("record_id"),
+        F.lower("operation").alias("operation"),
+        F.coalesce("event_ts_ms", F.unix_millis("processing_time")).alias("event_timestamp"),
+        "processing_timestamp",
+        "pipeline_run_id",
+        "validation_status",
+        "validation_reason",
+        "raw_payload",
+    )
+
+
+def read_changes(spark: SparkSession, output_base: str, entity: Entity) -> DataFrame | None:
+    """Accepted changes from whichever form of the stream wrote them, or from both."""
+    base = output_base.rstrip("/")
+    two = read_parquet(spark, f"{base}/silver_changelog/{entity.name}")
+    one = read_judged(spark, base, entity, "VALID")
+    if one is None or two is None:
+        return two if one is None else one
+    return two.unionByName(one, allowMissingColumns=True)
+
+
+def read_entity_errors(spark: SparkSession, output_base: str, entity: Entity) -> DataFrame | None:
+    """Dead letters of one entity's streams, of either form."""
+    two = read_parquet(spark, f"{output_base.rstrip('/')}/errors/{entity.name}")
+    one = judged_errors(spark, output_base, entity)
+    if one is None or two is None:
+        return two if one is None else one
+    return two.unionByName(one, allowMissingColumns=True)
+
+
 def read_errors(spark: SparkSession, data_dir: str) -> DataFrame:
-    """The dead-letter table over all entity folders; typed and empty if there is none.
+    """The dead-letter table; typed and empty if there is none.
 
-    The table is one folder per entity below ``errors``, each with the same shape.
+    It is whatever lies below ``errors``: a folder per entity or per batch input, and
+    files put there directly; and the rejected side of single-query streams. Each folder is
+    read on its own, so that the file list of a streaming sink counts.
     """
     base = f"{data_dir.rstrip('/')}/errors"
-    found = [read_parquet(spark, f"{base}/{name}") for name in [*ENTITIES, "incidents"]]
+    entries = _entries(spark, base)
+    found = [read_parquet(spark, f"{base}/{name}") for name, folder in entries if folder]
+    loose = [f"{base}/{name}" for name, folder in entries if not folder and name.endswith(".parquet")]
+    if loose:
+        found.append(spark.read.parquet(*loose))
+    found += [judged_errors(spark, data_dir, entity) for entity in ENTITIES.values()]
     result = empty_errors(spark)
     for df in found:
         if df is not None:
             result = result.unionByName(df, allowMissingColumns=True)
-    return result
+    return result.select(ERRORS.fieldNames())
 
 
 def register_views(spark: SparkSession, data_dir: str) -> dict[str, str]:
@@ -128,19 +193,3 @@ def register_views(spark: SparkSession, data_dir: str) -> dict[str, str]:
             log.warning("no data for view %s_source", name)
     read_errors(spark, base).createOrReplaceTempView("errors_source")
     return origins
-
-
-def benchmark_join_tables(spark: SparkSession, rows: int) -> tuple[DataFrame, DataFrame]:
-    """``(fact_order, dim_customer)`` computed from ranges: 499 customers in 20 cities and
-    ``rows`` orders spread evenly over them."""
-    dim = spark.range(1, 500).select(
-        F.col("id").alias("customer_id"),
-        F.concat(F.lit("Customer_"), F.col("id").cast("string")).alias("name"),
-        F.concat(F.lit("City_"), (F.col("id") % 20).cast("string")).alias("city"),
-    )
-    fact = spark.range(1, rows + 1).select(
-        F.col("id").alias("order_id"),
-        (F.col("id") % 499 + 1).alias("customer_id"),
-        ((F.col("id") * 1.5) % 5000).cast("double").alias("amount"),
-    )
-    return fact, dim

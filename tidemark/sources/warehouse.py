@@ -9,6 +9,8 @@ without sales exist.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -23,9 +25,11 @@ def _every(key: Column, modulus: int, rest: int) -> Column:
     return key % modulus == rest
 
 
-def _entity(df: DataFrame, poison: bool) -> DataFrame:
+def _entity(df: DataFrame, poison: bool, columns: Sequence[str] | None) -> DataFrame:
     # Planted defects are long expressions; rules filtering on them should not repeat them.
-    return compute_once(df) if poison else df
+    # Columns nobody needs go before that, for the scan does not see past it.
+    wanted = df.select(*columns) if columns else df
+    return compute_once(wanted) if poison else wanted
 
 
 def _poisoned(poison: bool, value: Column, *defects: tuple[Column, Column]) -> Column:
@@ -39,7 +43,9 @@ def _poisoned(poison: bool, value: Column, *defects: tuple[Column, Column]) -> C
     return chain.otherwise(value)
 
 
-def customers(spark: SparkSession, sf_dir: str, poison: bool = False) -> DataFrame:
+def customers(
+    spark: SparkSession, sf_dir: str, poison: bool = False, columns: Sequence[str] | None = None
+) -> DataFrame:
     k = F.col("c_custkey")
     name = F.split("c_name", "#")
     address = F.concat(F.lower(F.replace("c_name", F.lit("#"), F.lit("_"))), F.lit("@example.com"))
@@ -59,10 +65,12 @@ def customers(spark: SparkSession, sf_dir: str, poison: bool = False) -> DataFra
         F.col("n_name").alias("city"),
         F.col("r_name").alias("state"),
     )
-    return _entity(listed, poison)
+    return _entity(listed, poison, columns)
 
 
-def products(spark: SparkSession, sf_dir: str, poison: bool = False) -> DataFrame:
+def products(
+    spark: SparkSession, sf_dir: str, poison: bool = False, columns: Sequence[str] | None = None
+) -> DataFrame:
     k = F.col("p_partkey")
     listed = _read(spark, sf_dir, "part").select(
         (k + 1).alias("product_id"),
@@ -81,7 +89,7 @@ def products(spark: SparkSession, sf_dir: str, poison: bool = False) -> DataFram
             (_every(k, 79, 1), F.lit(None)),
         ).alias("stock_quantity"),
     )
-    return _entity(listed, poison)
+    return _entity(listed, poison, columns)
 
 
 # The status an order has, by key.
@@ -119,16 +127,21 @@ def _order_columns(poison: bool) -> list[Column]:
     ]
 
 
-def orders(spark: SparkSession, sf_dir: str, poison: bool = False) -> DataFrame:
-    return _entity(_read(spark, sf_dir, "orders").select(*_order_columns(poison)), poison)
+def orders(
+    spark: SparkSession, sf_dir: str, poison: bool = False, columns: Sequence[str] | None = None
+) -> DataFrame:
+    listed = _read(spark, sf_dir, "orders").select(*_order_columns(poison))
+    return _entity(listed, poison, columns)
 
 
-def order_items(spark: SparkSession, sf_dir: str, poison: bool = False) -> DataFrame:
+def order_items(
+    spark: SparkSession, sf_dir: str, poison: bool = False, columns: Sequence[str] | None = None
+) -> DataFrame:
     """Line items. ``order_item_id`` repeats with different values, as the warehouse has
     several rows per (order, line)."""
     k = F.col("l_orderkey")
     product = F.col("l_partkey")
-    return _read(spark, sf_dir, "lineitem").select(
+    listed = _read(spark, sf_dir, "lineitem").select(
         (k * 8 + F.col("l_linenumber")).alias("order_item_id"),
         _poisoned(poison, k + 1, (_every(F.col("l_suppkey"), 97, 5), -k - 1)).alias("order_id"),
         (product + F.when(product % 10 == 4, 2).otherwise(1)).alias("product_id"),
@@ -136,6 +149,7 @@ def order_items(spark: SparkSession, sf_dir: str, poison: bool = False) -> DataF
         F.col("l_extendedprice").alias("unit_price"),
         F.col("l_shipdate").alias("shipped_at"),
     )
+    return listed.select(*columns) if columns else listed
 
 
 def _payment_columns(poison: bool) -> list[Column]:
@@ -176,8 +190,11 @@ def _payment_columns(poison: bool) -> list[Column]:
     ]
 
 
-def payments(spark: SparkSession, sf_dir: str, poison: bool = False) -> DataFrame:
-    return _entity(_read(spark, sf_dir, "orders").select(*_payment_columns(poison)), poison)
+def payments(
+    spark: SparkSession, sf_dir: str, poison: bool = False, columns: Sequence[str] | None = None
+) -> DataFrame:
+    listed = _read(spark, sf_dir, "orders").select(*_payment_columns(poison))
+    return _entity(listed, poison, columns)
 
 
 def _iso(column: str) -> Column:
@@ -192,8 +209,10 @@ def order_messages(raw_orders: DataFrame, poison: bool = True) -> DataFrame:
     """The order table as a change log of ``(key, value)`` messages.
 
     Every order is created; urgent creations are sent twice; filled orders (``F``) are
-    updated to DELIVERED a millisecond later; low-priority pending orders are deleted
-    another millisecond later. The frame may be a stream.
+    updated to DELIVERED a millisecond later, those of high priority in the same
+    millisecond again to SHIPPED; low-priority pending orders are deleted another
+    millisecond later. Planted among the creations: text that is no envelope, messages
+    without a value, and amounts that are text. The frame may be a stream.
     """
     k = F.col("o_orderkey")
     flat = raw_orders.select(*_order_columns(poison), k, "o_orderstatus", "o_orderpriority")
@@ -206,6 +225,7 @@ def order_messages(raw_orders: DataFrame, poison: bool = True) -> DataFrame:
         _iso("order_date").alias("updated_at"),
     )
     updated = image.withField("order_status", F.lit("DELIVERED"))
+    shipped = image.withField("order_status", F.lit("SHIPPED"))
     nothing = F.lit(None).cast(
         "struct<order_id:bigint,customer_id:bigint,order_status:string,total_amount:double,"
         "order_date:string,updated_at:string>"
@@ -213,7 +233,7 @@ def order_messages(raw_orders: DataFrame, poison: bool = True) -> DataFrame:
     created = _poisoned(poison, image, (_every(k, 127, 5), nothing))
     start = _epoch_ms("order_date")
 
-    def event(op: Column, step: int, before: Column, after: Column) -> Column:
+    def event(op: Column, step: int, before: Column, after: Column, place: int) -> Column:
         return F.struct(
             op.alias("op"),
             (start + step).alias("ts_ms"),
@@ -222,27 +242,37 @@ def order_messages(raw_orders: DataFrame, poison: bool = True) -> DataFrame:
             F.struct(
                 F.lit("shop").alias("db"),
                 F.lit("orders").alias("table"),
-                (k * 4 + step).alias("lsn"),
+                (k * 4 + place).alias("lsn"),
             ).alias("source"),
         )
 
     create_op = _poisoned(poison, F.lit("c"), (_every(k, 137, 3), F.lit("x")))
-    creation = event(create_op, 0, nothing, created)
+    creation = event(create_op, 0, nothing, created, 0)
     events = F.array(
         creation,
         F.when(F.col("o_orderpriority") == "1-URGENT", creation),
-        F.when(F.col("o_orderstatus") == "F", event(F.lit("u"), 1, image, updated)),
+        F.when(F.col("o_orderstatus") == "F", event(F.lit("u"), 1, image, updated, 1)),
+        F.when(
+            (F.col("o_orderstatus") == "F") & (F.col("o_orderpriority") == "2-HIGH"),
+            event(F.lit("u"), 1, updated, shipped, 3),
+        ),
         F.when(
             (F.col("o_orderpriority") == "5-LOW") & (F.col("o_orderstatus") == "P"),
-            event(F.lit("d"), 2, image, nothing),
+            event(F.lit("d"), 2, image, nothing, 2),
         ),
     )
     garbage = _every(k, 113, 8) & (F.col("e.op") == "c")
+    creations = F.col("e.op").isin("c", "x")
     text = F.to_json("e")
+    wordy = F.regexp_replace(text, r'"total_amount":[-0-9.E]+', '"total_amount":"abc"')
     return flat.select(k, F.explode(F.array_compact(events)).alias("e")).select(
         (k + 1).cast("string").alias("key"),
         _poisoned(
-            poison, text, (garbage, F.concat(F.lit("garbage "), k.cast("string")))
+            poison,
+            text,
+            (garbage, F.concat(F.lit("garbage "), k.cast("string"))),
+            (creations & _every(k, 149, 11), F.lit(None)),
+            (creations & _every(k, 151, 21), wordy),
         ).alias("value"),
     )
 

@@ -10,17 +10,19 @@ folder would hide or destroy them.
 
 from __future__ import annotations
 
+import uuid
+from collections.abc import Mapping
 from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from tidemark.functions.temporal import iso_utc
+from tidemark.functions.temporal import iso_utc, now_ms
 from tidemark.operators.deadletter import dead_letters, for_topic
 from tidemark.operators.dedup import distinct_events, distinct_events_stream
 from tidemark.operators.envelope import message_text, read_events, with_business_day
-from tidemark.operators.rules import INVALID, valid_rows
+from tidemark.operators.rules import valid_rows
 from tidemark.schemas import ENTITIES, Entity
 
 DEFAULT_DELAY = "10 minutes"
@@ -38,18 +40,26 @@ def changelog_rows(judged: DataFrame, entity: Entity, run_id: str) -> DataFrame:
         "validation_status",
         "validation_reason",
         F.lit(entity.name).alias("source_table"),
+        F.coalesce("event_ts_ms", now_ms()).alias("event_timestamp"),
+        iso_utc(F.col("processing_time")).alias("processing_timestamp"),
         F.lit(run_id).alias("pipeline_run_id"),
     )
 
 
 def distinct_judged(
-    messages: DataFrame, entity: Entity, profile: str, delay: str | None = DEFAULT_DELAY
+    messages: DataFrame,
+    entity: Entity,
+    profile: str,
+    delay: str | None = DEFAULT_DELAY,
+    declaration: Mapping[str, Mapping] | None = None,
 ) -> DataFrame:
     """Judged events without duplicates, for a stream or a batch of messages."""
-    judged = read_events(messages, entity, profile)
+    judged = read_events(messages, entity, profile, declaration)
     if messages.isStreaming:
-        return distinct_events_stream(judged, entity.key, delay)
-    return distinct_events(judged, entity.key)
+        once = distinct_events_stream(judged, entity.key, delay)
+    else:
+        once = distinct_events(judged, entity.key)
+    return once.drop("message_key")
 
 
 def split_events(
@@ -59,15 +69,28 @@ def split_events(
     run_id: str = "adhoc",
     delay: str | None = DEFAULT_DELAY,
     stamp: Column | None = None,
+    declaration: Mapping[str, Mapping] | None = None,
 ) -> tuple[DataFrame, DataFrame]:
     """``(accepted change-log rows, dead letters)`` of a stream or batch of messages.
-    Every distinct event is in exactly one of the two."""
-    judged = distinct_judged(messages, entity, profile, delay)
+    Every distinct event is in exactly one of the two, however late it arrives."""
+    judged = distinct_judged(messages, entity, profile, delay, declaration)
     time = stamp if stamp is not None else F.col("processing_time")
     return changelog_rows(judged, entity, run_id), dead_letters(judged, entity, run_id, time)
 
 
-def _start(
+def new_run(spark: SparkSession, checkpoint_base: str, table: str) -> str:
+    """The id of one start of a stream, noted beside its checkpoints."""
+    run_id = f"{table}-{uuid.uuid4()}"
+    started = spark.range(1).select(
+        F.lit(run_id).alias("pipeline_run_id"),
+        F.lit(table).alias("source_table"),
+        F.current_timestamp().alias("started_at"),
+    )
+    started.write.mode("append").parquet(f"{checkpoint_base.rstrip('/')}/runs")
+    return run_id
+
+
+def start_table(
     df: DataFrame,
     path: str,
     checkpoint: str,
@@ -117,20 +140,24 @@ def process_stream(
     trigger: dict | None = None,
     run_id: str | None = None,
     state_partitions: int | None = None,
+    declaration: Mapping[str, Mapping] | None = None,
 ) -> list[StreamingQuery]:
     """Start the silver and the dead-letter query of one entity.
 
     The two queries have their own checkpoints and progress independently; each reads the
     source and keeps its own duplicate state. :func:`process_stream_once` shares both.
     ``state_partitions`` fixes over how many tasks the duplicate state is spread, by
-    default the session's shuffle partitions.
+    default the session's shuffle partitions. Without a ``run_id`` every start has a new
+    one.
     """
     entity = ENTITIES[entity] if isinstance(entity, str) else entity
-    run = run_id or f"{entity.name}-stream"
-    accepted, rejected = split_events(messages, entity, profile, run, delay)
+    run = run_id or new_run(spark, checkpoint_base, entity.name)
+    accepted, rejected = split_events(
+        messages, entity, profile, run, delay, declaration=declaration
+    )
     out, state = output_base.rstrip("/"), checkpoint_base.rstrip("/")
     return [
-        _start(
+        start_table(
             accepted,
             f"{out}/silver_changelog/{entity.name}",
             f"{state}/{entity.name}_silver",
@@ -139,7 +166,7 @@ def process_stream(
             trigger,
             state_partitions,
         ),
-        _start(
+        start_table(
             rejected,
             f"{out}/errors/{entity.name}",
             f"{state}/{entity.name}_errors",
@@ -162,24 +189,28 @@ def process_stream_once(
     trigger: dict | None = None,
     run_id: str | None = None,
     state_partitions: int | None = None,
+    declaration: Mapping[str, Mapping] | None = None,
 ) -> StreamingQuery:
     """The same split with one query: source, parsing and duplicate state exist once.
 
     Accepted and rejected events share the table ``judged_changelog/<table>``, partitioned
-    by ``validation_status``; reading one side prunes the other side's folders. Use it when
-    the second read of the topic or the second copy of the state is what limits the job.
+    by ``validation_status``; reading one side prunes the other side's folders. Snapshots,
+    views, errors and audits read this table like the two of :func:`process_stream`. Use it
+    when the second read of the topic or the second copy of the state is what limits the
+    job.
     """
     entity = ENTITIES[entity] if isinstance(entity, str) else entity
-    run = run_id or f"{entity.name}-stream"
-    judged = with_business_day(distinct_judged(messages, entity, profile, delay), entity)
-    rows = judged.withColumns(
+    run = run_id or new_run(spark, checkpoint_base, entity.name)
+    judged = distinct_judged(messages, entity, profile, delay, declaration)
+    rows = with_business_day(judged, entity).withColumns(
         {
             "source_table": F.lit(entity.name),
+            "event_timestamp": F.coalesce("event_ts_ms", now_ms()),
             "pipeline_run_id": F.lit(run),
             "processing_timestamp": iso_utc(F.col("processing_time")),
         }
     )
-    return _start(
+    return start_table(
         rows,
         f"{output_base.rstrip('/')}/judged_changelog/{entity.name}",
         f"{checkpoint_base.rstrip('/')}/{entity.name}_judged",
@@ -190,32 +221,6 @@ def process_stream_once(
     )
 
 
-def read_judged(
-    spark: SparkSession, output_base: str, entity: Entity | str, status: str | None = None
-) -> DataFrame:
-    """Events stored by :func:`process_stream_once`, one side or both."""
-    name = entity if isinstance(entity, str) else entity.name
-    df = spark.read.parquet(f"{output_base.rstrip('/')}/judged_changelog/{name}")
-    return df if status is None else df.filter(F.col("validation_status") == status)
-
-
-def judged_errors(spark: SparkSession, output_base: str, entity: Entity | str) -> DataFrame:
-    """The rejected side of :func:`process_stream_once` in the dead-letter shape."""
-    entity = ENTITIES[entity] if isinstance(entity, str) else entity
-    rejected = read_judged(spark, output_base, entity, INVALID)
-    return rejected.select(
-        "source_table",
-        F.col(entity.key).cast("string").alias("record_id"),
-        F.lower("operation").alias("operation"),
-        F.coalesce("event_ts_ms", F.unix_millis("processing_time")).alias("event_timestamp"),
-        "processing_timestamp",
-        "pipeline_run_id",
-        "validation_status",
-        "validation_reason",
-        "raw_payload",
-    )
-
-
 def process_orders_stream(spark, messages, output_base, checkpoint_base, **options):
     """Orders: silver partitioned by status."""
     return process_stream(spark, messages, "orders", output_base, checkpoint_base, **options)
@@ -250,7 +255,7 @@ def land_messages(
         F.col("raw_payload").alias("value"),
         F.current_timestamp().alias("landed_at"),
     )
-    return _start(text, bronze_path, checkpoint, None, (), trigger)
+    return start_table(text, bronze_path, checkpoint, None, (), trigger)
 
 
 def publish_errors(

@@ -9,7 +9,18 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import bagminhash, bpe, exact_dedup, lines, shards, simple8b, tiling, urls
+from tidemark.llm import (
+    bagminhash,
+    bpe,
+    exact_dedup,
+    langid,
+    lbl,
+    lines,
+    shards,
+    simple8b,
+    tiling,
+    urls,
+)
 from tidemark.llm.tables import table
 from tidemark.session import apply_settings, scratch_dir
 
@@ -133,7 +144,8 @@ def op6_interleave(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op7_bagminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return bagminhash.classes(table(spark, sf_dir, "documents"))
+    found = bagminhash.classes(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "class_id", "class_size", "kept")
 
 
 @query
@@ -149,3 +161,16 @@ def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = tiling.find(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return found.select("doc_id", "contaminated", "coverage", "items")
+
+
+@query
+def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents")
+    held_out = langid.held_out(4)
+    model = langid.fit(documents.filter(~held_out))
+    return langid.predict(documents, model).withColumn("held_out", held_out)
+
+
+@query
+def op10_log_bilinear(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lbl.score(table(spark, sf_dir, "documents"), modulus=7)

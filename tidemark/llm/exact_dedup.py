@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.tables import partitions, texts, written
+from tidemark.llm.tables import partitions, staying, text_or_empty, texts, written
 
 TABLE_BYTES = 48 << 20
 COLLAPSE_BYTES = 24 << 20
@@ -170,7 +170,8 @@ def dedup(
     digest: Callable[[Column], Column] = sha256,
     max_bytes: int = TABLE_BYTES,
 ) -> DataFrame:
-    """Per row of ``documents``: ``doc_id, digest, keep_id, group_size, kept``."""
+    """Per row of ``documents``: ``doc_id, digest, keep_id, group_size, kept, repeats``; the
+    last is the number of rows with the same id and text."""
     groups = contents(documents, digest, max_bytes)
     shared = groups.groupBy("digest").agg(F.count("*").alias("contents")).filter("contents > 1")
     # Repeated rows are one link with a count, so that exactly one of them can be kept.
@@ -197,5 +198,15 @@ def _verdicts(joined: DataFrame) -> DataFrame:
     copy = F.explode(F.sequence(F.lit(1).cast("long"), F.col("m"))).alias("copy")
     stays = F.col("doc_id").eqNullSafe(F.col("keep_id")) & (F.col("copy") == 1)
     return joined.select("*", copy).select(
-        "doc_id", "digest", "keep_id", F.col("n").alias("group_size"), stays.alias("kept")
+        "doc_id",
+        "digest",
+        "keep_id",
+        F.col("n").alias("group_size"),
+        stays.alias("kept"),
+        F.col("m").alias("repeats"),
     )
+
+
+def keep(documents: DataFrame) -> DataFrame:
+    """The rows of ``documents`` that stay, one per text, with all their columns."""
+    return staying(documents, dedup(documents), sha256(text_or_empty()), "digest")

@@ -54,3 +54,19 @@ def written(df: DataFrame, label: str) -> DataFrame:
 
 def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def staying(documents: DataFrame, verdicts: DataFrame, mark: Column, marked: str) -> DataFrame:
+    """The rows of ``documents``, with all their columns, that ``verdicts`` keeps. A verdict
+    names rows by ``doc_id`` and ``marked``, the value of ``mark`` over their columns; it
+    has ``kept`` and ``repeats``, the rows it stands for, of which one stays."""
+    stays = verdicts.filter("kept").select(
+        F.col("doc_id").alias("_id"), F.col(marked).alias("_marked"), F.col("repeats").alias("_repeats")
+    )
+    stays = written(stays, "staying")
+    same = (mark == F.col("_marked")) & F.col("doc_id").cast("long").eqNullSafe(F.col("_id"))
+    rows = documents.join(stays, same)
+    once = rows.filter("_repeats = 1")
+    if stays.filter("_repeats > 1").limit(1).count():
+        once = once.unionByName(rows.filter("_repeats > 1").dropDuplicates(["_id", "_marked"]))
+    return once.select(documents.columns)

@@ -37,7 +37,7 @@ from pyspark.sql import functions as F
 
 from tidemark.llm import arrays, shingles
 from tidemark.llm.components import components
-from tidemark.llm.tables import texts, written
+from tidemark.llm.tables import staying, text_or_empty, texts, written
 
 SHINGLE = 5
 SIMILARITY = 0.8
@@ -232,7 +232,8 @@ def verified(links: DataFrame, nodes: DataFrame, documents: DataFrame, least: fl
 
 
 def classes(documents: DataFrame, least: float = SIMILARITY) -> DataFrame:
-    """Per row of ``documents``: ``doc_id, class_id, class_size, kept``."""
+    """Per row of ``documents``: ``doc_id, class_id, class_size, kept``, with ``tie``, a hash
+    of the text, and ``repeats``, the number of rows with the same id and text."""
     signed = written(signatures(documents), "signatures")
     nodes = signed.groupBy("digest").agg(
         F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "tie")).alias("first"),
@@ -248,27 +249,38 @@ def classes(documents: DataFrame, least: float = SIMILARITY) -> DataFrame:
         .join(roots, "node", "left")
         .select("digest", "doc_id", F.coalesce("root", "node").alias("root"))
     )
-    # Rows repeated with one id and bag are one link with a count.
-    rows = signed.groupBy("doc_id", "digest").agg(F.count("*").alias("m"))
+    # Rows repeated with one id and text are one link with a count.
+    rows = signed.groupBy("doc_id", "digest", "tie").agg(F.count("*").alias("m"))
     rows = rows.join(written(named.select("digest", "root"), "bag-classes"), "digest")
     rows = written(rows, "class-rows")
-    rank = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "digest")
+    rank = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "digest", "tie")
     heads = rows.groupBy("root").agg(F.min(rank).alias("head"), F.sum("m").alias("class_size"))
     copy = F.explode(F.sequence(F.lit(1).cast("long"), F.col("m"))).alias("copy")
     stays = (
         F.col("doc_id").eqNullSafe(F.col("head.doc_id"))
         & (F.col("digest") == F.col("head.digest"))
+        & (F.col("tie") == F.col("head.tie"))
         & (F.col("copy") == 1)
     )
     return (
         rows.join(written(heads, "class-heads"), "root")
         .select("*", copy)
         .select(
-            "doc_id", F.col("head.doc_id").alias("class_id"), "class_size", stays.alias("kept")
+            "doc_id",
+            F.col("head.doc_id").alias("class_id"),
+            "class_size",
+            stays.alias("kept"),
+            "tie",
+            F.col("m").alias("repeats"),
         )
     )
 
 
+def keep(documents: DataFrame, least: float = SIMILARITY) -> DataFrame:
+    """The rows of ``documents`` that stay, one per class, with all their columns."""
+    return staying(documents, classes(documents, least), F.xxhash64(text_or_empty()), "tie")
+
+
 def _roots(documents: DataFrame, nodes: DataFrame, least: float) -> DataFrame:
     """``node, root`` of the nodes that have a verified link."""
     banded = nodes.select("node", F.explode("bands").alias("band"))

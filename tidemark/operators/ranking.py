@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidemark.session import staged
+
 
 def top_with_dense_rank(
     df: DataFrame, value: str, tie_break: str, k: int, rank_name: str
@@ -20,35 +22,28 @@ def top_with_dense_rank(
     return ranked.orderBy(*order)
 
 
-def dense_rank_all(df: DataFrame, value: str, rank_name: str, buckets: int = 256) -> DataFrame:
+def dense_rank_all(df: DataFrame, value: str, rank_name: str) -> DataFrame:
     """Dense rank by ``value`` descending for every row; a null value has no rank.
 
     ``Window.orderBy`` without partitions would sort all rows in one task. Here the
-    distinct values are cut into ranges of about equal size, ranked inside each range,
-    and shifted by the number of values in higher ranges. The cut points come from one
-    approximate-quantile pass and only balance the work; the ranks are exact. Rows without
-    a value stay out of the join, where they would all be one key.
+    distinct values are range-partitioned, ranked inside each range, and shifted by the
+    number of values in higher ranges; there are as many ranges as shuffle partitions, so
+    they grow with the cluster. Rows without a value stay out of the join, where they would
+    all be one key.
     """
     held = df.filter(F.col(value).isNotNull())
-    values = held.select(value).distinct()
-    steps = [i / buckets for i in range(1, buckets)]
-    cuts = sorted(set(values.approxQuantile(value, steps, 1.0 / (4 * buckets))))
-
-    def bucket_of(x: Column) -> Column:
-        if not cuts:
-            return F.lit(0)
-        return F.size(F.filter(F.array(*[F.lit(c) for c in cuts]), lambda cut: cut > x))
-
-    placed = values.withColumn("_bucket", bucket_of(F.col(value)))
-    sizes = placed.groupBy("_bucket").agg(F.count("*").alias("_size"))
-    above = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    ranges = held.select(value).distinct().repartitionByRange(F.desc(value))
+    # Written, so that every use sees the same ranges.
+    placed = staged(ranges.withColumn("_range", F.spark_partition_id()), "rank-values")
+    sizes = placed.groupBy("_range").agg(F.count("*").alias("_size"))
+    above = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sizes.select(
-        "_bucket", F.coalesce(F.sum("_size").over(above), F.lit(0)).alias("_offset")
+        "_range", F.coalesce(F.sum("_size").over(above), F.lit(0)).alias("_offset")
     )
-    inside = Window.partitionBy("_bucket").orderBy(F.desc(value))
+    inside = Window.partitionBy("_range").orderBy(F.desc(value))
     ranks = (
         placed.withColumn("_place", F.row_number().over(inside))
-        .join(F.broadcast(offsets), "_bucket")  # at most `buckets` rows
+        .join(F.broadcast(offsets), "_range")  # one row per shuffle partition at most
         .select(value, (F.col("_offset") + F.col("_place")).alias(rank_name))
     )
     unranked = df.filter(F.col(value).isNull()).withColumn(rank_name, F.lit(None).cast("long"))

@@ -2,16 +2,22 @@
 
 from __future__ import annotations
 
+from math import ceil
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def hot_keys(df: DataFrame, key: str, share: float = 0.01) -> list:
-    """Key values holding at least ``share`` of all rows; there are at most ``1/share``,
-    so the list is bounded whatever the table's size."""
+ROWS_PER_SALT = 1_000_000
+
+
+def hot_keys(df: DataFrame, key: str, share: float = 0.01) -> dict:
+    """Key values holding at least ``share`` of all rows, with their rows; there are at most
+    ``1/share``, so they are few whatever the table's size."""
     counts = df.filter(F.col(key).isNotNull()).groupBy(key).agg(F.count("*").alias("n"))
     total = df.count()
-    return [row[key] for row in counts.filter(F.col("n") >= max(1.0, share * total)).collect()]
+    hot = counts.filter(F.col("n") >= max(1.0, share * total)).collect()
+    return {row[key]: row["n"] for row in hot}
 
 
 def salted_join(
@@ -19,15 +25,15 @@ def salted_join(
     small: DataFrame,
     key: str,
     how: str = "inner",
-    salts: int = 16,
+    rows_per_salt: int = ROWS_PER_SALT,
     share: float = 0.01,
 ) -> DataFrame:
     """Equi-join equal to ``large.join(small, key, how)`` with every hot key of ``large``
-    spread over ``salts`` partitions.
+    spread over partitions of about ``rows_per_salt`` rows, the hotter the more.
 
-    Only rows of hot keys in ``small`` are repeated. The salt is a hash of the row's own
-    columns, not a random number, so a recomputed task sends each row where it went
-    before.
+    Only rows of hot keys in ``small`` are repeated, once per partition of their key. The
+    salt is a hash of the row's own columns, not a random number, so a recomputed task
+    sends each row where it went before.
     """
     if how not in ("inner", "left", "left_outer"):
         raise ValueError("salting keeps rows of the left side only: inner or left")
@@ -35,13 +41,13 @@ def salted_join(
     if not hot:
         return large.join(small, key, how)
 
-    def is_hot(column: Column) -> Column:
-        return F.coalesce(column.isin(hot), F.lit(False))
+    def salts(column: Column) -> Column:
+        count = F.lit(1)
+        for value, rows in hot.items():
+            count = F.when(column == F.lit(value), ceil(rows / rows_per_salt)).otherwise(count)
+        return count.cast("int")
 
-    salt = F.pmod(F.xxhash64(*[F.col(f"`{n}`") for n in large.columns]), F.lit(salts)).cast("int")
-    left = large.withColumn("_salt", F.when(is_hot(F.col(key)), salt).otherwise(0))
-    copies = F.when(is_hot(F.col(key)), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(
-        F.array(F.lit(0))
-    )
-    right = small.withColumn("_salt", F.explode(copies))
+    row = F.xxhash64(*[F.col(f"`{n}`") for n in large.columns])
+    left = large.withColumn("_salt", F.pmod(row, salts(F.col(key))).cast("int"))
+    right = small.withColumn("_salt", F.explode(F.sequence(F.lit(0), salts(F.col(key)) - 1)))
     return left.join(right, [key, "_salt"], how).drop("_salt")

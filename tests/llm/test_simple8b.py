@@ -52,6 +52,7 @@ def test_query(spark, tokenizer):
 ODD = [
     None, "", "  \n ", "Hello, World!! don't 'S it's", "ÉCOLE école. İstanbul ŉx; ǅ? Straße,",
     "e\u0301 a\u030a. \u212b, x\u0327;", "<|endoftext|>foo<|startoftext|>.", "a\tb\x0bc\u00a0d\u2003e\x1cf",
+    "Ärger, ÑANDÚ! ×2 ÷ a×b ÿÞß <|x|> a<|endoftext|>b don't-do 'twas l'été,", "(x)[y]{z}~`^ _a_ \"Q\" ... !!! é",
     "漢字 かな한국 🙂.", "1234 5,6 ²³ ½.", "x" * 5000 + ". " + "word " * 20000, "ΣΑΣ. σας", "a.b,c;d:e!f?g",
 ]
 
@@ -77,7 +78,15 @@ def test_empty_table(spark, tmp_path):
 
 
 def test_memo_is_renewed(tokenizer, monkeypatch):
-    monkeypatch.setattr(simple8b, "MEMO_WORDS", 3)
+    monkeypatch.setattr(simple8b, "MEMO_UNITS", 3)
     coder = simple8b.WordIds(open(PATH).read())
     for text in ODD * 2:
         assert coder.encode([text or ""])[0] == ids_of(tokenizer, text or "")[:-4]
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.text(alphabet="aBé ÉßÞ×÷İ'1.,<|>\n\t\u0301\u00a0Σ漢_-", max_size=60))
+def test_units_give_the_ids_of_whole_texts(text):
+    coder = simple8b.word_ids(open(PATH).read())
+    whole = coder.tokenizer.encode(text, add_special_tokens=False).ids
+    assert coder.encode([text, "", text])[2] == np.array(whole, dtype="<u4").tobytes()

@@ -13,8 +13,9 @@ token ids, both packed. Readers add the sizes of the files before, so a place in
 sequence needs no pass over the data. The Parquet container gives atomic commits and any
 Hadoop store; lost executors repeat their task only.
 
-Texts are split at blanks and line ends, which the tokenizer drops, and every worker
-remembers the ids of the words it has met, so a word is encoded about once per worker.
+Texts are cut into units that the tokenizer encodes on their own, and every worker
+remembers the ids of those it met lately, so a frequent unit is encoded once per worker; the
+documents' ids are gathered from those of the distinct units of some megabytes of text.
 
 Cases: a null or empty text has the end id alone; null ids come first; rows with equal ids
 are all kept, ordered by a hash of the text; other columns are not read; an empty table
@@ -25,7 +26,6 @@ from __future__ import annotations
 
 import struct
 from collections.abc import Iterator
-from itertools import chain
 from pathlib import Path
 
 import numpy as np
@@ -34,12 +34,14 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from tidemark.llm import arrays, shingles
 from tidemark.llm.tables import ship, texts
 
 BLOCK = 1 << 16
 SEGMENT_IDS = 1 << 18
 MAX_TOKENIZER_BYTES = 64 << 20
-MEMO_WORDS = 600_000
+MEMO_UNITS = 300_000
+GROUP_CHARS = 4 << 20
 
 # Selectors 1 to 14: values per word and bits per value; 0 is an escape.
 SELECTORS = [(60 // bits, bits) for bits in (1, 2, 3, 4, 5, 6, 7, 8, 10, 12, 15, 20, 30, 60)]
@@ -48,21 +50,37 @@ _HEADER = struct.Struct("<4sIQ")
 MAGIC = b"S8B1"
 
 
-def _pack_block(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Words and escapes of one block of unsigned 64-bit values."""
+_LIMITS = np.array([(1 << bits) - 1 for _, bits in SELECTORS], dtype=np.uint64)
+_SMALL_WIDTHS = np.searchsorted(_LIMITS, np.arange(1 << 16, dtype=np.uint64)).astype(np.uint8)
+
+
+def _choices(values: np.ndarray) -> np.ndarray:
+    """For every place the selector that would take most values from there on. Beyond the
+    end there is room for padding."""
     n = len(values)
-    limits = np.array([(1 << bits) - 1 for _, bits in SELECTORS], dtype=np.uint64)
-    width = np.searchsorted(limits, values)  # the narrowest selector of each value
-    choice = np.zeros(n, dtype=np.int64)
+    if n and int(values.max()) < 1 << 16:
+        width = _SMALL_WIDTHS[values.astype(np.int64)]
+    else:
+        width = np.searchsorted(_LIMITS, values).astype(np.uint8)
+    width = np.concatenate([width, np.zeros(64, dtype=np.uint8)])
+    widest, held = width[:n].copy(), 1
+    choice = np.zeros(n, dtype=np.uint8)
     for k in range(len(SELECTORS) - 1, -1, -1):
-        # Up to the next value that is too wide for k; beyond the end is room for padding.
-        wide = np.flatnonzero(width > k)
-        bounds = np.append(wide, n + 64)
-        room = bounds[np.searchsorted(wide, np.arange(n))] - np.arange(n)
-        fits = room >= SELECTORS[k][0]
-        choice[fits] = k + 1
+        count = SELECTORS[k][0]
+        for place in range(held, count):
+            np.maximum(widest, width[place : place + n], out=widest)
+        held = count
+        fits = widest <= k
         if not fits.any():
             break
+        choice[fits] = k + 1
+    return choice
+
+
+def _pack_block(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Words and escapes of one block of unsigned 64-bit values."""
+    n = len(values)
+    choice = _choices(values)
     following = (np.arange(n) + _COUNTS[choice]).tolist()
     starts, at = [], 0
     while at < n:
@@ -74,12 +92,13 @@ def _pack_block(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     padded = np.concatenate([values, np.zeros(64, dtype=np.uint64)])
     escaped = chosen == 0
     words[escaped] |= np.arange(int(escaped.sum()), dtype=np.uint64)
-    for k in np.unique(chosen[~escaped]):
+    for k in np.unique(chosen[~escaped]).tolist():
         count, bits = SELECTORS[k - 1]
-        mine = chosen == k
-        held = padded[starts[mine][:, None] + np.arange(count)]
-        shifts = (np.arange(count) * bits).astype(np.uint64)
-        words[mine] |= np.bitwise_or.reduce(held << shifts, axis=1)
+        mine = np.flatnonzero(chosen == k)
+        held = np.zeros(len(mine), dtype=np.uint64)
+        for place in range(count):
+            held |= padded[starts[mine] + place] << np.uint64(place * bits)
+        words[mine] |= held
     return words, values[starts[escaped]]
 
 
@@ -132,14 +151,58 @@ def unpack(data: bytes) -> np.ndarray:
     return np.concatenate([np.empty(0, np.uint64), *parts])
 
 
-_STOPS = ".,!?;:"
+_GAP, _LETTER, _SIGN, _OTHER = range(4)
+_CLASS = np.full(256, _OTHER, dtype=np.uint8)
+_CLASS[[0x20, 0x0A]] = _GAP
+for _low, _high in ("AZ", "az"):
+    _CLASS[ord(_low) : ord(_high) + 1] = _LETTER
+# ASCII signs but the apostrophe, which may begin a contraction.
+for _low, _high in ("!&", "(/", ":@", "[`", "{~"):
+    _CLASS[ord(_low) : ord(_high) + 1] = _SIGN
+
+
+def units(data: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """UTF-8 bytes, with line feeds at both ends, cut into what the tokenizer surely encodes
+    on its own: bytes, and the bounds of the units.
+
+    Words stand between blanks and line feeds. A word of Latin letters and signs is cut
+    into its runs of letters, lower-cased as the tokenizer would, and of signs. A word with
+    anything else in it (digits, apostrophes, other scripts, the start of a special token)
+    is one unit as it stands.
+    """
+    kind = _CLASS[data]
+    lead = np.flatnonzero(data[:-1] == 0xC3)  # of U+00C0 to U+00FF
+    second = data[lead + 1]
+    lead = lead[(second != 0x97) & (second != 0xB7)]  # the two that are no letters
+    kind[lead] = kind[lead + 1] = _LETTER
+    special = np.flatnonzero((data[:-1] == ord("<")) & (data[1:] == ord("|")))
+    kind[special] = _OTHER
+    lowered = data.copy()
+    lowered[(data >= ord("A")) & (data <= ord("Z"))] += 32
+    lowered[lead[data[lead + 1] < 0x9F] + 1] += 32
+
+    inside = kind != _GAP
+    edges = np.flatnonzero(inside[1:] != inside[:-1]) + 1
+    starts, ends = edges[::2], edges[1::2]
+    others = np.concatenate([[0], np.cumsum(kind == _OTHER)])
+    mixed = np.flatnonzero(others[ends] > others[starts])
+    if len(mixed):
+        whole = np.zeros(len(data) + 1, dtype=np.int8)
+        whole[starts[mixed]], whole[ends[mixed]] = 1, -1
+        whole = np.cumsum(whole[:-1], dtype=np.int8).astype(bool)
+        kind[whole] = _OTHER
+        lowered[whole] = data[whole]
+    edges = np.flatnonzero(kind[1:] != kind[:-1]) + 1
+    firsts = edges[kind[edges] != _GAP]
+    lasts = edges[kind[edges - 1] != _GAP]
+    return lowered, firsts, lasts
 
 
 class WordIds:
-    """Token ids of texts by a memo of words. A word of Latin letters, alone or before
-    stops, is one piece of the tokenizer, its case does not matter, and its last id is
-    marked as a word end: such words are encoded many at a time. All others are encoded
-    one by one."""
+    """Token ids of texts by a memo of units. A unit of letters is one piece of the
+    tokenizer, whose last id is marked as a word end: those are encoded many at a time,
+    all others one by one. The memo has two generations: when the young one is full, what
+    was not used since the last change is forgotten."""
 
     def __init__(self, tokenizer_json: str):
         from tokenizers import Tokenizer
@@ -147,47 +210,65 @@ class WordIds:
         self.tokenizer = Tokenizer.from_str(tokenizer_json)
         size = self.tokenizer.get_vocab_size()
         self.is_end = [str(self.tokenizer.id_to_token(i)).endswith("</w>") for i in range(size)]
-        self.memo: dict[str, bytes] = {}
+        self.young: dict[bytes, bytes] = {}
+        self.old: dict[bytes, bytes] = {}
 
     def _whole(self, text: str) -> bytes:
         ids = self.tokenizer.encode(text, add_special_tokens=False).ids
         return np.array(ids, dtype="<u4").tobytes()
 
-    def _pieces(self, pieces: list[str]) -> dict[str, bytes]:
-        found: dict[str, bytes] = {}
+    def _learn(self, found: list[bytes]) -> None:
+        texts_of = [unit.decode() for unit in found]
+        pieces = [(u, t) for u, t in zip(found, texts_of) if t.isalpha()]
+        for unit, text in zip(found, texts_of):
+            if not text.isalpha():
+                self.young[unit] = self._whole(text)
         for at in range(0, len(pieces), 500):
             part = pieces[at : at + 500]
-            ids = self.tokenizer.encode(" ".join(part), add_special_tokens=False).ids
+            joined = " ".join(text for _, text in part)
+            ids = self.tokenizer.encode(joined, add_special_tokens=False).ids
             ends = [i + 1 for i, token in enumerate(ids) if self.is_end[token]]
             if len(ends) == len(part) and ends[-1] == len(ids):
                 data = np.array(ids, dtype="<u4").tobytes()
-                starts = [0, *ends]
-                found |= {p: data[4 * a : 4 * b] for p, a, b in zip(part, starts, ends)}
-            else:
-                found |= {p: self._whole(p) for p in part}
-        return found
-
-    def _learn(self, words: set[str]) -> None:
-        simple: dict[str, tuple[str, str]] = {}
-        for word in words:
-            body = word.rstrip(_STOPS)
-            lower = body.lower()
-            if body.isalpha() and max(body) < "ɐ" and lower.isalpha():
-                simple[word] = (lower, word[len(body) :])
-            else:
-                self.memo[word] = self._whole(word)
-        pieces = self._pieces(list({body for body, _ in simple.values()}))
-        stops = {tail: self._whole(tail) for tail in {tail for _, tail in simple.values()}}
-        for word, (body, tail) in simple.items():
-            self.memo[word] = pieces[body] + stops[tail]
+                for (unit, _), a, b in zip(part, [0, *ends], ends):
+                    self.young[unit] = data[4 * a : 4 * b]
+            else:  # some unit is more than one piece
+                for unit, text in part:
+                    self.young[unit] = self._whole(text)
+
+    def _known(self, distinct: list[bytes]) -> list[bytes]:
+        if len(self.young) > MEMO_UNITS:
+            self.old, self.young = self.young, {}
+        missing = [unit for unit in distinct if unit not in self.young]
+        for unit in missing:
+            if (ids := self.old.get(unit)) is not None:
+                self.young[unit] = ids
+        self._learn([unit for unit in missing if unit not in self.young])
+        return [self.young[unit] for unit in distinct]
 
     def encode(self, some: list[str]) -> list[bytes]:
-        split = [text.replace("\n", " ").split(" ") for text in some]
-        if len(self.memo) > MEMO_WORDS:
-            self.memo = {}
-        self._learn(set(chain.from_iterable(split)).difference(self.memo))
-        known = self.memo.__getitem__
-        return [b"".join(map(known, words)) for words in split]
+        """Ids of each text. All texts are cut into units at once; the memo is asked once
+        per distinct unit, and the ids are gathered from those."""
+        parts = [text.encode() for text in some]
+        data = np.frombuffer(b"\n" + b"\n".join(parts) + b"\n", dtype=np.uint8)
+        lowered, firsts, lasts = units(data)
+        kept = np.zeros(len(data), dtype=bool)
+        kept[firsts] = True
+        kept[lasts[lasts < len(data)]] ^= True
+        kept = np.logical_xor.accumulate(kept)
+        offsets = np.concatenate([[0], np.cumsum(lasts - firsts)]).astype(np.int64)
+        buffers = [None, pa.py_buffer(offsets), pa.py_buffer(lowered[kept])]
+        found = pa.Array.from_buffers(pa.large_binary(), len(firsts), buffers).dictionary_encode()
+        held, bounds = arrays.byte_runs(found.dictionary)
+        held, bounds = held.tobytes(), bounds.tolist()
+        known = self._known([held[a:b] for a, b in zip(bounds[:-1], bounds[1:])])
+        sizes = np.fromiter(map(len, known), np.int64, len(known)) // 4
+        ids = np.frombuffer(b"".join(known), dtype="<u4")
+        which = np.frombuffer(found.indices.buffers()[1], np.int32)[: len(firsts)]
+        out = arrays.ragged_take(ids, np.cumsum(sizes) - sizes, sizes, which)
+        text_units = np.searchsorted(firsts, np.cumsum([1, *(len(p) + 1 for p in parts)]))
+        bounds = np.concatenate([[0], np.cumsum(sizes[which])])[text_units]
+        return [out[a:b].tobytes() for a, b in zip(bounds[:-1], bounds[1:])]
 
 
 _coders: dict[int, WordIds] = {}
@@ -244,8 +325,8 @@ def write(documents: DataFrame, tokenizer_path: str, folder: str, end_id: int =
 
         for batch in batches:
             ids, some = batch.column("doc_id").to_pylist(), batch.column("text").to_pylist()
-            for at in range(0, len(some), 200):
-                for doc_id, code in zip(ids[at : at + 200], coder.encode(some[at : at + 200])):
+            for at, group in shingles.groups(some, GROUP_CHARS):
+                for doc_id, code in zip(ids[at : at + len(group)], coder.encode(group)):
                     doc_ids.append(doc_id)
                     coded.append(code + end)
                     held += len(coded[-1]) // 4

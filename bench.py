@@ -3,6 +3,8 @@
 ``BENCH_SF_DIR`` names the tables (default sf0.1), ``BENCH_CPUS`` the local cores. A lake
 is written once from the tables, as the batch job would; then each query runs
 ``BENCH_RUNS`` times after the warm-up rounds, and its median is reported. ``value`` is the sum.
+Beside it: layouts compared on the orders ``BENCH_COPIES`` times over, where reading dominates,
+and the events per second of a stream over several micro-batches.
 """
 
 from __future__ import annotations
@@ -31,11 +33,14 @@ from tidemark.session import build_session  # noqa: E402
 from tidemark.sinks import tables as sinks  # noqa: E402
 from tidemark.sources import tables as inputs  # noqa: E402
 from tidemark.sources import warehouse as wh  # noqa: E402
+from tidemark.sources.streams import landed_messages  # noqa: E402
+from tidemark.streaming import pipelines  # noqa: E402
 
 SF_DIR = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1").rstrip("/")
 CPUS = os.environ.get("BENCH_CPUS", "8")
 RUNS = int(os.environ.get("BENCH_RUNS", "5"))
 WARMUPS = int(os.environ.get("BENCH_WARMUPS", "3"))
+COPIES = int(os.environ.get("BENCH_COPIES", "40"))
 
 
 def session(scratch: str):
@@ -50,6 +55,7 @@ def session(scratch: str):
             "spark.ui.showConsoleProgress": "false",
             "spark.checkpoint.dir": scratch,
         },
+        streaming=True,
     )
 
 
@@ -121,6 +127,71 @@ def headline(spark, base: str) -> dict:
     }
 
 
+def layouts(spark, base: str) -> dict[str, dict]:
+    """Seconds, bytes of the files read and rows per second of each layout."""
+    day = to_day("order_date")
+    copies = F.explode(F.sequence(F.lit(1), F.lit(COPIES))).alias("copy")
+    orders = wh.orders(spark, SF_DIR).select("*", copies).drop("copy")
+    orders = orders.withColumns({"order_date_dt": day, "order_month": month_key(day)})
+    plain, months = f"{base}/many.parquet", f"{base}/many_by_month"
+    text = sinks.export_csv(orders.drop("order_date_dt", "order_month"), base, "many")
+    orders.write.parquet(plain)
+    sinks.write_table(orders, months, ["order_month"])
+    month = PRUNED_DAY[:7]
+    rows = spark.read.parquet(plain).count()
+    pairs = {
+        "status_csv": (
+            text,
+            lambda: reports.status_aggregate(
+                inputs.read_csv(spark, text, ENTITIES["orders"].payload)
+            ),
+        ),
+        "status_parquet": (plain, lambda: reports.status_aggregate(spark.read.parquet(plain))),
+        "day_plain": (plain, lambda: reports.day_total(spark.read.parquet(plain), PRUNED_DAY)),
+        "day_pruned": (
+            f"{months}/order_month={month}",
+            lambda: reports.day_total(
+                inputs.read_partition(spark, months, order_month=month), PRUNED_DAY
+            ),
+        ),
+    }
+    found = {}
+    for name, (path, build) in pairs.items():
+        seconds = statistics.median([timed(build) for _ in range(3)])
+        found[name] = {
+            "seconds": round(seconds, 4),
+            "file_bytes": sinks.stored_bytes(spark, path),
+            "rows_per_second": round(rows / seconds),
+        }
+    return found
+
+
+def stream_rate(spark, base: str, files: int = 6) -> dict:
+    """A stream over order messages in shuffled files, one per micro-batch."""
+    messages = spark.read.parquet(f"{base}/bronze/orders")
+    landed = messages.withColumn("landed_at", F.current_timestamp())
+    landed.repartition(files).write.parquet(f"{base}/stream/in")
+    start = time.perf_counter()
+    queries = pipelines.process_orders_stream(
+        spark,
+        landed_messages(spark, f"{base}/stream/in", 1),
+        f"{base}/stream",
+        f"{base}/stream/checkpoints",
+        trigger={"availableNow": True},
+        state_partitions=int(CPUS),
+    )
+    pipelines.await_all(spark, queries)
+    seconds = time.perf_counter() - start
+    events = messages.count()
+    return {"events": events, "micro_batches": files, "events_per_second": round(events / seconds)}
+
+
+def timed(build) -> float:
+    start = time.perf_counter()
+    run(build())
+    return time.perf_counter() - start
+
+
 def run(df) -> None:
     df.write.format("noop").mode("overwrite").save()
 
@@ -137,12 +208,7 @@ def main() -> None:
         for build in builds.values():
             run(build())
     for name, build in builds.items():
-        samples = []
-        for _ in range(RUNS):
-            start = time.perf_counter()
-            run(build())
-            samples.append(time.perf_counter() - start)
-        timings[name] = round(statistics.median(samples), 4)
+        timings[name] = round(statistics.median([timed(build) for _ in range(RUNS)]), 4)
     rows = {
         t: spark.read.parquet(f"{SF_DIR}/{t}.parquet").agg(F.count("*")).first()[0]
         for t in ("orders", "lineitem")
@@ -157,6 +223,8 @@ def main() -> None:
                 "sf": SF_DIR.rsplit("sf", 1)[-1],
                 "rows": rows,
                 "write_seconds": {k: round(v, 4) for k, v in extra.items()},
+                "layouts": layouts(spark, base),
+                "stream": stream_rate(spark, base),
             }
         )
     )

@@ -127,3 +127,26 @@ def test_components(spark):
     alone = {n for n in root if all(a == b for a, b in links if n in (a, b))}
     assert got == {n: r for n, r in root.items() if n not in alone}
     assert components.components(frame.limit(0)).count() == 0
+
+
+def test_block_similarities_are_those_of_bags():
+    rng = random.Random(9)
+    some = [" ".join(rng.choice("abcdef") for _ in range(rng.randrange(40))) for _ in range(12)]
+    like = bagminhash.all_similarities(some[:5], some[5:], columns=7)
+    for i, a in enumerate(some[:5]):
+        for j, b in enumerate(some[5:]):
+            assert abs(like[i, j] - similarity(bag(a), bag(b))) < 1e-6
+        assert np.allclose(like[i], bagminhash.similarities(a, some[5:]))
+
+
+def test_small_blocks_and_no_filter(spark, monkeypatch):
+    """The same classes with blocks of three texts, hubs of three links, and all texts
+    shuffled for the join."""
+    monkeypatch.setattr(bagminhash, "GROUP_LINKS", 3)
+    monkeypatch.setattr(bagminhash.BloomFilter.__init__, "__defaults__", (0,))
+    rng = random.Random(8)
+    rows = []
+    for g in range(3):
+        base = [f"w{rng.randrange(3000)}" for _ in range(120)]
+        rows += [(100 * g + i, variant(base, 0.03, rng)) for i in range(25)]
+    check(bagminhash.classes(documents(spark, rows)).collect(), rows)

@@ -11,11 +11,12 @@ long text cost one point.
 Registers are banded; texts that share a band are candidates, and candidates are verified
 by the overlap of their bags (sum of smaller counts over sum of larger counts, 0.8 or
 more). Texts with equal bags are collapsed first. A band shared by very many texts is not
-paired out: its members are compared with a hub (the text that shares most bands), what
-is then still in other components with a second hub, and only pairs in components that
-are still different are compared with each other. That tests every candidate pair whose
-link could join two components, so the classes are those of all verified links. Groups
-of comparisons are salted by size, and classes are connected components.
+paired out: its members are compared with a hub (the text that shares most bands), then
+with a second hub in another component; where a band still spans several components, what
+is outside the first hub's component is compared with all texts of other components, in
+blocks that give links and no pairs. That tests every candidate pair whose link could
+join two components, so the classes are those of all verified links. Groups of comparisons
+are salted by size, and classes are connected components.
 
 Of each class the document with the smallest ``doc_id`` is kept and names the class.
 
@@ -38,6 +39,7 @@ from pyspark.sql import functions as F
 from tidemark.llm import arrays, shingles
 from tidemark.llm.components import components
 from tidemark.llm.tables import staying, text_or_empty, texts, written
+from tidemark.llm.urls import BloomFilter
 
 SHINGLE = 5
 SIMILARITY = 0.8
@@ -163,7 +165,9 @@ def signatures(documents: DataFrame) -> DataFrame:
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for first, group in shingles.groups(batch.column("text").to_pylist(), 1 << 19):
+            some = batch.column("text").to_pylist()
+            # A short text takes as many points as a long one: bound the texts as well.
+            for first, group in shingles.groups(some, 1 << 19, 200):
                 bag = bags(group)
                 values = registers(*bag, len(group), BANDS * ROWS)
                 has = np.isfinite(values[:, 0])
@@ -197,24 +201,39 @@ def similarities(hub: str, members: list[str]) -> list[float]:
     return out
 
 
-def verified(links: DataFrame, nodes: DataFrame, documents: DataFrame, least: float) -> DataFrame:
-    """The ``links`` (hub, member) with a similarity of at least ``least``. Texts are
-    fetched for nodes with links only; a hub's text goes to every salt of its links."""
+def fetch_texts(documents: DataFrame, nodes: DataFrame, needed: DataFrame) -> DataFrame:
+    """``node, text`` of the ``needed`` nodes. A Bloom filter of their text hashes keeps the
+    other texts from being shuffled for the join; without room for it all are."""
+    held = nodes.join(needed, "node").select("node", F.col("doc_id").alias("_id"), "tie")
+    held = written(held, "needed-nodes")
+    ready = texts(documents).select("doc_id", F.xxhash64("text").alias("_tie"), "text")
+    wanted = BloomFilter(held.select(F.col("tie").alias("listed_key")))
+    if wanted.is_small:
+        ready = wanted.split(ready, "_tie").filter("maybe")
+    same = (F.col("tie") == F.col("_tie")) & F.col("doc_id").eqNullSafe(F.col("_id"))
+    found = ready.join(held, same).select("node", "text")
+    # Rows repeated with the same id and text have one text.
+    return written(found.dropDuplicates(["node"]), "needed-texts")
+
+
+LINKS = "low long, high long"
+
+
+def _links(low: list[int], high: list[int]) -> pa.Table:
+    return pa.table({"low": pa.array(low, pa.int64()), "high": pa.array(high, pa.int64())})
+
+
+def verified(links: DataFrame, held: DataFrame, least: float) -> DataFrame:
+    """The ``links`` (hub, member) with a similarity of at least ``least``. ``held`` has the
+    texts; a hub's text goes to every salt of its links."""
     sizes = links.groupBy("hub").agg(F.count("*").alias("n"))
     salts = F.ceil(F.col("n") / F.lit(GROUP_LINKS)).cast("long")
     salted = links.join(written(sizes, "hub-sizes"), "hub").select(
         "hub", "member", F.pmod(F.xxhash64("member", "hub"), salts).alias("salt")
     )
     salted = written(salted, "salted-links")
-    needed = salted.select(F.col("hub").alias("node")).union(salted.select("member")).distinct()
-    held = nodes.join(needed, "node").select("node", F.col("doc_id").alias("_id"), "tie")
-    # One row per node: rows repeated with the same id and text have one text.
-    ready = texts(documents).select("doc_id", F.xxhash64("text").alias("_tie"), "text")
-    same = (F.col("tie") == F.col("_tie")) & F.col("doc_id").eqNullSafe(F.col("_id"))
-    fetched = ready.join(written(held, "needed-nodes"), same).select("node", "text")
-    fetched = written(fetched.dropDuplicates(["node"]), "needed-texts")
-    members = salted.join(fetched, salted["member"] == fetched["node"])
-    hubs = salted.select("hub", "salt").distinct().join(fetched, F.col("hub") == F.col("node"))
+    members = salted.join(held, salted["member"] == held["node"])
+    hubs = salted.select("hub", "salt").distinct().join(held, F.col("hub") == F.col("node"))
     members = members.select("hub", "salt", "member", "text")
     hubs = hubs.select("hub", "salt", F.lit(None).cast("long").alias("member"), "text")
 
@@ -224,13 +243,80 @@ def verified(links: DataFrame, nodes: DataFrame, documents: DataFrame, least: fl
         pairs = [(i, t) for i, t in zip(ids, some) if i is not None]
         found = similarities(hub, [t for _, t in pairs])
         good = [i for (i, _), s in zip(pairs, found) if s >= least - 1e-12]
-        key = rows.column("hub")[0].as_py()
-        return pa.table({"low": pa.array([key] * len(good), pa.int64()), "high": pa.array(good, pa.int64())})
+        return _links([rows.column("hub")[0].as_py()] * len(good), good)
 
-    found = members.unionByName(hubs).groupBy("hub", "salt").applyInArrow(compare, "low long, high long")
+    found = members.unionByName(hubs).groupBy("hub", "salt").applyInArrow(compare, LINKS)
     return written(found, "verified-links")
 
 
+def _elements(some: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Bags as sets: the second copy of a shingle is an element of its own. Text number
+    and hash of every element, and the elements of each text."""
+    text, found, count = bags(some)
+    copy = np.arange(int(count.sum())) - np.repeat(np.cumsum(count) - count, count)
+    element = arrays.mix(np.repeat(found, count) + copy.astype(np.uint64) * _STEP)
+    text = np.repeat(text, count)
+    return text, element, np.bincount(text, minlength=len(some))
+
+
+def all_similarities(some: list[str], others: list[str], columns: int = 1 << 15) -> np.ndarray:
+    """Similarities of all ``some`` with all ``others``, by products of membership
+    matrices over the elements both sides have, some columns at a time."""
+    rows, left, size = _elements(some)
+    cols, right, width = _elements(others)
+    shared = np.intersect1d(left, right)
+    rows, left = rows[np.isin(left, shared)], np.searchsorted(shared, left[np.isin(left, shared)])
+    cols, right = cols[np.isin(right, shared)], np.searchsorted(shared, right[np.isin(right, shared)])
+    both = np.zeros((len(some), len(others)), dtype=np.float32)
+    for at in range(0, len(shared), columns):
+        a = np.zeros((len(some), columns), dtype=np.float32)
+        b = np.zeros((len(others), columns), dtype=np.float32)
+        mine, theirs = (left // columns) == at // columns, (right // columns) == at // columns
+        a[rows[mine], left[mine] - at] = 1
+        b[cols[theirs], right[theirs] - at] = 1
+        both += a @ b.T
+    return both / np.maximum(size[:, None] + width[None, :] - both, 1)
+
+
+def verified_in_blocks(outside: DataFrame, split: DataFrame, held: DataFrame, least: float) -> DataFrame:
+    """Links between the texts ``outside`` the main component of their band and all texts
+    of the band that are in other components. Both are cut into blocks of GROUP_LINKS
+    texts, every block of the one meets every block of the other in a task of its own, and
+    only links come out."""
+    sizes = split.groupBy("band").agg(F.count("*").alias("n"))
+    sizes = sizes.join(outside.groupBy("band").agg(F.count("*").alias("m")), "band").select(
+        "band",
+        F.ceil(F.col("n") / F.lit(GROUP_LINKS)).cast("long").alias("n"),
+        F.ceil(F.col("m") / F.lit(GROUP_LINKS)).cast("long").alias("m"),
+    )
+    sizes = written(sizes, "band-blocks")
+
+    def blocks(rows: DataFrame, own: str, other: str, side: int) -> DataFrame:
+        place = F.pmod(F.xxhash64("node", F.lit(side)), F.col(own))
+        every = F.explode(F.sequence(F.lit(0).cast("long"), F.col(other) - 1))
+        return rows.join(sizes, "band").select(
+            "band", "node", "root", place.alias(own), every.alias(other), F.lit(side).alias("side")
+        ).select("band", "n", "m", "node", "root", "side")
+
+    placed = blocks(split, "n", "m", 0).unionByName(blocks(outside, "m", "n", 1))
+    placed = written(placed, "blocks").join(held, "node")
+
+    def compare(rows: pa.Table) -> pa.Table:
+        held = rows.select(["node", "root", "side", "text"]).to_pylist()
+        inner, outer = ([r for r in held if r["side"] == side] for side in (0, 1))
+        if not inner or not outer:
+            return _links([], [])
+        like = all_similarities([r["text"] for r in outer], [r["text"] for r in inner])
+        found = [
+            (outer[i]["node"], inner[j]["node"])
+            for i, j in zip(*np.nonzero(like >= least - 1e-6))
+            if outer[i]["root"] != inner[j]["root"]
+        ]
+        return _links([a for a, _ in found], [b for _, b in found])
+
+    return written(placed.groupBy("band", "n", "m").applyInArrow(compare, LINKS), "verified-blocks")
+
+
 def classes(documents: DataFrame, least: float = SIMILARITY) -> DataFrame:
     """Per row of ``documents``: ``doc_id, class_id, class_size, kept``, with ``tie``, a hash
     of the text, and ``repeats``, the number of rows with the same id and text."""
@@ -287,53 +373,44 @@ def _roots(documents: DataFrame, nodes: DataFrame, least: float) -> DataFrame:
     shared = banded.groupBy("band").agg(F.count("*").alias("n")).filter("n > 1")
     members = written(banded.join(written(shared, "shared-bands"), "band"), "band-members")
     weights = members.groupBy("node").agg(F.sum("n").alias("weight"))
-    members = members.join(written(weights, "node-weights"), "node").select("band", "node", "weight")
+    weights = written(weights, "node-weights")
+    members = members.join(weights, "node").select("band", "node", "weight")
     members = written(members, "weighted-members")
-    order = F.struct("weight", "node")
+    held = fetch_texts(documents, nodes, weights.select("node"))
 
     def star(rows: DataFrame, hubs: DataFrame) -> DataFrame:
         """Links of ``rows`` with the hub of their band."""
-        hubs = written(hubs, "band-hubs")
-        return rows.join(hubs, "band").filter("node != hub").select("hub", F.col("node").alias("member")).distinct()
+        links = rows.join(written(hubs, "band-hubs"), "band").filter("node != hub")
+        return links.select("hub", F.col("node").alias("member")).distinct()
 
-    hubs = members.groupBy("band").agg(F.max(order).getField("node").alias("hub"))
-    tested = written(star(members, hubs), "links-1")
-    links = verified(tested, nodes, documents, least)
-
-    def placed() -> DataFrame:
+    def split_bands(links: DataFrame) -> DataFrame:
         """Members of the bands that still span several components, with their root."""
-        roots = components(links)
-        rows = members.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-        rows = written(rows, "placed-members")
-        split = rows.groupBy("band").agg(F.min("root").alias("a"), F.max("root").alias("b"))
-        return written(rows.join(written(split.filter("a < b").select("band"), "split-bands"), "band"), "split")
-
-    def untested(pairs: DataFrame) -> DataFrame:
-        pair = [F.least("hub", "member").alias("x"), F.greatest("hub", "member").alias("y")]
-        old = tested.select(*pair).distinct()
-        fresh = pairs.select(*pair).distinct().join(old, ["x", "y"], "left_anti")
-        return written(fresh.select(F.col("x").alias("hub"), F.col("y").alias("member")), "links")
-
-    split = placed()
-    if split.limit(1).count():
-        # A second hub, of another component than the first.
+        rows = members.join(components(links), "node", "left")
+        rows = written(rows.withColumn("root", F.coalesce("root", "node")), "placed-members")
+        ends = rows.groupBy("band").agg(F.min("root").alias("a"), F.max("root").alias("b"))
+        spread = written(ends.filter("a < b").select("band"), "split-bands")
+        return written(rows.join(spread, "band"), "split-members")
+
+    def outside_first(split: DataFrame) -> DataFrame:
+        """What is not in the component of the band's hub."""
         first = split.groupBy("band").agg(F.max(F.struct("weight", "node", "root")).alias("f"))
-        others = split.join(written(first, "first-hubs"), "band").filter("root != f.root")
-        second = others.groupBy("band").agg(
+        rest = split.join(written(first, "first-hubs"), "band").filter("root != f.root")
+        return written(rest.drop("f"), "outside")
+
+    first = members.groupBy("band").agg(F.max(F.struct("weight", "node")).getField("node").alias("hub"))
+    links = verified(written(star(members, first), "links-1"), held, least)
+    split = split_bands(links)
+    if split.limit(1).count():
+        # A second hub, of another component than the first, with all the other components.
+        second = outside_first(split).groupBy("band").agg(
             F.max(F.struct("weight", "node", "root")).alias("s")
-        ).select("band", F.col("s.node").alias("hub"), F.col("s.root").alias("hub_root"))
-        second = written(second, "second-hubs")
-        pairs = split.join(second, "band").filter("root != hub_root").select("hub", F.col("node").alias("member"))
-        fresh = untested(pairs)
-        links = written(links.unionByName(verified(fresh, nodes, documents, least)), "links-2")
-        tested = written(tested.unionByName(fresh), "tested-2")
-        split = placed()
+        )
+        more = star(split, second.select("band", F.col("s.node").alias("hub")))
+        links = written(links.unionByName(verified(written(more, "links-2"), held, least)), "links-2")
+        split = split_bands(links)
     if split.limit(1).count():
         # What is outside the first hub's component, with all of other components.
-        first = split.groupBy("band").agg(F.max(F.struct("weight", "node", "root")).alias("f"))
-        outside = split.join(written(first, "first-hubs"), "band").filter("root != f.root")
-        outside = written(outside.select("band", F.col("node").alias("hub"), F.col("root").alias("hub_root")), "outside")
-        pairs = split.join(outside, "band").filter("root != hub_root").select("hub", F.col("node").alias("member"))
-        fresh = untested(pairs)
-        links = written(links.unionByName(verified(fresh, nodes, documents, least)), "links-3")
+        outside = outside_first(split)
+        found = verified_in_blocks(outside, split, held, least)
+        links = written(links.unionByName(found), "links-3")
     return components(links)

@@ -19,14 +19,16 @@ for _low, _high in ("az", "09"):
     _IS_WORD[ord(_low) : ord(_high) + 1] = True
 
 
-def groups(texts: list[str | None], limit: int = GROUP_CHARS) -> Iterator[tuple[int, list[str]]]:
-    """Runs of texts with about ``limit`` characters, one text at least, with the place of
-    the first; a null text as the empty one."""
+def groups(
+    texts: list[str | None], limit: int = GROUP_CHARS, most: int = 1 << 20
+) -> Iterator[tuple[int, list[str]]]:
+    """Runs of texts with about ``limit`` characters and at most ``most`` texts, one text at
+    least, with the place of the first; a null text as the empty one."""
     first, held, size = 0, [], 0
     for place, text in enumerate(texts):
         held.append(text or "")
         size += len(held[-1])
-        if size >= limit:
+        if size >= limit or len(held) >= most:
             yield first, held
             first, held, size = place + 1, [], 0
     if held:

@@ -96,7 +96,8 @@ class BloomFilter:
         masks = [m.alias(f"_w{i}") for i, m in enumerate(_masks("listed_key"))]
         blocks = keys.select(self._block("listed_key").alias("_block"), *masks)
         self.blocks = blocks.groupBy("_block").agg(*[F.bit_or(f"_w{i}").alias(f"_w{i}") for i in range(4)])
-        if self.n_blocks * BYTES_PER_BLOCK <= max_broadcast:
+        self.is_small = self.n_blocks * BYTES_PER_BLOCK <= max_broadcast
+        if self.is_small:
             self.blocks = F.broadcast(self.blocks)
 
     def _block(self, key: str) -> Column:

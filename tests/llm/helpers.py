@@ -9,7 +9,8 @@ from pyspark.sql import types as T
 SF = "/root/testdata/sf0.001"
 DOCUMENTS = (
     "doc_id long, text string, lang string, source string, n_chars long, "
-    "digest string, node long, shard int, key binary, tie long, matches string"
+    "digest string, node long, shard int, key binary, tie long, matches string, "
+    "_id long, _MATCHES string, `_lang` string, `a.b` int, _marked string, _tie long, _repeats int"
 )
 
 
@@ -23,7 +24,7 @@ def texts_of(sf):
 
 def documents(spark, rows):
     """``rows`` of (doc_id, text[, lang[, source]]) with columns whose names operators use."""
-    full = [(*r[:4], *[None] * (4 - len(r)), 7, "x", 1, 2, b"k", 3, "m") for r in rows]
+    full = [(*r[:4], *[None] * (4 - len(r)), 7, "x", 1, 2, b"k", 3, "m", 0, "M", "l", 5, "k", 9, 1) for r in rows]
     return spark.createDataFrame(full, DOCUMENTS)
 
 

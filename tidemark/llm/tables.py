@@ -11,13 +11,17 @@ from pyspark.sql import functions as F
 
 from tidemark.session import scratch_dir
 
+BATCH_BYTES = 16 << 20
+_BATCH = "spark.sql.execution.arrow.maxBytesPerBatch"
 _PACKAGE = Path(__file__).resolve().parents[1]
 _shipped: set[str] = set()
 
 
 def ship(spark: SparkSession) -> None:
     """Give the executors this package, once per application, as ``--py-files`` would: the
-    functions that run inside tasks import it there."""
+    functions that run inside tasks import it there. They get batches of BATCH_BYTES at
+    most, which bounds what a worker holds at a time."""
+    spark.conf.set(_BATCH, str(BATCH_BYTES))
     context = spark.sparkContext
     if context.applicationId in _shipped:
         return
@@ -56,17 +60,27 @@ def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+def unused(df: DataFrame, name: str) -> str:
+    """``name``, lengthened until ``df`` has no such column; case does not count."""
+    taken = {column.lower() for column in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def staying(documents: DataFrame, verdicts: DataFrame, mark: Column, marked: str) -> DataFrame:
     """The rows of ``documents``, with all their columns, that ``verdicts`` keeps. A verdict
     names rows by ``doc_id`` and ``marked``, the value of ``mark`` over their columns; it
     has ``kept`` and ``repeats``, the rows it stands for, of which one stays."""
+    own, value, rows_of = (unused(documents, n) for n in ("_id", "_marked", "_repeats"))
     stays = verdicts.filter("kept").select(
-        F.col("doc_id").alias("_id"), F.col(marked).alias("_marked"), F.col("repeats").alias("_repeats")
+        F.col("doc_id").alias(own), F.col(marked).alias(value), F.col("repeats").alias(rows_of)
     )
     stays = written(stays, "staying")
-    same = (mark == F.col("_marked")) & F.col("doc_id").cast("long").eqNullSafe(F.col("_id"))
+    same = (mark == F.col(value)) & F.col("doc_id").cast("long").eqNullSafe(F.col(own))
     rows = documents.join(stays, same)
-    once = rows.filter("_repeats = 1")
-    if stays.filter("_repeats > 1").limit(1).count():
-        once = once.unionByName(rows.filter("_repeats > 1").dropDuplicates(["_id", "_marked"]))
-    return once.select(documents.columns)
+    once = rows.filter(F.col(rows_of) == 1)
+    repeated = F.col(rows_of) > 1
+    if stays.filter(repeated).limit(1).count():
+        once = once.unionByName(rows.filter(repeated).dropDuplicates([own, value]))
+    return once.select(*[F.col(f"`{name}`") for name in documents.columns])

@@ -29,7 +29,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm import arrays, shingles
-from tidemark.llm.tables import ship, text_or_empty, texts, written
+from tidemark.llm.tables import ship, text_or_empty, texts, unused, written
 
 MIN_MATCH = 5
 COVERAGE = 0.6
@@ -225,20 +225,22 @@ def matched(
     benchmark: DataFrame,
     coverage: float = COVERAGE,
     max_chars: int = MAX_BENCHMARK_CHARS,
+    name: str = "_matches",
 ) -> DataFrame:
-    """``documents`` with a column ``_matches``: the items it contains, with their tiles.
-    An item counts once per document, with its best text should its id be repeated."""
+    """``documents`` with a column ``name``: the items a document contains, with their
+    tiles."""
     ship(documents.sparkSession)
     if _small(benchmark, max_chars):
-        return documents.withColumn("_matches", matches_column(benchmark, coverage))
+        return documents.withColumn(name, matches_column(benchmark, coverage))
+    own, mark = unused(documents, "_id"), unused(documents, "_tie")
     found = _matches_by_join(documents, benchmark, coverage).select(
-        F.col("doc_id").alias("_id"), F.col("tie").alias("_tie"), F.col("matches").alias("_matches")
+        F.col("doc_id").alias(own), F.col("tie").alias(mark), F.col("matches").alias(name)
     )
     tie = F.xxhash64(text_or_empty())
-    same = (tie == F.col("_tie")) & F.col("doc_id").cast("long").eqNullSafe(F.col("_id"))
+    same = (tie == F.col(mark)) & F.col("doc_id").cast("long").eqNullSafe(F.col(own))
     none = F.array().cast(MATCHES)
-    joined = documents.join(found, same, "left").drop("_id", "_tie")
-    return joined.withColumn("_matches", F.coalesce("_matches", none))
+    joined = documents.join(found, same, "left").drop(own, mark)
+    return joined.withColumn(name, F.coalesce(name, none))
 
 
 def find(
@@ -261,4 +263,6 @@ def find(
 
 def clean(documents: DataFrame, benchmark: DataFrame, coverage: float = COVERAGE) -> DataFrame:
     """The rows of ``documents`` that contain no item, with all their columns."""
-    return matched(documents, benchmark, coverage).filter(F.size("_matches") == 0).drop("_matches")
+    name = unused(documents, "_matches")
+    found = matched(documents, benchmark, coverage, name=name)
+    return found.filter(F.size(name) == 0).drop(name)

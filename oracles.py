@@ -302,13 +302,16 @@ ORACLES["mart_payment_success"] = (
     + " AS success_rate_pct FROM payments GROUP BY payment_method) r "
     "ON m.payment_method = r.payment_method"
 )
-ORACLES["gold_tables"] = (
-    f"WITH {CLEAN} SELECT 'daily_sales' AS mart, count(*) AS row_count FROM (SELECT DISTINCT "
-    "CAST(order_date AS DATE), order_status FROM orders_ WHERE order_status <> 'CANCELLED') "
-    "UNION ALL SELECT 'customer_lifetime_value', count(*) FROM customers "
-    "UNION ALL SELECT 'product_performance', count(*) FROM products "
-    "UNION ALL SELECT 'payment_summary', count(*) FROM "
-    "(SELECT DISTINCT payment_method, payment_status FROM payments)"
+_EXACT_SUM = "CAST(sum(CAST({} AS DECIMAL(38,2))) AS DOUBLE)"
+ORACLES["gold_tables"] = " UNION ALL ".join(
+    f"SELECT '{mart}' AS mart, count(*) AS row_count, {_EXACT_SUM.format(amount)} AS amount, "
+    f"CAST(sum({units}) AS BIGINT) AS units FROM ({ORACLES[f'mart_{mart}']})"
+    for mart, amount, units in (
+        ("daily_sales", "total_revenue", "total_orders"),
+        ("customer_lifetime_value", "lifetime_value", "lifetime_orders"),
+        ("product_performance", "gross_revenue", "total_units_sold"),
+        ("payment_summary", "total_amount", "transaction_count"),
+    )
 )
 
 # --- quality ---------------------------------------------------------------------------
@@ -740,10 +743,17 @@ ORACLES["ingest_metrics"] = (
 )
 ORACLES["csv_roundtrip"] = f"WITH {POISON} SELECT * FROM customers"
 ORACLES["lake_views"] = (
-    f"WITH {POISON}, {ERROR_ROWS} SELECT 'orders' AS view_name, count(*) AS row_count FROM orders_ "
-    "UNION ALL SELECT 'payments', count(*) FROM payments "
-    "UNION ALL SELECT 'products', count(*) FROM products "
-    "UNION ALL SELECT 'errors', count(*) FROM errors"
+    " UNION ALL ".join(
+        f"SELECT '{view}' AS view_name, count(*) AS row_count, {_EXACT_SUM.format(amount)} "
+        f"AS amount FROM (WITH {CLEAN} SELECT * FROM {cte})"
+        for view, cte, amount in (
+            ("orders", "orders_", "total_amount"),
+            ("payments", "payments", "payment_amount"),
+            ("products", "products", "price"),
+        )
+    )
+    + f" UNION ALL SELECT 'errors', count(*), NULL FROM (WITH {POISON}, {ERROR_ROWS} "
+    "SELECT * FROM errors)"
 )
 ORACLES["compact_partition"] = (
     f"WITH {CLEAN} SELECT order_id, order_status, total_amount FROM orders_"

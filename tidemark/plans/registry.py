@@ -205,9 +205,22 @@ def mart_payment_success(spark, sf_dir):
     return marts.with_success_rate(marts.payment_summary_mart(wh.payments(spark, sf_dir)))
 
 
+_MART_SUMS = {
+    "daily_sales": ("total_revenue", "total_orders"),
+    "customer_lifetime_value": ("lifetime_value", "lifetime_orders"),
+    "product_performance": ("gross_revenue", "total_units_sold"),
+    "payment_summary": ("total_amount", "transaction_count"),
+}
+
+
+def _exact_sum(name):
+    return F.sum(F.col(name).cast("decimal(38,2)")).cast("double")
+
+
 @query
 def gold_tables(spark, sf_dir):
-    """Rows per mart after the silver-to-gold job has run on written silver tables."""
+    """Rows and sums per mart after the silver-to-gold job has run on written silver
+    tables."""
     base = scratch_dir(spark, "lake")
     for name, df in {
         "customers": wh.customers(spark, sf_dir),
@@ -220,7 +233,11 @@ def gold_tables(spark, sf_dir):
     built = marts.run_transformations(spark, f"{base}/silver", f"{base}/gold")
     return _union(
         [
-            df.agg(F.count("*").alias("row_count")).select(F.lit(name).alias("mart"), "row_count")
+            df.agg(
+                F.count("*").alias("row_count"),
+                _exact_sum(_MART_SUMS[name][0]).alias("amount"),
+                F.sum(_MART_SUMS[name][1]).alias("units"),
+            ).select(F.lit(name).alias("mart"), "row_count", "amount", "units")
             for name, df in built.items()
         ]
     )
@@ -577,10 +594,13 @@ def lake_views(spark, sf_dir):
     inputs.register_views(spark, base)
     return spark.sql(
         """
-        SELECT 'orders' AS view_name, count(*) AS row_count FROM orders_source
-        UNION ALL SELECT 'payments', count(*) FROM payments_source
-        UNION ALL SELECT 'products', count(*) FROM products_source
-        UNION ALL SELECT 'errors', count(*) FROM errors_source
+        SELECT 'orders' AS view_name, count(*) AS row_count,
+            cast(sum(cast(total_amount AS decimal(38,2))) AS double) AS amount FROM orders_source
+        UNION ALL SELECT 'payments', count(*),
+            cast(sum(cast(payment_amount AS decimal(38,2))) AS double) FROM payments_source
+        UNION ALL SELECT 'products', count(*),
+            cast(sum(cast(price AS decimal(38,2))) AS double) FROM products_source
+        UNION ALL SELECT 'errors', count(*), NULL FROM errors_source
         """
     )
 

@@ -30,7 +30,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm import shingles
-from tidemark.llm.tables import ship, text_or_empty
+from tidemark.llm.tables import ship, text_or_empty, unused, written
 
 SAMPLE_PER_LANGUAGE = 1500
 PAIRS, TRIPLES = 1 << 16, 1 << 16
@@ -108,19 +108,24 @@ def letters() -> Column:
 
 
 def _sample(labelled: DataFrame, per_language: int) -> DataFrame:
-    """At most ``per_language`` rows of each language: ``lang, text``."""
+    """At most ``per_language`` texts of each language: ``lang, text``. Draws are chosen
+    without their texts, which are fetched for the chosen ones; repeated rows are one."""
+    draw = F.xxhash64("doc_id", text_or_empty(), F.lit(11)).alias("draw")
     rows = labelled.select(
-        F.col("lang").cast("string").alias("lang"), text_or_empty().alias("text"), "doc_id"
+        F.col("lang").cast("string").alias("lang"), text_or_empty().alias("text"), draw
     ).filter(F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}"))
-    counts = rows.groupBy("lang").agg(F.count("*").alias("n"))
-    draw = F.xxhash64("doc_id", "text", F.lit(11))
-    share = F.shiftrightunsigned(draw, 11).cast("double") / F.lit(float(1 << 53))
+    draws = written(rows.select("lang", "draw").distinct(), "language-draws")
+    # Written, so that the join knows how small they are and no language is one task.
+    counts = written(draws.groupBy("lang").agg(F.count("*").alias("n")), "language-counts")
+    share = F.shiftrightunsigned("draw", 11).cast("double") / F.lit(float(1 << 53))
     # A little more than wanted by a threshold on the draw, then exactly the smallest; so
     # only a bounded number of rows is ever ordered.
-    some = rows.join(counts, "lang").withColumn("share", share)
-    some = some.filter(F.col("share") * F.col("n") < 1.2 * per_language + 50)
-    place = F.row_number().over(Window.partitionBy("lang").orderBy("share", "doc_id", "text"))
-    return some.withColumn("place", place).filter(F.col("place") <= per_language).select("lang", "text")
+    some = draws.join(counts, "lang").filter(share * F.col("n") < 1.2 * per_language + 50)
+    place = F.row_number().over(Window.partitionBy("lang").orderBy(share, "draw"))
+    chosen = some.withColumn("place", place).filter(F.col("place") <= per_language)
+    chosen = written(chosen.select("lang", "draw"), "language-sample")
+    found = rows.join(chosen, ["lang", "draw"]).dropDuplicates(["lang", "draw"])
+    return written(found.select("lang", "text"), "language-texts")
 
 
 def _counts(sample: DataFrame) -> tuple[list[str], np.ndarray]:
@@ -234,26 +239,28 @@ def predicted(documents: DataFrame, model: Model) -> Column:
     return decoded(text_or_empty())
 
 
-def judged(documents: DataFrame, model: Model) -> DataFrame:
-    """``documents`` with ``_lang``: the struct of ``lang_pred, score, ambiguous``."""
-    rows = documents.withColumn("_judged", predicted(documents, model))
+def judged(documents: DataFrame, model: Model, name: str) -> DataFrame:
+    """``documents`` with ``name``: the struct of ``lang_pred, score, ambiguous``."""
+    found = predicted(documents, model)
     known = letters()
-    lang = F.when(known, F.col("_judged.lang")).otherwise(F.lit(UNKNOWN))
-    score = F.when(known, F.col("_judged.score")).otherwise(F.lit(0.0))
+    lang = F.when(known, found["lang"]).otherwise(F.lit(UNKNOWN))
+    score = F.when(known, found["score"]).otherwise(F.lit(0.0))
     struct = F.struct(
         lang.alias("lang_pred"), score.alias("score"), (score < CERTAIN).alias("ambiguous")
     )
-    return rows.withColumn("_lang", struct).drop("_judged")
+    return documents.withColumn(name, struct)
 
 
 def predict(documents: DataFrame, model: Model) -> DataFrame:
     """Per row: ``doc_id, lang_pred, score, ambiguous``."""
-    return judged(documents.select("doc_id", "text"), model).select("doc_id", "_lang.*")
+    return judged(documents.select("doc_id", "text"), model, "found").select("doc_id", "found.*")
 
 
 def reject(documents: DataFrame, model: Model) -> DataFrame:
     """``documents`` without those in no known language."""
-    return judged(documents, model).filter(F.col("_lang.lang_pred") != UNKNOWN).drop("_lang")
+    name = unused(documents, "_lang")
+    found = judged(documents, model, name)
+    return found.filter(F.col(name)["lang_pred"] != UNKNOWN).drop(name)
 
 
 def held_out(modulus: int) -> Column:

@@ -55,6 +55,8 @@ def test_awkward_texts(spark, coder):
         (i is None, i or 0, ids_of(coder, t or ""), (t or "").encode()) for i, t in rows
     )
     assert got == want
+    both = bpe.encode(documents(spark, rows), PATH, public_tokenizers.PATTERN, decoded=True)
+    assert sorted((r.doc_id is None, r.doc_id or 0, bytes(r.ids), bytes(r.decoded)) for r in both.collect()) == want
     assert bpe.encode(empty(spark), PATH, public_tokenizers.PATTERN).count() == 0
 
 

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import ctypes
+from collections.abc import Callable, Iterator
+
 import numpy as np
 import pyarrow as pa
 import zstandard
@@ -9,6 +12,27 @@ import zstandard
 BASE = 0x9E3779B97F4A7C15 | 1
 CHUNK = 1 << 19
 _powers: dict[str, np.ndarray] = {}
+_TRIM = getattr(ctypes.CDLL(None), "malloc_trim", None)
+
+
+def release() -> None:
+    """Give freed memory back to the system: Spark keeps idle workers for a while, and
+    several of them share an executor."""
+    pa.default_memory_pool().release_unused()
+    if _TRIM:
+        _TRIM(0)
+
+
+def released(rows: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
+    """A function over the batches of a task that gives its memory back at the end."""
+
+    def run(batches: Iterator) -> Iterator:
+        try:
+            yield from rows(batches)
+        finally:
+            release()
+
+    return run
 
 
 def mix(x: np.ndarray) -> np.ndarray:

@@ -183,7 +183,7 @@ def signatures(documents: DataFrame) -> DataFrame:
                 )
 
     ready = texts(documents).select("doc_id", F.xxhash64("text").alias("tie"), "text")
-    return ready.mapInArrow(rows, "doc_id long, tie long, digest binary, bands array<long>")
+    return ready.mapInArrow(arrays.released(rows), "doc_id long, tie long, digest binary, bands array<long>")
 
 
 def similarities(hub: str, members: list[str]) -> list[float]:
@@ -268,6 +268,7 @@ def all_similarities(some: list[str], others: list[str], columns: int = 1 << 15)
     rows, left = rows[np.isin(left, shared)], np.searchsorted(shared, left[np.isin(left, shared)])
     cols, right = cols[np.isin(right, shared)], np.searchsorted(shared, right[np.isin(right, shared)])
     both = np.zeros((len(some), len(others)), dtype=np.float32)
+    columns = max(1, min(columns, len(shared)))
     for at in range(0, len(shared), columns):
         a = np.zeros((len(some), columns), dtype=np.float32)
         b = np.zeros((len(others), columns), dtype=np.float32)

@@ -59,8 +59,43 @@ def pre_tokens(documents: DataFrame, pattern: str) -> DataFrame:
     return texts(documents).select("doc_id", found.alias("tokens"))
 
 
-def encode(documents: DataFrame, ranks_path: str, pattern: str) -> DataFrame:
-    """``doc_id, n_tokens, ids``; ids are little-endian unsigned 32-bit integers."""
+class TokenBytes:
+    """The token-byte table: where the bytes of every id stand."""
+
+    def __init__(self, data: bytes):
+        by_id = {i: token for token, i in parse_ranks(data).items()}
+        table = [by_id.get(i, b"") for i in range(max(by_id, default=-1) + 1)]
+        self.data = np.frombuffer(b"".join(table), dtype=np.uint8)
+        self.lengths = np.array([len(t) for t in table], dtype=np.int64)
+        self.starts = np.cumsum(self.lengths) - self.lengths
+
+    def join(self, ids: np.ndarray, bounds: np.ndarray) -> list[bytes]:
+        """The bytes of each stretch of ``ids``, in slices of bounded size."""
+        at = np.concatenate([[0], np.cumsum(self.lengths[ids])])[bounds]
+        parts = [
+            arrays.ragged_take(self.data, self.starts, self.lengths, ids[a : a + SLICE_TOKENS])
+            for a in range(0, len(ids), SLICE_TOKENS)
+        ]
+        whole = np.concatenate([np.empty(0, np.uint8), *parts])
+        return [whole[a:b].tobytes() for a, b in zip(at[:-1], at[1:])]
+
+
+_tables: dict[int, TokenBytes] = {}
+
+
+def token_bytes(data: bytes) -> TokenBytes:
+    """One table per worker process."""
+    if hash(data) not in _tables:
+        _tables[hash(data)] = TokenBytes(data)
+    return _tables[hash(data)]
+
+
+def encode(
+    documents: DataFrame, ranks_path: str, pattern: str, decoded: bool = False
+) -> DataFrame:
+    """``doc_id, n_tokens, ids``; ids are little-endian unsigned 32-bit integers. With
+    ``decoded`` also the bytes that the ids decode to, as :func:`decode` gives them, joined
+    where the ids are reassembled."""
     spark = documents.sparkSession
     vocabulary = spark.sparkContext.broadcast(read_ranks(ranks_path))
     tokens = pre_tokens(documents, pattern)
@@ -92,7 +127,7 @@ def encode(documents: DataFrame, ranks_path: str, pattern: str) -> DataFrame:
 
     def reassemble(docs: pa.Table, answers: pa.Table) -> pa.Table:
         found = answers.to_pylist()
-        out: dict[str, list] = {"doc_id": [], "n_tokens": [], "ids": []}
+        out: dict[str, list] = {n: [] for n in (_DECODED if decoded else _ENCODED).names}
         for row in docs.to_pylist():
             ids, starts, lengths = words.Answers(row["n_words"], found).lists("sizes", "ids")
             codes = arrays.expanded(row["codes"])
@@ -106,7 +141,9 @@ def encode(documents: DataFrame, ranks_path: str, pattern: str) -> DataFrame:
                 out["doc_id"] += row["doc_ids"][low:high]
                 out["n_tokens"] += np.diff(bounds).tolist()
                 out["ids"] += [taken[a:b].tobytes() for a, b in zip(bounds[:-1], bounds[1:])]
-        return pa.Table.from_pydict(out, schema=_ENCODED)
+                if decoded:
+                    out["decoded"] += token_bytes(vocabulary.value).join(taken, bounds)
+        return pa.Table.from_pydict(out, schema=_DECODED if decoded else _ENCODED)
 
     shards = max(32, partitions(spark))
     answers = (
@@ -118,7 +155,7 @@ def encode(documents: DataFrame, ranks_path: str, pattern: str) -> DataFrame:
         words.doc_rows(tokens)
         .groupBy("block")
         .cogroup(answers.groupBy("block"))
-        .applyInArrow(reassemble, ENCODED)
+        .applyInArrow(reassemble, ENCODED + ", decoded binary" * decoded)
     )
 
 
@@ -143,25 +180,17 @@ def decode(encoded: DataFrame, ranks_path: str) -> DataFrame:
     schema = encoded.select("doc_id", "n_tokens", "ids").schema.add("decoded", "binary")
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        by_id = {i: token for token, i in parse_ranks(vocabulary.value).items()}
-        table = [by_id.get(i, b"") for i in range(max(by_id, default=-1) + 1)]
-        data = np.frombuffer(b"".join(table), dtype=np.uint8)
-        lengths = np.array([len(t) for t in table], dtype=np.int64)
-        starts = np.cumsum(lengths) - lengths
+        table = token_bytes(vocabulary.value)
         for batch in batches:
             decoded = []
             for ids in batch.column("ids"):
                 numbers = np.frombuffer(ids.as_buffer() or b"", dtype="<u4")
-                parts = [
-                    arrays.ragged_take(data, starts, lengths, numbers[a : a + SLICE_TOKENS])
-                    for a in range(0, len(numbers), SLICE_TOKENS)
-                ]
-                decoded.append(b"".join(p.tobytes() for p in parts))
+                decoded += table.join(numbers, np.array([0, len(numbers)]))
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns, pa.array(decoded, pa.binary())], schema=_DECODED
             )
 
-    return encoded.select("doc_id", "n_tokens", "ids").mapInArrow(rows, schema)
+    return encoded.select("doc_id", "n_tokens", "ids").mapInArrow(arrays.released(rows), schema)
 
 
 _DECODED = pa.schema([*_ENCODED, ("decoded", pa.binary())])

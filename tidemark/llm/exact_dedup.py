@@ -26,6 +26,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.llm import arrays
 from tidemark.llm.tables import partitions, staying, text_or_empty, texts, written
 
 TABLE_BYTES = 48 << 20
@@ -122,7 +123,7 @@ def collapse(records: DataFrame, max_bytes: int = COLLAPSE_BYTES) -> DataFrame:
                     table.add(*record)
         yield from _batches(table.entries, True, True)
 
-    return records.mapInArrow(rows, RECORDS)
+    return records.mapInArrow(arrays.released(rows), RECORDS)
 
 
 def resolve(records: DataFrame, level: int, max_bytes: int) -> DataFrame:
@@ -137,7 +138,7 @@ def resolve(records: DataFrame, level: int, max_bytes: int) -> DataFrame:
 
     spark = records.sparkSession
     bucket = F.xxhash64("digest", F.lit(level))
-    return records.repartition(max(8, partitions(spark)), bucket).mapInArrow(rows, RECORDS)
+    return records.repartition(max(8, partitions(spark)), bucket).mapInArrow(arrays.released(rows), RECORDS)
 
 
 def contents(

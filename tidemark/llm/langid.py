@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm import shingles
+from tidemark.llm import arrays, shingles
 from tidemark.llm.tables import ship, text_or_empty, unused, written
 
 SAMPLE_PER_LANGUAGE = 1500
@@ -147,7 +147,7 @@ def _counts(sample: DataFrame) -> tuple[list[str], np.ndarray]:
                 names=["lang", "bucket", "n"],
             )
 
-    found = sample.mapInArrow(rows, "lang string, bucket int, n long")
+    found = sample.mapInArrow(arrays.released(rows), "lang string, bucket int, n long")
     table = found.groupBy("lang", "bucket").agg(F.sum("n").alias("n")).toArrow()
     languages = sorted(set(table.column("lang").to_pylist()))
     out = np.zeros((len(languages), BUCKETS))
@@ -235,6 +235,7 @@ def predicted(documents: DataFrame, model: Model) -> Column:
             yield pa.StructArray.from_arrays(
                 [pa.array(langs, pa.string()), pa.array(scores, pa.float64())], names=["lang", "score"]
             )
+        arrays.release()
 
     return decoded(text_or_empty())
 

@@ -390,7 +390,7 @@ def train(coded_docs: DataFrame, counts: Counts) -> Model:
         return pa.table({"tokens": [int(tokens.sum())], "flat": [mean]}, schema=_PARAMETERS)
 
     learned = coded_docs.filter("not held_out").select("codes")
-    found = written(learned.mapInArrow(rows, "tokens long, flat binary"), "task-models")
+    found = written(learned.mapInArrow(arrays.released(rows), "tokens long, flat binary"), "task-models")
     n = found.count()
     while n > 1:
         groups = -(-n // AVERAGED)
@@ -448,7 +448,7 @@ def score(documents: DataFrame, modulus: int = 7) -> DataFrame:
                 )
 
     found = rows.mapInArrow(
-        scored,
+        arrays.released(scored),
         "doc_id long, held_out boolean, n_tokens long, n_known long, base_score double, score double",
     )
     return found.withColumn("train_tokens", F.lit(counts.tokens).cast("long"))

@@ -154,7 +154,7 @@ def postings(documents: DataFrame) -> DataFrame:
                 [pa.array(keys, pa.binary()), pa.array(ids, pa.int64())], names=["key", "doc_id"]
             )
 
-    return texts(documents).mapInArrow(rows, "key binary, doc_id long")
+    return texts(documents).mapInArrow(arrays.released(rows), "key binary, doc_id long")
 
 
 class LineIndex:

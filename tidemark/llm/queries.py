@@ -43,8 +43,8 @@ def query(build: Query) -> Query:
 @query
 def op1_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     ranks = public_tokenizers.path(MULTI_BPE)
-    encoded = bpe.encode(table(spark, sf_dir, "documents"), ranks, public_tokenizers.PATTERN)
-    return bpe.decode(encoded, ranks).select(
+    documents = table(spark, sf_dir, "documents")
+    return bpe.encode(documents, ranks, public_tokenizers.PATTERN, decoded=True).select(
         "doc_id",
         "n_tokens",
         F.sha2("ids", 256).alias("ids_sha256"),

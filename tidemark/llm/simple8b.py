@@ -340,7 +340,7 @@ def write(documents: DataFrame, tokenizer_path: str, folder: str, end_id: int =
     tie = F.xxhash64("text")
     ordered = texts(documents).withColumn("tie", tie).repartitionByRange("doc_id", "tie")
     ordered = ordered.sortWithinPartitions("doc_id", "tie").select("doc_id", "text")
-    ordered.mapInArrow(segments, SEGMENTS).write.parquet(folder)
+    ordered.mapInArrow(arrays.released(segments), SEGMENTS).write.parquet(folder)
 
 
 DOCS = "doc_id long, start long, n_tokens long, ids binary"
@@ -378,4 +378,4 @@ def read(spark: SparkSession, folder: str) -> DataFrame:
 
     return placed.select(
         (F.col("base") + F.col("first")).alias("first"), "doc_ids", "sizes", "ids"
-    ).mapInArrow(rows, DOCS)
+    ).mapInArrow(arrays.released(rows), DOCS)

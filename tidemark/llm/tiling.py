@@ -161,6 +161,7 @@ def matches_column(benchmark: DataFrame, coverage: float) -> Column:
         items = Items(*sent.value)
         for batch in batches:
             yield pa.array(list(items.matches(batch.to_pylist(), coverage)), _MATCHES)
+        arrays.release()
 
     return found("text")
 
@@ -184,7 +185,7 @@ def _matches_by_join(documents: DataFrame, benchmark: DataFrame, coverage: float
                         names=[id_column, "tie", "window"],
                     )
 
-        return df.mapInArrow(rows, f"{id_column} long, tie long, window long")
+        return df.mapInArrow(arrays.released(rows), f"{id_column} long, tie long, window long")
 
     docs = texts(documents).select("doc_id", F.xxhash64("text").alias("tie"), "text")
     items = _items(benchmark).select("item_id", F.xxhash64("item_text").alias("tie"), "item_text")

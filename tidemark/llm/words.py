@@ -113,7 +113,7 @@ def word_rows(
                 ]
                 yield pa.RecordBatch.from_pylist(found, schema=_WORDS)
 
-    return tokens.mapInArrow(rows, WORDS)
+    return tokens.mapInArrow(arrays.released(rows), WORDS)
 
 
 _WORDS = pa.schema(
@@ -139,7 +139,7 @@ def doc_rows(tokens: DataFrame, tokenise: Tokeniser = listed) -> DataFrame:
                     names=["block", "doc_ids", "sizes", "codes", "n_words"],
                 )
 
-    return tokens.mapInArrow(rows, DOCS)
+    return tokens.mapInArrow(arrays.released(rows), DOCS)
 
 
 def row_words(row: dict) -> list[bytes]:

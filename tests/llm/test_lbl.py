@@ -126,3 +126,40 @@ def test_training_learns_contexts():
     trainer.learn(contexts, targets)
     after = trainer.model.log_probabilities(np.array([[6, 9], [12, 3]]))
     assert after.argmax(axis=1).tolist() == [7, 13] and np.exp(after.max()) > 0.3
+
+
+def test_words_of_one_group_depend_on_the_context(spark):
+    """Words of one group and one frequency, each after one of two words: as pairs are told
+    apart only by what stands before, all else of the scores cancels."""
+    train = [f"f{k} " * 60 for k in range(lbl.SHORTLIST - 2)]
+    sides = {side: [f"{side[0]}{k}kk" for k in range(20)] for side in ("left", "right")}
+    assert len({lbl.group_of(w.encode()) for own in sides.values() for w in own}) == 1
+    for side, own in sides.items():
+        train += [f"{side} {w} " * 2 for w in own for _ in range(10)]
+    ids = iter(i for i in range(10**6) if not lbl.is_held_out(i, 7))
+    rows = [(next(ids), t) for t in train]
+    ids = iter(i for i in range(10**6) if lbl.is_held_out(i, 7))
+    asked = {(a, w): next(ids) for a in sides for own in sides.values() for w in own}
+    rows += [(i, f"{a} {w}") for (a, w), i in asked.items()]
+    score = {r.doc_id: r.score for r in lbl.score(documents(spark, rows)).collect()}
+    gains = [
+        score[asked["left", l]] + score[asked["right", r]] - score[asked["left", r]] - score[asked["right", l]]
+        for l, r in zip(sides["left"], sides["right"])
+    ]
+    assert min(gains) > 0.1
+
+
+def test_choices_in_a_cell_add_up_to_one():
+    """Over all leaves of a cell, in one context; without learning they have their shares."""
+    rng = np.random.default_rng(3)
+    mass = rng.integers(2, 50, 300).astype(float)
+    mass[[0, 17, 200]] = 0
+    leaves = np.sort(np.concatenate([np.repeat(np.arange(300), 5)] * 2))
+    predicted = np.where(leaves[:, None] % 2, 1, -1) * np.ones((1, lbl.DIMENSIONS), dtype=np.float32)
+    asked = np.arange(len(leaves)) % 10 == 0
+    predicted[asked] = 1
+    plain = lbl.tree(mass, leaves, predicted.astype(np.float32), np.zeros(len(leaves), dtype=bool))
+    assert np.exp(plain[asked]) == pytest.approx(mass / mass.sum(), abs=1e-5)
+    told = lbl.tree(mass, leaves, predicted.astype(np.float32), ~asked)
+    assert np.exp(told[asked]).sum() == pytest.approx(1, abs=1e-4)
+    assert np.exp(told[asked])[1::2].sum() > np.exp(plain[asked])[1::2].sum() + 0.1

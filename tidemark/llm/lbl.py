@@ -5,18 +5,27 @@ Words are counted over the whole training corpus through the distinct words of b
 each; ``GROUPS`` classes of all other words, by their ending; and the end of the text. The
 prediction from the two classes before is the sum of their vectors, each scaled by its
 place; the score of a class is the product with its output vector, plus a bias, and a
-softmax over all classes makes it a probability. A word of a group has its share of the
-group's counts, with one added for every word and one for all unseen words together. So
-the probabilities of all words, seen or not, add up to one.
+softmax over all classes makes it a probability.
+
+Inside a group the same prediction chooses the word. First its cell, the words of the group
+in one hash shard; then, in the cell, a tree of choices among at most ``FAN`` branches, down
+to the word. Every word seen ``OWN`` times or more has a vector of its own there, so vectors
+grow with the vocabulary; rarer words of a cell are one branch with equal shares. Every
+choice is a log-bilinear softmax whose biases are the counts, with one added for every word;
+without a context it gives the share of the group's counts. All unseen words of a group
+together count one. So the probabilities of all words, seen or not, add up to one.
 
 Training: every task takes one pass over its training documents, from the same start, in
 minibatches of numpy matrix products; each minibatch tells its true classes from
 ``NOISE`` shared draws of the unigram distribution. The parameters of all tasks are
-averaged by their tokens, sixteen at a time. Scoring computes the softmax once per
-distinct context of a batch.
+averaged by their tokens, sixteen at a time. Then, with the vectors of the contexts fixed,
+the choice of the cell is learned in the same way, and the choices inside a cell by descent
+on the whole cell: the tokens of groups go to the shard of their word, which learns, scores
+them, and answers with sums per document. Scoring computes the softmax over the classes once
+per distinct context of a batch.
 
-Every pass is bounded by a block or a batch; the driver sees the shortlist, sums per
-group, and one set of parameters.
+Every pass is bounded by a block, a batch or a shard; the driver sees the shortlist, sums
+per cell, and one set of parameters of classes and cells.
 
 Cases: a null or empty text is the end alone; rows with a null id are trained on; repeated
 rows are counted and scored each; other columns are not read; without training rows all
@@ -28,7 +37,7 @@ from __future__ import annotations
 
 import heapq
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 from math import log10
 
@@ -45,6 +54,8 @@ CLASSES = SHORTLIST + GROUPS + 1  # words, groups, end
 END, BEGIN = CLASSES - 1, CLASSES  # BEGIN stands before a text and is never predicted
 CONTEXT, DIMENSIONS, NOISE, MINIBATCH = 2, 16, 24, 2048
 RATE = 0.08
+OWN, FAN, STEPS = 2, 16, 6
+CHUNK = 1 << 16
 BATCH_TOKENS = 1 << 20
 AVERAGED = 16
 _IS_BLANK = np.zeros(256, dtype=bool)
@@ -85,16 +96,17 @@ class Counts:
     codes: dict[int, np.ndarray]  # shard -> class of the words ranked there, -1 if none
     unigram: np.ndarray  # of the classes
     group_mass: np.ndarray  # log10 of what the shares of a group's words are divided by
+    cell_mass: np.ndarray  # groups x shards: the words' counts, one added for each
 
 
 SHARDS = (
     "shard int, block binary, places binary, counts binary, ranks binary, groups binary, "
-    "top array<struct<word:binary,n:long>>, totals array<long>, kinds array<long>"
+    "leaves binary, top array<struct<word:binary,n:long>>, totals array<long>, kinds array<long>"
 )
 _SHARDS = pa.schema(
     [
         ("shard", pa.int32()),
-        *((n, pa.binary()) for n in ("block", "places", "counts", "ranks", "groups")),
+        *((n, pa.binary()) for n in ("block", "places", "counts", "ranks", "groups", "leaves")),
         ("top", pa.list_(pa.struct([("word", pa.binary()), ("n", pa.int64())]))),
         ("totals", pa.list_(pa.int64())),
         ("kinds", pa.list_(pa.int64())),
@@ -104,7 +116,8 @@ _SHARDS = pa.schema(
 
 def _count_shard(rows: pa.Table) -> pa.Table:
     """The training counts of a shard's words, back to the blocks; and one row with the
-    shard's most frequent words and its sums per group."""
+    shard's most frequent words, its sums per group, and its leaves: the words by group,
+    the rare ones last, counted from 1."""
     table, totals = rows.to_pylist(), {}
     for row in table:
         for word, n in zip(words.row_words(row), arrays.expanded(row["weights"]).tolist()):
@@ -113,20 +126,32 @@ def _count_shard(rows: pa.Table) -> pa.Table:
     top = heapq.nsmallest(SHORTLIST, ((-n, word) for n, word in seen))
     ranks = {word: k + 1 for k, (_, word) in enumerate(top)}
     groups = {word: group_of(word) for word in totals}
+    seen = (w for w, n in totals.items() if n)
+    ordered = sorted(seen, key=lambda w: (groups[w], totals[w] < OWN, w))
+    leaves = {word: k + 1 for k, word in enumerate(ordered)}
     sums, kinds = [0] * GROUPS, [0] * GROUPS
     for word, n in totals.items():
         sums[groups[word]] += n
         kinds[groups[word]] += n > 0
     out = []
+    columns = {
+        "counts": totals.get,
+        "ranks": lambda w: ranks.get(w, 0),
+        "groups": groups.get,
+        "leaves": lambda w: leaves.get(w, 0),
+    }
+
+    def packed(held: list[bytes], name: str) -> bytes:
+        return arrays.compressed(np.fromiter(map(columns[name], held), np.int64, len(held)))
+
     for row in table:
         held = words.row_words(row)
         answer = {k: row[k] for k in ("shard", "block", "places")}
-        for name, of in (("counts", totals.get), ("ranks", lambda w: ranks.get(w, 0)), ("groups", groups.get)):
-            answer[name] = arrays.compressed(np.fromiter(map(of, held), np.int64, len(held)))
-        out.append(answer)
+        out.append(answer | {name: packed(held, name) for name in columns})
     out.append(
         {
             "shard": table[0]["shard"],
+            **{name: packed(ordered, name) for name in ("counts", "ranks", "groups")},
             "top": [{"word": word, "n": -n} for n, word in top],
             "totals": sums,
             "kinds": kinds,
@@ -135,7 +160,7 @@ def _count_shard(rows: pa.Table) -> pa.Table:
     return pa.Table.from_pylist(out, schema=_SHARDS)
 
 
-def _counts(answers: DataFrame, ends: int) -> Counts:
+def _counts(answers: DataFrame, ends: int, shards: int) -> Counts:
     summary = answers.filter(F.col("top").isNotNull())
     places = F.posexplode("top").alias("rank", "entry")
     top = (
@@ -145,11 +170,10 @@ def _counts(answers: DataFrame, ends: int) -> Counts:
         .limit(SHORTLIST)
         .collect()
     )
-    sums = [F.sum(F.col(c)[g]).alias(f"{c}{g}") for c in ("totals", "kinds") for g in range(GROUPS)]
-    row = summary.agg(*sums).first()
-    totals, kinds = (
-        np.array([row[f"{c}{g}"] or 0 for g in range(GROUPS)], dtype=float) for c in ("totals", "kinds")
-    )
+    cells = np.zeros((2, GROUPS, shards))
+    for row in summary.select("shard", "totals", "kinds").collect():
+        cells[:, :, row.shard] = row.totals, row.kinds
+    totals, kinds = cells.sum(axis=2)
     tokens, distinct = int(totals.sum()) + ends, int(kinds.sum()) + (ends > 0)
     codes: dict[int, np.ndarray] = {}
     unigram = np.zeros(CLASSES)
@@ -159,15 +183,17 @@ def _counts(answers: DataFrame, ends: int) -> Counts:
         group = group_of(bytes(entry.word))
         totals[group] -= entry.n
         kinds[group] -= 1
+        cells[:, group, entry.shard] -= entry.n, 1
     unigram[SHORTLIST : SHORTLIST + GROUPS] = totals
     unigram[END] = ends
     smooth = (unigram + 0.5) / (unigram + 0.5).sum()
-    return Counts(tokens, distinct, ends, codes, smooth, np.log10(totals + kinds + 1))
+    mass = np.log10(totals + kinds + 1)
+    return Counts(tokens, distinct, ends, codes, smooth, mass, cells.sum(axis=0))
 
 
 CODED = (
     "doc_id long, held_out boolean, n_tokens long, n_known long, base_score double, "
-    "in_groups double, codes binary"
+    "in_groups double, codes binary, block binary, cells binary, leaves binary"
 )
 _CODED = pa.schema(
     [
@@ -178,6 +204,9 @@ _CODED = pa.schema(
         ("base_score", pa.float64()),
         ("in_groups", pa.float64()),
         ("codes", pa.binary()),
+        ("block", pa.binary()),
+        ("cells", pa.binary()),  # per token the shard of its word
+        ("leaves", pa.binary()),  # and its leaf there, 0 outside groups and for unseen words
     ]
 )
 
@@ -193,6 +222,11 @@ def _sums(values: np.ndarray, bounds: np.ndarray) -> np.ndarray:
 
 def coded(documents: DataFrame, modulus: int) -> tuple[DataFrame, Counts]:
     """Every document as classes, with the sums that need a word's own count."""
+    return coded_with_leaves(documents, modulus)[:2]
+
+
+def coded_with_leaves(documents: DataFrame, modulus: int) -> tuple[DataFrame, Counts, DataFrame]:
+    """The same, and the leaves of every shard."""
     spark = documents.sparkSession
     ready = texts(documents)
 
@@ -201,12 +235,12 @@ def coded(documents: DataFrame, modulus: int) -> tuple[DataFrame, Counts]:
         weights = np.repeat(learned, block.sizes).astype(float)
         return np.bincount(block.codes, weights=weights, minlength=len(block.words)).astype(np.int64)
 
-    shards = max(32, partitions(spark))
+    shards = min(max(32, partitions(spark)), 1 << 16)
     found = words.word_rows(ready, shards, tokenise, training)
     answers = written(found.groupBy("shard").applyInArrow(_count_shard, SHARDS), "word-counts")
     remainder = F.crc32(F.col("doc_id").cast("string").cast("binary")) % modulus
     learned = documents.select(F.coalesce(remainder != 2, F.lit(True)).alias("l")).filter("l")
-    counts = _counts(answers, learned.count())
+    counts = _counts(answers, learned.count(), shards)
     sent = spark.sparkContext.broadcast(counts)
 
     def code(docs: pa.Table, replies: pa.Table) -> pa.Table:
@@ -215,12 +249,15 @@ def coded(documents: DataFrame, modulus: int) -> tuple[DataFrame, Counts]:
         for row in docs.to_pylist():
             answer = words.Answers(row["n_words"], rows)
             n, group = answer.numbers("counts"), answer.numbers("groups")
-            classes = SHORTLIST + group
+            classes, leaves = SHORTLIST + group, answer.numbers("leaves")
+            cells = np.zeros(row["n_words"], dtype=np.int64)
             for places, reply in answer.rows:
+                cells[places] = reply["shard"]
                 own = counts.codes.get(reply["shard"])
                 if own is not None:
                     ranked = own[arrays.expanded(reply["ranks"])]
                     classes[places] = np.where(ranked >= 0, ranked, classes[places])
+            leaves[classes < SHORTLIST] = 0
             logs = np.log10(n + 1)
             share = np.where(classes >= SHORTLIST, logs - counts.group_mass[group], 0.0)
             tokens = arrays.expanded(row["codes"])
@@ -229,7 +266,8 @@ def coded(documents: DataFrame, modulus: int) -> tuple[DataFrame, Counts]:
             base = _sums(logs[tokens], bounds) + log10(counts.ends + 1)
             base -= (sizes + 1) * log10(counts.tokens + counts.distinct + 1)
             known = _sums((n > 0)[tokens].astype(float), bounds).astype(np.int64)
-            codes = classes[tokens].astype("<u2")
+            codes, cells = classes[tokens].astype("<u2"), cells[tokens].astype("<u2")
+            leaves = leaves[tokens].astype("<u4")
             ids = row["doc_ids"]
             values = [
                 ids,
@@ -239,15 +277,21 @@ def coded(documents: DataFrame, modulus: int) -> tuple[DataFrame, Counts]:
                 base,
                 _sums(share[tokens], bounds),
                 [codes[a:b].tobytes() for a, b in zip(bounds[:-1], bounds[1:])],
+                [row["block"]] * len(ids),
+                [cells[a:b].tobytes() for a, b in zip(bounds[:-1], bounds[1:])],
+                [leaves[a:b].tobytes() for a, b in zip(bounds[:-1], bounds[1:])],
             ]
             arrays_ = [pa.array(v, f.type) for v, f in zip(values, _CODED)]
             out.append(pa.Table.from_arrays(arrays_, schema=_CODED))
         return pa.concat_tables([_CODED.empty_table(), *out])
 
-    replies = answers.filter(F.col("block").isNotNull()).drop("top", "totals", "kinds")
+    replies = answers.filter("block is not null").drop("top", "totals", "kinds")
     docs = words.doc_rows(ready, tokenise)
     joined = docs.groupBy("block").cogroup(replies.groupBy("block")).applyInArrow(code, CODED)
-    return written(joined, "coded-documents"), counts
+    # Numbered where it is written: later passes read the same numbers.
+    numbered = joined.withColumn("row", F.monotonically_increasing_id())
+    leaves = answers.filter("block is null").select("shard", "counts", "ranks", "groups")
+    return written(numbered, "coded-documents"), counts, leaves
 
 
 class Model:
@@ -364,21 +408,8 @@ def _stretches(batch: pa.RecordBatch) -> Iterator[tuple[int, int, np.ndarray, np
         low = high
 
 
-def train(coded_docs: DataFrame, counts: Counts) -> Model:
-    spark = coded_docs.sparkSession
-    sent = spark.sparkContext.broadcast(counts.unigram)
-
-    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        trainer, tokens = Trainer(sent.value), 0
-        for batch in batches:
-            for _, _, codes, bounds in _stretches(batch):
-                contexts, targets = windows(codes, bounds)
-                trainer.learn(contexts, targets)
-                tokens += len(targets)
-        if tokens:
-            yield pa.RecordBatch.from_pydict(
-                {"tokens": [tokens], "flat": [trainer.model.flat.tobytes()]}, schema=_PARAMETERS
-            )
+def _averaged(learned: DataFrame, rows: Callable) -> np.ndarray | None:
+    """The mean by tokens of the parameters that ``rows`` gives in every task."""
 
     def average(rows: pa.Table) -> pa.Table:
         tokens = rows.column("tokens").to_numpy().astype(float)
@@ -389,7 +420,6 @@ def train(coded_docs: DataFrame, counts: Counts) -> Model:
         mean = (flat / tokens.sum()).astype(np.float32).tobytes()
         return pa.table({"tokens": [int(tokens.sum())], "flat": [mean]}, schema=_PARAMETERS)
 
-    learned = coded_docs.filter("not held_out").select("codes")
     found = written(learned.mapInArrow(arrays.released(rows), "tokens long, flat binary"), "task-models")
     n = found.count()
     while n > 1:
@@ -400,9 +430,27 @@ def train(coded_docs: DataFrame, counts: Counts) -> Model:
         found = written(found, "averaged-models")
         n = found.count()
     row = found.first()
-    if row is None:
-        return Model.start(counts.unigram)
-    return Model(np.frombuffer(bytes(row.flat), dtype=np.float32).copy())
+    return None if row is None else np.frombuffer(bytes(row.flat), dtype=np.float32).copy()
+
+
+def train(coded_docs: DataFrame, counts: Counts) -> Model:
+    spark = coded_docs.sparkSession
+    sent = spark.sparkContext.broadcast(counts.unigram)
+
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        trainer, tokens = Trainer(sent.value), 0
+        for batch in batches:
+            for _, _, codes, bounds in _stretches(batch):
+                contexts, targets = windows(codes, bounds)
+                trainer.learn(contexts, targets)
+                tokens += len(targets)
+        if tokens:
+            yield pa.RecordBatch.from_pydict(
+                {"tokens": [tokens], "flat": [trainer.model.flat.tobytes()]}, schema=_PARAMETERS
+            )
+
+    flat = _averaged(coded_docs.filter("not held_out").select("codes"), rows)
+    return Model.start(counts.unigram) if flat is None else Model(flat)
 
 
 _PARAMETERS = pa.schema([("tokens", pa.int64()), ("flat", pa.binary())])
@@ -424,31 +472,267 @@ def class_scores(model: Model, contexts: np.ndarray, targets: np.ndarray) -> np.
     return out
 
 
+class Cells:
+    """The choice of the cell inside each group."""
+
+    def __init__(self, mass: np.ndarray, vectors: np.ndarray | None = None):
+        shape = (*mass.shape, DIMENSIONS)
+        self.bias = _log_mass(mass)
+        self.vectors = np.zeros(shape, dtype=np.float32) if vectors is None else vectors.reshape(shape)
+        self.shares = self.bias - _log_sum(self.bias)  # without a context
+
+    def log_probabilities(self, group: int, predicted: np.ndarray) -> np.ndarray:
+        scores = predicted @ self.vectors[group].T + self.bias[group]
+        return scores - _log_sum(scores)
+
+
+def _log_mass(mass: np.ndarray) -> np.ndarray:
+    return np.log(np.maximum(mass, 1e-30)).astype(np.float32)
+
+
+def _log_sum(scores: np.ndarray) -> np.ndarray:
+    high = scores.max(axis=-1, keepdims=True)
+    return high + np.log(np.exp(scores - high).sum(axis=-1, keepdims=True))
+
+
+def _in_groups(
+    batch: pa.RecordBatch, low: int, high: int, codes: np.ndarray, bounds: np.ndarray
+) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """The tokens of a stretch with a leaf: places among the stretch's tokens, contexts,
+    groups, cells, leaves."""
+    parts = (b"".join(batch.column(c).slice(low, high - low).to_pylist()) for c in ("cells", "leaves"))
+    cells, leaves = (np.frombuffer(p, dtype=t) for p, t in zip(parts, ("<u2", "<u4")))
+    contexts, targets = windows(codes, bounds)
+    at = np.flatnonzero(leaves)
+    contexts = contexts[targets != END][at]
+    return at, contexts, codes[at] - SHORTLIST, cells[at].astype(np.int64), leaves[at]
+
+
+def _by_group(groups: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
+    order = np.argsort(groups, kind="stable")
+    bounds = np.searchsorted(groups[order], np.arange(GROUPS + 1))
+    for group, (a, b) in enumerate(zip(bounds[:-1], bounds[1:])):
+        for low in range(a, b, MINIBATCH):
+            yield group, order[low : min(b, low + MINIBATCH)]
+
+
+def train_cells(coded_docs: DataFrame, counts: Counts, model: Model) -> Cells:
+    """One pass of Adagrad steps on the softmax over the cells of a token's group."""
+    sent = coded_docs.sparkSession.sparkContext.broadcast((counts.cell_mass, model))
+
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        mass, model = sent.value
+        cells, tokens = Cells(mass), 0
+        squares = np.full(cells.vectors.shape, 0.1, dtype=np.float32)
+        for batch in batches:
+            for stretch in _stretches(batch):
+                at, contexts, groups, chosen, _ = _in_groups(batch, *stretch)
+                tokens += len(at)
+                for group, part in _by_group(groups):
+                    predicted = model.predicted(contexts[part])
+                    slope = np.exp(cells.log_probabilities(group, predicted))
+                    slope[np.arange(len(part)), chosen[part]] -= 1
+                    gradient = slope.T @ predicted * (32 / MINIBATCH)
+                    squares[group] += gradient * gradient
+                    cells.vectors[group] -= RATE * gradient / np.sqrt(squares[group])
+        if tokens:
+            yield pa.RecordBatch.from_pydict(
+                {"tokens": [tokens], "flat": [cells.vectors.tobytes()]}, schema=_PARAMETERS
+            )
+
+    learned = coded_docs.filter("not held_out").select("codes", "cells", "leaves")
+    return Cells(counts.cell_mass, _averaged(learned, rows))
+
+
+def fit(predicted: np.ndarray, chosen: np.ndarray, bias: np.ndarray) -> np.ndarray:
+    """Vectors of the branches of one choice: accelerated descent on the softmax loss of all
+    its tokens, with a normal prior that keeps branches seen in few contexts near zero."""
+    vectors = ahead = np.zeros((len(bias), DIMENSIONS), dtype=np.float32)
+    if not len(chosen):
+        return vectors
+    rate = np.float32(1 / (0.5 * np.linalg.eigvalsh(predicted.T @ predicted)[-1] + 1))
+    for step in range(STEPS):
+        gradient = ahead.copy()
+        for low in range(0, len(chosen), CHUNK):
+            part, wanted = predicted[low : low + CHUNK], chosen[low : low + CHUNK]
+            scores = part @ ahead.T + bias
+            slope = np.exp(scores - _log_sum(scores))
+            slope[np.arange(len(part)), wanted] -= 1
+            gradient += slope.T @ part
+        before, vectors = vectors, ahead - rate * gradient
+        ahead = vectors + np.float32(step / (step + 3)) * (vectors - before)
+    return vectors
+
+
+def tree(
+    mass: np.ndarray, leaves: np.ndarray, predicted: np.ndarray, learned: np.ndarray
+) -> np.ndarray:
+    """Natural log-probability of every token inside one cell, whose leaves have ``mass``;
+    tokens are in the order of their ``leaves``. Learned from the tokens ``learned``."""
+    out = np.zeros(len(leaves))
+    stack = [(0, len(mass), 0, len(leaves))]
+    while stack:
+        low, high, first, last = stack.pop()
+        if high - low < 2 or first == last:
+            continue
+        width = 1
+        while width * FAN < high - low:
+            width *= FAN
+        edges = np.arange(low, high, width)
+        bias = _log_mass(np.add.reduceat(mass[low:high], edges - low))
+        own, mine = leaves[first:last], predicted[first:last]
+        chosen, used = (own - low) // width, learned[first:last]
+        vectors = fit(mine[used], chosen[used], bias)
+        for at in range(0, len(own), CHUNK):
+            scores = mine[at : at + CHUNK] @ vectors.T + bias
+            logs = scores - _log_sum(scores)
+            part = chosen[at : at + CHUNK]
+            out[first + at : first + at + len(part)] += logs[np.arange(len(part)), part]
+        if width > 1:
+            bounds = first + np.searchsorted(own, [*edges, high])
+            ends = [*edges[1:], high]
+            stack += zip(edges.tolist(), ends, bounds[:-1].tolist(), bounds[1:].tolist())
+    return out
+
+
+MESSAGES = "shard int, block binary, rows array<long>, held_out binary, places binary, contexts binary, leaves binary"
+ANSWERED = "block binary, rows array<long>, sums array<double>"
+
+
+def inside_cells(coded_docs: DataFrame, counts: Counts, leaves: DataFrame, model: Model) -> DataFrame:
+    """Learn the choices inside all cells. Per shard and run of documents: the rows of the
+    documents, and by how much (log10) context changes the share of their words in cells."""
+    sent = coded_docs.sparkSession.sparkContext.broadcast((counts.codes, model))
+
+    def messages(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            blocks = whole.column("block").to_pylist()
+            cuts = [0, *(k for k in range(1, len(blocks)) if blocks[k] != blocks[k - 1]), len(blocks)]
+            for a, b in zip(cuts[:-1], cuts[1:]):
+                batch = whole.slice(a, b - a)
+                for low, high, codes, bounds in _stretches(batch):
+                    at, contexts, _, cells, own = _in_groups(batch, low, high, codes, bounds)
+                    key = contexts[:, 0] * (CLASSES + 1) + contexts[:, 1]
+                    place = np.searchsorted(bounds, at, side="right") - 1
+                    rows = batch.column("row").to_numpy()[low:high]
+                    held = np.array(batch.column("held_out").to_pylist()[low:high])
+                    order = np.argsort(cells, kind="stable")
+                    edges = np.flatnonzero(np.diff(cells[order], prepend=-1, append=-1))
+                    for c, d in zip(edges[:-1], edges[1:]):
+                        part = order[c:d]
+                        docs, of = np.unique(place[part], return_inverse=True)
+                        yield pa.RecordBatch.from_pydict(
+                            {
+                                "shard": [int(cells[part[0]])],
+                                "block": [blocks[a]],
+                                "rows": [rows[docs]],
+                                "held_out": [held[docs].tobytes()],
+                                "places": [arrays.compressed(of)],
+                                "contexts": [arrays.compressed(key[part])],
+                                "leaves": [arrays.compressed(own[part])],
+                            },
+                            schema=_MESSAGES,
+                        )
+
+    def learn(found: pa.Table, leaves: pa.Table) -> pa.Table:
+        top, model = sent.value
+        table = found.select(["block", "rows", "held_out"]).to_pylist()
+        places, contexts, leaf = ([arrays.expanded(v.as_py()) for v in found.column(c)]
+                                  for c in ("places", "contexts", "leaves"))
+        held = [np.frombuffer(r["held_out"], dtype=bool)[p] for r, p in zip(table, places)]
+        if not table:
+            return _ANSWERED.empty_table()
+        sizes = np.cumsum([0, *map(len, leaf)])
+        leaf, contexts = np.concatenate(leaf).astype(np.int64) - 1, np.concatenate(contexts)
+        learned = ~np.concatenate(held)
+        answer = leaves.to_pylist()[0]
+        n, ranks, groups = (arrays.expanded(answer[c]).astype(np.int64) for c in ("counts", "ranks", "groups"))
+        mass = n + 1.0
+        if answer["shard"] in top:
+            mass[top[answer["shard"]][ranks] >= 0] = 0  # they are classes
+        order = np.argsort(leaf, kind="stable")
+        starts = np.searchsorted(groups, np.arange(GROUPS + 1))
+        bounds = np.searchsorted(leaf[order], starts)
+        logs = np.zeros(len(leaf))
+        for low, high, first, last in zip(starts[:-1], starts[1:], bounds[:-1], bounds[1:]):
+            if first == last:
+                continue
+            part = order[first:last]
+            rare = low + int((n[low:high] >= OWN).sum())
+            held_mass = mass[low:rare]
+            if rare < high:
+                held_mass = np.append(held_mass, mass[rare:high].sum())
+            own = leaf[part]
+            key = contexts[part].astype(np.int64)
+            predicted = model.predicted(np.stack([key // (CLASSES + 1), key % (CLASSES + 1)], axis=1))
+            logs[part] = tree(held_mass, np.minimum(own, rare) - low, predicted, learned[part])
+            branch = held_mass[np.minimum(own, rare) - low]
+            logs[part] -= np.log(branch / held_mass.sum())
+        out = {"block": [r["block"] for r in table], "rows": [r["rows"] for r in table]}
+        out["sums"] = [
+            np.bincount(p, logs[a:b] / np.log(10), len(r["rows"]))
+            for r, p, a, b in zip(table, places, sizes[:-1], sizes[1:])
+        ]
+        return pa.table(out, schema=_ANSWERED)
+
+    columns = coded_docs.select("row", "held_out", "block", "codes", "cells", "leaves")
+    sent_out = columns.mapInArrow(arrays.released(messages), MESSAGES)
+    return sent_out.groupBy("shard").cogroup(leaves.groupBy("shard")).applyInArrow(learn, ANSWERED)
+
+
+_MESSAGES = pa.schema(
+    [("shard", pa.int32()), ("block", pa.binary()), ("rows", pa.list_(pa.int64()))]
+    + [(n, pa.binary()) for n in ("held_out", "places", "contexts", "leaves")]
+)
+_ANSWERED = pa.schema(
+    [("block", pa.binary()), ("rows", pa.list_(pa.int64())), ("sums", pa.list_(pa.float64()))]
+)
+
+
 def score(documents: DataFrame, modulus: int = 7) -> DataFrame:
     """Per row ``doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score``.
     Held out is crc32 of the id as text leaving 2 modulo ``modulus``; all else is learned
     from."""
-    rows, counts = coded(documents, modulus)
-    sent = documents.sparkSession.sparkContext.broadcast(train(rows, counts))
+    rows, counts, leaves = coded_with_leaves(documents, modulus)
+    model = train(rows, counts)
+    cells = train_cells(rows, counts, model)
+    sent = documents.sparkSession.sparkContext.broadcast((model, cells))
 
     def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = sent.value
+        model, choice = sent.value
         for batch in batches:
             for low, high, codes, bounds in _stretches(batch):
                 contexts, targets = windows(codes, bounds)
                 logs = class_scores(model, contexts, targets)
                 ends = bounds + np.arange(len(bounds))
                 total = np.add.reduceat(logs, ends[:-1]) / np.log(10)
+                at, contexts, groups, chosen, _ = _in_groups(batch, low, high, codes, bounds)
+                gains = np.zeros(len(codes))
+                for group, places in _by_group(groups):
+                    own = chosen[places]
+                    logs = choice.log_probabilities(group, model.predicted(contexts[places]))
+                    gains[at[places]] = logs[np.arange(len(own)), own] - choice.shares[group, own]
+                total += _sums(gains, bounds) / np.log(10)
                 part = batch.slice(low, high - low)
                 values = part.column("in_groups").to_numpy() + total
-                kept = [part.column(c) for c in ("doc_id", "held_out", "n_tokens", "n_known", "base_score")]
                 yield pa.RecordBatch.from_arrays(
-                    [*kept, pa.array(values)],
-                    names=["doc_id", "held_out", "n_tokens", "n_known", "base_score", "score"],
+                    [*(part.column(c) for c in _KEPT), pa.array(values)], names=[*_KEPT, "score"]
                 )
 
-    found = rows.mapInArrow(
-        arrays.released(scored),
-        "doc_id long, held_out boolean, n_tokens long, n_known long, base_score double, score double",
-    )
+    def add(docs: pa.Table, answers: pa.Table) -> pa.Table:
+        order = np.argsort(docs.column("row").to_numpy(), kind="stable")
+        docs = docs.take(pa.array(order))
+        total = docs.column("score").to_numpy().copy()
+        for answer in answers.to_pylist():
+            total[np.searchsorted(docs.column("row").to_numpy(), answer["rows"])] += answer["sums"]
+        kept = docs.select(_KEPT[2:])
+        return kept.append_column("score", pa.array(total))
+
+    kinds = "doc_id long, held_out boolean, n_tokens long, n_known long, base_score double, score double"
+    found = rows.mapInArrow(arrays.released(scored), f"row long, block binary, {kinds}")
+    inside = inside_cells(rows, counts, leaves, model)
+    found = found.groupBy("block").cogroup(inside.groupBy("block")).applyInArrow(add, kinds)
     return found.withColumn("train_tokens", F.lit(counts.tokens).cast("long"))
+
+
+_KEPT = ["row", "block", "doc_id", "held_out", "n_tokens", "n_known", "base_score"]

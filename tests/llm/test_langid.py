@@ -97,3 +97,31 @@ def test_codewords_correct_errors(n):
     assert (nearest == np.arange(n)).all() and (score <= 1).all()
     _, unsure = model.decode(np.zeros((1, bits)))
     assert unsure[0] < langid.CERTAIN
+
+
+def test_texts_in_no_learned_language_are_rejected(spark):
+    rows = rows_of(SF, "documents")
+    full = langid.fit(spark.read.parquet(f"{SF}/documents.parquet"))
+    foreign = [
+        "Kaikki ihmiset syntyvät vapaina ja tasavertaisina arvoltaan ja oikeuksiltaan",
+        "Wszyscy ludzie rodzą się wolni i równi pod względem swej godności i swych praw",
+        "Все люди рождаются свободными и равными в своем достоинстве и правах",
+        "人人生而自由，在尊严和权利上一律平等。他们赋有理性和良心",
+        "xkq zzvw qqj wxk vvq jjz kqx zxw qjv wqz xvk qzj kwx vqj zkw",
+        "12 !!! " * 50 + "x" + " ??? 7" * 50,
+    ]
+    asked = [(-k - 1, t) for k, t in enumerate(foreign)] + [(r[0], r[1]) for r in rows]
+    kept = {r.doc_id for r in langid.reject(documents(spark, asked), full).collect()}
+    assert kept == {r[0] for r in rows if any(c.isalpha() for c in r[1] or "")}
+
+
+def test_training_texts_are_held_against_the_others(spark):
+    texts = ["the end of the house by the river", "sand and wind and hand and land", "quiz"]
+    model = langid.fit(documents(spark, [(i, t, "en") for i, t in enumerate(texts)]))
+    for k, text in enumerate(texts):
+        others = langid.grams(texts[:k] + texts[k + 1 :])[0]
+        own = langid.grams([text])[0]
+        own = own[~langid._BLANKS[own]]
+        share = np.mean(~np.isin(own, others))
+        assert model.familiarity([text], own=True)[0, 2] == pytest.approx(share)
+    assert model.familiarity(texts)[:, 2].tolist() == [0, 0, 0]

@@ -8,6 +8,11 @@ the logistic losses of the predicted bits against its codeword, each bit weighte
 well it did in training, and takes the nearest codeword. The score is the share of that
 codeword among all (softmax of the losses); below ``CERTAIN`` the text is ``ambiguous``.
 
+``reject`` drops texts in no learned language: those with too many n-grams that no training
+text has, or with too few n-grams with a letter. Both limits come from the sample, each text
+of which is held against the others; texts of fewer than ``LEAST`` n-grams are too short to
+tell and stay. Where training texts themselves share few n-grams, nothing is dropped so.
+
 Training takes at most ``SAMPLE_PER_LANGUAGE`` rows of each language, drawn by a hash of
 text and id, whole texts each. N-gram counts are aggregated by Spark; what comes to the
 driver is bounded by languages times ``BUCKETS``, and by the rows of the sample. The model
@@ -30,13 +35,14 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm import arrays, shingles
-from tidemark.llm.tables import ship, text_or_empty, unused, written
+from tidemark.llm.tables import ship, text_or_empty, written
 
 SAMPLE_PER_LANGUAGE = 1500
 PAIRS, TRIPLES = 1 << 16, 1 << 16
 BUCKETS = PAIRS + TRIPLES
 CERTAIN = 0.6
 UNKNOWN = "und"
+LEAST, STRANGE = 48, 0.1
 _LETTERS = np.full(256, 32, dtype=np.uint8)
 _LETTERS[ord("a") : ord("z") + 1] = np.arange(ord("a"), ord("z") + 1)
 _LETTERS[128:] = np.arange(128, 256)
@@ -80,6 +86,10 @@ def codewords(n: int, seed: int = 7) -> np.ndarray:
     return best
 
 
+_BLANKS = np.zeros(BUCKETS, dtype=bool)
+_BLANKS[np.unique(grams([" "])[0])] = True
+
+
 @dataclass
 class Model:
     languages: list[str]
@@ -88,6 +98,9 @@ class Model:
     scale: np.ndarray
     shift: np.ndarray
     trust: np.ndarray
+    seen: np.ndarray | None = None  # count of every bucket in all training texts
+    most_unseen: float = 1.0
+    least_lettered: float = 0.0
 
     def margins(self, texts: list[str]) -> np.ndarray:
         """The mean log ratio of each bit over a text."""
@@ -95,6 +108,26 @@ class Model:
         sums = np.add.reduceat(self.weights[found], bounds[:-1], axis=0)
         return sums / np.diff(bounds)[:, None]
 
+    def familiarity(self, texts: list[str], own: bool = False) -> np.ndarray:
+        """Per text: its n-grams, the share of them with a letter, and the share of these not
+        seen in training. ``own`` texts are training texts, held against the others."""
+        found, bounds = grams(texts)
+        others = self.seen[found]
+        if own:
+            for a, b in zip(bounds[:-1], bounds[1:]):
+                _, places, n = np.unique(found[a:b], return_inverse=True, return_counts=True)
+                others[a:b] -= n[places]
+        lettered = ~_BLANKS[found]
+        n = np.add.reduceat(lettered, bounds[:-1], dtype=np.int64)
+        unseen = np.add.reduceat(lettered & (others <= 0), bounds[:-1], dtype=np.int64)
+        sizes = np.diff(bounds)
+        return np.stack([sizes, n / sizes, unseen / np.maximum(n, 1)], axis=1)
+
+    def strange(self, texts: list[str]) -> np.ndarray:
+        """Whether a text is in no learned language."""
+        size, lettered, unseen = self.familiarity(texts).T
+        return (size >= LEAST) & ((unseen > self.most_unseen) | (lettered < self.least_lettered))
+
     def decode(self, margins: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Nearest codeword and its score."""
         bits = margins * self.scale + self.shift
@@ -185,13 +218,40 @@ def fit(labelled: DataFrame, per_language: int = SAMPLE_PER_LANGUAGE) -> Model:
         for bit in range(bits):
             with_bit = words[:, bit] > 0
             weights[:, bit] = np.log(rates[with_bit].mean(axis=0) / rates[~with_bit].mean(axis=0))
-        weights[np.unique(grams([" "])[0])] = 0  # blanks alone say nothing
+        weights[_BLANKS] = 0  # blanks alone say nothing
     model = Model(languages, words, weights, np.ones(bits), np.zeros(bits), np.ones(bits))
     if len(languages) > 1:
         _calibrate(model, sample)
+    if languages:
+        model.seen = counts.sum(axis=0).astype(np.int64)
+        _set_limits(model, sample)
     return model
 
 
+def _set_limits(model: Model, sample: DataFrame) -> None:
+    """Limits well beyond the sample: twice the unseen share, half the share with a letter,
+    that all but a hundredth of the texts of every language keep."""
+    sent = sample.sparkSession.sparkContext.broadcast(model)
+
+    @F.arrow_udf("array<double>")
+    def measured(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for batch in batches:
+            out = []
+            for _, group in shingles.groups(batch.to_pylist()):
+                out += sent.value.familiarity(group, own=True).tolist()
+            yield pa.array(out, pa.list_(pa.float64()))
+
+    by_language: dict[str, list] = {}
+    for row in sample.select("lang", measured("text").alias("m")).collect():
+        if row.m[0] >= LEAST:
+            by_language.setdefault(row.lang, []).append(row.m[1:])
+    if len(by_language) < len(model.languages):
+        return  # a language known from short texts alone
+    found = [np.array(rows) for rows in by_language.values()]
+    model.most_unseen = max(STRANGE, 2 * max(np.quantile(f[:, 1], 0.99) for f in found))
+    model.least_lettered = min(np.quantile(f[:, 0], 0.01) for f in found) / 2
+
+
 def _calibrate(model: Model, sample: DataFrame) -> None:
     sent = sample.sparkSession.sparkContext.broadcast(model)
 
@@ -259,9 +319,21 @@ def predict(documents: DataFrame, model: Model) -> DataFrame:
 
 def reject(documents: DataFrame, model: Model) -> DataFrame:
     """``documents`` without those in no known language."""
-    name = unused(documents, "_lang")
-    found = judged(documents, model, name)
-    return found.filter(F.col(name)["lang_pred"] != UNKNOWN).drop(name)
+    ship(documents.sparkSession)
+    sent = documents.sparkSession.sparkContext.broadcast(model)
+
+    @F.arrow_udf("boolean")
+    def strange(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        model = sent.value
+        for batch in batches:
+            out = []
+            for _, group in shingles.groups(batch.to_pylist(), 1 << 19):
+                out += model.strange(group).tolist()
+            yield pa.array(out, pa.bool_())
+        arrays.release()
+
+    known = documents.filter(letters())
+    return known.limit(0) if model.seen is None else known.filter(~strange(text_or_empty()))
 
 
 def held_out(modulus: int) -> Column:

@@ -125,3 +125,9 @@ def test_training_texts_are_held_against_the_others(spark):
         share = np.mean(~np.isin(own, others))
         assert model.familiarity([text], own=True)[0, 2] == pytest.approx(share)
     assert model.familiarity(texts)[:, 2].tolist() == [0, 0, 0]
+
+
+def test_without_a_language_only_texts_without_letters_are_rejected(spark):
+    docs = documents(spark, [(1, "one text"), (2, None), (3, "12 !!"), (4, "ein Text " * 20), (5, "")])
+    kept = langid.reject(docs, langid.fit(docs))
+    assert sorted(r.doc_id for r in kept.collect()) == [1, 4]

@@ -11,7 +11,7 @@ codeword among all (softmax of the losses); below ``CERTAIN`` the text is ``ambi
 ``reject`` drops texts in no learned language: those with too many n-grams that no training
 text has, or with too few n-grams with a letter. Both limits come from the sample, each text
 of which is held against the others; texts of fewer than ``LEAST`` n-grams are too short to
-tell and stay. Where training texts themselves share few n-grams, nothing is dropped so.
+tell and stay. If nothing could be learned it drops only texts without letters. Where training texts themselves share few n-grams, nothing is dropped so.
 
 Training takes at most ``SAMPLE_PER_LANGUAGE`` rows of each language, drawn by a hash of
 text and id, whole texts each. N-gram counts are aggregated by Spark; what comes to the
@@ -333,7 +333,7 @@ def reject(documents: DataFrame, model: Model) -> DataFrame:
         arrays.release()
 
     known = documents.filter(letters())
-    return known.limit(0) if model.seen is None else known.filter(~strange(text_or_empty()))
+    return known if model.seen is None else known.filter(~strange(text_or_empty()))
 
 
 def held_out(modulus: int) -> Column:

@@ -4,10 +4,12 @@ import zlib
 from math import log10
 
 import numpy as np
+import pyarrow as pa
 import pytest
+import zstandard
 
 from tests.llm.helpers import SF, documents, empty, texts_of
-from tidemark.llm import lbl, queries
+from tidemark.llm import arrays, lbl, queries, words
 
 
 def tokens(text):
@@ -163,3 +165,21 @@ def test_choices_in_a_cell_add_up_to_one():
     told = lbl.tree(mass, leaves, predicted.astype(np.float32), ~asked)
     assert np.exp(told[asked]).sum() == pytest.approx(1, abs=1e-4)
     assert np.exp(told[asked])[1::2].sum() > np.exp(plain[asked])[1::2].sum() + 0.1
+
+
+def test_counts_beyond_32_bits():
+    """Two blocks with 3e9 occurrences of a word each: the shard answers with their sum."""
+    word, n = b"often", 3 * 10**9
+    rows = [
+        {
+            "shard": 0, "block": bytes([k]), "places": arrays.compressed(np.array([0])),
+            "lengths": arrays.compressed(np.array([len(word)])), "words": zstandard.compress(word),
+            "weights": arrays.compressed(np.array([n])),
+        }
+        for k in range(2)
+    ]
+    answers = lbl._count_shard(pa.Table.from_pylist(rows)).to_pylist()
+    for answer in answers[:2]:
+        assert words.Answers(1, [answer]).numbers("counts", lbl.WIDE).tolist() == [2 * n]
+    with pytest.raises(OverflowError):
+        arrays.compressed(np.array([2 * n]))

@@ -110,13 +110,16 @@ def ragged_take(
     return data[places]
 
 
-def compressed(values: np.ndarray) -> bytes:
-    """Integers by byte planes, so that the mostly empty high bytes cost next to nothing."""
-    wide = np.ascontiguousarray(values, dtype="<u4")
-    planes = np.ascontiguousarray(wide.view(np.uint8).reshape(-1, 4).T)
+def compressed(values: np.ndarray, width: int = 4) -> bytes:
+    """Integers by byte planes, so that the mostly empty high bytes cost next to nothing.
+    Raises if a value does not fit into ``width`` bytes."""
+    if len(values) and (values.min() < 0 or int(values.max()) >> 8 * width):
+        raise OverflowError(f"values beyond {width} bytes")
+    wide = np.ascontiguousarray(values, dtype=f"<u{width}")
+    planes = np.ascontiguousarray(wide.view(np.uint8).reshape(-1, width).T)
     return zstandard.ZstdCompressor(level=3).compress(planes.tobytes())
 
 
-def expanded(packed: bytes) -> np.ndarray:
+def expanded(packed: bytes, width: int = 4) -> np.ndarray:
     planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(packed), dtype=np.uint8)
-    return np.ascontiguousarray(planes.reshape(4, -1).T).view("<u4").ravel()
+    return np.ascontiguousarray(planes.reshape(width, -1).T).view(f"<u{width}").ravel()

@@ -56,6 +56,7 @@ CONTEXT, DIMENSIONS, NOISE, MINIBATCH = 2, 16, 24, 2048
 RATE = 0.08
 OWN, FAN, STEPS = 2, 16, 6
 CHUNK = 1 << 16
+WIDE = 8  # bytes of a count over the corpus
 BATCH_TOKENS = 1 << 20
 AVERAGED = 16
 _IS_BLANK = np.zeros(256, dtype=bool)
@@ -142,7 +143,7 @@ def _count_shard(rows: pa.Table) -> pa.Table:
     }
 
     def packed(held: list[bytes], name: str) -> bytes:
-        return arrays.compressed(np.fromiter(map(columns[name], held), np.int64, len(held)))
+        return arrays.compressed(np.fromiter(map(columns[name], held), np.int64, len(held)), WIDE if name == "counts" else 4)
 
     for row in table:
         held = words.row_words(row)
@@ -248,7 +249,7 @@ def coded_with_leaves(documents: DataFrame, modulus: int) -> tuple[DataFrame, Co
         out: list[pa.Table] = []
         for row in docs.to_pylist():
             answer = words.Answers(row["n_words"], rows)
-            n, group = answer.numbers("counts"), answer.numbers("groups")
+            n, group = answer.numbers("counts", WIDE), answer.numbers("groups")
             classes, leaves = SHORTLIST + group, answer.numbers("leaves")
             cells = np.zeros(row["n_words"], dtype=np.int64)
             for places, reply in answer.rows:
@@ -646,7 +647,8 @@ def inside_cells(coded_docs: DataFrame, counts: Counts, leaves: DataFrame, model
         leaf, contexts = np.concatenate(leaf).astype(np.int64) - 1, np.concatenate(contexts)
         learned = ~np.concatenate(held)
         answer = leaves.to_pylist()[0]
-        n, ranks, groups = (arrays.expanded(answer[c]).astype(np.int64) for c in ("counts", "ranks", "groups"))
+        n = arrays.expanded(answer["counts"], WIDE).astype(np.int64)
+        ranks, groups = (arrays.expanded(answer[c]).astype(np.int64) for c in ("ranks", "groups"))
         mass = n + 1.0
         if answer["shard"] in top:
             mass[top[answer["shard"]][ranks] >= 0] = 0  # they are classes

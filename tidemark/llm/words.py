@@ -161,10 +161,10 @@ class Answers:
             raise RuntimeError(f"{int((~seen).sum())} words of a block have no answer")
         self.n_words = n_words
 
-    def numbers(self, column: str) -> np.ndarray:
+    def numbers(self, column: str, width: int = 4) -> np.ndarray:
         out = np.zeros(self.n_words, dtype=np.int64)
         for places, row in self.rows:
-            out[places] = arrays.expanded(row[column])
+            out[places] = arrays.expanded(row[column], width)
         return out
 
     def lists(self, sizes: str, values: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:

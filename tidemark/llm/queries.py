@@ -6,20 +6,23 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm import (
+    audit,
     bagminhash,
     bpe,
     exact_dedup,
     langid,
     lbl,
     lines,
+    pii,
     shards,
     simple8b,
     tiling,
     urls,
+    whitening,
 )
 from tidemark.llm.tables import table
 from tidemark.session import apply_settings, scratch_dir
@@ -174,3 +177,93 @@ def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op10_log_bilinear(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lbl.score(table(spark, sf_dir, "documents"), modulus=7)
+
+
+@query
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    fit = whitening.fit(vectors, components=32)
+    rows = whitening.whiten(vectors, fit)
+    values = [] if fit is None else fit.values.tolist()
+    trace = 0.0 if fit is None else fit.trace
+    shares = F.array(*[F.lit(value / trace if trace else 0.0) for value in values])
+    return rows.select(
+        F.col("vec_id").cast("long"),
+        # Beyond 64 bits there is no such long.
+        F.expr("try_cast(deviation AS long)").alias("deviation"),
+        F.posexplode("whitened").alias("place", "whitened"),
+    ).select(
+        "vec_id",
+        (F.col("place") + 1).alias("component"),
+        F.lit(fit.n if fit else 0).cast("long").alias("n"),
+        "deviation",
+        "whitened",
+        F.try_element_at(shares.cast("array<double>"), F.col("place") + 1).alias("explained"),
+        F.lit(fit.identity_error if fit else 0.0).alias("identity_error"),
+    )
+
+
+@query
+def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return audit.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+ORACLES["op12_filter_audit"] = r"""
+WITH d AS (
+    SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS t FROM documents),
+w AS (
+    SELECT *, list_filter(string_split_regex(t, '[\x20\x09-\x0D]+'), lambda x: x <> '') AS words FROM d),
+f AS (
+    SELECT doc_id, part,
+        [len(words) < 200,
+         100 * len(list_distinct(words)) < 50 * len(words),
+         100 * (length(t) - length(regexp_replace(t, '[A-Z]', '', 'g'))) > 3 * length(t),
+         regexp_matches(t, '[#$%&*|]'),
+         coalesce(doc_id > min(doc_id) OVER (PARTITION BY t), false)] AS fails
+    FROM w),
+l AS (
+    SELECT doc_id, max(quality = 1) AS good, max(toxic = 1) AS toxic FROM labels GROUP BY doc_id),
+c AS (
+    SELECT part, fails, count(*) AS n, count(*) FILTER (good) AS good, count(*) FILTER (toxic) AS toxic
+    FROM f LEFT JOIN l USING (doc_id) GROUP BY part, fails),
+k AS (SELECT unnest([1, 2, 3, 4, 5]) AS i),
+o AS (
+    SELECT [a.i, b.i, c.i, d.i, e.i] AS ids
+    FROM k a, k b, k c, k d, k e WHERE len(list_distinct([a.i, b.i, c.i, d.i, e.i])) = 5),
+s AS (SELECT ids, k.i AS step, ids[k.i] AS own, ids[1:k.i - 1] AS before FROM o, k),
+g AS (
+    SELECT part, array_to_string(list_transform(ids, lambda x: substr('ABCDE', x, 1)), '') AS filter_order,
+        step, own, n, good, toxic, fails[own] AS failing,
+        len(list_filter(before, lambda x: fails[x])) > 0 AS gone,
+        len(list_filter(fails, lambda x: x)) = 1 AS once
+    FROM c, s),
+r AS (
+    SELECT part, filter_order, step, own,
+        coalesce(sum(n) FILTER (NOT failing AND NOT gone), 0)::BIGINT AS kept,
+        coalesce(sum(n) FILTER (failing AND NOT gone), 0)::BIGINT AS removed,
+        coalesce(sum(n) FILTER (failing AND gone), 0)::BIGINT AS redundant,
+        coalesce(sum(n) FILTER (failing AND once), 0)::BIGINT AS unique_fails,
+        coalesce(sum(good) FILTER (failing AND NOT gone), 0)::BIGINT AS good_lost,
+        coalesce(sum(toxic) FILTER (failing AND NOT gone), 0)::BIGINT AS toxic_lost
+    FROM g GROUP BY ALL)
+SELECT part, filter_order, step::INTEGER AS step, kept, removed, redundant, unique_fails,
+    good_lost, toxic_lost, (sum(removed) OVER (PARTITION BY part, own))::BIGINT AS shapley
+FROM r
+"""
+
+
+@query
+def op13_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.find(table(spark, sf_dir, "documents"))
+    base = F.filter("spans", lambda s: s["base"])
+
+    def count(kind: str) -> Column:
+        of_kind = F.filter(base, lambda s: s["kind"] == kind)
+        return F.size(of_kind).cast("long").alias(f"n_{kind}")
+
+    return found.select(
+        "doc_id",
+        *[count(kind) for kind in ("email", "ip", "card", "phone")],
+        F.sha2(pii.joined(base), 256).alias("base_sha256"),
+        pii.joined(F.col("spans")).alias("spans"),
+    )

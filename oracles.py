@@ -799,3 +799,73 @@ ORACLES["events_json"] = (
     "CAST(sum(CAST(json_extract(props, '$.k') AS INTEGER)) AS BIGINT) AS k_total "
     "FROM events GROUP BY event_type"
 )
+
+# --- keyed tables, forked streams, marts that follow the changes -----------------------
+
+
+def _after_merges(rows: str, key: str, columns: str, column: str, new: str, old: str) -> str:
+    return (
+        f"SELECT {key}, {columns}, CASE WHEN {key} % 2 = 0 THEN {new} ELSE {old} END AS {column} "
+        f"FROM ({rows})"
+    )
+
+
+ORACLES["merge_orders"] = _after_merges(
+    orders(), "order_id", "customer_id, total_amount", "order_status", "'SHIPPED'", "order_status"
+)
+ORACLES["merge_customers"] = _after_merges(
+    customers(), "customer_id", "first_name, last_name, email, city, state", "updated_at",
+    "'2024-02-01T00:00:00'", "'2024-01-01T00:00:00'",
+)
+ORACLES["merge_products"] = _after_merges(
+    products(), "product_id", "product_name, category, stock_quantity", "price", "price + 1", "price"
+)
+ORACLES["merge_payments"] = _after_merges(
+    payments(), "payment_id", "order_id, payment_method, payment_amount", "payment_status",
+    "'REFUNDED'", "payment_status",
+)
+
+ORACLES["stream_latest_state"] = ORACLES["cdc_latest_state"]
+ORACLES["stream_fork_once"] = (
+    f"{_STREAM_EV} SELECT 'orders' AS source_table, CAST(order_id AS VARCHAR) AS record_id, "
+    f"operation, {STATUS}, validation_reason, "
+    "CASE WHEN validation_reason IS NULL THEN log_position END AS log_position, "
+    "CASE WHEN validation_reason IS NULL THEN total_amount END AS total_amount, "
+    "CASE WHEN validation_reason IS NULL THEN CAST(left(order_date, 10) AS DATE) END AS order_date_dt "
+    "FROM once"
+)
+
+_NO_DATES = "CAST(NULL AS DATE) AS first_date, CAST(NULL AS DATE) AS latest_date"
+ORACLES["marts_after_changes"] = f"""{_EV},
+last_orders AS (
+  SELECT *, CAST(left(order_date, 10) AS DATE) AS day FROM (
+    SELECT *, row_number() OVER (PARTITION BY order_id
+      ORDER BY event_ts_ms DESC, log_position DESC) AS rn FROM accepted)
+  WHERE rn = 1 AND operation <> 'd' AND order_status <> 'CANCELLED'),
+last_items AS (
+  SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY order_item_id ORDER BY shipped_at DESC,
+    order_id DESC, product_id DESC, quantity DESC, unit_price DESC) AS rn FROM ({items()}))
+  WHERE rn = 1),
+paid AS (
+  SELECT payment_method, payment_amount,
+    CASE WHEN payment_id % 5 = 0 THEN 'REFUNDED' ELSE payment_status END AS payment_status
+  FROM ({payments()})),
+by_customer AS (
+  SELECT customer_id, count(order_id) AS units, {total('total_amount')} AS amount,
+    {mean('total_amount')} AS mean, min(day) AS first_date, max(day) AS latest_date
+  FROM last_orders GROUP BY customer_id),
+by_product AS (
+  SELECT product_id, CAST(sum(quantity) AS BIGINT) AS units,
+    {round2(total('quantity * unit_price'))} AS amount FROM last_items GROUP BY product_id)
+SELECT 'daily_sales' AS mart, CAST(day AS VARCHAR) AS first_key, order_status AS second_key,
+  count(order_id) AS units, {total('total_amount')} AS amount, {mean('total_amount')} AS mean,
+  {_NO_DATES} FROM last_orders GROUP BY day, order_status
+UNION ALL SELECT 'customer_lifetime_value', CAST(c.customer_id AS VARCHAR), email, units, amount,
+  mean, first_date, latest_date
+  FROM ({customers()}) c LEFT JOIN by_customer b ON b.customer_id = c.customer_id
+UNION ALL SELECT 'product_performance', CAST(p.product_id AS VARCHAR), product_name, units, amount,
+  CAST(NULL AS DOUBLE), {_NO_DATES}
+  FROM ({products()}) p LEFT JOIN by_product b ON b.product_id = p.product_id
+UNION ALL SELECT 'payment_summary', payment_method, payment_status, count(*),
+  {total('payment_amount')}, {mean('payment_amount')}, {_NO_DATES} FROM paid GROUP BY 2, 3
+"""

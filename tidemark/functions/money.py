@@ -29,13 +29,21 @@ def _round2(x: str) -> str:
     )
 
 
+def _cents(x: str) -> str:
+    return f"CASE WHEN abs({x}) < {_EXACT_LIMIT} THEN floor({x} * 100 + 0.5D) END"
+
+
+def _joined(high: str, low: str) -> str:
+    return (
+        f"CAST(CAST({high} AS DECIMAL(19,0)) * {_LIMB} "
+        f"+ CAST({low} AS DECIMAL(19,0)) AS DOUBLE) / 100.0D"
+    )
+
+
 def _sum(amount: str) -> str:
     x = f"try_cast({amount} AS DOUBLE)"
-    cents = f"CASE WHEN abs({x}) < {_EXACT_LIMIT} THEN floor({x} * 100 + 0.5D) END"
-    exact = (
-        f"CAST(CAST(sum(shiftright({cents}, {_LIMB_BITS})) AS DECIMAL(19,0)) * {_LIMB} "
-        f"+ CAST(sum({cents} & {_LIMB - 1}L) AS DECIMAL(19,0)) AS DOUBLE) / 100.0D"
-    )
+    cents = _cents(x)
+    exact = _joined(f"sum(shiftright({cents}, {_LIMB_BITS}))", f"sum({cents} & {_LIMB - 1}L)")
     rest = f"sum(CASE WHEN NOT abs({x}) < {_EXACT_LIMIT} THEN {x} END)"
     return f"coalesce({exact} + {rest}, {exact}, {rest})"
 
@@ -76,3 +84,34 @@ def percent(part: str, whole: str) -> Column:
 def percent2(part: str, whole: str) -> Column:
     """The percentage rounded to two digits."""
     return round2(_percent(part, whole))
+
+
+def signed_sums(amount: str, weight: str) -> dict[str, Column]:
+    """Aggregates of amounts that count ``weight`` times, -1 to take one back: sums of the
+    two limbs, and how many amounts are known and how many of them are no exact amounts.
+    Adding such sums column by column adds the amounts."""
+    x = f"try_cast({amount} AS DOUBLE)"
+    cents = _cents(x)
+    inexact = f"({x}) IS NOT NULL AND ({cents}) IS NULL"
+    return {
+        "high": F.expr(f"sum(coalesce({weight} * shiftright({cents}, {_LIMB_BITS}), 0L))"),
+        "low": F.expr(f"sum(coalesce({weight} * ({cents} & {_LIMB - 1}L), 0L))"),
+        "known": F.expr(f"sum(CASE WHEN ({amount}) IS NOT NULL THEN {weight} ELSE 0L END)"),
+        "inexact": F.expr(f"sum(CASE WHEN {inexact} THEN {weight} ELSE 0L END)"),
+    }
+
+
+def _of_sums() -> str:
+    return (
+        "CASE WHEN inexact <> 0 THEN double('NaN') WHEN known <> 0 "
+        f"THEN {_joined('high', 'low')} END"
+    )
+
+
+def total_of_sums() -> Column:
+    """The total of :func:`signed_sums`; null without amounts, NaN if one is no amount."""
+    return round2(_of_sums())
+
+
+def mean_of_sums() -> Column:
+    return round2(f"try_divide({_of_sums()}, known)")

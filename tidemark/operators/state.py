@@ -11,10 +11,10 @@ from tidemark.operators.dedup import keep_greatest
 from tidemark.schemas import Entity
 
 
-def _operation_rank() -> Column:
+def operation_rank(operation: Column | str = "operation") -> Column:
     # Inside one millisecond: snapshot read, create, update, delete. The letters
     # themselves sort otherwise and would let an update beat a delete.
-    operation = F.lower("operation")
+    operation = F.lower(operation)
     return (
         F.when(operation == "r", 0)
         .when(operation == "c", 1)
@@ -41,7 +41,7 @@ def latest_changes(changes: DataFrame, entity: Entity) -> DataFrame:
     return keep_greatest(
         change_columns(changes, entity).filter(F.col(entity.key).isNotNull()),
         [entity.key],
-        [F.col("event_ts_ms"), F.col("log_position"), _operation_rank()],
+        [F.col("event_ts_ms"), F.col("log_position"), operation_rank()],
     )
 
 

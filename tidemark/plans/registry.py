@@ -15,15 +15,15 @@ from tidemark.functions.temporal import month_key, to_day
 from tidemark.operators import envelope, integrity, lateness, merge, quality, rules, skew, state
 from tidemark.operators.deadletter import dead_letters
 from tidemark.operators.dedup import distinct_events, distinct_events_stream, merge_batches, snapshot
-from tidemark.plans import ingest, marts, reports
+from tidemark.plans import deltas, ingest, marts, reports, writes
 from tidemark.schemas import ENTITIES, FOREIGN_KEYS
-from tidemark.session import apply_settings, scratch_dir
+from tidemark.session import apply_settings, scratch_dir, staged
 from tidemark.sinks import tables as sinks
 from tidemark.sinks import upkeep
 from tidemark.sources import tables as inputs
 from tidemark.sources import warehouse as wh
 from tidemark.sources.streams import landed_messages
-from tidemark.streaming import pipelines
+from tidemark.streaming import fork, pipelines
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -539,6 +539,118 @@ def insert_if_absent(spark, sf_dir):
     return merge.insert_if_absent(target, rows, "order_id")
 
 
+def _merged(spark, sf_dir, table, rows, old, new):
+    """A third of the keys missing from the table; every second key updated, twice; then
+    all rows offered once more, of which only unknown keys are taken."""
+    base, entity = scratch_dir(spark, "keyed"), ENTITIES[table]
+    key, (column,) = F.col(entity.key), merge.UPSERT_COLUMNS[table]
+    rows = rows.withColumn(column, old) if old is not None else rows
+    writes.insert_rows(spark, base, entity, rows.filter(key % 3 != 0))
+    updates = rows.filter(key % 2 == 0).withColumn(column, new)
+    writes.upsert_rows(spark, base, entity, updates)
+    writes.upsert_rows(spark, base, entity, updates)
+    writes.insert_rows(spark, base, entity, rows)
+    return writes.lake_table(spark, base, entity).read()
+
+
+@query
+def merge_orders(spark, sf_dir):
+    rows = wh.orders(spark, sf_dir).drop("order_date")
+    return _merged(spark, sf_dir, "orders", rows, None, F.lit("SHIPPED"))
+
+
+@query
+def merge_customers(spark, sf_dir):
+    rows, new = wh.customers(spark, sf_dir), F.lit("2024-02-01T00:00:00")
+    rows = rows.select("customer_id", "first_name", "last_name", "email", "city", "state")
+    return _merged(spark, sf_dir, "customers", rows, F.lit("2024-01-01T00:00:00"), new)
+
+
+@query
+def merge_products(spark, sf_dir):
+    rows = wh.products(spark, sf_dir)
+    rows = rows.select("product_id", "product_name", "category", "price", "stock_quantity")
+    return _merged(spark, sf_dir, "products", rows, None, F.col("price") + 1)
+
+
+@query
+def merge_payments(spark, sf_dir):
+    rows = wh.payments(spark, sf_dir).drop("payment_date")
+    return _merged(spark, sf_dir, "payments", rows, None, F.lit("REFUNDED"))
+
+
+# --- marts that follow the changes -----------------------------------------------------
+
+_FIGURES = {
+    "daily_sales": ("order_date_dt", "order_status", "total_orders", "total_revenue", "avg_order_value"),
+    "customer_lifetime_value": (
+        "customer_id", "email", "lifetime_orders", "lifetime_value", "average_basket_size",
+    ),
+    "product_performance": ("product_id", "product_name", "total_units_sold", "gross_revenue", None),
+    "payment_summary": (
+        "payment_method", "payment_status", "transaction_count", "total_amount", "avg_payment_amount",
+    ),
+}
+
+
+def _figures(df, mart):
+    """The rows of any mart in one shape: two names, a count, a total, a mean, two dates."""
+    first, second, count, total, mean = _FIGURES[mart]
+
+    def date(name):
+        found = F.col(name) if name in df.columns else F.lit(None)
+        return found.cast("date").alias(name.replace("_order_date", "_date"))
+
+    return df.select(
+        F.lit(mart).alias("mart"),
+        F.col(first).cast("string").alias("first_key"),
+        F.col(second).cast("string").alias("second_key"),
+        F.col(count).cast("long").alias("units"),
+        F.col(total).alias("amount"),
+        (F.col(mean) if mean else F.lit(None).cast("double")).alias("mean"),
+        date("first_order_date"),
+        date("latest_order_date"),
+    )
+
+
+@query
+def marts_after_changes(spark, sf_dir):
+    """All marts after order changes in four shuffled parts, line items in two and payments
+    before and after an update, each adding only what it changes; folded half way."""
+    base = scratch_dir(spark, "deltas")
+    gold = f"{base}/gold"
+    accepted, rejected = pipelines.split_events(_messages(spark, sf_dir), ORDERS)
+    part = F.pmod(F.xxhash64("order_id", "event_ts_ms", "operation"), F.lit(4))
+    accepted = staged(accepted.withColumn("part", part), "accepted")
+    states = {name: fork.state_table(spark, base, name) for name in ("orders", "order_items", "payments")}
+    dead = staged(rejected, "rejected")
+    for number in (2, 0, 3, 1):
+        events = accepted.filter(F.col("part") == number)
+        merged = fork.advance(states["orders"], events, dead, ORDERS)
+        deltas.advance_marts(spark, gold, f"orders-{number}", {"orders": merged.changes})
+        if number == 0:
+            deltas.fold(spark, gold, "daily_sales")
+            deltas.fold(spark, gold, "customer_lifetime_value")
+    items = wh.order_items(spark, sf_dir)
+    for late in (True, False):
+        half = items.filter((F.col("product_id") % 2 == 1) == late)
+        merged = states["order_items"].advance(
+            half,
+            lambda r: [r[n] for n in ("shipped_at", "order_id", "product_id", "quantity", "unit_price")],
+        )
+        deltas.advance_marts(spark, gold, f"items-{late}", {"order_items": merged.changes})
+    payments = wh.payments(spark, sf_dir)
+    updated = payments.filter(F.col("payment_id") % 5 == 0).withColumn("payment_status", F.lit("REFUNDED"))
+    for name, rows in (("first", payments), ("second", updated)):
+        merged = states["payments"].upsert(rows, merge.UPSERT_COLUMNS["payments"])
+        for _ in range(2):  # a repeated run replaces itself
+            deltas.advance_marts(spark, gold, name, {"payments": merged.changes})
+    dimensions = {"customers": wh.customers(spark, sf_dir), "products": wh.products(spark, sf_dir)}
+    return _union(
+        [_figures(deltas.current_mart(spark, gold, mart, dimensions), mart) for mart in deltas.MARTS]
+    )
+
+
 # --- batch files -----------------------------------------------------------------------
 
 
@@ -786,6 +898,61 @@ def stream_orders_errors(spark, sf_dir):
     )
 
 
+def _forked(spark, sf_dir, profile, **options):
+    """The folder of a forked stream over all order messages: seven shuffled micro-batches,
+    the query started anew after the fourth."""
+    base = scratch_dir(spark, "stream")
+    landed = _messages(spark, sf_dir).withColumn("landed_at", F.current_timestamp())
+    landed.repartition(7).write.parquet(f"{base}/arriving")
+    arrived = spark.read.parquet(f"{base}/arriving").withColumn("file", F.input_file_name())
+    early = F.regexp_extract("file", r"part-0*(\d+)", 1).cast("int") < 4
+    for part in (early, ~early):
+        count = 4 if part is early else 3
+        rows = arrived.filter(part).drop("file").repartition(count)
+        rows.write.mode("append").parquet(f"{base}/bronze/orders")
+        query = fork.process_stream_fork(
+            spark,
+            landed_messages(spark, f"{base}/bronze/orders", max_files_per_trigger=1),
+            ORDERS,
+            base,
+            f"{base}/checkpoints",
+            profile=profile,
+            trigger=_NOW,
+            state_partitions=_cores(spark),
+            **options,
+        )
+        _finish(spark, [query])
+    return base
+
+
+@query
+def stream_fork_once(spark, sf_dir):
+    """Both sides of the one query that writes two tables."""
+    base = _forked(spark, sf_dir, "stream")
+    accepted = spark.read.parquet(f"{base}/silver_changelog/orders")
+    rejected = inputs.read_errors(spark, base)
+    shown = ("source_table", "record_id", "operation", "validation_status", "validation_reason")
+    return _union(
+        [
+            accepted.withColumn("record_id", F.col("order_id").cast("string")).select(
+                *shown, "log_position", "total_amount", "order_date_dt"
+            ),
+            rejected.select(
+                *shown,
+                F.lit(None).cast("long").alias("log_position"),
+                F.lit(None).cast("double").alias("total_amount"),
+                F.lit(None).cast("date").alias("order_date_dt"),
+            ),
+        ]
+    )
+
+
+@query
+def stream_latest_state(spark, sf_dir):
+    """The current rows that the stream itself keeps."""
+    return fork.latest_rows(spark, _forked(spark, sf_dir, "record", keep_state=True), ORDERS)
+
+
 def _streamed(spark, sf_dir, table, date_column, columns, files=1):
     """Bronze landing of one table, then its pipeline; accepted rows with their payload and
     rejected rows."""

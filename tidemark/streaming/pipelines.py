@@ -110,12 +110,12 @@ def start_table(
         writer = writer.queryName(name)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
-    with _shuffle_partitions(df.sparkSession, state_partitions):
+    with shuffle_partitions(df.sparkSession, state_partitions):
         return writer.start()
 
 
 @contextmanager
-def _shuffle_partitions(spark: SparkSession, count: int | None):
+def shuffle_partitions(spark: SparkSession, count: int | None):
     """A query copies the session's settings when it starts, and keeps its number of state
     partitions for life; so it may differ from what batch jobs of the session use."""
     if count is None:

@@ -869,3 +869,53 @@ UNION ALL SELECT 'product_performance', CAST(p.product_id AS VARCHAR), product_n
 UNION ALL SELECT 'payment_summary', payment_method, payment_status, count(*),
   {total('payment_amount')}, {mean('payment_amount')}, {_NO_DATES} FROM paid GROUP BY 2, 3
 """
+
+
+def _transitions(source: str, key: str, status: str, prefix: str) -> str:
+    """Events as (key, status, moment, pos) to their changes of status."""
+    return f"""{prefix}
+steps AS (SELECT *, lag(status) OVER w AS old, row_number() OVER w AS n FROM ({source})
+  WINDOW w AS (PARTITION BY key ORDER BY moment, pos)),
+moved AS (SELECT *, moment - lag(moment) OVER (PARTITION BY key ORDER BY moment, pos) AS lasted
+  FROM steps WHERE n = 1 OR old IS DISTINCT FROM status)
+SELECT key AS {key}, old AS from_status, status AS to_status, moment AS event_ts_ms,
+  lasted AS duration_ms FROM moved"""
+
+
+ORACLES["status_transitions"] = _transitions(
+    "SELECT order_id AS key, CASE WHEN operation = 'd' THEN NULL ELSE order_status END AS status, "
+    "event_ts_ms AS moment, log_position AS pos FROM accepted",
+    "order_id", "order_status", f"{_EV},",
+)
+ORACLES["event_transitions"] = _transitions(
+    "SELECT CAST(user_id AS BIGINT) AS key, event_type AS status, epoch_us(ts) // 1000 AS moment, "
+    "CAST(event_id AS BIGINT) AS pos FROM events",
+    "user_id", "event_type", "WITH",
+)
+ORACLES["stream_dedup_far_copies"] = ORACLES["stream_fork_once"]
+
+ORACLES["stream_late_events"] = (
+    f"{_EV}, b AS (SELECT *, k % 5 AS batch FROM once), "
+    "m AS (SELECT batch, max(event_ts_ms) AS top FROM b GROUP BY batch), "
+    "w AS (SELECT batch, max(top) OVER (ORDER BY batch ROWS BETWEEN UNBOUNDED PRECEDING "
+    "AND 1 PRECEDING) - 600000 AS watermark_ms FROM m) "
+    "SELECT CAST(order_id AS VARCHAR) AS record_id, operation, event_ts_ms, watermark_ms "
+    "FROM b JOIN w USING (batch) WHERE event_ts_ms <= watermark_ms"
+)
+ORACLES["freshness_percentiles"] = (
+    f"WITH {_EVENT_TIMES}, p AS (SELECT CAST(unnest([0.5, 0.95, 0.99]) AS DOUBLE) AS percentile), "
+    "g AS (SELECT event_type, count(*) AS event_count, max(arrival_ms - event_ms) AS max_lag_ms, "
+    "count(*) FILTER (arrival_ms - event_ms > 30000) AS sla_breaches FROM e GROUP BY event_type) "
+    "SELECT event_type, percentile, event_count, max_lag_ms, sla_breaches, true AS within_error FROM g, p"
+)
+ORACLES["dq_across_loads"] = (
+    f"WITH {POISON}, stored AS (SELECT * FROM customers WHERE customer_id % 3 = 0), "
+    "fresh AS (SELECT * FROM customers WHERE customer_id IS NULL OR customer_id % 3 = 1), "
+    "n AS (SELECT email, count(*) AS new_rows FROM fresh WHERE email IS NOT NULL GROUP BY email), "
+    "h AS (SELECT email, count(*) AS stored_rows FROM stored GROUP BY email) "
+    "SELECT 'email' AS check, email AS value, coalesce(stored_rows, 0) AS stored_rows, new_rows "
+    "FROM n LEFT JOIN h USING (email) WHERE coalesce(stored_rows, 0) + new_rows > 1 "
+    "UNION ALL SELECT 'customer_id', CAST(customer_id AS VARCHAR), 0, count(*) FROM orders_ "
+    "WHERE order_id % 2 = 0 AND customer_id NOT IN (SELECT customer_id FROM stored UNION ALL "
+    "SELECT customer_id FROM fresh WHERE customer_id IS NOT NULL) GROUP BY customer_id"
+)

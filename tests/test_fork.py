@@ -9,7 +9,8 @@ from tidemark.session import STREAMING_SETTINGS
 from tidemark.sources import tables as inputs
 from tidemark.sources import warehouse as wh
 from tidemark.sources.streams import landed_messages
-from tidemark.streaming import fork, pipelines
+from tidemark.sinks.keyed import KeyedTable
+from tidemark.streaming import fork, identities, pipelines
 
 SF = "/root/testdata/sf0.001"
 ORDERS = ENTITIES["orders"]
@@ -131,3 +132,44 @@ def test_tombstones_are_forgotten_on_demand(spark, tmp_path):
     assert [r.order_id for r in fork.latest_rows(spark, str(tmp_path), "orders").collect()] == [2]
     fork.advance(table, changes((2, "u", 30, 3)), errors, ORDERS, forget_before_ms=25)
     assert sorted((r.order_id, r.operation) for r in table.read().collect()) == [(2, "u")]
+
+
+def test_copies_at_any_distance(spark, landed, tmp_path, monkeypatch):
+    """Copies in other batches, after a restart, in a replay with a new checkpoint, and in a
+    batch that is run again because its rows were not stored."""
+    base, write = str(tmp_path / "lake"), fork.write_batch
+
+    def dying(rows, path, stream, batch_id, *rest):
+        if batch_id == 1:
+            raise Dies
+        write(rows, path, stream, batch_id, *rest)
+
+    monkeypatch.setattr(fork, "write_batch", dying)
+    with pytest.raises(Exception, match="Dies"):
+        start(spark, landed, base, exact=True)
+    monkeypatch.undo()
+    query = start(spark, landed, base, exact=True)
+    assert query.lastProgress["stateOperators"] == []
+    messages = landed_messages(spark, landed)
+    fork.process_stream_fork(
+        spark, messages, ORDERS, base, f"{base}/other", trigger={"availableNow": True}, run_id="q", exact=True
+    ).awaitTermination()
+    assert stored(spark, base) == expected(spark, landed)
+
+
+def test_identities_with_nulls_and_equal_hashes(spark, tmp_path, monkeypatch):
+    schema = "order_id long, operation string, event_ts_ms long, log_position long"
+    rows = [(1, "c", 5, None), (1, "c", None, 5), (None, "c", 5, 1), (None, None, None, None), (2, "u", 5, 1)]
+    events = spark.createDataFrame(rows, schema)
+    usual = identities._hash
+    for name in ("honest", "colliding"):
+        if name == "colliding":
+            same = lambda seed, columns: F.lit(7).cast("long") if seed == 1 else usual(seed, columns)
+            monkeypatch.setattr(identities, "_hash", same)
+        table = KeyedTable(spark, str(tmp_path / name), "identity")
+        first = identities.unseen(table, events.limit(3), "order_id", {"s": 0})
+        assert first.count() == 3
+        second = identities.unseen(table, events, "order_id", {"s": 1})
+        assert sorted(map(repr, second.collect())) == sorted(map(repr, events.collect()[3:]))
+        again = identities.unseen(table, events, "order_id", {"s": 1})
+        assert again.count() == 2 and identities.unseen(table, events, "order_id").count() == 0

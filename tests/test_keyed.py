@@ -154,3 +154,13 @@ def test_empty_input_and_missing_columns(spark, table):
     table.insert_absent(frame(spark, [(1, "a", 1.0)]))
     table.insert_absent(spark.createDataFrame([(2, "x", 7)], "id long, other string, more int"))
     assert contents(table) == {1: (1, "a", 1.0), 2: (2, None, None)}
+
+
+def test_small_files_are_put_together(spark, table):
+    spread(spark, table)
+    table.insert_absent(frame(spark, [(1, "x", 0.0)]), mark={"s": 1})
+    before, rows = table.files(), contents(table)
+    assert table.compact(min_rows=400) == () and table.files() == before  # a single small one
+    assert sorted(table.compact()) == before and len(table.files()) < 9
+    assert contents(table) == rows and table.marks() == {"s": 1} and table.changes().count() == 1
+    assert table.upsert(frame(spark, [(1, "y", 0.0)]), ["name"]).changes.count() == 1

@@ -187,7 +187,7 @@ def test_stream_command(spark, tmp_path):
     runs = {r.pipeline_run_id for r in spark.read.parquet(f"{tmp_path}/ckpt/runs").collect()}
     assert {r.pipeline_run_id for r in silver} == runs and len(runs) == 2
     assert spark.read.parquet(f"{tmp_path}/bronze/orders").count() == 8
-    assert len(list((tmp_path / "ckpt" / "orders_silver" / "state" / "0").glob("[0-9]*"))) == 2
+    assert len(list((tmp_path / "ckpt" / "orders_fork" / "state" / "0").glob("[0-9]*"))) == 2
 
 
 def test_single_query_form_feeds_snapshots_views_and_audits(spark, tmp_path):

@@ -1,10 +1,11 @@
-"""Command line: ``python -m tidemark ingest|marts|batch|report|refresh|late|stream ...``"""
+"""Command line: ``python -m tidemark ingest|marts|batch|report|refresh|late|upsert|insert|stream ...``"""
 
 from __future__ import annotations
 
 import argparse
 import logging
 
+from tidemark.operators.merge import UPSERT_COLUMNS
 from tidemark.operators.rules import load_declaration
 from tidemark.plans.ingest import (
     log_late_events,
@@ -14,11 +15,12 @@ from tidemark.plans.ingest import (
 )
 from tidemark.plans.marts import run_transformations
 from tidemark.plans.reports import REPORTS, run_report
+from tidemark.plans.writes import insert_rows, upsert_rows
 from tidemark.schemas import ENTITIES
 from tidemark.session import build_session
 from tidemark.sources.streams import kafka_messages
-from tidemark.sources.tables import register_views
-from tidemark.streaming import pipelines
+from tidemark.sources.tables import read_source, register_views
+from tidemark.streaming import fork, pipelines
 
 PROFILES = ["record", "stream", "declared"]
 
@@ -55,6 +57,12 @@ def arguments() -> argparse.ArgumentParser:
         if name == "late":
             command.add_argument("--delay-minutes", type=float, default=10)
 
+    for name, text in (("upsert", "rows over known keys"), ("insert", "rows of unknown keys")):
+        command = commands.add_parser(name, help=f"merge a batch file into its keyed table: {text}")
+        command.add_argument("--table", choices=sorted(UPSERT_COLUMNS), required=True)
+        command.add_argument("--input-dir", default="data/batch")
+        command.add_argument("--data-dir", default="data")
+
     stream = commands.add_parser("stream", help="change topics to silver and errors")
     stream.add_argument("--bootstrap-servers", required=True)
     stream.add_argument("--table", choices=list(ENTITIES), action="append", help="default: all")
@@ -67,7 +75,10 @@ def arguments() -> argparse.ArgumentParser:
     stream.add_argument("--delay", default=pipelines.DEFAULT_DELAY, help="of duplicates, or none")
     stream.add_argument("--state-partitions", type=int)
     stream.add_argument("--run-id")
-    stream.add_argument("--single-query", action="store_true", help="one query per table")
+    forms = stream.add_mutually_exclusive_group()
+    forms.add_argument("--two-queries", action="store_true", help="a query for each side")
+    forms.add_argument("--single-query", action="store_true", help="both sides in one table")
+    forms.add_argument("--keep-state", action="store_true", help="keep the latest rows as well")
     stream.add_argument("--land-bronze", action="store_true", help="keep the messages too")
     return parser
 
@@ -93,8 +104,11 @@ def start_streams(spark, args, messages_of) -> list:
         places = (messages, table, args.output_base, args.checkpoint_base)
         if args.single_query:
             queries.append(pipelines.process_stream_once(spark, *places, **options))
-        else:
+        elif args.two_queries:
             queries += pipelines.process_stream(spark, *places, **options)
+        else:
+            kept = {"keep_state": args.keep_state}
+            queries.append(fork.process_stream_fork(spark, *places, **options, **kept))
         if args.land_bronze:
             bronze = f"{args.output_base.rstrip('/')}/bronze/{table}"
             state = f"{args.checkpoint_base.rstrip('/')}/{table}_bronze"
@@ -117,6 +131,13 @@ def main(argv: list[str] | None = None) -> None:
         refresh_snapshot(spark, args.data_dir, args.table)
     elif args.command == "late":
         log_late_events(spark, args.data_dir, args.table, round(args.delay_minutes * 60_000))
+    elif args.command in ("upsert", "insert"):
+        rows = read_source(spark, args.input_dir, args.table)
+        if rows is None:
+            raise SystemExit(f"no file of {args.table} in {args.input_dir}")
+        write = upsert_rows if args.command == "upsert" else insert_rows
+        merged = write(spark, args.data_dir, args.table, rows)
+        logging.info("%s: version %s", args.table, merged.version)
     elif args.command == "report":
         register_views(spark, args.data_dir)
         for name in REPORTS if args.query == "all" else [args.query]:

@@ -34,7 +34,7 @@ def snapshot(df: DataFrame, key: str, order: Sequence[Column] | None = None) ->
     return keep_greatest(df.filter(F.col(key).isNotNull()), [key], order)
 
 
-def _identified(df: DataFrame, key: str, extra: Sequence[str]) -> tuple[DataFrame, list[str]]:
+def identified(df: DataFrame, key: str, extra: Sequence[str]) -> tuple[DataFrame, list[str]]:
     """``df`` and the columns that tell its events apart.
 
     An event is its key, operation and time, and its position in the source's log where it
@@ -58,7 +58,7 @@ def _identified(df: DataFrame, key: str, extra: Sequence[str]) -> tuple[DataFram
 def distinct_events(df: DataFrame, key: str, extra: Sequence[str] = ()) -> DataFrame:
     """Batch: one row per event, nulls counting as equal. ``extra`` adds columns to what
     tells events apart."""
-    marked, identity = _identified(df, key, extra)
+    marked, identity = identified(df, key, extra)
     return keep_greatest(marked, identity, []).drop("_poison", "_poison_key")
 
 
@@ -77,7 +77,7 @@ def distinct_events_stream(
     apart are both kept, which the latest-state jobs do not mind. ``delay=None`` remembers
     every event for ever, exact but with state that grows with the stream.
     """
-    marked, identity = _identified(df, key, extra)
+    marked, identity = identified(df, key, extra)
     if delay is None:
         return marked.dropDuplicates(identity).drop("_poison", "_poison_key")
     added = arrival not in df.columns

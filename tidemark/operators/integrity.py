@@ -7,6 +7,8 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.functions.bitmaps import KeyFilter
+
 # CHECK constraints as (name, violated-when) per table; NOT NULL columns
 # are listed in NOT_NULL.
 CHECKS: dict[str, dict[str, str]] = {
@@ -93,3 +95,41 @@ def orphan_report(
     for report in reports[1:]:
         result = result.unionByName(report)
     return result
+
+
+def duplicates_with_stored(stored: DataFrame, new: DataFrame, column: str) -> DataFrame:
+    """Values of a new load that occur more than once in it and the stored table together:
+    ``column, stored_rows, new_rows``. Nulls are distinct. Only stored rows that pass a filter
+    of the new values are moved and compared."""
+    values = (
+        new.filter(F.col(column).isNotNull())
+        .groupBy(column)
+        .agg(F.count("*").alias("new_rows"))
+    )
+    possible = KeyFilter(values, column).passing(stored.select(column), column)
+    held = possible.groupBy(column).agg(F.count("*").alias("stored_rows"))
+    both = values.join(held, column, "left").fillna(0, ["stored_rows"])
+    return both.filter(F.col("stored_rows") + F.col("new_rows") > 1).select(
+        column, "stored_rows", "new_rows"
+    )
+
+
+def orphans_with_stored(
+    child: DataFrame,
+    column: str,
+    stored_parent: DataFrame,
+    parent_key: str,
+    new_parent: DataFrame | None = None,
+) -> DataFrame:
+    """Foreign-key values of a new load without a parent, stored or loaded with it, and their
+    number of child rows. Only stored parents that pass a filter of the references are moved."""
+    references = (
+        child.filter(F.col(column).isNotNull())
+        .groupBy(F.col(column).alias("foreign_key"))
+        .agg(F.count("*").alias("row_count"))
+    )
+    parents = KeyFilter(references, "foreign_key").passing(stored_parent.select(parent_key), parent_key)
+    if new_parent is not None:
+        parents = parents.unionByName(new_parent.select(parent_key))
+    keys = parents.select(F.col(parent_key).alias("foreign_key"))
+    return references.join(keys, "foreign_key", "left_anti")

@@ -76,3 +76,49 @@ def freshness(
         F.max(lag).alias("max_lag_seconds"),
         F.count_if(lag > sla_seconds).alias("sla_breaches"),
     )
+
+
+# A sketch of this size puts a percentile within RANK_ERROR of its rank, merged or not.
+SKETCH_SIZE = 400
+RANK_ERROR = 0.01
+PERCENTILES = (0.5, 0.95, 0.99)
+
+
+def lag_columns(event_ms: str, processing_ms: str, sla_ms: int = 30_000) -> list[Column]:
+    """Aggregates of what freshness needs, in a few kilobytes that can be added up later:
+    events, greatest lag, breaches of the service level, a KLL sketch of the lags."""
+    lag = F.col(processing_ms) - F.col(event_ms)
+    return [
+        F.count(lag).alias("event_count"),
+        F.max(lag).alias("max_lag_ms"),
+        F.count_if(lag > sla_ms).alias("sla_breaches"),
+        F.kll_sketch_agg_bigint(lag, SKETCH_SIZE).alias("lag_sketch"),
+    ]
+
+
+def lag_sketches(df: DataFrame, event_ms: str, processing_ms: str, by: list[str]) -> DataFrame:
+    """:func:`lag_columns` per group."""
+    return df.groupBy(*by).agg(*lag_columns(event_ms, processing_ms))
+
+
+def freshness_percentiles(
+    sketches: DataFrame, by: list[str], percentiles: tuple[float, ...] = PERCENTILES
+) -> DataFrame:
+    """Lag percentiles per group from sketches of its parts, such as hours or micro-batches;
+    no event is read again."""
+    merged = sketches.filter(F.col("event_count") > 0).groupBy(*by).agg(
+        F.sum("event_count").alias("event_count"),
+        F.max("max_lag_ms").alias("max_lag_ms"),
+        F.sum("sla_breaches").alias("sla_breaches"),
+        F.kll_merge_agg_bigint("lag_sketch", SKETCH_SIZE).alias("_merged"),
+    )
+    listed = F.array(
+        *[
+            F.struct(
+                F.lit(p).alias("percentile"),
+                F.kll_sketch_get_quantile_bigint("_merged", F.lit(p)).alias("lag_ms"),
+            )
+            for p in percentiles
+        ]
+    )
+    return merged.select(*by, "event_count", "max_lag_ms", "sla_breaches", F.inline(listed))

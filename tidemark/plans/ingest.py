@@ -7,14 +7,14 @@ import uuid
 from collections.abc import Mapping
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.temporal import iso_utc
 from tidemark.operators.deadletter import dead_letters
 from tidemark.operators.dedup import snapshot
 from tidemark.operators.envelope import read_events
-from tidemark.operators.lateness import late_events
+from tidemark.operators.lateness import freshness_percentiles, late_events
 from tidemark.operators.quality import score_counts, share_gate, tier_audit
 from tidemark.operators.rules import INVALID, VALID, invalid_rows, valid_rows, validate
 from tidemark.operators.state import (
@@ -26,8 +26,9 @@ from tidemark.operators.state import (
 )
 from tidemark.plans.marts import run_transformations
 from tidemark.schemas import ENTITIES, Entity
-from tidemark.session import remove_path, scratch_dir
+from tidemark.session import remove_path, scratch_dir, staged
 from tidemark.sinks.tables import replace_rejects, write_table
+from tidemark.sinks.upkeep import replace_partitions
 from tidemark.sources.tables import (
     read_changes,
     read_entity_errors,
@@ -235,6 +236,64 @@ def log_late_events(
     return write_table(late, f"{base}/late_events/{entity.name}")
 
 
+def advance_late_events(
+    spark: SparkSession, output_base: str, entity: Entity | str, delay_ms: int = 600_000
+) -> int:
+    """Audit the micro-batches of a forked stream that were not audited before: add their
+    events older than the greatest event time of all batches before them, minus the delay, to
+    ``late_events_by_batch/<table>``; returns the batches audited.
+
+    The mark of every batch comes from the summaries the stream wrote, one row a batch; of the
+    stored events only new batches are read. What was audited is in ``late_counts/<table>``.
+    A run that died is repeated by the next and gives the same rows.
+    """
+    entity = ENTITIES[entity] if isinstance(entity, str) else entity
+    base, batch = output_base.rstrip("/"), ["stream", "batch_id"]
+    earlier = Window.partitionBy("stream").orderBy("batch_id").rowsBetween(Window.unboundedPreceding, -1)
+    greatest = F.max("greatest_event_ms").over(earlier)
+    marks = spark.read.parquet(f"{base}/batch_summaries/{entity.name}").select(
+        *batch, (greatest - delay_ms).alias("watermark_ms")
+    )
+    audited = read_parquet(spark, f"{base}/late_counts/{entity.name}")
+    if audited is not None:
+        marks = marks.join(audited.select(*batch), batch, "left_anti")
+    marks = staged(marks, "marks")
+    new = marks.groupBy("stream").agg(F.min("batch_id").alias("first"), F.count("*").alias("n")).collect()
+    if not new:
+        return 0
+    unread = F.lit(False)
+    for row in new:  # one a stream; prunes the folders of older batches
+        unread = unread | ((F.col("stream") == row.stream) & (F.col("batch_id") >= row.first))
+    accepted = spark.read.parquet(f"{base}/silver_changelog/{entity.name}").filter(unread)
+    events = accepted.select(
+        *batch, F.col(entity.key).cast("string").alias("record_id"), "operation", "event_ts_ms"
+    )
+    rejected = read_parquet(spark, f"{base}/errors/{entity.name}")
+    if rejected is not None:
+        time = F.col("event_timestamp").alias("event_ts_ms")
+        events = events.unionByName(rejected.filter(unread).select(*batch, "record_id", "operation", time))
+    late = events.join(marks, batch).filter(F.col("event_ts_ms") <= F.col("watermark_ms"))
+    found = f"{base}/late_events_by_batch/{entity.name}"
+    replace_partitions(late, found, batch)
+    counted = read_parquet(spark, found)
+    counts = marks.select(*batch)
+    if counted is not None:
+        numbers = counted.filter(unread).groupBy(*batch).agg(F.count("*").alias("late_count"))
+        counts = counts.join(numbers, batch, "left").fillna(0, ["late_count"])
+    else:
+        counts = counts.withColumn("late_count", F.lit(0).cast("long"))
+    replace_partitions(counts, f"{base}/late_counts/{entity.name}", batch)
+    return sum(row.n for row in new)
+
+
+def stream_freshness(spark: SparkSession, output_base: str, entity: Entity | str) -> DataFrame:
+    """Lag percentiles of a forked stream by hour of processing, from its summaries."""
+    entity = ENTITIES[entity] if isinstance(entity, str) else entity
+    summaries = spark.read.parquet(f"{output_base.rstrip('/')}/batch_summaries/{entity.name}")
+    hour = F.date_trunc("hour", F.timestamp_millis("processing_ms"))
+    return freshness_percentiles(summaries.withColumn("hour", hour), ["hour"])
+
+
 def replay(
     spark: SparkSession,
     bronze_path: str,

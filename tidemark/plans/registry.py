@@ -15,6 +15,7 @@ from tidemark.functions.temporal import month_key, to_day
 from tidemark.operators import envelope, integrity, lateness, merge, quality, rules, skew, state
 from tidemark.operators.deadletter import dead_letters
 from tidemark.operators.dedup import distinct_events, distinct_events_stream, merge_batches, snapshot
+from tidemark.operators.transitions import status_transitions as transitions_of
 from tidemark.plans import deltas, ingest, marts, reports, writes
 from tidemark.schemas import ENTITIES, FOREIGN_KEYS
 from tidemark.session import apply_settings, scratch_dir, staged
@@ -470,6 +471,26 @@ def cdc_change_audit(spark, sf_dir):
     return state.change_audit(envelope.parse_envelopes(_messages(spark, sf_dir), ORDERS), ORDERS)
 
 
+@query
+def status_transitions(spark, sf_dir):
+    """Every status an order went through, and how long each had lasted."""
+    accepted, _ = pipelines.split_events(_messages(spark, sf_dir), ORDERS)
+    return transitions_of(accepted, "order_id", "order_status", events_per_range=5_000)
+
+
+@query
+def event_transitions(spark, sf_dir):
+    """What users did next, over all events; few users have many events each."""
+    events = wh.events(spark, sf_dir).select(
+        F.col("user_id").cast("long"),
+        F.lit("u").alias("operation"),
+        F.col("event_ms").alias("event_ts_ms"),
+        F.col("event_id").cast("long").alias("log_position"),
+        "event_type",
+    )
+    return transitions_of(events, "user_id", "event_type", events_per_range=1_000)
+
+
 @query
 def lineage_columns(spark, sf_dir):
     accepted, _ = pipelines.split_events(_messages(spark, sf_dir), ORDERS)
@@ -898,16 +919,15 @@ def stream_orders_errors(spark, sf_dir):
     )
 
 
-def _forked(spark, sf_dir, profile, **options):
-    """The folder of a forked stream over all order messages: seven shuffled micro-batches,
-    the query started anew after the fourth."""
+def _forked(spark, sf_dir, profile, before=4, after=3, **options):
+    """The folder of a forked stream over all order messages in shuffled micro-batches, the
+    query started anew after some of them."""
     base = scratch_dir(spark, "stream")
     landed = _messages(spark, sf_dir).withColumn("landed_at", F.current_timestamp())
-    landed.repartition(7).write.parquet(f"{base}/arriving")
+    landed.repartition(before + after).write.parquet(f"{base}/arriving")
     arrived = spark.read.parquet(f"{base}/arriving").withColumn("file", F.input_file_name())
-    early = F.regexp_extract("file", r"part-0*(\d+)", 1).cast("int") < 4
-    for part in (early, ~early):
-        count = 4 if part is early else 3
+    early = F.regexp_extract("file", r"part-0*(\d+)", 1).cast("int") < before
+    for part, count in ((early, before), (~early, after)):
         rows = arrived.filter(part).drop("file").repartition(count)
         rows.write.mode("append").parquet(f"{base}/bronze/orders")
         query = fork.process_stream_fork(
@@ -928,7 +948,10 @@ def _forked(spark, sf_dir, profile, **options):
 @query
 def stream_fork_once(spark, sf_dir):
     """Both sides of the one query that writes two tables."""
-    base = _forked(spark, sf_dir, "stream")
+    return _both_sides(spark, _forked(spark, sf_dir, "stream"))
+
+
+def _both_sides(spark, base):
     accepted = spark.read.parquet(f"{base}/silver_changelog/orders")
     rejected = inputs.read_errors(spark, base)
     shown = ("source_table", "record_id", "operation", "validation_status", "validation_reason")
@@ -947,12 +970,58 @@ def stream_fork_once(spark, sf_dir):
     )
 
 
+@query
+def stream_dedup_far_copies(spark, sf_dir):
+    """All messages streamed, and then all of them once more by another query without the
+    first one's state: every event is stored once."""
+    base = _forked(spark, sf_dir, "stream", 2, 1, exact=True)
+    again = fork.process_stream_fork(
+        spark,
+        landed_messages(spark, f"{base}/bronze/orders"),
+        ORDERS,
+        base,
+        f"{base}/replay",
+        profile="stream",
+        trigger=_NOW,
+        state_partitions=_cores(spark),
+        exact=True,
+    )
+    _finish(spark, [again])
+    return _both_sides(spark, base)
+
+
 @query
 def stream_latest_state(spark, sf_dir):
     """The current rows that the stream itself keeps."""
     return fork.latest_rows(spark, _forked(spark, sf_dir, "record", keep_state=True), ORDERS)
 
 
+@query
+def stream_late_events(spark, sf_dir):
+    """Late events of a forked stream, audited after its first three micro-batches and again
+    after the two that follow; the second audit reads those two."""
+    base = scratch_dir(spark, "stream")
+    messages = _messages(spark, sf_dir)
+    number = (F.col("key").cast("long") - 1) % 5
+    for batches in ((0, 1, 2), (3, 4)):
+        for batch in batches:  # the source takes files in the order they came
+            landed = messages.filter(number == batch).withColumn("landed_at", F.current_timestamp())
+            landed.coalesce(1).write.mode("append").parquet(f"{base}/bronze/orders")
+        query = fork.process_stream_fork(
+            spark,
+            landed_messages(spark, f"{base}/bronze/orders", max_files_per_trigger=1),
+            ORDERS,
+            base,
+            f"{base}/checkpoints",
+            trigger=_NOW,
+            state_partitions=_cores(spark),
+        )
+        _finish(spark, [query])
+        ingest.advance_late_events(spark, base, ORDERS)
+    late = spark.read.parquet(f"{base}/late_events_by_batch/orders")
+    return late.select("record_id", "operation", "event_ts_ms", "watermark_ms")
+
+
 def _streamed(spark, sf_dir, table, date_column, columns, files=1):
     """Bronze landing of one table, then its pipeline; accepted rows with their payload and
     rejected rows."""
@@ -1078,6 +1147,48 @@ def freshness(spark, sf_dir):
     return lateness.freshness(wh.events(spark, sf_dir), "event_ms", "arrival_ms", ["event_type"])
 
 
+@query
+def freshness_percentiles(spark, sf_dir):
+    """Lag percentiles per event type, merged from sketches by hour; and whether each is
+    within the stated error of its rank among all lags."""
+    events = wh.events(spark, sf_dir)
+    hours = events.withColumn("hour", F.floor(F.col("arrival_ms") / 3_600_000))
+    sketches = lateness.lag_sketches(hours, "event_ms", "arrival_ms", ["event_type", "hour"])
+    found = staged(lateness.freshness_percentiles(sketches, ["event_type"]), "percentiles")
+    lag = (F.col("arrival_ms") - F.col("event_ms")).alias("lag")
+    placed = events.select("event_type", lag).join(F.broadcast(found), "event_type")  # 3 a type
+    keys = ("event_type", "percentile", "event_count", "max_lag_ms", "sla_breaches")
+    low, high = F.count_if(F.col("lag") < F.col("lag_ms")), F.count_if(F.col("lag") <= F.col("lag_ms"))
+    wanted, error = F.col("percentile"), F.lit(lateness.RANK_ERROR)
+    ranks = placed.groupBy(*keys).agg((low / F.count("*")).alias("low"), (high / F.count("*")).alias("high"))
+    within = (F.col("low") <= wanted + error) & (F.col("high") >= wanted - error)
+    return ranks.select(*keys, within.alias("within_error"))
+
+
+@query
+def dq_across_loads(spark, sf_dir):
+    """What shows only when a load is compared with what is stored: e-mail addresses given
+    twice, and orders of customers that neither has."""
+    key = F.col("customer_id")
+    customers = wh.customers(spark, sf_dir, poison=True)
+    stored = customers.filter(key % 3 == 0)
+    new = customers.filter(key.isNull() | (key % 3 == 1))
+    mails = integrity.duplicates_with_stored(stored, new, "email")
+    orders = wh.orders(spark, sf_dir, poison=True).filter(F.col("order_id") % 2 == 0)
+    orphans = integrity.orphans_with_stored(orders, "customer_id", stored, "customer_id", new)
+    return _union(
+        [
+            mails.select(F.lit("email").alias("check"), F.col("email").alias("value"), "stored_rows", "new_rows"),
+            orphans.select(
+                F.lit("customer_id").alias("check"),
+                F.col("foreign_key").cast("string").alias("value"),
+                F.lit(0).cast("long").alias("stored_rows"),
+                F.col("row_count").alias("new_rows"),
+            ),
+        ]
+    )
+
+
 @query
 def events_json(spark, sf_dir):
     props = F.from_json("props", "k INT")

@@ -33,14 +33,10 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from tidemark.functions.bitmaps import BITMAP_BITS, SEEDS, bitmaps_for, filled, is_set, positions
 from tidemark.operators.dedup import keep_greatest
 from tidemark.session import remove_path, scratch_dir
 
-BITMAP_BITS = 32768  # what one bitmap of bitmap_construct_agg holds
-BITS_PER_KEY = 12
-PIECES_PER_FILE = 4
-_SEEDS = (1, 2)
-
 _MANIFEST = "file string, rows long, low {key}, high {key}, bitmaps long, write string"
 
 Combine = Callable[[Column, Column], Column]
@@ -60,16 +56,6 @@ class Merged:
     rewritten: tuple[str, ...]
 
 
-def _positions(key: Column, bitmaps: Column) -> Column:
-    bits = bitmaps * BITMAP_BITS
-    return F.array(*[F.pmod(F.xxhash64(F.lit(seed), key), bits) for seed in _SEEDS])
-
-
-def _is_set(bitmap: str, place: str) -> Column:
-    byte = f"cast(conv(hex(substring({bitmap}, cast({place} div 8 AS int) + 1, 1)), 16, 10) AS int)"
-    return F.expr(f"(shiftright({byte}, cast({place} % 8 AS int)) & 1) = 1")
-
-
 class KeyedTable:
     def __init__(self, spark: SparkSession, path: str, key: str):
         self.spark, self.path, self.key = spark, path.rstrip("/"), key
@@ -99,8 +85,12 @@ class KeyedTable:
             version = found[-1] if found else 0
         if version == 0:
             return {"version": 0, "manifest": None, "schema": None, "marks": {}}
-        text = self.spark.read.text(f"{self.path}/_versions/{version:012d}").first()
-        return {"version": version, **json.loads(text["value"])}
+        stream = self._files().open(self._hadoop(f"{self.path}/_versions/{version:012d}"))
+        try:
+            text = self.spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+        finally:
+            stream.close()
+        return {"version": version, **json.loads(text)}
 
     def _commit(self, entry: dict) -> int:
         version = entry["version"] + 1
@@ -259,11 +249,11 @@ class KeyedTable:
         manifest = self._manifest(entry)
         span = manifest.agg(
             F.min(F.col("low").cast("double")).alias("low"),
-            F.max(F.col("high").cast("double")).alias("high"),
-            F.count("*").alias("files"),
+            F.avg(F.col("high").cast("double") - F.col("low").cast("double")).alias("width"),
             F.collect_set("write").alias("writes"),
         ).first()
-        width = max(1.0, (span.high - span.low) / (PIECES_PER_FILE * span.files))
+        # Pieces as wide as the mean file: two a file in all, whether files overlap or not.
+        width = max(1.0, span.width)
 
         def piece(key: Column) -> Column:
             return F.floor((key.cast("double") - span.low) / width)
@@ -275,16 +265,14 @@ class KeyedTable:
             fresh.select(self.key, piece(key).alias("piece"))
             .join(ranges, "piece")
             .filter(key.between(F.col("low"), F.col("high")))
-            .select(self.key, "file", F.explode(_positions(key, F.col("bitmaps"))).alias("bit"))
+            .select(self.key, "file", F.explode(F.array(*positions(key, F.col("bitmaps")))).alias("bit"))
             .withColumn("bitmap_number", F.expr(f"bit div {BITMAP_BITS}"))
         )
         filters = self.spark.read.schema("file string, bitmap_number long, bitmap binary").parquet(
             *[f"{self.path}/_filters/{write}" for write in span.writes]
         )
-        hits = in_range.join(filters, ["file", "bitmap_number"]).filter(
-            _is_set("bitmap", f"(bit % {BITMAP_BITS})")
-        )
-        possible = hits.groupBy(self.key, "file").count().filter(F.col("count") == len(_SEEDS))
+        hits = in_range.join(filters, ["file", "bitmap_number"]).filter(is_set("bitmap", "bit"))
+        possible = hits.groupBy(self.key, "file").count().filter(F.col("count") == len(SEEDS))
         return sorted(r.file for r in possible.select("file").distinct().collect())
 
     def _changes(
@@ -308,8 +296,7 @@ class KeyedTable:
     def _rewrite(
         self, entry: dict, changes: DataFrame, touched: Sequence[str], expired: Column | None
     ) -> str:
-        """Write the changed rows with their files' other rows, and a manifest naming the
-        new files in place of the touched ones."""
+        """Write the changed rows with the other rows of their files."""
         names = self._schema(entry).fieldNames()
         rows = changes.select("new.*").select(*names)
         if touched:
@@ -317,6 +304,10 @@ class KeyedTable:
             if expired is not None:
                 rest = rest.filter(~F.coalesce(expired, F.lit(False)))
             rows = rows.unionByName(rest.join(changes.select(self.key), self.key, "left_anti"))
+        return self._replace(entry, rows, touched)
+
+    def _replace(self, entry: dict, rows: DataFrame, touched: Sequence[str]) -> str:
+        """Files with ``rows`` and a manifest that names them in place of ``touched``."""
         write = uuid.uuid4().hex
         data = f"{self.path}/data/{write}"
         rows.repartitionByRange(self.key).sortWithinPartitions(self.key).write.parquet(data)
@@ -328,8 +319,7 @@ class KeyedTable:
         added = keys.groupBy("file").agg(
             F.count("*").alias("rows"), F.min(self.key).alias("low"), F.max(self.key).alias("high")
         )
-        bitmaps = F.ceil(F.col("rows") * BITS_PER_KEY / BITMAP_BITS)
-        manifest = added.withColumns({"bitmaps": bitmaps, "write": F.lit(write)})
+        manifest = added.withColumns({"bitmaps": bitmaps_for(F.col("rows")), "write": F.lit(write)})
         if entry["manifest"] is not None:
             kept = self._manifest(entry)
             if touched:
@@ -339,17 +329,27 @@ class KeyedTable:
         name = uuid.uuid4().hex
         manifest.hint("rebalance").write.parquet(f"{self.path}/_manifests/{name}")
         sizes = self._manifest({**entry, "manifest": name}).filter(F.col("write") == write)
-        positions = F.explode(_positions(F.col(self.key), F.col("bitmaps")))
-        bits = keys.join(sizes.select("file", "bitmaps"), "file").select("file", positions.alias("bit"))
-        number = F.expr(f"bit div {BITMAP_BITS}").alias("bitmap_number")
-        filters = bits.groupBy("file", number).agg(
-            F.bitmap_construct_agg(F.expr(f"bit % {BITMAP_BITS}")).alias("bitmap")
-        )
-        filters.write.parquet(f"{self.path}/_filters/{write}")
+        bit = F.explode(F.array(*positions(F.col(self.key), F.col("bitmaps"))))
+        bits = keys.join(sizes.select("file", "bitmaps"), "file").select("file", bit.alias("bit"))
+        filled(bits, "file").write.parquet(f"{self.path}/_filters/{write}")
         return name
 
     # --- upkeep ------------------------------------------------------------------------
 
+    def compact(self, min_rows: int = 1_000_000) -> tuple[str, ...]:
+        """Write the rows of small files anew, sorted by key into files of the advisory size;
+        returns the files replaced. Contents, marks and changes stay as they are."""
+        entry = self._entry()
+        if entry["manifest"] is None:
+            return ()
+        small = self._manifest(entry).filter(F.col("rows") < min_rows)
+        names = tuple(sorted(r.file for r in small.select("file").collect()))
+        if len(names) < 2:
+            return ()
+        entry["manifest"] = self._replace(entry, self._rows(entry, names), names)
+        self._commit(entry)
+        return names
+
     def vacuum(self, keep: int = 1) -> list[str]:
         """Delete what the last ``keep`` versions do not name: files, filters, manifests,
         changes and older versions. Not while a merge is running. Returns the files deleted."""

@@ -18,15 +18,20 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tidemark.operators.deadletter import dead_letters
+from tidemark.operators.dedup import distinct_events
+from tidemark.operators.envelope import read_events
+from tidemark.operators.lateness import lag_columns
 from tidemark.operators.state import change_columns, live_rows, operation_rank, rejected_deletes
 from tidemark.schemas import ENTITIES, Entity
 from tidemark.sinks.keyed import KeyedTable, Merged
 from tidemark.sinks.tables import refuse_stream_output
+from tidemark.streaming.identities import identity_table, unseen
 from tidemark.streaming.pipelines import (
     DEFAULT_DELAY,
     changelog_rows,
     distinct_judged,
     new_run,
+    setting,
     shuffle_partitions,
 )
 
@@ -55,6 +60,18 @@ def write_batch(
     writer.parquet(batch_folder(path, stream, batch_id))
 
 
+def summary(judged: DataFrame) -> DataFrame:
+    """One row about a micro-batch, for audits that need not read its events: the greatest
+    event time, and the lags as a sketch."""
+    events = judged.select("event_ts_ms", F.unix_millis("processing_time").alias("processing_ms"))
+    times = (
+        F.count("*").alias("all_events"),
+        F.max("event_ts_ms").alias("greatest_event_ms"),
+        F.max("processing_ms").alias("processing_ms"),
+    )
+    return events.agg(*times, *lag_columns("event_ts_ms", "processing_ms"))
+
+
 def state_table(spark: SparkSession, output_base: str, entity: Entity | str) -> KeyedTable:
     """The last change of every key, deletes as tombstones."""
     entity = ENTITIES[entity] if isinstance(entity, str) else entity
@@ -105,21 +122,33 @@ def process_stream_fork(
     declaration: Mapping[str, Mapping] | None = None,
     keep_state: bool = False,
     follow: Follow | None = None,
+    exact: bool = False,
 ) -> StreamingQuery:
     """Start the one query of an entity: source, parsing and duplicate state exist once.
 
     With ``keep_state`` the latest state is kept as well; ``follow`` is then called with the
     merge of every batch and the batch's name, such as to move marts on. It may be called
     twice with the same name and must then replace what it did.
+
+    With ``exact`` copies are found at any distance, after restarts and in replays with a new
+    checkpoint too: identities are kept in a table below ``identities/`` instead of in the
+    query's state, and ``delay`` has no meaning.
     """
     entity = ENTITIES[entity] if isinstance(entity, str) else entity
     run = run_id or new_run(spark, checkpoint_base, entity.name)
     out, checkpoint = output_base.rstrip("/"), f"{checkpoint_base.rstrip('/')}/{entity.name}_fork"
-    judged = distinct_judged(messages, entity, profile, delay, declaration)
+    if exact:
+        judged = read_events(messages, entity, profile, declaration)
+    else:
+        judged = distinct_judged(messages, entity, profile, delay, declaration)
     table = state_table(spark, out, entity)
 
     def store(batch: DataFrame, batch_id: int) -> None:
         stream = stream_name(spark, checkpoint)
+        if exact:
+            known, mark = identity_table(spark, out, entity), {stream: batch_id}
+            batch = unseen(known, distinct_events(batch, entity.key), entity.key, mark)
+            batch = batch.drop("message_key")
         held = batch.persist()
         try:
             accepted = changelog_rows(held, entity, run)
@@ -128,6 +157,7 @@ def process_stream_fork(
                 accepted, f"{out}/silver_changelog/{entity.name}", stream, batch_id, entity.partition_by
             )
             write_batch(rejected, f"{out}/errors/{entity.name}", stream, batch_id)
+            write_batch(summary(held), f"{out}/batch_summaries/{entity.name}", stream, batch_id)
             if keep_state:
                 merged = advance(table, accepted, rejected, entity, {stream: batch_id})
                 if follow:
@@ -142,5 +172,7 @@ def process_stream_fork(
         .trigger(**(trigger or {"processingTime": "5 seconds"}))
         .foreachBatch(store)
     )
-    with shuffle_partitions(spark, state_partitions):
+    # Batches without events would only forget old state earlier.
+    idle = setting(spark, "spark.sql.streaming.noDataMicroBatches.enabled", "false")
+    with shuffle_partitions(spark, state_partitions), idle:
         return writer.start()

@@ -115,18 +115,24 @@ def start_table(
 
 
 @contextmanager
-def shuffle_partitions(spark: SparkSession, count: int | None):
-    """A query copies the session's settings when it starts, and keeps its number of state
-    partitions for life; so it may differ from what batch jobs of the session use."""
-    if count is None:
-        yield
-        return
-    usual = spark.conf.get("spark.sql.shuffle.partitions")
-    spark.conf.set("spark.sql.shuffle.partitions", str(count))
+def setting(spark: SparkSession, name: str, value: object):
+    """A query copies the session's settings when it starts and keeps them; batch jobs of the
+    session go on with the usual value. None leaves it."""
+    usual = spark.conf.get(name, None)
+    if value is not None:
+        spark.conf.set(name, str(value))
     try:
         yield
     finally:
-        spark.conf.set("spark.sql.shuffle.partitions", usual)
+        if value is not None and usual is None:
+            spark.conf.unset(name)
+        elif value is not None:
+            spark.conf.set(name, usual)
+
+
+def shuffle_partitions(spark: SparkSession, count: int | None):
+    """The number of state partitions, which a query keeps for life."""
+    return setting(spark, "spark.sql.shuffle.partitions", count)
 
 
 def process_stream(

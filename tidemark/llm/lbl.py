@@ -545,32 +545,42 @@ def train_cells(coded_docs: DataFrame, counts: Counts, model: Model) -> Cells:
     return Cells(counts.cell_mass, _averaged(learned, rows))
 
 
-def fit(predicted: np.ndarray, chosen: np.ndarray, bias: np.ndarray) -> np.ndarray:
+def fit(predicted: np.ndarray, counts: np.ndarray, bias: np.ndarray) -> np.ndarray:
     """Vectors of the branches of one choice: accelerated descent on the softmax loss of all
-    its tokens, with a normal prior that keeps branches seen in few contexts near zero."""
+    its tokens, with a normal prior that keeps branches seen in few contexts near zero.
+    ``counts`` has how often each context chose each branch: equal contexts are one row."""
     vectors = ahead = np.zeros((len(bias), DIMENSIONS), dtype=np.float32)
-    if not len(chosen):
+    total = counts.sum(axis=1)
+    seen = total > 0
+    if not seen.any():
         return vectors
-    rate = np.float32(1 / (0.5 * np.linalg.eigvalsh(predicted.T @ predicted)[-1] + 1))
+    predicted, counts, total = predicted[seen], counts[seen], total[seen]
+    weighted = predicted * total[:, None]
+    rate = np.float32(1 / (0.5 * np.linalg.eigvalsh(weighted.T @ predicted)[-1] + 1))
     for step in range(STEPS):
-        gradient = ahead.copy()
-        for low in range(0, len(chosen), CHUNK):
-            part, wanted = predicted[low : low + CHUNK], chosen[low : low + CHUNK]
-            scores = part @ ahead.T + bias
-            slope = np.exp(scores - _log_sum(scores))
-            slope[np.arange(len(part)), wanted] -= 1
-            gradient += slope.T @ part
+        gradient = ahead - counts.T @ predicted
+        for low in range(0, len(total), CHUNK):
+            scores = predicted[low : low + CHUNK] @ ahead.T + bias
+            gradient += np.exp(scores - _log_sum(scores)).T @ weighted[low : low + CHUNK]
         before, vectors = vectors, ahead - rate * gradient
         ahead = vectors + np.float32(step / (step + 3)) * (vectors - before)
     return vectors
 
 
 def tree(
-    mass: np.ndarray, leaves: np.ndarray, predicted: np.ndarray, learned: np.ndarray
+    mass: np.ndarray,
+    leaves: np.ndarray,
+    predicted: np.ndarray,
+    learned: np.ndarray,
+    contexts: np.ndarray | None = None,
 ) -> np.ndarray:
     """Natural log-probability of every token inside one cell, whose leaves have ``mass``;
-    tokens are in the order of their ``leaves``. Learned from the tokens ``learned``."""
+    tokens are in the order of their ``leaves``. Learned from the tokens ``learned``.
+    ``predicted`` has a row per token, or per context if ``contexts`` gives the tokens' rows;
+    every choice is computed once per distinct context, however often it was made."""
     out = np.zeros(len(leaves))
+    if contexts is None:
+        contexts = np.arange(len(leaves))
     stack = [(0, len(mass), 0, len(leaves))]
     while stack:
         low, high, first, last = stack.pop()
@@ -581,14 +591,18 @@ def tree(
             width *= FAN
         edges = np.arange(low, high, width)
         bias = _log_mass(np.add.reduceat(mass[low:high], edges - low))
-        own, mine = leaves[first:last], predicted[first:last]
-        chosen, used = (own - low) // width, learned[first:last]
-        vectors = fit(mine[used], chosen[used], bias)
-        for at in range(0, len(own), CHUNK):
+        own = leaves[first:last]
+        held, which = np.unique(contexts[first:last], return_inverse=True)
+        made = which * len(edges) + (own - low) // width
+        size = len(held) * len(edges)
+        counts = np.bincount(made[learned[first:last]], minlength=size).astype(np.float32)
+        mine = predicted[held]
+        vectors = fit(mine, counts.reshape(len(held), -1), bias)
+        logs = np.empty((len(held), len(edges)), dtype=np.float32)
+        for at in range(0, len(held), CHUNK):
             scores = mine[at : at + CHUNK] @ vectors.T + bias
-            logs = scores - _log_sum(scores)
-            part = chosen[at : at + CHUNK]
-            out[first + at : first + at + len(part)] += logs[np.arange(len(part)), part]
+            logs[at : at + CHUNK] = scores - _log_sum(scores)
+        out[first:last] += logs.reshape(-1)[made]
         if width > 1:
             bounds = first + np.searchsorted(own, [*edges, high])
             ends = [*edges[1:], high]
@@ -652,6 +666,10 @@ def inside_cells(coded_docs: DataFrame, counts: Counts, leaves: DataFrame, model
         mass = n + 1.0
         if answer["shard"] in top:
             mass[top[answer["shard"]][ranks] >= 0] = 0  # they are classes
+        # Every distinct context of the shard once: a bounded number, whatever is read.
+        keys, contexts = np.unique(contexts, return_inverse=True)
+        pairs = np.stack([keys // (CLASSES + 1), keys % (CLASSES + 1)], axis=1).astype(np.int64)
+        predicted, contexts = model.predicted(pairs), contexts.astype(np.int32)
         order = np.argsort(leaf, kind="stable")
         starts = np.searchsorted(groups, np.arange(GROUPS + 1))
         bounds = np.searchsorted(leaf[order], starts)
@@ -665,9 +683,8 @@ def inside_cells(coded_docs: DataFrame, counts: Counts, leaves: DataFrame, model
             if rare < high:
                 held_mass = np.append(held_mass, mass[rare:high].sum())
             own = leaf[part]
-            key = contexts[part].astype(np.int64)
-            predicted = model.predicted(np.stack([key // (CLASSES + 1), key % (CLASSES + 1)], axis=1))
-            logs[part] = tree(held_mass, np.minimum(own, rare) - low, predicted, learned[part])
+            own_leaves = np.minimum(own, rare) - low
+            logs[part] = tree(held_mass, own_leaves, predicted, learned[part], contexts[part])
             branch = held_mass[np.minimum(own, rare) - low]
             logs[part] -= np.log(branch / held_mass.sum())
         out = {"block": [r["block"] for r in table], "rows": [r["rows"] for r in table]}

@@ -43,6 +43,7 @@ from math import log10
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -55,7 +56,7 @@ END, BEGIN = CLASSES - 1, CLASSES  # BEGIN stands before a text and is never pre
 CONTEXT, DIMENSIONS, NOISE, MINIBATCH = 2, 16, 24, 2048
 RATE = 0.08
 OWN, FAN, STEPS = 2, 16, 6
-CHUNK = 1 << 16
+CHUNK = 1 << 14
 WIDE = 8  # bytes of a count over the corpus
 BATCH_TOKENS = 1 << 20
 AVERAGED = 16
@@ -118,49 +119,55 @@ _SHARDS = pa.schema(
 def _count_shard(rows: pa.Table) -> pa.Table:
     """The training counts of a shard's words, back to the blocks; and one row with the
     shard's most frequent words, its sums per group, and its leaves: the words by group,
-    the rare ones last, counted from 1."""
-    table, totals = rows.to_pylist(), {}
-    for row in table:
-        for word, n in zip(words.row_words(row), arrays.expanded(row["weights"]).tolist()):
-            totals[word] = totals.get(word, 0) + n
-    seen = ((n, word) for word, n in totals.items() if n)
-    top = heapq.nsmallest(SHORTLIST, ((-n, word) for n, word in seen))
-    ranks = {word: k + 1 for k, (_, word) in enumerate(top)}
-    groups = {word: group_of(word) for word in totals}
-    seen = (w for w, n in totals.items() if n)
-    ordered = sorted(seen, key=lambda w: (groups[w], totals[w] < OWN, w))
-    leaves = {word: k + 1 for k, word in enumerate(ordered)}
-    sums, kinds = [0] * GROUPS, [0] * GROUPS
-    for word, n in totals.items():
-        sums[groups[word]] += n
-        kinds[groups[word]] += n > 0
+    the rare ones last, counted from 1. Words are told apart once, by the numbers that a
+    dictionary gives them; everything else is arithmetic on these."""
+    table = rows.to_pylist()
+    held = pa.concat_arrays([words.row_array(row) for row in table]).dictionary_encode()
+    codes = held.indices.to_numpy(zero_copy_only=False)
+    distinct = held.dictionary.to_pylist()
+    ends = np.cumsum([0, *(len(arrays.expanded(row["places"])) for row in table)])
+    totals = np.zeros(len(distinct), dtype=np.int64)
+    for row, low, high in zip(table, ends[:-1], ends[1:]):  # a word once a row
+        totals[codes[low:high]] += arrays.expanded(row["weights"]).astype(np.int64)
+    groups = np.fromiter(map(group_of, distinct), np.int64, len(distinct))
+    seen = np.flatnonzero(totals)
+    top = heapq.nsmallest(SHORTLIST, ((-int(totals[k]), distinct[k], k) for k in _frequent(totals, seen)))
+    ranks, leaves = (np.zeros(len(distinct), dtype=np.int64) for _ in range(2))
+    ranks[[k for _, _, k in top]] = np.arange(1, len(top) + 1)
+    by_word = seen[np.array(pa.compute.sort_indices(held.dictionary.take(pa.array(seen))), dtype=np.int64)]
+    ordered = by_word[np.lexsort((totals[by_word] < OWN, groups[by_word]))]
+    leaves[ordered] = np.arange(1, len(ordered) + 1)
+    columns = {"counts": totals, "ranks": ranks, "groups": groups, "leaves": leaves}
+
+    def packed(which: np.ndarray, name: str) -> bytes:
+        return arrays.compressed(columns[name][which], WIDE if name == "counts" else 4)
+
     out = []
-    columns = {
-        "counts": totals.get,
-        "ranks": lambda w: ranks.get(w, 0),
-        "groups": groups.get,
-        "leaves": lambda w: leaves.get(w, 0),
-    }
-
-    def packed(held: list[bytes], name: str) -> bytes:
-        return arrays.compressed(np.fromiter(map(columns[name], held), np.int64, len(held)), WIDE if name == "counts" else 4)
-
-    for row in table:
-        held = words.row_words(row)
+    for row, low, high in zip(table, ends[:-1], ends[1:]):
         answer = {k: row[k] for k in ("shard", "block", "places")}
-        out.append(answer | {name: packed(held, name) for name in columns})
+        out.append(answer | {name: packed(codes[low:high], name) for name in columns})
+    sums = np.zeros(GROUPS, dtype=np.int64)
+    np.add.at(sums, groups, totals)
     out.append(
         {
             "shard": table[0]["shard"],
             **{name: packed(ordered, name) for name in ("counts", "ranks", "groups")},
-            "top": [{"word": word, "n": -n} for n, word in top],
-            "totals": sums,
-            "kinds": kinds,
+            "top": [{"word": word, "n": -n} for n, word, _ in top],
+            "totals": sums.tolist(),
+            "kinds": np.bincount(groups[seen], minlength=GROUPS).tolist(),
         }
     )
     return pa.Table.from_pylist(out, schema=_SHARDS)
 
 
+def _frequent(totals: np.ndarray, seen: np.ndarray) -> list[int]:
+    """The words that can be among the SHORTLIST most frequent, ties included."""
+    if len(seen) <= SHORTLIST:
+        return seen.tolist()
+    least = np.partition(totals[seen], -SHORTLIST)[-SHORTLIST]
+    return seen[totals[seen] >= least].tolist()
+
+
 def _counts(answers: DataFrame, ends: int, shards: int) -> Counts:
     summary = answers.filter(F.col("top").isNotNull())
     places = F.posexplode("top").alias("rank", "entry")
@@ -531,9 +538,11 @@ def train_cells(coded_docs: DataFrame, counts: Counts, model: Model) -> Cells:
                 tokens += len(at)
                 for group, part in _by_group(groups):
                     predicted = model.predicted(contexts[part])
-                    slope = np.exp(cells.log_probabilities(group, predicted))
-                    slope[np.arange(len(part)), chosen[part]] -= 1
-                    gradient = slope.T @ predicted * (32 / MINIBATCH)
+                    slope = cells.vectors[group] @ predicted.T + cells.bias[group][:, None]
+                    np.exp(slope - slope.max(axis=0), out=slope)
+                    slope /= slope.sum(axis=0)
+                    slope[chosen[part], np.arange(len(part))] -= 1
+                    gradient = slope @ predicted * (32 / MINIBATCH)
                     squares[group] += gradient * gradient
                     cells.vectors[group] -= RATE * gradient / np.sqrt(squares[group])
         if tokens:
@@ -548,20 +557,26 @@ def train_cells(coded_docs: DataFrame, counts: Counts, model: Model) -> Cells:
 def fit(predicted: np.ndarray, counts: np.ndarray, bias: np.ndarray) -> np.ndarray:
     """Vectors of the branches of one choice: accelerated descent on the softmax loss of all
     its tokens, with a normal prior that keeps branches seen in few contexts near zero.
-    ``counts`` has how often each context chose each branch: equal contexts are one row."""
+    ``counts`` has how often each branch (row) was chosen in each context (column)."""
     vectors = ahead = np.zeros((len(bias), DIMENSIONS), dtype=np.float32)
-    total = counts.sum(axis=1)
-    seen = total > 0
-    if not seen.any():
+    total = counts.sum(axis=0)
+    seen = np.flatnonzero(total)
+    if not len(seen):
         return vectors
-    predicted, counts, total = predicted[seen], counts[seen], total[seen]
+    predicted, total = predicted[seen], total[seen]
+    made = counts[:, seen] @ predicted
     weighted = predicted * total[:, None]
     rate = np.float32(1 / (0.5 * np.linalg.eigvalsh(weighted.T @ predicted)[-1] + 1))
+    parts = [(predicted[k : k + CHUNK].T.copy(), weighted[k : k + CHUNK]) for k in range(0, len(seen), CHUNK)]
     for step in range(STEPS):
-        gradient = ahead - counts.T @ predicted
-        for low in range(0, len(total), CHUNK):
-            scores = predicted[low : low + CHUNK] @ ahead.T + bias
-            gradient += np.exp(scores - _log_sum(scores)).T @ weighted[low : low + CHUNK]
+        gradient = ahead - made
+        for contexts, weights in parts:
+            scores = ahead @ contexts
+            scores += bias[:, None]
+            scores -= scores.max(axis=0)
+            np.exp(scores, out=scores)
+            scores /= scores.sum(axis=0)
+            gradient += scores @ weights
         before, vectors = vectors, ahead - rate * gradient
         ahead = vectors + np.float32(step / (step + 3)) * (vectors - before)
     return vectors
@@ -593,15 +608,17 @@ def tree(
         bias = _log_mass(np.add.reduceat(mass[low:high], edges - low))
         own = leaves[first:last]
         held, which = np.unique(contexts[first:last], return_inverse=True)
-        made = which * len(edges) + (own - low) // width
+        made = (own - low) // width * len(held) + which
         size = len(held) * len(edges)
         counts = np.bincount(made[learned[first:last]], minlength=size).astype(np.float32)
         mine = predicted[held]
-        vectors = fit(mine, counts.reshape(len(held), -1), bias)
-        logs = np.empty((len(held), len(edges)), dtype=np.float32)
+        vectors = fit(mine, counts.reshape(len(edges), -1), bias)
+        # A column per context: sums over the few branches run along memory.
+        logs = np.empty((len(edges), len(held)), dtype=np.float32)
         for at in range(0, len(held), CHUNK):
-            scores = mine[at : at + CHUNK] @ vectors.T + bias
-            logs[at : at + CHUNK] = scores - _log_sum(scores)
+            scores = vectors @ mine[at : at + CHUNK].T + bias[:, None]
+            scores -= scores.max(axis=0)
+            logs[:, at : at + CHUNK] = scores - np.log(np.exp(scores).sum(axis=0))
         out[first:last] += logs.reshape(-1)[made]
         if width > 1:
             bounds = first + np.searchsorted(own, [*edges, high])

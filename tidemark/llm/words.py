@@ -149,6 +149,13 @@ def row_words(row: dict) -> list[bytes]:
     return [data[a:b] for a, b in zip([0, *ends], ends)]
 
 
+def row_array(row: dict) -> pa.Array:
+    """The same as an Arrow array."""
+    offsets = np.concatenate([[0], np.cumsum(arrays.expanded(row["lengths"]).astype(np.int64))])
+    buffers = [None, pa.py_buffer(offsets), pa.py_buffer(_unzip(row["words"]))]
+    return pa.Array.from_buffers(pa.large_binary(), len(offsets) - 1, buffers)
+
+
 class Answers:
     """What the shards answered for the words of one block, by word number."""
 

@@ -44,6 +44,18 @@ def _ranked(df: DataFrame, group: list[str], order: list, counts: DataFrame) ->
     )
 
 
+def _counted(rows: DataFrame, sources: DataFrame, hot: int) -> DataFrame:
+    """``rows`` with the number ``n`` of their source. Sources of ``hot`` rows or more, of which
+    there are at most so many as rows by ``hot``, are sent to the rows; only rows of smaller
+    sources move."""
+    large = F.broadcast(sources.filter(F.col("n") >= hot))
+    found = rows.join(large, "source", "left")
+    small = rows.join(large, "source", "left_anti").join(
+        sources.filter(F.col("n") < hot).hint("shuffle_hash"), "source"
+    )
+    return found.filter(F.col("n").isNotNull()).unionByName(small)
+
+
 def interleave(documents: DataFrame, shards: int = 16, seed: int = 42) -> DataFrame:
     """Per row: ``doc_id, size, text_crc32, source, shard, slot``."""
     spark = documents.sparkSession
@@ -57,13 +69,13 @@ def interleave(documents: DataFrame, shards: int = 16, seed: int = 42) -> DataFr
     )
     # Texts are read once; every later pass reads this narrow table.
     rows = written(rows, "shard-rows")
-    sources = rows.groupBy("source").agg(F.count("*").alias("n"))
+    sources = written(rows.groupBy("source").agg(F.count("*").alias("n")), "sources")
     total = rows.count()
     per_band = max(1, min(BAND_ROWS, total // (16 * partitions(spark))))
 
     # The upper 53 bits of the draw as a fraction, cut into the bands of the source.
     share = F.shiftrightunsigned("draw", 11).cast("double") / F.lit(float(1 << 53))
-    banded = rows.join(sources, "source").withColumn(
+    banded = _counted(rows, sources, per_band).withColumn(
         "band", F.floor(share * _bands(F.col("n"), per_band)).cast("long")
     )
     counts = banded.groupBy("source", "band").agg(F.count("*").alias("rows"))

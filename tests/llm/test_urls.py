@@ -1,3 +1,5 @@
+import time
+
 import pytest
 
 from tests.llm.helpers import SF
@@ -62,3 +64,26 @@ def test_filter_has_no_false_negatives_and_few_false_hits(spark):
 def test_plan_is_native(spark):
     plan = queries.QUERIES["op5_url_filter"](spark, SF)._jdf.queryExecution().toString()
     assert not any(word in plan for word in ("Python", "Arrow", "Pandas", "Cartesian"))
+
+
+def test_hosts_of_very_many_labels(spark):
+    """Time follows the length of the host, not its square."""
+    hosts = ["a." * 60_000 + "net", "a." * 60_000 + "org", ".".join(["b"] * 30_000) + ".www.example.com"]
+    rows = [(i, f"http://{host}/es/en/", "h") for i, host in enumerate(hosts)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    rules = urls.rule_table(spark, queries.URL_RULES)
+    start = time.time()
+    found = urls.judge(pages, urls.of_sites(pages, queries.LISTED_SITES), rules).collect()
+    assert {r.page_id: r.rule for r in found} == {0: "net/es/", 1: None, 2: "com/"}
+    assert time.time() - start < 60
+
+
+def test_a_hot_host_is_not_one_key(spark):
+    """Neither with many hits nor with few do the pages move to where their host is."""
+    pages = spark.createDataFrame(
+        [(i, f"http://x.net/es/{i % 7}", "h") for i in range(3000)], "page_id long, url string, html string"
+    )
+    found = urls.judge(pages, urls.of_sites(pages, []), urls.rule_table(spark, queries.URL_RULES))
+    assert found.filter("rule = 'net/es/'").count() == 3000
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning(host" not in plan

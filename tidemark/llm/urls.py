@@ -25,6 +25,7 @@ from pyspark.sql import functions as F
 
 from tidemark.llm.tables import written
 
+MAX_BROADCAST_HITS = 1 << 17  # hosts and starts of paths that a rule fits
 MAX_BROADCAST_BYTES = 32 << 20
 BLOCK_BITS, BITS_PER_KEY, PROBES = 256, 16, 6
 BYTES_PER_BLOCK = 64  # a row of block number and four longs
@@ -123,9 +124,12 @@ def _by_rules(urls: DataFrame, rules: DataFrame) -> DataFrame:
     have few distinct lengths: they are parts of URLs."""
     lengths = sorted(r[0] for r in rules.select(F.length("rule_path")).distinct().collect())
     keyed = rules.withColumn("listed_key", F.concat_ws("\n", "rule_host", "rule_path"))
-    suffixes = F.expr(
-        "transform(sequence(1, size(split(host, '[.]'))), "
-        "i -> array_join(slice(split(host, '[.]'), i, size(split(host, '[.]'))), '.'))"
+    # Only ends of hosts with as many labels as some rule has; those are few numbers too.
+    dots = F.length("rule_host") - F.length(F.replace("rule_host", F.lit("."), F.lit("")))
+    depths = sorted(r[0] + 1 for r in rules.select(dots).distinct().collect())
+    labels = F.length("host") - F.length(F.replace("host", F.lit("."), F.lit(""))) + 1
+    suffixes = F.array_compact(
+        F.array(*[F.when(labels >= d, F.substring_index("host", ".", -d)) for d in depths or [1]])
     )
     heads = urls.select("host", F.substring("path", 1, max(lengths, default=0)).alias("head")).distinct()
     probes = (
@@ -156,7 +160,9 @@ def judge(pages: DataFrame, listed: DataFrame, rules: DataFrame) -> DataFrame:
         .drop("listed_key")
         .unionByName(probed.filter("not maybe").withColumn("listed", F.lit(False)))
     )
-    by_rules = _by_rules(urls, rules)
+    by_rules = written(_by_rules(urls, rules), "rule-hits")
+    if by_rules.count() <= MAX_BROADCAST_HITS:
+        by_rules = F.broadcast(by_rules)
     longest = rules.select(F.max(F.length("rule_path"))).first()[0] or 0
     return (
         judged.withColumn("head", F.substring("path", 1, longest))

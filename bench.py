@@ -31,10 +31,11 @@ from tidemark.plans.registry import PRUNED_DAY  # noqa: E402
 from tidemark.schemas import ENTITIES  # noqa: E402
 from tidemark.session import build_session  # noqa: E402
 from tidemark.sinks import tables as sinks  # noqa: E402
+from tidemark.sinks import upkeep  # noqa: E402
 from tidemark.sources import tables as inputs  # noqa: E402
 from tidemark.sources import warehouse as wh  # noqa: E402
 from tidemark.sources.streams import landed_messages  # noqa: E402
-from tidemark.streaming import pipelines  # noqa: E402
+from tidemark.streaming import fork, pipelines  # noqa: E402
 
 SF_DIR = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1").rstrip("/")
 CPUS = os.environ.get("BENCH_CPUS", "8")
@@ -134,9 +135,11 @@ def layouts(spark, base: str) -> dict[str, dict]:
     orders = wh.orders(spark, SF_DIR).select("*", copies).drop("copy")
     orders = orders.withColumns({"order_date_dt": day, "order_month": month_key(day)})
     plain, months = f"{base}/many.parquet", f"{base}/many_by_month"
+    clustered = f"{base}/many_clustered"
     text = sinks.export_csv(orders.drop("order_date_dt", "order_month"), base, "many")
     orders.write.parquet(plain)
     sinks.write_table(orders, months, ["order_month"])
+    upkeep.write_clustered(orders, clustered, ["order_date_dt", "customer_id"])
     month = PRUNED_DAY[:7]
     rows = spark.read.parquet(plain).count()
     pairs = {
@@ -148,6 +151,10 @@ def layouts(spark, base: str) -> dict[str, dict]:
         ),
         "status_parquet": (plain, lambda: reports.status_aggregate(spark.read.parquet(plain))),
         "day_plain": (plain, lambda: reports.day_total(spark.read.parquet(plain), PRUNED_DAY)),
+        "day_clustered": (
+            clustered,
+            lambda: reports.day_total(spark.read.parquet(clustered), PRUNED_DAY),
+        ),
         "day_pruned": (
             f"{months}/order_month={month}",
             lambda: reports.day_total(
@@ -163,11 +170,25 @@ def layouts(spark, base: str) -> dict[str, dict]:
             "file_bytes": sinks.stored_bytes(spark, path),
             "rows_per_second": round(rows / seconds),
         }
+    found["day_clustered"]["bytes_of_files_with_the_day"] = bytes_with_day(spark, clustered)
     return found
 
 
+def bytes_with_day(spark, path: str) -> int:
+    """Size of the files whose statistics do not rule the day out."""
+    name = F.regexp_extract("path", "([^/]+)$", 1).alias("name")
+    sizes = spark.read.format("binaryFile").load(path).select(name, "length")
+    ranges = spark.read.parquet(path).groupBy(
+        F.regexp_extract(F.input_file_name(), "([^/]+)$", 1).alias("name")
+    ).agg(F.min("order_date_dt").alias("low"), F.max("order_date_dt").alias("high"))
+    wanted = F.lit(PRUNED_DAY).cast("date").between(F.col("low"), F.col("high"))
+    held = ranges.filter(wanted).join(sizes, "name")
+    return held.agg(F.coalesce(F.sum("length"), F.lit(0))).first()[0]
+
+
 def stream_rate(spark, base: str, files: int = 6) -> dict:
-    """A stream over order messages in shuffled files, one per micro-batch."""
+    """A stream over order messages in shuffled files, one per micro-batch: events a second
+    of a query for each side, and of one query that feeds both."""
     messages = spark.read.parquet(f"{base}/bronze/orders")
     landed = messages.withColumn("landed_at", F.current_timestamp())
     landed.repartition(files).write.parquet(f"{base}/stream/in")
@@ -182,8 +203,25 @@ def stream_rate(spark, base: str, files: int = 6) -> dict:
     )
     pipelines.await_all(spark, queries)
     seconds = time.perf_counter() - start
+    start = time.perf_counter()
+    forked = fork.process_stream_fork(
+        spark,
+        landed_messages(spark, f"{base}/stream/in", 1),
+        "orders",
+        f"{base}/forked",
+        f"{base}/forked/checkpoints",
+        trigger={"availableNow": True},
+        state_partitions=int(CPUS),
+    )
+    pipelines.await_all(spark, [forked])
+    one = time.perf_counter() - start
     events = messages.count()
-    return {"events": events, "micro_batches": files, "events_per_second": round(events / seconds)}
+    return {
+        "events": events,
+        "micro_batches": files,
+        "events_per_second": round(events / seconds),
+        "events_per_second_one_query": round(events / one),
+    }
 
 
 def timed(build) -> float:

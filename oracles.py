@@ -919,3 +919,8 @@ ORACLES["dq_across_loads"] = (
     "WHERE order_id % 2 = 0 AND customer_id NOT IN (SELECT customer_id FROM stored UNION ALL "
     "SELECT customer_id FROM fresh WHERE customer_id IS NOT NULL) GROUP BY customer_id"
 )
+ORACLES["clustered_day_sum"] = ORACLES["partition_pruned_sum"]
+ORACLES["stream_compacted"] = (
+    f"{_STREAM_EV} SELECT {_PAYLOAD}, CAST(left(order_date, 10) AS DATE) AS order_date_dt, "
+    "operation, event_ts_ms, log_position, 'orders' AS source_table FROM accepted"
+)

@@ -27,6 +27,7 @@ PURE = [
     "daily_sales", "customer_lifetime_value", "product_performance", "payment_summary", "operations_audit",
     "city_revenue", "mart_daily_sales", "mart_customer_lifetime_value", "mart_product_performance",
     "dq_orders", "dq_orphans", "cdc_event_dedup", "cdc_latest_state", "cdc_change_audit", "upsert_status",
+    "status_transitions", "freshness_percentiles", "dq_across_loads", "clustered_day_sum",
 ]
 
 
@@ -40,7 +41,7 @@ def test_no_python_and_no_cartesian_product(spark, name):
 @pytest.mark.parametrize(
     "name",
     ["daily_sales", "customer_lifetime_value", "clv_inner", "product_performance", "cdc_latest_state",
-     "cdc_snapshot_dedup", "mart_customer_lifetime_value"],
+     "cdc_snapshot_dedup", "mart_customer_lifetime_value", "status_transitions"],
 )
 def test_no_table_goes_through_one_task(spark, name):
     text = plan(registry.QUERIES[name](spark, SF))

@@ -10,7 +10,9 @@ from tidemark.functions.bitmaps import KeyFilter
 from tidemark.operators import integrity, lateness
 from tidemark.plans import ingest
 from tidemark.sinks import upkeep
+from tidemark.sources import tables as inputs
 from tidemark.sources.tables import read_parquet
+from tidemark.schemas import ENTITIES
 
 
 def test_filter_passes_all_keys_and_few_others(spark):
@@ -103,3 +105,50 @@ def test_late_events_of_new_batches_only(spark, tmp_path):
     assert {(r.batch_id, r.record_id, r.event_ts_ms, r.watermark_ms) for r in found} == want and len(found) == len(want)
     counts = {r.batch_id: r.late_count for r in read_parquet(spark, f"{base}/late_counts/orders").collect()}
     assert counts == {n: sum(w[0] == n for w in want) for n in range(5)}
+
+
+def test_compaction_beside_a_stream(spark, tmp_path):
+    base, dice = str(tmp_path), random.Random(6)
+
+    def seen():
+        rows = inputs.read_changes(spark, base, ENTITIES["orders"])
+        return sorted((r.order_id, r.event_ts_ms, r.order_status, r.batch_id) for r in rows.collect())
+
+    batches = [(n, ([(10 * n + i, dice.randrange(99)) for i in range(6)], [])) for n in range(6)]
+    lake(spark, base, batches[:4])
+
+    def files_read():
+        rows = inputs.read_changes(spark, base, ENTITIES["orders"])
+        return rows.select(F.input_file_name()).distinct().count()
+
+    before, files = seen(), files_read()
+    # An attempt that died: its segment is no segment yet.
+    broken = inputs.segment_path(base, "orders", "s1", 2)
+    spark.range(3).selectExpr("id AS order_id", "'PLACED' AS order_status").write.partitionBy("order_status").parquet(broken)
+    upkeep.remove_path(spark, f"{broken}/_SUCCESS")
+    assert seen() == before
+    assert upkeep.compact_batches(spark, base, "orders") == {"s1": 2}
+    assert seen() == before and upkeep.compact_batches(spark, base, "orders") == {}
+    assert files_read() < files
+    lake(spark, base, batches[3:])  # the last batch once more, as a repeated one would be
+    after = seen()
+    assert len(after) == 36 and upkeep.remove_compacted(spark, base, "orders") == 3 and seen() == after
+    assert upkeep.compact_batches(spark, base, "orders") == {"s1": 4} and seen() == after
+
+
+def test_clustered_tables_are_read_in_part(spark, tmp_path):
+    path = str(tmp_path / "t")
+    rows = spark.range(40_000).selectExpr("id", "id % 200 AS day", "hash(id) % 1000 AS customer", "cast(null AS double) AS x")
+    usual = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        assert upkeep.write_clustered(rows, path, ["day", "customer", "x"]) == 40_000
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", usual)
+    for column in ("day", "customer"):
+        found = spark.read.parquet(path).groupBy(F.input_file_name().alias("file")).agg(
+            F.min(column).alias("low"), F.max(column).alias("high")
+        ).collect()
+        holding = [r for r in found if r.low <= 77 <= r.high]
+        assert len(found) == 8 and len(holding) <= 5
+    assert spark.read.parquet(path).filter("day = 77").count() == 200

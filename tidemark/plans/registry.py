@@ -163,6 +163,16 @@ def partition_pruned_sum(spark, sf_dir):
     )
 
 
+@query
+def clustered_day_sum(spark, sf_dir):
+    """The same day's total from a table clustered by day and customer: its files' and pages'
+    statistics leave out most of it, without a folder per month."""
+    path = scratch_dir(spark, "orders_clustered")
+    dated = wh.orders(spark, sf_dir).withColumn("order_date_dt", to_day("order_date"))
+    upkeep.write_clustered(dated, path, ["order_date_dt", "customer_id"])
+    return reports.day_total(spark.read.parquet(path), PRUNED_DAY)
+
+
 @query
 def city_revenue(spark, sf_dir):
     return reports.city_revenue(wh.orders(spark, sf_dir), wh.customers(spark, sf_dir))
@@ -996,6 +1006,18 @@ def stream_latest_state(spark, sf_dir):
     return fork.latest_rows(spark, _forked(spark, sf_dir, "record", keep_state=True), ORDERS)
 
 
+@query
+def stream_compacted(spark, sf_dir):
+    """The accepted changes of a forked stream whose closed micro-batches were put together
+    and removed."""
+    base = _forked(spark, sf_dir, "stream", 3, 1)
+    upkeep.compact_batches(spark, base, ORDERS)
+    upkeep.remove_compacted(spark, base, ORDERS)
+    return inputs.read_changes(spark, base, ORDERS).select(
+        *ORDERS.columns, "order_date_dt", "operation", "event_ts_ms", "log_position", "source_table"
+    )
+
+
 @query
 def stream_late_events(spark, sf_dir):
     """Late events of a forked stream, audited after its first three micro-batches and again

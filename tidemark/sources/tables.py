@@ -129,10 +129,59 @@ def judged_errors(spark: SparkSession, output_base: str, entity: Entity | str) -
     )
 
 
+def batch_numbers(spark: SparkSession, base: str, table: str) -> dict[str, list[int]]:
+    """The micro-batches whose folders are in a forked stream's change log, by stream."""
+    root = f"{base}/silver_changelog/{table}"
+    streams = [name for name, folder in _entries(spark, root) if folder and name.startswith("stream=")]
+    return {
+        stream[7:]: [
+            int(name[9:]) for name, _ in _entries(spark, f"{root}/{stream}") if name.startswith("batch_id=")
+        ]
+        for stream in streams
+    }
+
+
+def segment_path(base: str, table: str, stream: str, upto: int) -> str:
+    return f"{base}/compacted/{table}/stream={stream}/upto={upto}"
+
+
+def _segments(spark: SparkSession, base: str, table: str) -> dict[str, list[int]]:
+    """Segments of micro-batches by stream, those whose write is complete."""
+    root = f"{base}/compacted/{table}"
+    found: dict[str, list[int]] = {}
+    for stream, _ in _entries(spark, root):
+        for name, _ in _entries(spark, f"{root}/{stream}"):
+            if name.startswith("upto=") and path_exists(spark, f"{root}/{stream}/{name}/_SUCCESS"):
+                found.setdefault(stream[7:], []).append(int(name[5:]))
+    return found
+
+
+def compacted_upto(spark: SparkSession, base: str, table: str) -> dict[str, int]:
+    """The last micro-batch in a segment, by stream."""
+    return {stream: max(uptos) for stream, uptos in _segments(spark, base, table).items()}
+
+
+def _changelog(spark: SparkSession, base: str, table: str) -> DataFrame | None:
+    """The accepted changes of a table: whole segments, and the batches after them."""
+    stored = read_parquet(spark, f"{base}/silver_changelog/{table}")
+    segments = _segments(spark, base, table)
+    if not segments:
+        return stored
+    paths = [segment_path(base, table, s, upto) for s, uptos in segments.items() for upto in uptos]
+    root = f"{base}/compacted/{table}"
+    compacted = spark.read.option("basePath", root).parquet(*paths).drop("upto")
+    if stored is None:
+        return compacted
+    tail = stored
+    for stream, uptos in segments.items():
+        tail = tail.filter((F.col("stream") != stream) | (F.col("batch_id") > max(uptos)))
+    return compacted.unionByName(tail)
+
+
 def read_changes(spark: SparkSession, output_base: str, entity: Entity) -> DataFrame | None:
     """Accepted changes from whichever form of the stream wrote them, or from both."""
     base = output_base.rstrip("/")
-    two = read_parquet(spark, f"{base}/silver_changelog/{entity.name}")
+    two = _changelog(spark, base, entity.name)
     one = read_judged(spark, base, entity, "VALID")
     if one is None or two is None:
         return two if one is None else one

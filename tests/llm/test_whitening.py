@@ -125,3 +125,10 @@ def test_exact_beyond_64_bits(spark):
     want = [sum((300 * c - s) ** 2 for c, s in zip(v, sums)) for v in x]
     got = {r.vec_id: r.deviation for r in whitening.whiten(vectors, model).collect()}
     assert [got[i] for i, _ in rows] == [d if d < 10**38 else None for d in want]
+
+
+def test_query_over_an_empty_table(spark, tmp_path):
+    full = queries.QUERIES["op11_whitening"](spark, SF)
+    frame(spark, [(1, None)]).select("vec_id", "embedding").write.parquet(f"{tmp_path}/embeddings.parquet")
+    none = queries.QUERIES["op11_whitening"](spark, str(tmp_path))
+    assert none.count() == 0 and none.dtypes == full.dtypes

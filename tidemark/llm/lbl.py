@@ -466,8 +466,8 @@ _PARAMETERS = pa.schema([("tokens", pa.int64()), ("flat", pa.binary())])
 
 def class_scores(model: Model, contexts: np.ndarray, targets: np.ndarray) -> np.ndarray:
     """Natural log-probability of every target; one softmax per distinct context."""
-    key = contexts[:, 0] * (CLASSES + 1) + contexts[:, 1]
-    order = np.argsort(key, kind="stable")
+    key = (contexts[:, 0] * (CLASSES + 1) + contexts[:, 1]).astype(np.int32)
+    order = np.argsort(key)
     new = np.concatenate([[True], np.diff(key[order]) != 0])
     first = np.flatnonzero(new)
     which = np.cumsum(new) - 1
@@ -517,8 +517,8 @@ def _in_groups(
 
 
 def _by_group(groups: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
-    order = np.argsort(groups, kind="stable")
-    bounds = np.searchsorted(groups[order], np.arange(GROUPS + 1))
+    order = np.argsort(groups.astype(np.uint8), kind="stable")
+    bounds = np.concatenate([[0], np.cumsum(np.bincount(groups, minlength=GROUPS))])
     for group, (a, b) in enumerate(zip(bounds[:-1], bounds[1:])):
         for low in range(a, b, MINIBATCH):
             yield group, order[low : min(b, low + MINIBATCH)]
@@ -648,11 +648,13 @@ def inside_cells(coded_docs: DataFrame, counts: Counts, leaves: DataFrame, model
                     place = np.searchsorted(bounds, at, side="right") - 1
                     rows = batch.column("row").to_numpy()[low:high]
                     held = np.array(batch.column("held_out").to_pylist()[low:high])
-                    order = np.argsort(cells, kind="stable")
+                    order = np.argsort(cells.astype(np.uint16), kind="stable")
                     edges = np.flatnonzero(np.diff(cells[order], prepend=-1, append=-1))
                     for c, d in zip(edges[:-1], edges[1:]):
                         part = order[c:d]
-                        docs, of = np.unique(place[part], return_inverse=True)
+                        held_in = place[part]  # ascending, as the tokens of a cell stay in order
+                        new = np.diff(held_in, prepend=-1) != 0
+                        docs, of = held_in[new], np.cumsum(new) - 1
                         yield pa.RecordBatch.from_pydict(
                             {
                                 "shard": [int(cells[part[0]])],
@@ -687,7 +689,7 @@ def inside_cells(coded_docs: DataFrame, counts: Counts, leaves: DataFrame, model
         keys, contexts = np.unique(contexts, return_inverse=True)
         pairs = np.stack([keys // (CLASSES + 1), keys % (CLASSES + 1)], axis=1).astype(np.int64)
         predicted, contexts = model.predicted(pairs), contexts.astype(np.int32)
-        order = np.argsort(leaf, kind="stable")
+        order = np.argsort(leaf.astype(np.int32))
         starts = np.searchsorted(groups, np.arange(GROUPS + 1))
         bounds = np.searchsorted(leaf[order], starts)
         logs = np.zeros(len(leaf))

@@ -131,3 +131,34 @@ def test_without_a_language_only_texts_without_letters_are_rejected(spark):
     docs = documents(spark, [(1, "one text"), (2, None), (3, "12 !!"), (4, "ein Text " * 20), (5, "")])
     kept = langid.reject(docs, langid.fit(docs))
     assert sorted(r.doc_id for r in kept.collect()) == [1, 4]
+
+
+def test_the_classifier_decides_what_is_rejected(spark):
+    rows = rows_of(SF, "documents")
+    given = spark.read.parquet(f"{SF}/documents.parquet")
+    full = langid.fit(given)
+    # Known n-grams only, but as many of one language as of another.
+    by_lang = [[r[1] for r in rows if r[2] == lang and 300 < len(r[1] or "") < 3000] for lang in full.languages]
+    streams = [" ".join(texts).split() for texts in by_lang]
+    mixed = [" ".join(sum(four, ())) for four in [list(zip(*streams))[k : k + 50] for k in range(0, 400, 50)]]
+    assert (full.familiarity(mixed)[:, 2] <= full.most_unseen).all()
+    far = full.distance(full.margins(mixed)) > full.farthest
+    assert far.any()
+    asked = documents(spark, [(-k, t) for k, t in enumerate(mixed, 1)] + [(r[0], r[1]) for r in rows])
+    kept = {r.doc_id for r in langid.reject(asked, full).collect()}
+    assert {-k for k, odd in enumerate(far, 1) if not odd} == {i for i in kept if i < 0}
+    # A classifier that knows nothing rejects; one whose limit is off does not.
+    full.weights[:] = 0
+    full.shift[:] = 0
+    assert langid.reject(given, full).count() < len(rows) / 2
+    full.farthest = np.inf
+    assert langid.reject(given, full).count() == len(rows)
+
+
+def test_margins_of_a_training_text_by_the_others(spark):
+    rows = [("the end of the house by the river", "en"), ("sand and wind and hand", "en"), ("der Fluss am Haus", "de")]
+    whole = langid.fit(documents(spark, [(i, t, lang) for i, (t, lang) in enumerate(rows)]))
+    counts = langid._counts(spark.createDataFrame(rows, "text string, lang string"))[1]
+    others = langid.fit(documents(spark, [(i, t, lang) for i, (t, lang) in enumerate(rows) if i != 1]))
+    found = langid._own_margins(whole, counts, langid._totals(counts), "en", rows[1][0])
+    assert np.allclose(found, others.margins([rows[1][0]])[0], atol=1e-5)

@@ -8,10 +8,13 @@ the logistic losses of the predicted bits against its codeword, each bit weighte
 well it did in training, and takes the nearest codeword. The score is the share of that
 codeword among all (softmax of the losses); below ``CERTAIN`` the text is ``ambiguous``.
 
-``reject`` drops texts in no learned language: those with too many n-grams that no training
-text has, or with too few n-grams with a letter. Both limits come from the sample, each text
-of which is held against the others; texts of fewer than ``LEAST`` n-grams are too short to
-tell and stay. If nothing could be learned it drops only texts without letters. Where training texts themselves share few n-grams, nothing is dropped so.
+``reject`` drops texts in no learned language: those too far from every codeword, those with
+too many n-grams that no training text has, and those with too few n-grams with a letter. The
+distance is the mean loss of a bit; where a text says nothing about any bit it is log 2. All
+limits come from the sample, each text of which is held against the others, its own n-grams
+taken out of the weights; texts of fewer than ``LEAST`` n-grams are too short to tell and stay.
+If nothing could be learned it drops only texts without letters. Where training texts
+themselves share few n-grams, nothing is dropped so.
 
 Training takes at most ``SAMPLE_PER_LANGUAGE`` rows of each language, drawn by a hash of
 text and id, whole texts each. N-gram counts are aggregated by Spark; what comes to the
@@ -42,7 +45,7 @@ PAIRS, TRIPLES = 1 << 16, 1 << 16
 BUCKETS = PAIRS + TRIPLES
 CERTAIN = 0.6
 UNKNOWN = "und"
-LEAST, STRANGE = 48, 0.1
+LEAST, STRANGE, FAR = 48, 0.1, 0.5
 _LETTERS = np.full(256, 32, dtype=np.uint8)
 _LETTERS[ord("a") : ord("z") + 1] = np.arange(ord("a"), ord("z") + 1)
 _LETTERS[128:] = np.arange(128, 256)
@@ -101,6 +104,7 @@ class Model:
     seen: np.ndarray | None = None  # count of every bucket in all training texts
     most_unseen: float = 1.0
     least_lettered: float = 0.0
+    farthest: float = np.inf
 
     def margins(self, texts: list[str]) -> np.ndarray:
         """The mean log ratio of each bit over a text."""
@@ -126,12 +130,23 @@ class Model:
     def strange(self, texts: list[str]) -> np.ndarray:
         """Whether a text is in no learned language."""
         size, lettered, unseen = self.familiarity(texts).T
-        return (size >= LEAST) & ((unseen > self.most_unseen) | (lettered < self.least_lettered))
+        odd = (unseen > self.most_unseen) | (lettered < self.least_lettered)
+        if np.isfinite(self.farthest):
+            odd |= self.distance(self.margins(texts)) > self.farthest
+        return (size >= LEAST) & odd
+
+    def losses(self, margins: np.ndarray) -> np.ndarray:
+        """The weighted loss of every text against every codeword."""
+        bits = margins * self.scale + self.shift
+        return np.logaddexp(0, -bits[:, None, :] * self.words[None]) @ self.trust
+
+    def distance(self, margins: np.ndarray) -> np.ndarray:
+        """The mean loss of a bit against the nearest codeword."""
+        return self.losses(margins).min(axis=1) / self.words.shape[1]
 
     def decode(self, margins: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Nearest codeword and its score."""
-        bits = margins * self.scale + self.shift
-        loss = np.logaddexp(0, -bits[:, None, :] * self.words[None]) @ self.trust
+        loss = self.losses(margins)
         share = np.exp(loss.min(axis=1, keepdims=True) - loss)
         return loss.argmin(axis=1), share.max(axis=1) / share.sum(axis=1)
 
@@ -211,38 +226,68 @@ def fit(labelled: DataFrame, per_language: int = SAMPLE_PER_LANGUAGE) -> Model:
     bits = words.shape[1]
     weights = np.zeros((BUCKETS, bits), dtype=np.float32)
     if len(languages) > 1:
-        rates = np.empty_like(counts)
-        for part in (slice(0, PAIRS), slice(PAIRS, BUCKETS)):
-            smooth = counts[:, part] + 0.5
-            rates[:, part] = smooth / smooth.sum(axis=1, keepdims=True)
-        for bit in range(bits):
-            with_bit = words[:, bit] > 0
-            weights[:, bit] = np.log(rates[with_bit].mean(axis=0) / rates[~with_bit].mean(axis=0))
-        weights[_BLANKS] = 0  # blanks alone say nothing
+        weights[:] = _weights(counts, _totals(counts), words, np.arange(BUCKETS))
     model = Model(languages, words, weights, np.ones(bits), np.zeros(bits), np.ones(bits))
     if len(languages) > 1:
         _calibrate(model, sample)
     if languages:
         model.seen = counts.sum(axis=0).astype(np.int64)
-        _set_limits(model, sample)
+        _set_limits(model, counts, sample)
     return model
 
 
-def _set_limits(model: Model, sample: DataFrame) -> None:
-    """Limits well beyond the sample: twice the unseen share, half the share with a letter,
-    that all but a hundredth of the texts of every language keep."""
-    sent = sample.sparkSession.sparkContext.broadcast(model)
+def _totals(counts: np.ndarray) -> np.ndarray:
+    """N-grams of every language: pairs, triples."""
+    return np.stack([counts[:, :PAIRS].sum(axis=1), counts[:, PAIRS:].sum(axis=1)], axis=1)
+
+
+def _weights(
+    counts: np.ndarray, totals: np.ndarray, words: np.ndarray, buckets: np.ndarray
+) -> np.ndarray:
+    """The log ratio of every bit for ``buckets``, given their counts in each language."""
+    part = (buckets >= PAIRS).astype(np.int64)
+    rates = (counts + 0.5) / (totals + 0.5 * np.array([PAIRS, TRIPLES]))[:, part]
+    out = np.empty((len(buckets), words.shape[1]))
+    for bit in range(words.shape[1]):
+        with_bit = words[:, bit] > 0
+        out[:, bit] = np.log(rates[with_bit].mean(axis=0) / rates[~with_bit].mean(axis=0))
+    out[_BLANKS[buckets]] = 0  # blanks alone say nothing
+    return out
+
+
+def _own_margins(
+    model: Model, counts: np.ndarray, totals: np.ndarray, lang: str, text: str
+) -> np.ndarray:
+    """The margins of a training text by the counts of the others."""
+    found, _ = grams([text])
+    buckets, n = np.unique(found, return_counts=True)
+    row = model.languages.index(lang)
+    others, left = counts[:, buckets], totals.copy()
+    others[row] -= n
+    left[row] -= [n[buckets < PAIRS].sum(), n[buckets >= PAIRS].sum()]
+    return n @ _weights(others, left, model.words, buckets) / len(found)
+
+
+def _set_limits(model: Model, counts: np.ndarray, sample: DataFrame) -> None:
+    """Limits well beyond the sample: twice the unseen share, half the share with a letter and
+    twice the distance that all but a hundredth of the texts of every language keep."""
+    sent = sample.sparkSession.sparkContext.broadcast((model, counts, _totals(counts)))
 
     @F.arrow_udf("array<double>")
-    def measured(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        for batch in batches:
-            out = []
-            for _, group in shingles.groups(batch.to_pylist()):
-                out += sent.value.familiarity(group, own=True).tolist()
+    def measured(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
+        model, counts, totals = sent.value
+        for langs, texts in batches:
+            out, langs = [], langs.to_pylist()
+            for first, group in shingles.groups(texts.to_pylist()):
+                margins = np.zeros((len(group), model.words.shape[1]))
+                for k, text in enumerate(group if len(model.languages) > 1 else ()):
+                    margins[k] = _own_margins(model, counts, totals, langs[first + k], text)
+                far = model.distance(margins) if margins.size else np.zeros(len(group))
+                out += np.column_stack([model.familiarity(group, own=True), far]).tolist()
             yield pa.array(out, pa.list_(pa.float64()))
 
     by_language: dict[str, list] = {}
-    for row in sample.select("lang", measured("text").alias("m")).collect():
+    for row in sample.select("lang", measured("lang", "text").alias("m")).collect():
         if row.m[0] >= LEAST:
             by_language.setdefault(row.lang, []).append(row.m[1:])
     if len(by_language) < len(model.languages):
@@ -250,6 +295,8 @@ def _set_limits(model: Model, sample: DataFrame) -> None:
     found = [np.array(rows) for rows in by_language.values()]
     model.most_unseen = max(STRANGE, 2 * max(np.quantile(f[:, 1], 0.99) for f in found))
     model.least_lettered = min(np.quantile(f[:, 0], 0.01) for f in found) / 2
+    if len(found) > 1:
+        model.farthest = max(FAR, 2 * max(np.quantile(f[:, 2], 0.99) for f in found))
 
 
 def _calibrate(model: Model, sample: DataFrame) -> None:

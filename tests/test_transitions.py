@@ -1,5 +1,6 @@
 import random
 
+from tidemark.operators import transitions
 from tidemark.operators.transitions import ranges_by_key, status_transitions
 from pyspark.sql import functions as F
 
@@ -48,3 +49,12 @@ def test_a_busy_key_is_in_many_ranges(spark):
     ranged = ranges_by_key(rows, "key", F.struct("id"), 100)
     busy = ranged.filter("_key = 5").groupBy("_range").count().collect()
     assert len(busy) >= 8 and max(r["count"] for r in busy) < 400
+
+
+def test_ranges_grow_where_they_would_be_too_many(spark):
+    rows = spark.range(4_000).withColumn("user", F.col("id") % 3)
+    found = transitions.ranges_by_key(rows, "user", F.struct(F.col("id").alias("at")), 5)
+    sizes = found.groupBy("_range").count()
+    cores = spark.sparkContext.defaultParallelism
+    assert 3 < sizes.count() <= transitions.RANGES_PER_CORE * cores
+    assert found.count() == 4_000 and sizes.agg(F.max("count")).first()[0] < 500

@@ -15,15 +15,20 @@ from tidemark.operators.state import operation_rank
 from tidemark.session import staged
 
 EVENTS_PER_RANGE = 500_000
+RANGES_PER_CORE = 4
 
 
 def ranges_by_key(
     rows: DataFrame, key: str, place: Column, rows_per_range: int = EVENTS_PER_RANGE
 ) -> DataFrame:
     """``_key, _place, _range``: rows cut into ranges of about ``rows_per_range`` rows, by key
-    and place. Written, so that every use, and every repeated task, sees the same ranges."""
+    and place. Every range is a task, of which the driver hears; so where there would be more
+    ranges than keep the cores busy they grow, up to ``EVENTS_PER_RANGE`` rows. Written, so
+    that every use, and every repeated task, sees the same ranges."""
     placed = staged(rows.select(F.col(key).alias("_key"), place.alias("_place")), "places")
-    ranges = max(1, -(-placed.count() // rows_per_range))
+    count = placed.count()
+    enough = RANGES_PER_CORE * rows.sparkSession.sparkContext.defaultParallelism
+    ranges = max(1, min(-(-count // rows_per_range), max(enough, -(-count // EVENTS_PER_RANGE))))
     ranged = placed.repartitionByRange(ranges, "_key", "_place")
     return staged(ranged.withColumn("_range", F.spark_partition_id()), "ranges")
 

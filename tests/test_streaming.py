@@ -363,3 +363,21 @@ def test_kafka_needs_its_connector(spark):
 def test_messages_without_key_column(spark):
     df = spark.createDataFrame([(json.dumps({"op": "c"}).encode(),)], "value binary")
     assert p.message_text(df).first().message_key is None
+
+
+def test_micro_batches_are_spread_by_their_rows(spark, tmp_path, monkeypatch):
+    from tidemark.plans import registry
+
+    rows, sf = 15_000, "/root/testdata/sf0.01"
+    assert registry._row_count(spark, sf, "orders") == 15_000
+    monkeypatch.setattr(registry, "_ROWS_PER_FILE", 100)
+    monkeypatch.setattr(registry, "_ROWS_PER_STATE", 500)
+    assert registry._states(spark, rows) == 30
+    messages = spark.range(rows).select(F.col("id").cast("string").alias("key"), F.lit("x").alias("value"))
+    stream = registry._in_batches(spark, messages, str(tmp_path), "orders", rows, 3)
+    sizes = spark.read.parquet(f"{tmp_path}/bronze/orders").groupBy(F.input_file_name()).count()
+    assert sizes.count() == 150 and sizes.agg(F.max("count")).first()[0] < 200
+    done = p.start_table(stream, f"{tmp_path}/out", f"{tmp_path}/state", None, (), {"availableNow": True})
+    done.awaitTermination()
+    taken = [batch.numInputRows for batch in done.recentProgress if batch.numInputRows]
+    assert len(taken) == 3 and sum(taken) == rows

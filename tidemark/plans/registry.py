@@ -818,6 +818,8 @@ def skew_salted_join(spark, sf_dir):
 # --- streams ---------------------------------------------------------------------------
 
 _NOW = {"availableNow": True}
+_ROWS_PER_FILE = 100_000
+_ROWS_PER_STATE = 1_000_000
 
 
 def _cores(spark):
@@ -828,15 +830,33 @@ def _finish(spark, queries):
     pipelines.await_all(spark, queries)
 
 
-def _in_batches(spark, messages, base, table, files=7):
-    """Messages landed in shuffled order as several files, read one file per micro-batch."""
+def _row_count(spark, sf_dir, table):
+    """From the footers of the table's files."""
+    return _raw(spark, sf_dir, table).count()
+
+
+def _files_a_batch(spark, rows):
+    """Over how many files the messages of about ``rows`` rows are spread: with more rows more
+    files of the same size; small batches have one for every core, tiny ones one."""
+    return max(1, min(_cores(spark), rows // 2_000), -(-rows // _ROWS_PER_FILE))
+
+
+def _states(spark, rows):
+    """Partitions of a state with about ``rows`` keys: as many as keep them of one size."""
+    return max(_cores(spark), -(-rows // _ROWS_PER_STATE))
+
+
+def _in_batches(spark, messages, base, table, rows, batches=7):
+    """Messages of about ``rows`` rows landed in shuffled order and read in so many
+    micro-batches, each of several files."""
     path = f"{base}/bronze/{table}"
+    files = _files_a_batch(spark, rows // batches)
     landed = messages.withColumn("landed_at", F.current_timestamp())
-    landed.repartition(files).write.parquet(path)
-    return landed_messages(spark, path, max_files_per_trigger=1)
+    landed.repartition(files * batches).write.parquet(path)
+    return landed_messages(spark, path, max_files_per_trigger=files)
 
 
-def _orders_silver(spark, messages, base):
+def _orders_silver(spark, messages, base, rows):
     _finish(
         spark,
         pipelines.process_orders_stream(
@@ -846,7 +866,7 @@ def _orders_silver(spark, messages, base):
             f"{base}/checkpoints",
             profile="stream",
             trigger=_NOW,
-            state_partitions=_cores(spark),
+            state_partitions=_states(spark, rows),
         ),
     )
     return spark.read.parquet(f"{base}/silver_changelog/orders").select(
@@ -864,21 +884,24 @@ def _orders_silver(spark, messages, base):
 @query
 def stream_orders_silver(spark, sf_dir):
     messages = wh.order_messages(_raw_stream(spark, sf_dir, "orders"))
-    return _orders_silver(spark, messages, scratch_dir(spark, "stream"))
+    rows = _row_count(spark, sf_dir, "orders")
+    return _orders_silver(spark, messages, scratch_dir(spark, "stream"), rows)
 
 
 @query
 def stream_orders_batches(spark, sf_dir):
     """The same over several micro-batches whose event times are out of order."""
     base = scratch_dir(spark, "stream")
-    messages = _in_batches(spark, _messages(spark, sf_dir), base, "orders")
-    return _orders_silver(spark, messages, base)
+    rows = _row_count(spark, sf_dir, "orders")
+    messages = _in_batches(spark, _messages(spark, sf_dir), base, "orders", rows)
+    return _orders_silver(spark, messages, base, rows)
 
 
 def _streamed_once(spark, sf_dir):
     """The folder of a single-query stream over all order messages, in micro-batches."""
     base = scratch_dir(spark, "stream")
-    messages = _in_batches(spark, _messages(spark, sf_dir), base, "orders", 3)
+    rows = _row_count(spark, sf_dir, "orders")
+    messages = _in_batches(spark, _messages(spark, sf_dir), base, "orders", rows, 3)
     once = pipelines.process_stream_once(
         spark,
         messages,
@@ -886,7 +909,7 @@ def _streamed_once(spark, sf_dir):
         base,
         f"{base}/checkpoints",
         trigger=_NOW,
-        state_partitions=_cores(spark),
+        state_partitions=_states(spark, rows),
     )
     _finish(spark, [once])
     return base
@@ -921,7 +944,7 @@ def stream_orders_errors(spark, sf_dir):
         f"{base}/checkpoints",
         profile="stream",
         trigger=_NOW,
-        state_partitions=_cores(spark),
+        state_partitions=_states(spark, _row_count(spark, sf_dir, "orders")),
     )
     _finish(spark, [once])
     return inputs.judged_errors(spark, base, "orders").select(
@@ -933,22 +956,24 @@ def _forked(spark, sf_dir, profile, before=4, after=3, **options):
     """The folder of a forked stream over all order messages in shuffled micro-batches, the
     query started anew after some of them."""
     base = scratch_dir(spark, "stream")
+    number = _row_count(spark, sf_dir, "orders")
+    files = _files_a_batch(spark, number // (before + after))
     landed = _messages(spark, sf_dir).withColumn("landed_at", F.current_timestamp())
-    landed.repartition(before + after).write.parquet(f"{base}/arriving")
+    landed.repartition((before + after) * files).write.parquet(f"{base}/arriving")
     arrived = spark.read.parquet(f"{base}/arriving").withColumn("file", F.input_file_name())
-    early = F.regexp_extract("file", r"part-0*(\d+)", 1).cast("int") < before
+    early = F.regexp_extract("file", r"part-0*(\d+)", 1).cast("int") < before * files
     for part, count in ((early, before), (~early, after)):
-        rows = arrived.filter(part).drop("file").repartition(count)
+        rows = arrived.filter(part).drop("file").repartition(count * files)
         rows.write.mode("append").parquet(f"{base}/bronze/orders")
         query = fork.process_stream_fork(
             spark,
-            landed_messages(spark, f"{base}/bronze/orders", max_files_per_trigger=1),
+            landed_messages(spark, f"{base}/bronze/orders", max_files_per_trigger=files),
             ORDERS,
             base,
             f"{base}/checkpoints",
             profile=profile,
             trigger=_NOW,
-            state_partitions=_cores(spark),
+            state_partitions=_states(spark, number),
             **options,
         )
         _finish(spark, [query])
@@ -993,7 +1018,7 @@ def stream_dedup_far_copies(spark, sf_dir):
         f"{base}/replay",
         profile="stream",
         trigger=_NOW,
-        state_partitions=_cores(spark),
+        state_partitions=_states(spark, _row_count(spark, sf_dir, "orders")),
         exact=True,
     )
     _finish(spark, [again])
@@ -1023,20 +1048,23 @@ def stream_late_events(spark, sf_dir):
     """Late events of a forked stream, audited after its first three micro-batches and again
     after the two that follow; the second audit reads those two."""
     base = scratch_dir(spark, "stream")
-    messages = _messages(spark, sf_dir)
-    number = (F.col("key").cast("long") - 1) % 5
+    rows = _row_count(spark, sf_dir, "orders")
+    files = _files_a_batch(spark, rows // 5)
+    sent = _messages(spark, sf_dir).withColumn("number", (F.col("key").cast("long") - 1) % 5)
+    sent.write.partitionBy("number").parquet(f"{base}/sent")
     for batches in ((0, 1, 2), (3, 4)):
         for batch in batches:  # the source takes files in the order they came
-            landed = messages.filter(number == batch).withColumn("landed_at", F.current_timestamp())
-            landed.coalesce(1).write.mode("append").parquet(f"{base}/bronze/orders")
+            part = spark.read.parquet(f"{base}/sent/number={batch}")
+            landed = part.withColumn("landed_at", F.current_timestamp())
+            landed.repartition(files).write.mode("append").parquet(f"{base}/bronze/orders")
         query = fork.process_stream_fork(
             spark,
-            landed_messages(spark, f"{base}/bronze/orders", max_files_per_trigger=1),
+            landed_messages(spark, f"{base}/bronze/orders", max_files_per_trigger=files),
             ORDERS,
             base,
             f"{base}/checkpoints",
             trigger=_NOW,
-            state_partitions=_cores(spark),
+            state_partitions=_states(spark, rows),
         )
         _finish(spark, [query])
         ingest.advance_late_events(spark, base, ORDERS)
@@ -1044,24 +1072,30 @@ def stream_late_events(spark, sf_dir):
     return late.select("record_id", "operation", "event_ts_ms", "watermark_ms")
 
 
-def _streamed(spark, sf_dir, table, date_column, columns, files=1):
+_SOURCES = {
+    "customers": "customer", "products": "part", "payments": "orders", "order_items": "lineitem",
+}
+
+
+def _streamed(spark, sf_dir, table, date_column, columns, batches=1):
     """Bronze landing of one table, then its pipeline; accepted rows with their payload and
     rejected rows."""
     entity = ENTITIES[table]
     base = scratch_dir(spark, "stream")
     rows = getattr(wh, table)(spark, sf_dir, poison=True).select(*columns)
     messages = wh.entity_messages(rows, table, entity.key, date_column)
+    number = _row_count(spark, sf_dir, _SOURCES[table])
     _finish(
         spark,
         pipelines.process_stream(
             spark,
-            _in_batches(spark, messages, base, table, files),
+            _in_batches(spark, messages, base, table, number, batches),
             entity,
             base,
             f"{base}/checkpoints",
             profile="stream",
             trigger=_NOW,
-            state_partitions=_cores(spark),
+            state_partitions=_states(spark, number),
         ),
     )
     accepted = spark.read.parquet(f"{base}/silver_changelog/{table}")
@@ -1101,7 +1135,7 @@ def stream_payments(spark, sf_dir):
 @query
 def stream_payments_batches(spark, sf_dir):
     columns = ENTITIES["payments"].columns
-    return _streamed(spark, sf_dir, "payments", "payment_date", columns, files=7)
+    return _streamed(spark, sf_dir, "payments", "payment_date", columns, batches=7)
 
 
 @query
@@ -1131,7 +1165,8 @@ def _twice(events):
 def stream_event_dedup(spark, sf_dir):
     """Every event sent twice; the stream keeps one of each."""
     base = scratch_dir(spark, "stream")
-    return _one_of_each(spark, _twice(_raw_stream(spark, sf_dir, "events")), base)
+    rows = _row_count(spark, sf_dir, "events")
+    return _one_of_each(spark, _twice(_raw_stream(spark, sf_dir, "events")), base, rows)
 
 
 @query
@@ -1139,12 +1174,14 @@ def stream_event_dedup_batches(spark, sf_dir):
     """The same with the copies in different micro-batches, out of order."""
     base = scratch_dir(spark, "stream")
     sent = _twice(_raw(spark, sf_dir, "events"))
-    sent.repartition(5).write.parquet(f"{base}/sent")
-    reader = spark.readStream.schema(sent.schema).option("maxFilesPerTrigger", 1)
-    return _one_of_each(spark, reader.parquet(f"{base}/sent"), base)
+    rows = _row_count(spark, sf_dir, "events")
+    files = _files_a_batch(spark, 2 * rows // 5)
+    sent.repartition(5 * files).write.parquet(f"{base}/sent")
+    reader = spark.readStream.schema(sent.schema).option("maxFilesPerTrigger", files)
+    return _one_of_each(spark, reader.parquet(f"{base}/sent"), base, rows)
 
 
-def _one_of_each(spark, twice, base):
+def _one_of_each(spark, twice, base, rows):
     stored = pipelines.start_table(
         distinct_events_stream(twice, "event_id"),
         f"{base}/events",
@@ -1152,7 +1189,7 @@ def _one_of_each(spark, twice, base):
         None,
         (),
         _NOW,
-        _cores(spark),
+        _states(spark, rows),
     )
     _finish(spark, [stored])
     return spark.read.parquet(f"{base}/events")

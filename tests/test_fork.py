@@ -173,3 +173,23 @@ def test_identities_with_nulls_and_equal_hashes(spark, tmp_path, monkeypatch):
         assert sorted(map(repr, second.collect())) == sorted(map(repr, events.collect()[3:]))
         again = identities.unseen(table, events, "order_id", {"s": 1})
         assert again.count() == 2 and identities.unseen(table, events, "order_id").count() == 0
+
+
+def test_an_exact_batch_is_read_once(spark, tmp_path, monkeypatch):
+    from tidemark.streaming import fork
+
+    levels, asked = [], fork.unseen
+
+    def watched(table, events, key, mark=None):
+        levels.append(events.storageLevel.useMemory or events.storageLevel.useDisk)
+        return asked(table, events, key, mark)
+
+    monkeypatch.setattr(fork, "unseen", watched)
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "a.txt").write_text("poison\n")
+    lines = spark.readStream.format("text").load(f"{tmp_path}/in")
+    fork.process_stream_fork(
+        spark, lines, "orders", f"{tmp_path}/out", f"{tmp_path}/ckpt", trigger={"availableNow": True}, exact=True
+    ).awaitTermination()
+    assert levels == [True]
+    assert spark.read.parquet(f"{tmp_path}/out/errors/orders").count() == 1

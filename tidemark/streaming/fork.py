@@ -145,12 +145,16 @@ def process_stream_fork(
 
     def store(batch: DataFrame, batch_id: int) -> None:
         stream = stream_name(spark, checkpoint)
+        read = None
         if exact:
-            known, mark = identity_table(spark, out, entity), {stream: batch_id}
-            batch = unseen(known, distinct_events(batch, entity.key), entity.key, mark)
-            batch = batch.drop("message_key")
-        held = batch.persist()
+            # Asked twice: for its identities, and for the events that are new.
+            read = distinct_events(batch, entity.key).persist()
+        held = batch
         try:
+            if exact:
+                known, mark = identity_table(spark, out, entity), {stream: batch_id}
+                held = unseen(known, read, entity.key, mark).drop("message_key")
+            held = held.persist()
             accepted = changelog_rows(held, entity, run)
             rejected = dead_letters(held, entity, run, F.col("processing_time"))
             write_batch(
@@ -164,6 +168,8 @@ def process_stream_fork(
                     follow(merged, f"{stream}-{batch_id}")
         finally:
             held.unpersist()
+            if read is not None:
+                read.unpersist()
 
     writer = (
         judged.writeStream.queryName(f"{entity.name}_fork_{run}")

@@ -165,3 +165,10 @@ def test_ranking_computes_the_mart_once(spark):
     assert "customer.parquet" not in text and "orders.parquet" not in text
     joins = re.findall(r"Join \[[^]]*lifetime_value#[^]]*\], \[[^]]*lifetime_value#[^]]*\], (\w+)", text)
     assert joins == ["Inner"], text  # rows without a value are no part of it
+
+
+def test_changes_folded_into_a_state_are_parsed_once(spark):
+    from tidemark.plans.registry import QUERIES
+
+    folded = QUERIES["cdc_advance_state"](spark, "/root/testdata/sf0.001")
+    assert "from_json" not in folded._jdf.queryExecution().toString()

@@ -471,6 +471,7 @@ def cdc_latest_state(spark, sf_dir):
 def cdc_advance_state(spark, sf_dir):
     """Updates and deletes folded into the state of the creations."""
     accepted, _ = pipelines.split_events(_messages(spark, sf_dir), ORDERS)
+    accepted = staged(state.change_columns(accepted, ORDERS), "accepted")  # parsed once
     created = state.latest_changes(accepted.filter(F.col("operation") == "c"), ORDERS)
     later = accepted.filter(F.col("operation") != "c")
     return state.live_rows(state.advance_state(created, later, ORDERS), ORDERS)
@@ -650,7 +651,9 @@ def marts_after_changes(spark, sf_dir):
     before and after an update, each adding only what it changes; folded half way."""
     base = scratch_dir(spark, "deltas")
     gold = f"{base}/gold"
-    accepted, rejected = pipelines.split_events(_messages(spark, sf_dir), ORDERS)
+    judged = staged(pipelines.distinct_judged(_messages(spark, sf_dir), ORDERS, "record"), "judged")
+    accepted = pipelines.changelog_rows(judged, ORDERS, "adhoc")
+    rejected = dead_letters(judged, ORDERS, "adhoc", F.col("processing_time"))
     part = F.pmod(F.xxhash64("order_id", "event_ts_ms", "operation"), F.lit(4))
     accepted = staged(accepted.withColumn("part", part), "accepted")
     states = {name: fork.state_table(spark, base, name) for name in ("orders", "order_items", "payments")}

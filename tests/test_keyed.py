@@ -3,9 +3,11 @@
 import random
 
 import pytest
+from pyspark.sql import DataFrameWriter
 from pyspark.sql import functions as F
 
 from tidemark.sinks import keyed
+from tidemark.session import remove_path
 from tidemark.sinks.keyed import Conflict, KeyedTable
 
 SCHEMA = "id long, name string, amount double"
@@ -164,3 +166,36 @@ def test_small_files_are_put_together(spark, table):
     assert sorted(table.compact()) == before and len(table.files()) < 9
     assert contents(table) == rows and table.marks() == {"s": 1} and table.changes().count() == 1
     assert table.upsert(frame(spark, [(1, "y", 0.0)]), ["name"]).changes.count() == 1
+
+
+def test_with_many_keys_in_its_range_a_file_needs_no_filter(spark, table):
+    spread(spark, table, 20_000)
+    remove_path(spark, f"{table.path}/_filters")
+    odd = spark.range(20_000).select(
+        (F.col("id") * 2 + 1).alias("id"), F.lit("b").alias("name"), F.lit(2.0).alias("amount")
+    )
+    assert table._candidates(table._entry(), odd) == table.files()
+    merged = table.insert_absent(odd)
+    assert merged.rewritten == () and merged.changes.count() == 20_000
+    found = contents(table)
+    assert len(found) == 40_000 and found[7] == (7, "b", 2.0) and found[8] == (8, "a", 1.0)
+
+
+def test_rows_move_once_to_where_they_are_written(spark, table, monkeypatch):
+    spread(spark, table)
+    plans, write = [], DataFrameWriter.parquet
+
+    def noted(writer, path, *args, **options):
+        if "/data/" in path:
+            plans.append(writer._df._jdf.queryExecution().executedPlan().toString())
+        return write(writer, path, *args, **options)
+
+    monkeypatch.setattr(DataFrameWriter, "parquet", noted)
+    rows = spark.range(4000).select("id", F.lit("b").alias("name"), F.lit(2.0).alias("amount"))
+    merged = table.upsert(rows, ["name"])
+    assert merged.rewritten
+    (plan,) = plans
+    assert plan.count("Exchange") == 1 and "rangepartitioning" in plan and "Join" not in plan
+    found = contents(table)
+    assert len(found) == 6000 and found[2] == (2, "b", 1.0) and found[3] == (3, "b", 2.0)
+    assert found[7998] == (7998, "a", 1.0)

@@ -11,7 +11,7 @@ nothing but files nobody names, and of two merges at a time one fails and can be
 ``<path>/_versions/<n>``      names the manifest; carries schema and marks of jobs
 
 A merge asks the manifest which files can hold a changed key: by key range (an equi-join on
-pieces of the key space, not a range join), then by filter. Only those are read, only those
+pieces of the key space, not a range join), then, if few keys fall in it, by filter. Only those are read, only those
 with a row that really changes are written again, and a merge that changes nothing writes
 nothing. Nothing is collected but names of files that change. The old and new rows of a merge
 are kept with its version, so that what follows the changes can be repeated too; a merge with
@@ -25,11 +25,12 @@ from __future__ import annotations
 
 import json
 import uuid
+import zlib
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
 from py4j.protocol import Py4JJavaError
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -37,6 +38,11 @@ from tidemark.functions.bitmaps import BITMAP_BITS, SEEDS, bitmaps_for, filled,
 from tidemark.operators.dedup import keep_greatest
 from tidemark.session import remove_path, scratch_dir
 
+# With so many keys in a file's range, a filter that knows none of them still lets one pass.
+SURE_KEYS = 1000
+# While filters of a write are made, every file has its own stretch of bitmap numbers.
+_STRETCH = 2**25
+
 _MANIFEST = "file string, rows long, low {key}, high {key}, bitmaps long, write string"
 
 Combine = Callable[[Column, Column], Column]
@@ -180,14 +186,15 @@ class KeyedTable:
         scratch, stored = scratch_dir(self.spark, "fresh"), uuid.uuid4().hex
         keep_greatest(given, [self.key], list(order)).write.parquet(scratch)
         fresh = self.spark.read.schema(self._schema(entry)).parquet(scratch)
-        changes = self._changes(entry, fresh, self._candidates(entry, fresh), combine)
+        candidates = self._candidates(entry, fresh)
+        changes = self._changes(entry, fresh, candidates, combine)
         changes.write.parquet(f"{self.path}/_changes/{stored}")
         remove_path(self.spark, scratch)
         changes = self.spark.read.schema(changes.schema).parquet(f"{self.path}/_changes/{stored}")
         found = changes.agg(
             F.count("*").alias("n"), F.array_compact(F.collect_set("file")).alias("files")
         ).first()
-        touched = tuple(sorted(found.files))
+        touched = tuple(name for name in candidates if zlib.crc32(name.encode()) in found.files)
         entry["changes"] = stored if found.n else None
         if found.n:
             entry["manifest"] = self._rewrite(entry, changes, touched, expired)
@@ -261,28 +268,38 @@ class KeyedTable:
         pieces = F.explode(F.sequence(piece(F.col("low")), piece(F.col("high"))))
         ranges = manifest.select("file", "low", "high", "bitmaps", pieces.alias("piece"))
         key = F.col(self.key)
-        in_range = (
-            fresh.select(self.key, piece(key).alias("piece"))
-            .join(ranges, "piece")
-            .filter(key.between(F.col("low"), F.col("high")))
-            .select(self.key, "file", F.explode(F.array(*positions(key, F.col("bitmaps")))).alias("bit"))
-            .withColumn("bitmap_number", F.expr(f"bit div {BITMAP_BITS}"))
-        )
+
+        def in_range(ranges: DataFrame) -> DataFrame:
+            placed = fresh.select(self.key, piece(key).alias("piece")).join(ranges, "piece")
+            return placed.filter(key.between(F.col("low"), F.col("high")))
+
+        # A file that is read in vain changes nothing, so a filter is asked only if it may say no.
+        counts = in_range(ranges).groupBy("file").count().collect()
+        sure = [r.file for r in counts if r["count"] >= SURE_KEYS]
+        unsure = [(r.file,) for r in counts if r["count"] < SURE_KEYS]
+        if not unsure:
+            return sorted(sure)
+        asked = ranges.join(self.spark.createDataFrame(unsure, "file string"), "file")
+        bit = F.explode(F.array(*positions(key, F.col("bitmaps")))).alias("bit")
+        bits = in_range(asked).select(self.key, "file", bit)
+        bits = bits.withColumn("bitmap_number", F.expr(f"bit div {BITMAP_BITS}"))
         filters = self.spark.read.schema("file string, bitmap_number long, bitmap binary").parquet(
             *[f"{self.path}/_filters/{write}" for write in span.writes]
         )
-        hits = in_range.join(filters, ["file", "bitmap_number"]).filter(is_set("bitmap", "bit"))
+        hits = bits.join(filters, ["file", "bitmap_number"]).filter(is_set("bitmap", "bit"))
         possible = hits.groupBy(self.key, "file").count().filter(F.col("count") == len(SEEDS))
-        return sorted(r.file for r in possible.select("file").distinct().collect())
+        return sorted([*sure, *(r.file for r in possible.select("file").distinct().collect())])
 
     def _changes(
         self, entry: dict, fresh: DataFrame, candidates: list[str], combine: Combine
     ) -> DataFrame:
-        """``key, file, old, new`` of the rows that change; ``file`` is null for new ones."""
+        """``key, file, old, new`` of the rows that change; ``file`` is null for new ones, else
+        the checksum of the file's name, as the name would make up half of what is shuffled.
+        Of two files with one checksum both would be written again."""
         names = self._schema(entry).fieldNames()
         whole = F.struct(*names)
         held = self._rows(entry, candidates).select(
-            self.key, self._file_of_row().alias("file"), whole.alias("old")
+            self.key, F.crc32(self._file_of_row()).alias("file"), whole.alias("old")
         )
         pairs = fresh.select(self.key, whole.alias("fresh")).join(held, self.key, "left")
         new = combine(F.col("old"), F.col("fresh"))
@@ -291,33 +308,53 @@ class KeyedTable:
         )
 
     def _file_of_row(self) -> Column:
-        return F.regexp_extract(F.input_file_name(), "(data/[^/]+/[^/]+)$", 1)
+        return F.substring_index(F.input_file_name(), "/", -3)
 
     def _rewrite(
         self, entry: dict, changes: DataFrame, touched: Sequence[str], expired: Column | None
     ) -> str:
         """Write the changed rows with the other rows of their files."""
+        return self._replace(entry, self._merged(entry, changes, touched, expired), touched)
+
+    def _merged(
+        self, entry: dict, changes: DataFrame, touched: Sequence[str], expired: Column | None
+    ) -> DataFrame:
+        """The rows to be written, dealt by key range. Old and changed rows of a key meet only
+        there, so that both are moved once and the sample for the ranges reads files, no join."""
         names = self._schema(entry).fieldNames()
         rows = changes.select("new.*").select(*names)
-        if touched:
-            rest = self._rows(entry, touched)
-            if expired is not None:
-                rest = rest.filter(~F.coalesce(expired, F.lit(False)))
-            rows = rows.unionByName(rest.join(changes.select(self.key), self.key, "left_anti"))
-        return self._replace(entry, rows, touched)
+        if not touched:
+            return rows.repartitionByRange(self.key)
+        rest = self._rows(entry, touched)
+        if expired is not None:
+            # A row that changes is not left out: its new row is among the changes.
+            rest = rest.filter(~F.coalesce(expired, F.lit(False)))
+        both = rows.withColumn("_old", F.lit(0)).unionByName(rest.withColumn("_old", F.lit(1)))
+        newest = Window.partitionBy(self.key).orderBy("_old")  # two rows at most
+        return (
+            both.repartitionByRange(self.key)
+            .withColumn("_place", F.row_number().over(newest))
+            .filter(F.col("_place") == 1)
+            .select(*names)
+        )
 
     def _replace(self, entry: dict, rows: DataFrame, touched: Sequence[str]) -> str:
-        """Files with ``rows`` and a manifest that names them in place of ``touched``."""
+        """Files with ``rows``, dealt by key range, and a manifest that names them in place of
+        ``touched``."""
         write = uuid.uuid4().hex
         data = f"{self.path}/data/{write}"
-        rows.repartitionByRange(self.key).sortWithinPartitions(self.key).write.parquet(data)
-        keys = (
-            self.spark.read.schema(self._schema(entry))
-            .parquet(data)
-            .select(self._file_of_row().alias("file"), self.key)
-        )
-        added = keys.groupBy("file").agg(
-            F.count("*").alias("rows"), F.min(self.key).alias("low"), F.max(self.key).alias("high")
+        rows.sortWithinPartitions(self.key).write.parquet(data)
+        written = self.spark.read.schema(self._schema(entry)).parquet(data)
+        added = (
+            written.select(F.input_file_name().alias("path"), self.key)
+            .groupBy("path")
+            .agg(
+                F.count("*").alias("rows"),
+                F.min(self.key).alias("low"),
+                F.max(self.key).alias("high"),
+            )
+            .withColumn("file", F.substring_index("path", "/", -3))
+            .drop("path")
         )
         manifest = added.withColumns({"bitmaps": bitmaps_for(F.col("rows")), "write": F.lit(write)})
         if entry["manifest"] is not None:
@@ -329,11 +366,26 @@ class KeyedTable:
         name = uuid.uuid4().hex
         manifest.hint("rebalance").write.parquet(f"{self.path}/_manifests/{name}")
         sizes = self._manifest({**entry, "manifest": name}).filter(F.col("write") == write)
-        bit = F.explode(F.array(*positions(F.col(self.key), F.col("bitmaps"))))
-        bits = keys.join(sizes.select("file", "bitmaps"), "file").select("file", bit.alias("bit"))
-        filled(bits, "file").write.parquet(f"{self.path}/_filters/{write}")
+        self._write_filters(written, sizes.select("file", "bitmaps").collect(), write)
         return name
 
+    def _write_filters(self, written: DataFrame, sizes: Sequence, write: str) -> None:
+        """The filters of the files of a write. One number stands for file and bitmap, by which
+        bits are sorted faster than by names."""
+        numbered = [(number, row.file, row.bitmaps) for number, row in enumerate(sizes)]
+        files = self.spark.createDataFrame(numbered, "number long, file string, bitmaps long")
+        keys = written.select(self._file_of_row().alias("file"), self.key).join(files, "file")
+        first = F.col("number") * (_STRETCH * BITMAP_BITS)
+        bit = F.explode(
+            F.array(*[first + place for place in positions(F.col(self.key), F.col("bitmaps"))])
+        )
+        bitmaps = filled(keys.select(bit.alias("bit"))).withColumn(
+            "number", F.expr(f"bitmap_number div {_STRETCH}")
+        )
+        bitmaps.join(files, "number").select(
+            "file", F.expr(f"bitmap_number % {_STRETCH}").alias("bitmap_number"), "bitmap"
+        ).write.parquet(f"{self.path}/_filters/{write}")
+
     # --- upkeep ------------------------------------------------------------------------
 
     def compact(self, min_rows: int = 1_000_000) -> tuple[str, ...]:
@@ -346,7 +398,8 @@ class KeyedTable:
         names = tuple(sorted(r.file for r in small.select("file").collect()))
         if len(names) < 2:
             return ()
-        entry["manifest"] = self._replace(entry, self._rows(entry, names), names)
+        rows = self._rows(entry, names).repartitionByRange(self.key)
+        entry["manifest"] = self._replace(entry, rows, names)
         self._commit(entry)
         return names
 

@@ -381,3 +381,17 @@ def test_micro_batches_are_spread_by_their_rows(spark, tmp_path, monkeypatch):
     done.awaitTermination()
     taken = [batch.numInputRows for batch in done.recentProgress if batch.numInputRows]
     assert len(taken) == 3 and sum(taken) == rows
+
+
+def test_a_forked_stream_leaves_no_core_idle(spark, monkeypatch):
+    from tidemark.plans import registry
+
+    cores = spark.sparkContext.defaultParallelism
+    monkeypatch.setattr(registry, "_ROWS_PER_FILE", 20)  # 25 files of a micro-batch
+    monkeypatch.setattr(registry, "_ROWS_PER_STATE", 100)  # 15 partitions
+    base = registry._forked(spark, "/root/testdata/sf0.001", "stream", 2, 1)
+    files = spark.read.parquet(f"{base}/bronze/orders").select(F.input_file_name()).distinct().count()
+    state = spark.read.format("statestore").load(f"{base}/checkpoints/orders_fork")
+    partitions = state.select("partition_id").distinct().count()
+    assert files % (3 * cores) == 0 and files > 3 * cores
+    assert partitions % cores == 0 and partitions > cores

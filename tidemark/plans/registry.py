@@ -849,6 +849,13 @@ def _states(spark, rows):
     return max(_cores(spark), -(-rows // _ROWS_PER_STATE))
 
 
+def _whole_waves(spark, tasks):
+    """So many tasks that, if they are more than the cores, no core is idle while a few last
+    ones run."""
+    cores = _cores(spark)
+    return tasks if tasks <= cores else -(-tasks // cores) * cores
+
+
 def _in_batches(spark, messages, base, table, rows, batches=7):
     """Messages of about ``rows`` rows landed in shuffled order and read in so many
     micro-batches, each of several files."""
@@ -960,7 +967,7 @@ def _forked(spark, sf_dir, profile, before=4, after=3, **options):
     query started anew after some of them."""
     base = scratch_dir(spark, "stream")
     number = _row_count(spark, sf_dir, "orders")
-    files = _files_a_batch(spark, number // (before + after))
+    files = _whole_waves(spark, _files_a_batch(spark, number // (before + after)))
     landed = _messages(spark, sf_dir).withColumn("landed_at", F.current_timestamp())
     landed.repartition((before + after) * files).write.parquet(f"{base}/arriving")
     arrived = spark.read.parquet(f"{base}/arriving").withColumn("file", F.input_file_name())
@@ -976,7 +983,7 @@ def _forked(spark, sf_dir, profile, before=4, after=3, **options):
             f"{base}/checkpoints",
             profile=profile,
             trigger=_NOW,
-            state_partitions=_states(spark, number),
+            state_partitions=_whole_waves(spark, _states(spark, number)),
             **options,
         )
         _finish(spark, [query])

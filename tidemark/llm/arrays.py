@@ -11,6 +11,7 @@ import zstandard
 
 BASE = 0x9E3779B97F4A7C15 | 1
 CHUNK = 1 << 19
+TAKE = 1 << 17
 _powers: dict[str, np.ndarray] = {}
 _TRIM = getattr(ctypes.CDLL(None), "malloc_trim", None)
 
@@ -35,6 +36,14 @@ def released(rows: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Itera
     return run
 
 
+def freed(function: Callable[..., pa.Table], *groups: pa.Table) -> pa.Table:
+    """The function's result for one group; what it held besides goes back at once."""
+    try:
+        return function(*groups)
+    finally:
+        release()
+
+
 def mix(x: np.ndarray) -> np.ndarray:
     """The finaliser of splitmix64, on unsigned 64-bit integers."""
     x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
@@ -102,12 +111,27 @@ def hashes(values: pa.Array) -> np.ndarray:
 def ragged_take(
     data: np.ndarray, starts: np.ndarray, lengths: np.ndarray, which: np.ndarray
 ) -> np.ndarray:
-    """``data[start:start+length]`` of every entry of ``which``, one after the other."""
-    sizes = lengths[which]
-    before = np.cumsum(sizes) - sizes
-    places = np.repeat(starts[which] - before, sizes)
-    places += np.arange(len(places))
-    return data[places]
+    """``data[start:start+length]`` of every entry of ``which``, one after the other. Places
+    are worked out for TAKE values at a time, as they are wider than most data."""
+    ends = np.cumsum(lengths[which], dtype=np.int64)
+    out = np.empty(int(ends[-1]) if len(ends) else 0, dtype=data.dtype)
+    low = 0
+    while low < len(ends):
+        first = int(ends[low - 1]) if low else 0
+        high = max(low + 1, int(np.searchsorted(ends, first + TAKE, side="right")))
+        last = int(ends[high - 1])
+        if high == low + 1:
+            start = int(starts[which[low]])
+            out[first:last] = data[start : start + last - first]
+        else:
+            part = which[low:high]
+            sizes = lengths[part]
+            before = ends[low:high] - sizes
+            places = np.repeat(starts[part] - before, sizes)
+            places += np.arange(first, last)
+            out[first:last] = data[places]
+        low = high
+    return out
 
 
 def compressed(values: np.ndarray, width: int = 4) -> bytes:

@@ -27,7 +27,7 @@ from tidemark.llm import arrays, words
 from tidemark.llm.tables import partitions, texts
 
 ENCODED = "doc_id long, n_tokens long, ids binary"
-SLICE_TOKENS = 1 << 20
+SLICE_TOKENS = 1 << 17
 # A vocabulary file is sent to every executor, so its size is bounded here.
 MAX_VOCABULARY_BYTES = 64 << 20
 
@@ -127,7 +127,8 @@ def encode(
 
     def reassemble(docs: pa.Table, answers: pa.Table) -> pa.Table:
         found = answers.to_pylist()
-        out: dict[str, list] = {n: [] for n in (_DECODED if decoded else _ENCODED).names}
+        schema = _DECODED if decoded else _ENCODED
+        out = []
         for row in docs.to_pylist():
             ids, starts, lengths = words.Answers(row["n_words"], found).lists("sizes", "ids")
             codes = arrays.expanded(row["codes"])
@@ -135,27 +136,36 @@ def encode(
             for low, high in slices(ends):
                 first = int(ends[low - 1]) if low else 0
                 part = codes[first : ends[high - 1]]
-                taken = arrays.ragged_take(ids, starts, lengths, part).astype("<u4")
+                taken = arrays.ragged_take(ids, starts, lengths, part).astype("<u4", copy=False)
                 at = np.concatenate([[0], np.cumsum(lengths[part])])
                 bounds = at[np.concatenate([[first], ends[low:high]]) - first]
-                out["doc_id"] += row["doc_ids"][low:high]
-                out["n_tokens"] += np.diff(bounds).tolist()
-                out["ids"] += [taken[a:b].tobytes() for a, b in zip(bounds[:-1], bounds[1:])]
+                columns = {
+                    "doc_id": row["doc_ids"][low:high],
+                    "n_tokens": np.diff(bounds),
+                    "ids": [taken[a:b].tobytes() for a, b in zip(bounds[:-1], bounds[1:])],
+                }
                 if decoded:
-                    out["decoded"] += token_bytes(vocabulary.value).join(taken, bounds)
-        return pa.Table.from_pydict(out, schema=_DECODED if decoded else _ENCODED)
+                    columns["decoded"] = token_bytes(vocabulary.value).join(taken, bounds)
+                out.append(pa.RecordBatch.from_pydict(columns, schema=schema))
+        return pa.Table.from_batches(out, schema=schema)
 
     shards = max(32, partitions(spark))
     answers = (
         words.word_rows(tokens, shards)
         .groupBy("shard")
-        .applyInArrow(encode_shard, "block binary, places binary, sizes binary, ids binary")
+        .applyInArrow(
+            lambda rows: arrays.freed(encode_shard, rows),
+            "block binary, places binary, sizes binary, ids binary",
+        )
     )
     return (
         words.doc_rows(tokens)
         .groupBy("block")
         .cogroup(answers.groupBy("block"))
-        .applyInArrow(reassemble, ENCODED + ", decoded binary" * decoded)
+        .applyInArrow(
+            lambda docs, answers: arrays.freed(reassemble, docs, answers),
+            ENCODED + ", decoded binary" * decoded,
+        )
     )
 
 
